@@ -120,6 +120,10 @@ def count_where(arr: Column, test) -> Column:
     return F.size(F.filter(arr, test))
 
 
+def count_value(arr: Column, value: int) -> Column:
+    return count_where(arr, lambda x: x == value)
+
+
 def first_position(arr: Column, value: int) -> Column:
     """0-based position of the first ``value``, null if absent."""
     pos = F.array_position(arr, F.lit(value))

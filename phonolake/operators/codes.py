@@ -111,7 +111,7 @@ def token_report(df: DataFrame, ids: str = "ids") -> DataFrame:
         "pad": T.PAD,
     }
     for name, value in special.items():
-        out[f"{name}_count"] = C.count_where(arr, lambda t, value=value: t == value)
+        out[f"{name}_count"] = C.count_value(arr, value)
         out[f"{name}_first"] = C.first_position(arr, value)
     return df.withColumns(out)
 

@@ -130,7 +130,7 @@ def decode_windows(codes: DataFrame, width: int = FRAMES_PER_BLOCK) -> DataFrame
     runs = placed.groupBy("request_id", "block").agg(
         F.sort_array(F.collect_list(F.struct("idx", "code"))).alias("run")
     )
-    runs = runs.withColumns({"first": F.col("run")[0]["idx"], "run": F.col("run.code").cast("array<int>")})
+    runs = runs.withColumns({"first": F.col("run")[0]["idx"], "run": F.col("run.code")})
     n_windows = F.greatest(C.idiv(F.size("run"), T.SLOTS) - overlap, F.lit(0).cast("long"))
     windows = F.transform(
         C.index_range(n_windows),
@@ -150,7 +150,7 @@ def window_layers(windows: DataFrame) -> DataFrame:
     for n in range(3):
         slots = [s for s, (layer, _, _) in enumerate(C.SLOT_SOURCE) if layer == n]
         at = [f * T.SLOTS + s for f in range(T.WINDOW_FRAMES) for s in slots]
-        layers[f"l{n}"] = F.array(*[F.get("codes", F.lit(i)) for i in at])
+        layers[f"l{n}"] = F.array(*[F.get("codes", F.lit(i)) for i in at]).cast("array<int>")
     return windows.withColumns(
         layers
         | {

@@ -62,19 +62,29 @@ def _rows_before(keys: list[str], pos: str):
     return Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def running_sum(
-    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, width: int = BLOCK, levels: int = 2
+def running_sums(
+    df: DataFrame, keys: list[str], pos: str, values: dict[str, Column], width: int = BLOCK, levels: int = 2
 ) -> DataFrame:
-    """Sum of ``value`` over the rows of the key that come before, 0 for the first."""
+    """For each named value its sum over the rows of the key that come before, 0 for the first row."""
     if levels == 0:
-        return df.withColumn(out, F.coalesce(F.sum(value).over(_rows_before(keys, pos)), F.lit(0)))
-    block, carry, part = f"_{out}_block{levels}", f"_{out}_carry{levels}", f"_{out}_part{levels}"
+        before = _rows_before(keys, pos)
+        return df.withColumns({out: F.coalesce(F.sum(v).over(before), F.lit(0)) for out, v in values.items()})
+    block = f"_block{levels}"
+    carry = {out: f"_{out}_carry{levels}" for out in values}
     df = df.withColumn(block, idiv(F.col(pos), width))
-    sums = df.groupBy(*keys, block).agg(F.sum(value).alias(part))
-    carried = running_sum(sums, keys, block, F.col(part), carry, width, levels - 1).drop(part)
-    inside = F.coalesce(F.sum(value).over(_rows_before([*keys, block], pos)), F.lit(0))
-    joined = _join_on(df.withColumn(out, inside), carried, [*keys, block])
-    return joined.withColumn(out, F.col(out) + F.col(carry)).drop(block, carry)
+    sums = df.groupBy(*keys, block).agg(*[F.sum(v).alias(f"_{out}_sum") for out, v in values.items()])
+    parts = {carry[out]: F.col(f"_{out}_sum") for out in values}
+    carried = running_sums(sums, keys, block, parts, width, levels - 1).select(*keys, block, *carry.values())
+    before = _rows_before([*keys, block], pos)
+    inside = df.withColumns({out: F.coalesce(F.sum(v).over(before), F.lit(0)) for out, v in values.items()})
+    joined = _join_on(inside, carried, [*keys, block])
+    return joined.withColumns({out: F.col(out) + F.col(c) for out, c in carry.items()}).drop(block, *carry.values())
+
+
+def running_sum(
+    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, width: int = BLOCK, levels: int = 2
+) -> DataFrame:
+    return running_sums(df, keys, pos, {out: value}, width, levels)
 
 
 def number_rows(df: DataFrame, keys: list[str], pos: str, out: str, width: int = BLOCK) -> DataFrame:

@@ -7,28 +7,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as Ty
 
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.functions.codes import idiv
+from phonolake.functions.schema import struct
 from phonolake.operators.joins import lookup_join
 from phonolake.operators.ordered import carry_forward, number_rows, running_sum
 
-MESSAGE_SCHEMA = Ty.StructType(
-    [
-        Ty.StructField("type", Ty.StringType()),
-        Ty.StructField("text", Ty.StringType()),
-        Ty.StructField("voice", Ty.StringType()),
-        Ty.StructField("speaker", Ty.StringType()),
-        Ty.StructField("split_granularity", Ty.StringType()),
-        Ty.StructField("response_format", Ty.StringType()),
-        Ty.StructField("stream_audio", Ty.BooleanType()),
-        Ty.StructField("repetition_penalty", Ty.DoubleType()),
-        Ty.StructField("max_tokens", Ty.IntegerType()),
-        Ty.StructField("temperature", Ty.DoubleType()),
-        Ty.StructField("top_p", Ty.DoubleType()),
-    ]
+MESSAGE_SCHEMA = struct(
+    type="string",
+    text="string",
+    voice="string",
+    speaker="string",
+    split_granularity="string",
+    response_format="string",
+    stream_audio="boolean",
+    repetition_penalty="double",
+    max_tokens="int",
+    temperature="double",
+    top_p="double",
 )
 MESSAGE_TYPES = ["session.config", "input.text", "input.done"]
 STICKY = {

@@ -101,7 +101,7 @@ def pad_batches(df: DataFrame, mode: str = "pretrain", pad: int = T.PAD, batch:
 
 def padding_waste(df: DataFrame, length: str, order: list, batch_size: int) -> DataFrame:
     """Share of padding when rows are batched in ``order``."""
-    placed = batches(df.select(length, *order), order, batch_size)
+    placed = batches(df.select(*dict.fromkeys([length, *order])), order, batch_size)
     per = placed.groupBy("batch_id").agg(
         F.max(length).alias("longest"), F.count(F.lit(1)).alias("rows"), F.sum(length).alias("used")
     )

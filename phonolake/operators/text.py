@@ -43,15 +43,15 @@ def emotive_tags(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:
     return df.select(id_col, F.inline(found)).groupBy(id_col, "kind", "word").agg(F.count("*").alias("n"))
 
 
-def request_plan(runs: DataFrame, prompts: list[str], save_below: int = 3) -> DataFrame:
-    """Load-test requests: each run with each prompt.
+def request_plan(runs: DataFrame, prompts: list, save_below: int = 3) -> DataFrame:
+    """Load-test requests: each run with each prompt, given as texts or as columns of ``runs``.
 
     ``runs`` has (offset, run_id) with the first run of each worker in ``offset``. Besides its runs every worker
     sends one warm-up request with run 90 + offset.
     """
     types = ["short", "medium", "long"]
     planned = F.array(
-        *[F.struct(F.lit(types[i]).alias("type"), F.lit(p).alias("prompt")) for i, p in enumerate(prompts)]
+        *[F.struct(F.lit(t).alias("type"), F.lit(p).alias("prompt")) for t, p in zip(types, prompts, strict=False)]
     )
     main = runs.select("offset", "run_id", F.inline(planned))
     warm = runs.select("offset").distinct().select(

@@ -58,10 +58,14 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vocab_encode(rows, I.vocab(spark, sf_dir), "utt_id", "words", "prompt_ids", keep=keep)
 
 
+def with_layers(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Join the layers by utterance; both sides are large, and derived arrays are larger than Spark can estimate."""
+    return rows.join(I.codes(spark, sf_dir).drop("n_samples").hint("merge"), "utt_id")
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format-B sequences of the corpus."""
-    layers = I.codes(spark, sf_dir).drop("n_samples")
-    rows = prompts(spark, sf_dir).join(layers, "utt_id")
+    rows = with_layers(prompts(spark, sf_dir), spark, sf_dir)
     rows = ops.kept(ops.tag_length_b(ops.tag_audio_tokens(rows)))
     return ops.assemble_b(rows)
 
@@ -360,8 +364,7 @@ def sample_grid(spark, sf_dir):
     ),
 )
 def assemble_format_a(spark, sf_dir):
-    rows = prompts(spark, sf_dir).join(I.codes(spark, sf_dir).drop("n_samples"), "utt_id")
-    out = ops.assemble_a(rows)
+    out = ops.assemble_a(with_layers(prompts(spark, sf_dir), spark, sf_dir))
     return out.select(
         "utt_id",
         F.col("filepath").alias("filename"),

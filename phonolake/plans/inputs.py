@@ -14,16 +14,27 @@ from pyspark.sql import functions as F
 from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
-from phonolake.operators.ordered import number_rows
+from phonolake.operators.ordered import running_sums
 from phonolake.operators.vocab import build_vocab
+from phonolake.sources.readers import read_table
 
 SAMPLES_PER_CHAR = 240
 PAGE_SPEAKER = "page"
 TEMPLATE = "{speaker_id}: {text}"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+KEYS = {
+    "documents": ["doc_id"],
+    "events": ["event_id"],
+    "pages": ["page_id"],
+    "conversations": ["conv_id", "turn"],
+    "embeddings": ["vec_id"],
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A test table; ``spread`` for one that feeds costly work per row."""
+    return read_table(spark, f"{sf_dir}/{name}.parquet", KEYS[name] if spread else None)
 
 
 def audio_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +66,7 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as labelled source rows: text, speaker (null for one source), samples and rate."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", spread=True).select(
         F.col("doc_id").alias("utt_id"),
         "text",
         F.nullif("source", F.lit("src7")).alias("speaker"),
@@ -80,16 +91,19 @@ def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of the documents, numbered in word order."""
-    docs = table(spark, sf_dir, "documents")
-    return build_vocab(docs.select(F.explode(X.words(F.col("text"))).alias("token")))
+    docs = table(spark, sf_dir, "documents", spread=True)
+    return build_vocab(docs.select(F.explode(F.array_distinct(X.words(F.col("text")))).alias("token")))
 
 
 def token_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token stream per user: errors are noise, sign-ups are numbers without a positive code."""
-    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
-    events = number_rows(events.withColumnRenamed("user_id", "request_id"), ["request_id"], "event_id", "seq")
-    code = F.when(F.col("event_type") == "signup", -3).otherwise((F.col("event_id") * 37) % T.CODEBOOK)
-    number = F.lit(T.CUSTOM_TOKEN_SHIFT) + (F.col("seq") % T.SLOTS) * T.CODEBOOK + code
+    """Token stream per user: errors are noise, sign-ups are numbers without a positive code, the others are codes
+    whose slot follows from the number of codes before them."""
+    events = table(spark, sf_dir, "events").select(F.col("user_id").alias("request_id"), "event_id", "event_type")
+    is_code = ~F.col("event_type").isin("error", "signup")
+    counts = {"seq": F.lit(1).cast("long"), "k": is_code.cast("long")}
+    events = running_sums(events, ["request_id"], "event_id", counts)
+    code = F.when(is_code, (F.col("event_id") * 37) % T.CODEBOOK).otherwise(-3)
+    number = F.lit(T.CUSTOM_TOKEN_SHIFT) + (F.col("k") % T.SLOTS) * T.CODEBOOK + code
     text = F.when(F.col("event_type") == "error", "noise").otherwise(
         F.concat(F.lit("<custom_token_"), number.cast("string"), F.lit(">"))
     )
@@ -100,7 +114,7 @@ def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generations: the audio tokens of a document, stray ids in front for one language, END_OF_SPEECH behind
     unless the document has no label."""
     rows = add_codes(
-        table(spark, sf_dir, "documents").select(
+        table(spark, sf_dir, "documents", spread=True).select(
             F.col("doc_id").alias("utt_id"), "lang", (F.col("n_chars") * SAMPLES_PER_CHAR).alias("n_samples")
         )
     )
@@ -145,7 +159,7 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sequence per document, as long as its text; ids by formula. Labels only where the document is labelled."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     labelled = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("has_labels"))
     rows = docs.select("doc_id", "n_chars").join(labelled, "doc_id", "left")
     ids = F.transform(
@@ -208,10 +222,12 @@ INPUT_SQL = {
           (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS token FROM documents)""",
     "token_events": """
         SELECT request_id, seq, CASE WHEN event_type = 'error' THEN 'noise' ELSE '<custom_token_' ||
-          (10 + (seq % 7) * 4096 + CASE WHEN event_type = 'signup' THEN -3 ELSE (event_id * 37) % 4096 END) || '>'
+          (10 + (k % 7) * 4096 + CASE WHEN event_type = 'signup' THEN -3 ELSE (event_id * 37) % 4096 END) || '>'
           END AS text
-        FROM (SELECT user_id AS request_id, event_id, event_type,
-                row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS seq FROM events)""",
+        FROM (SELECT user_id AS request_id, event_id, event_type, row_number() OVER w - 1 AS seq,
+                count(*) FILTER (event_type NOT IN ('error', 'signup')) OVER (PARTITION BY user_id ORDER BY event_id
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k
+              FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))""",
     "generated": """
         SELECT utt_id, list_concat(list_concat(
             CASE WHEN lang = 'de' THEN [1000, 128263] ELSE []::BIGINT[] END, flatten(fr)),
