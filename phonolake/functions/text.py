@@ -63,33 +63,31 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ]+"), F.lit(0))
 
 
-def ipa_to_tokens(ipa: Column) -> Column:
-    """IPA text to phoneme tokens, longest symbol first; characters without a symbol are dropped.
+def ipa_lookup(ipa: Column, table: dict) -> Column:
+    """Array of the table's values for the IPA symbols of a text, longest symbol first; other characters are dropped.
 
-    Digraphs are parked on private-use characters before other characters go, so that removing what lies between
-    two letters cannot create a digraph. Plain letters name their own token and need one regular expression; the
-    other symbols are replaced one by one, which is safe because no token contains any of them.
+    Digraphs are parked on private-use characters, after which every symbol is one character and the text is looked
+    up character by character. That is several times faster than a regular expression over all symbols.
     """
-    parked = {s: chr(0xE000 + i) for i, s in enumerate(s for s in T.PHONEMES if len(s) > 1)}
-    letters = [s for s, token in T.PHONEMES.items() if token == f"<|ph_{s}|>"]
-    others = {s: token for s, token in T.PHONEMES.items() if s not in letters and s not in parked}
-
+    parked = {s: chr(0xE000 + i) for i, s in enumerate(s for s in table if len(s) > 1)}
     private = "".join(parked.values())
-    out = F.translate(strip(ipa), private, "?" * len(private))
-    out = F.regexp_replace(out, " +", " ")
-    for symbol, park in parked.items():
-        out = F.replace(out, F.lit(symbol), F.lit(park))
-    known = "".join(letters) + "".join(others) + private
-    out = F.regexp_replace(out, f"[^{_char_class(known)}]", "")
-    out = F.regexp_replace(out, f"([{''.join(letters)}])", "<|ph_$1|>")
-    for symbol, token in others.items():
-        out = F.replace(out, F.lit(symbol), F.lit(token))
+    text = F.regexp_replace(F.translate(strip(ipa), private, "?" * len(private)), " +", " ")
     for symbol, park in parked.items():
-        out = F.replace(out, F.lit(park), F.lit(T.PHONEMES[symbol]))
-    return out
+        text = F.replace(text, F.lit(symbol), F.lit(park))
+    # A map is searched from its start: plain letters are the most frequent symbols.
+    symbols = sorted(table, key=lambda s: not s.isascii())
+    entries = F.create_map(*[F.lit(v) for s in symbols for v in (parked.get(s, s), table[s])])
+    found = F.transform(F.split(text, ""), lambda c: F.try_element_at(entries, c))
+    return F.filter(found, lambda v: v.isNotNull())
+
+
+def ipa_to_tokens(ipa: Column) -> Column:
+    """Phoneme-token text of an IPA text, without separators."""
+    return F.array_join(ipa_lookup(ipa, T.PHONEMES), "")
 
 
 def phoneme_array(tokens: Column) -> Column:
+    """Phoneme tokens of a phoneme-token text."""
     return F.regexp_extract_all(tokens, F.lit(PHONEME_PATTERN), F.lit(0))
 
 

@@ -15,6 +15,7 @@ from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators.codes import in_range
+from phonolake.session import materialise
 
 EVENTS_PER_BLOCK = 512
 FRAMES_PER_BLOCK = 256
@@ -40,7 +41,9 @@ def _gain(numbers: Column, accept) -> Column:
     """Accepted tokens for each of the seven slots a block may start in."""
 
     def step(gains: Column, number: Column) -> Column:
-        return F.transform(gains, lambda g, slot: g + accept(_value(number, slot + g)).cast("long"))
+        return F.transform(
+            gains, lambda g, slot: g + F.coalesce(accept(_value(number, slot + g)).cast("long"), F.lit(0).cast("long"))
+        )
 
     return F.aggregate(numbers, F.array(*[F.lit(0).cast("long")] * T.SLOTS), step)
 
@@ -54,7 +57,7 @@ def _chain(gains: Column) -> Column:
     return F.aggregate(gains, F.array(*[F.lit(0).cast("long")] * T.SLOTS), step)
 
 
-def _ends(blocks: DataFrame, width: int, levels: int = 2) -> DataFrame:
+def _ends(blocks: DataFrame, width: int, levels: int = 1) -> DataFrame:
     """Tokens accepted up to the end of each block; (request_id, block, gain) to (request_id, block, end)."""
     group = C.idiv(F.col("block"), width) if levels else F.lit(0).cast("long")
     groups = blocks.groupBy("request_id", group.alias("group")).agg(
@@ -94,12 +97,12 @@ def extract_codes(events: DataFrame, mode: str = "compat", width: int = EVENTS_P
     numbered = parse_tokens(events).select(
         "request_id", F.col("seq").cast("long").alias("seq"), "token_number", C.idiv(F.col("seq"), width).alias("block")
     )
-    pair = F.when(F.col("token_number").isNotNull(), F.struct("seq", "token_number"))
+    # Both uses of this aggregate have the same columns, so Spark runs its shuffle once.
     blocks = numbered.groupBy("request_id", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(pair)).alias("toks")
+        F.sort_array(F.collect_list(F.struct("seq", "token_number"))).alias("toks")
     )
     # A block that is not full is the last of its request and needs no sum.
-    sums = blocks.where(F.col("n") == width).select(
+    sums = blocks.where(F.size("toks") == width).select(
         "request_id", "block", _gain(F.col("toks.token_number"), accept).alias("gain")
     )
     blocks = _with_start(blocks, "block", _ends(sums, width))
@@ -166,7 +169,7 @@ def decoder_report(events: DataFrame, first_chunks: int = 12) -> DataFrame:
     seen = parse_tokens(events).groupBy("request_id").agg(
         F.count(F.lit(1)).alias("events_seen"), F.count_if(F.col("token_number").isNull()).alias("invalid_events")
     )
-    codes = extract_codes(events, "compat")
+    codes = materialise(extract_codes(events, "compat"))
     parsed = codes.groupBy("request_id").agg(F.count(F.lit(1)).alias("parsed_tokens"))
     chunks = decode_windows(codes).groupBy("request_id").agg(
         F.count(F.lit(1)).alias("audio_chunks"),

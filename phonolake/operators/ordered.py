@@ -2,10 +2,11 @@
 
 Spark evaluates a window with one task per partition key. A key that holds a third of the rows, or a window without
 a key, would therefore run in one task. The operators here cut the order into blocks, work inside a block, and carry
-one small row per block to the blocks behind it. The carried rows are blocked again (``levels``), so with blocks of
-4096 positions and two levels one task handles at most n / 16.7 million carried rows of a key.
+one small row per block to the blocks behind it: with blocks of 65,536 positions one task handles at most
+n / 65,536 carried rows of a key (``levels=2`` blocks these again).
 
-``pos`` must be a non-negative whole number that is unique inside its key.
+``pos`` must be a non-negative whole number that is unique inside its key. The input is read twice, once for the
+carried rows with only the columns they need; materialise an input that is costly to compute.
 """
 
 from __future__ import annotations
@@ -18,18 +19,23 @@ from pyspark.sql import functions as F
 from phonolake.functions.codes import idiv
 from phonolake.session import materialise
 
-BLOCK = 4096
+BLOCK = 65_536
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
-def index_rows(df: DataFrame, order: list, out: str = "row_idx") -> tuple[DataFrame, int]:
+def index_rows(
+    df: DataFrame, order: list, out: str = "row_idx", key: list[str] | None = None
+) -> tuple[DataFrame, int]:
     """Contiguous 0-based index in a total order, and the number of rows.
 
-    One range shuffle and one written copy. The copy is needed because a repeated run may choose other range
-    bounds. What reaches the driver and is broadcast is one count per partition of that copy.
+    The rows are range-partitioned and written once, because a repeated run may choose other range bounds. With
+    ``key``, columns that identify a row, only these and the order columns take that way and the index is joined
+    back, so wide rows are neither sorted nor written. What reaches the driver and is broadcast is one count per
+    written partition.
     """
     spark = df.sparkSession
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    narrow = df if key is None else df.select(*dict.fromkeys([*order, *key]))
+    ordered = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialise(ordered.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", _LOCAL_BITS)
     counts = placed.groupBy(part.alias("part")).count().orderBy("part").collect()
@@ -44,14 +50,16 @@ def index_rows(df: DataFrame, order: list, out: str = "row_idx") -> tuple[DataFr
         .withColumn(out, F.col("_start") + F.col("_place").bitwiseAND((1 << _LOCAL_BITS) - 1))
         .drop("_part", "_start", "_place")
     )
+    if key is not None and set(narrow.columns) != set(df.columns):
+        indexed = join_on(df, indexed.select(*key, out), key)
     return indexed, total
 
 
-def with_row_index(df: DataFrame, order: list, out: str = "row_idx") -> DataFrame:
-    return index_rows(df, order, out)[0]
+def with_row_index(df: DataFrame, order: list, out: str = "row_idx", key: list[str] | None = None) -> DataFrame:
+    return index_rows(df, order, out, key)[0]
 
 
-def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi join in which null keys match; the key columns of ``right`` are dropped."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
@@ -63,7 +71,7 @@ def _rows_before(keys: list[str], pos: str):
 
 
 def running_sums(
-    df: DataFrame, keys: list[str], pos: str, values: dict[str, Column], width: int = BLOCK, levels: int = 2
+    df: DataFrame, keys: list[str], pos: str, values: dict[str, Column], width: int = BLOCK, levels: int = 1
 ) -> DataFrame:
     """For each named value its sum over the rows of the key that come before, 0 for the first row."""
     if levels == 0:
@@ -77,12 +85,12 @@ def running_sums(
     carried = running_sums(sums, keys, block, parts, width, levels - 1).select(*keys, block, *carry.values())
     before = _rows_before([*keys, block], pos)
     inside = df.withColumns({out: F.coalesce(F.sum(v).over(before), F.lit(0)) for out, v in values.items()})
-    joined = _join_on(inside, carried, [*keys, block])
+    joined = join_on(inside, carried, [*keys, block])
     return joined.withColumns({out: F.col(out) + F.col(c) for out, c in carry.items()}).drop(block, *carry.values())
 
 
 def running_sum(
-    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, width: int = BLOCK, levels: int = 2
+    df: DataFrame, keys: list[str], pos: str, value: Column, out: str, width: int = BLOCK, levels: int = 1
 ) -> DataFrame:
     return running_sums(df, keys, pos, {out: value}, width, levels)
 
@@ -99,7 +107,7 @@ def carry_forward(
     cols: list[str],
     include_self: bool = True,
     width: int = BLOCK,
-    levels: int = 2,
+    levels: int = 1,
 ) -> DataFrame:
     """Replace each column by its last non-null value up to the row, or before it (``include_self=False``)."""
     frame = Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0 if include_self else -1)
@@ -116,7 +124,7 @@ def carry_forward(
     inside = Window.partitionBy(*keys, block).orderBy(pos)
     inside = inside.rowsBetween(Window.unboundedPreceding, 0 if include_self else -1)
     local = df.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in cols})
-    joined = _join_on(local, carried, [*keys, block])
+    joined = join_on(local, carried, [*keys, block])
     return joined.withColumns({c: F.coalesce(c, n) for c, n in carried_names.items()}).drop(
         block, *carried_names.values()
     )

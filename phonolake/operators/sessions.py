@@ -13,7 +13,8 @@ from phonolake.functions import tokens as T
 from phonolake.functions.codes import idiv
 from phonolake.functions.schema import struct
 from phonolake.operators.joins import lookup_join
-from phonolake.operators.ordered import carry_forward, number_rows, running_sum
+from phonolake.operators.ordered import carry_forward, join_on, number_rows, running_sum
+from phonolake.session import materialise
 
 MESSAGE_SCHEMA = struct(
     type="string",
@@ -44,9 +45,14 @@ RESET = {
 
 
 def open_messages(messages: DataFrame) -> DataFrame:
-    """Messages up to and with the first ``input.done``; ``done_seq`` is null for a session without one."""
-    done = messages.where(F.col("type") == "input.done").groupBy("session_id").agg(F.min("seq").alias("done_seq"))
-    marked = lookup_join(messages, done, "session_id", "left")
+    """Messages up to and with the first ``input.done``; ``done_seq`` is null for a session without one, and
+    ``last_text_seq`` is the last message with text."""
+    has_text = (F.col("type") == "input.text") & (F.coalesce(F.col("text"), F.lit("")) != "")
+    facts = messages.groupBy("session_id").agg(
+        F.min(F.when(F.col("type") == "input.done", F.col("seq"))).alias("done_seq"),
+        F.max(F.when(has_text, F.col("seq"))).alias("last_text_seq"),
+    )
+    marked = lookup_join(messages, facts, "session_id")
     return marked.where(F.col("done_seq").isNull() | (F.col("seq") <= F.col("done_seq")))
 
 
@@ -79,45 +85,52 @@ def session_sentences(messages: DataFrame, granularity: str = "sentence") -> Dat
 
     The text of a session is never put together whole. Each message is cut by itself; what it needs to know of the
     messages before it is one bit, whether they end in a mark and closing characters, so that the next other
-    character starts a new sentence. The running number of cuts names the sentence that a piece belongs to.
+    character starts a new sentence, and the number of cuts before it. Both come from a narrow table without text.
     Sentences whose end is not certain yet are given only for sessions that are done.
     """
     marks, closing = X._char_class(X.marks_of(granularity)), X._char_class(T.CLOSING_CHARS)
-    opened = open_messages(messages)
-    texts = opened.where((F.col("type") == "input.text") & F.col("text").isNotNull()).select("session_id", "seq", "text")
-    only_closing = F.col("text").rlike(f"\\A[{closing}]*\\z")
-    ends_cut = F.col("text").rlike(f"[{marks}][{closing}]*\\z")
-    texts = texts.withColumn("cut_pending", F.when(~only_closing, ends_cut))
-    texts = carry_forward(texts, ["session_id"], "seq", ["cut_pending"], include_self=False)
+    texts = open_messages(messages).where((F.col("type") == "input.text") & (F.col("text") != ""))
+    lead = F.regexp_extract("text", f"\\A[{closing}]*", 0)
 
     def pieces(col):
         return F.regexp_extract_all(col, F.lit(X.piece_pattern(granularity)), F.lit(0))
 
-    lead = F.regexp_extract("text", f"\\A[{closing}]*", 0)
-    after = F.substr("text", F.length(lead) + 1)
-    parts = F.when(F.coalesce("cut_pending", F.lit(False)), F.concat(F.array(lead), pieces(after))).otherwise(
-        pieces(F.col("text"))
+    # With a pending cut the leading closing characters belong to the sentence before, and the cut is behind them.
+    whole, behind = pieces(F.col("text")), pieces(F.substr("text", F.length(lead) + 1))
+    only_closing = F.col("text") == lead
+    facts = materialise(
+        texts.select(
+            "session_id",
+            "seq",
+            F.when(~only_closing, F.col("text").rlike(f"[{marks}][{closing}]*\\z")).alias("pending"),
+            F.greatest(F.size(whole) - 1, F.lit(0)).cast("long").alias("cuts"),
+            F.size(behind).cast("long").alias("cuts_pending"),
+        )
+    )
+    facts = materialise(carry_forward(facts, ["session_id"], "seq", ["pending"], include_self=False))
+    cuts = F.when(F.coalesce("pending", F.lit(False)), F.col("cuts_pending")).otherwise(F.col("cuts"))
+    facts = running_sum(facts, ["session_id"], "seq", cuts, "first_no")
+
+    placed = join_on(texts, facts.select("session_id", "seq", "pending", "first_no"), ["session_id", "seq"])
+    parts = F.when(F.coalesce("pending", F.lit(False)), F.concat(F.array(lead), behind)).otherwise(whole)
+    unsure = F.col("done_seq").isNull() & (F.col("seq") == F.col("last_text_seq"))
+    rows = placed.select("session_id", "seq", "first_no", unsure.alias("unsure"), parts.alias("parts")).select(
+        "session_id", "seq", "first_no", "unsure", F.size("parts").alias("n"), F.posexplode("parts").alias("k", "part")
     )
-    texts = texts.select("session_id", "seq", parts.alias("parts"))
-    cuts = F.greatest(F.size("parts") - 1, F.lit(0)).cast("long")
-    # A pending cut is counted by the message that starts behind it, through its leading part.
-    texts = running_sum(texts, ["session_id"], "seq", cuts, "first_no")
-    rows = texts.select("session_id", "seq", "first_no", F.posexplode("parts").alias("k", "part"))
-    rows = rows.withColumn("raw_no", F.col("first_no") + F.col("k"))
     ordered = F.sort_array(F.collect_list(F.struct("seq", "k", "part")))
-    whole = rows.groupBy("session_id", "raw_no").agg(
-        X.strip(F.array_join(F.transform(ordered, lambda p: p["part"]), "")).alias("sentence_text")
+    sentences = rows.groupBy("session_id", (F.col("first_no") + F.col("k")).alias("sentence_index")).agg(
+        X.strip(F.array_join(F.transform(ordered, lambda p: p["part"]), "")).alias("sentence_text"),
+        F.max(F.col("unsure") & (F.col("k") == F.col("n") - 1)).alias("unsure"),
     )
-    ends = opened.groupBy("session_id").agg(F.max(F.col("done_seq").isNotNull()).alias("is_done"))
-    last = rows.groupBy("session_id").agg(F.max("raw_no").alias("last_no")).join(ends, "session_id")
-    sure = lookup_join(whole, last, "session_id").where(F.col("is_done") | (F.col("raw_no") < F.col("last_no")))
-    numbered = number_rows(
-        sure.where(F.col("sentence_text") != "").select("session_id", "raw_no", "sentence_text"),
-        ["session_id"],
-        "raw_no",
-        "sentence_index",
+    sure = sentences.where(~F.col("unsure") & (F.col("sentence_text") != "")).drop("unsure")
+    if not any(m.isspace() for m in X.marks_of(granularity)):
+        # Every sentence but the last holds a mark, so none in between was empty and the numbers have no gaps.
+        return sure
+    # A line break is a mark that is trimmed away, so empty pieces leave gaps.
+    sure = materialise(sure.withColumnRenamed("sentence_index", "raw_no"))
+    return number_rows(sure, ["session_id"], "raw_no", "sentence_index").select(
+        "session_id", "sentence_index", "sentence_text"
     )
-    return numbered.select("session_id", "sentence_index", "sentence_text")
 
 
 def sentence_requests(messages: DataFrame, granularity: str = "sentence") -> DataFrame:

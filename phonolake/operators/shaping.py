@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from phonolake.functions import tokens as T
 from phonolake.functions.codes import idiv
-from phonolake.operators.ordered import index_rows, number_rows, running_sum, with_row_index
+from phonolake.operators.ordered import index_rows, join_on, number_rows, running_sum, with_row_index
 
 
 def assign_groups(df: DataFrame, size: int, out: str, index: str = "row_idx") -> DataFrame:
@@ -15,8 +15,8 @@ def assign_groups(df: DataFrame, size: int, out: str, index: str = "row_idx") ->
     return df.withColumn(out, idiv(F.col(index), size))
 
 
-def batches(df: DataFrame, order: list, batch_size: int) -> DataFrame:
-    return assign_groups(with_row_index(df, order), batch_size, "batch_id")
+def batches(df: DataFrame, order: list, batch_size: int, key: list[str] | None = None) -> DataFrame:
+    return assign_groups(with_row_index(df, order, key=key), batch_size, "batch_id")
 
 
 def _phase(d1, d2, index, from1, from2, start, cycles, r1, r2, block):
@@ -34,22 +34,36 @@ def _phase(d1, d2, index, from1, from2, start, cycles, r1, r2, block):
     return parts
 
 
-def mix_by_ratio(d1: DataFrame, d2: DataFrame, order1: list, order2: list, ratio: int, block: int) -> DataFrame:
+def mix_by_ratio(
+    d1: DataFrame,
+    d2: DataFrame,
+    order1: list,
+    order2: list,
+    ratio: int,
+    block: int,
+    key: list[str] | None = None,
+) -> DataFrame:
     """Cycles of ``ratio * block`` rows of the first set and ``block`` of the second; whole cycles only."""
     if ratio <= 0:
         raise ValueError("ratio must be above 0; with 0 the second set is used alone")
-    return mix_by_schedule(d1, d2, order1, order2, [(ratio, 1, None)], block)
+    return mix_by_schedule(d1, d2, order1, order2, [(ratio, 1, None)], block, key)
 
 
 def mix_by_schedule(
-    d1: DataFrame, d2: DataFrame, order1: list, order2: list, schedule: list[tuple], block: int
+    d1: DataFrame,
+    d2: DataFrame,
+    order1: list,
+    order2: list,
+    schedule: list[tuple],
+    block: int,
+    key: list[str] | None = None,
 ) -> DataFrame:
     """Mix in phases (parts of set 1, parts of set 2, cycles); ``None`` cycles run as long as both sets last.
 
     The place ``mix_pos`` of a row follows from its index, so nothing but the indexing shuffles; sort by it to
-    write the set in order.
+    write the set in order. ``key`` names columns that identify a row in both sets, see ``index_rows``.
     """
-    (i1, n1), (i2, n2) = index_rows(d1, order1, "_k"), index_rows(d2, order2, "_k")
+    (i1, n1), (i2, n2) = index_rows(d1, order1, "_k", key), index_rows(d2, order2, "_k", key)
     used1 = used2 = start = 0
     parts = []
     for r1, r2, wanted in schedule:
@@ -66,37 +80,71 @@ def mix_by_schedule(
     return mixed.drop("_k")
 
 
-def pad_batches(df: DataFrame, mode: str = "pretrain", pad: int = T.PAD, batch: str = "batch_id") -> DataFrame:
-    """Pad ``input_ids``, ``attention_mask`` and ``labels`` to the longest row of the batch.
+def _batch_facts(df: DataFrame, batch: str) -> DataFrame:
+    """Longest row of the batch, and whether all its rows have a mask and labels."""
+    # A batch has a fixed number of rows, so this window has no hot partition.
+    of_batch = Window.partitionBy(batch)
+    return df.withColumns(
+        {
+            "padded_len": F.max("_len").over(of_batch),
+            "_all_mask": F.min("_has_mask").over(of_batch),
+            "_all_labels": F.min("_has_labels").over(of_batch),
+        }
+    ).drop("_len", "_has_mask", "_has_labels")
 
-    ``pretrain`` uses given labels if every row of the batch has them, else the ids; ``finetune`` always the ids;
-    ``labelled`` always the given labels and mask. A mask is used if every row has one, else it is all ones.
-    """
+
+def _row_facts(df: DataFrame) -> dict:
+    return {
+        "_len": F.size("input_ids"),
+        "_has_mask": F.col("attention_mask").isNotNull() if "attention_mask" in df.columns else F.lit(False),
+        "_has_labels": F.col("labels").isNotNull() if "labels" in df.columns else F.lit(False),
+    }
+
+
+def _fill(df: DataFrame, mode: str, pad: int) -> DataFrame:
     if mode not in ("pretrain", "finetune", "labelled"):
         raise ValueError(f"unknown mode {mode}")
-    # A batch has a fixed number of rows, so this window has no hot partition.
-    of_batch = Window.partitionBy(batch)
     size = F.size("input_ids")
-    ones = F.array_repeat(F.lit(1), size)
-    given = {}
-    for col, fallback in (("attention_mask", ones), ("labels", F.col("input_ids"))):
-        has = F.min(F.col(col).isNotNull()).over(of_batch) if col in df.columns else F.lit(False)
-        given[col] = F.when(has, F.col(col).cast("array<int>")).otherwise(fallback) if col in df.columns else fallback
-    mask, labels = given["attention_mask"], given["labels"]
-    if mode == "finetune":
-        labels = F.col("input_ids")
-    elif mode == "labelled":
-        mask, labels = F.col("attention_mask").cast("array<int>"), F.col("labels").cast("array<int>")
-    df = df.withColumns({"attention_mask": mask, "labels": labels, "padded_len": F.max(size).over(of_batch)})
+    mask, labels = F.array_repeat(F.lit(1), size), F.col("input_ids")
+    if "attention_mask" in df.columns:
+        given = F.col("attention_mask").cast("array<int>")
+        mask = given if mode == "labelled" else F.when(F.col("_all_mask"), given).otherwise(mask)
+    if "labels" in df.columns and mode != "finetune":
+        given = F.col("labels").cast("array<int>")
+        labels = given if mode == "labelled" else F.when(F.col("_all_labels"), given).otherwise(labels)
     fill = F.col("padded_len") - size
     return df.withColumns(
         {
+            "attention_mask": F.concat(mask, F.array_repeat(F.lit(0), fill)),
+            "labels": F.concat(labels, F.array_repeat(F.lit(T.IGNORE_LABEL), fill)),
             "input_ids": F.concat("input_ids", F.array_repeat(F.lit(pad), fill)),
-            "attention_mask": F.concat("attention_mask", F.array_repeat(F.lit(0), fill)),
-            "labels": F.concat("labels", F.array_repeat(F.lit(T.IGNORE_LABEL), fill)),
             "pad_count": fill,
         }
-    )
+    ).drop("_all_mask", "_all_labels")
+
+
+def pad_batches(df: DataFrame, mode: str = "pretrain", pad: int = T.PAD, batch: str = "batch_id") -> DataFrame:
+    """Pad ``input_ids``, ``attention_mask`` and ``labels`` to the longest row of the batch.
+
+    ``pretrain`` uses given labels if every row of the batch has them, else the ids; ``finetune`` always the ids;
+    ``labelled`` always the given labels and mask. A mask is used if every row has one, else it is all ones.
+    """
+    return _fill(_batch_facts(df.withColumns(_row_facts(df)), batch), mode, pad)
+
+
+def padded_batches(
+    df: DataFrame, order: list, key: list[str], batch_size: int, mode: str = "pretrain", pad: int = T.PAD
+) -> DataFrame:
+    """Batch rows in ``order`` and pad them as :func:`pad_batches` does.
+
+    Index, batches and their longest rows are found on a narrow table; the token arrays move once, when that table
+    is joined back by ``key``.
+    """
+    facts = _row_facts(df)
+    narrow = df.withColumns(facts).select(*dict.fromkeys([*order, *key, *facts]))
+    placed = _batch_facts(batches(narrow, order, batch_size), "batch_id")
+    extra = [c for c in placed.columns if c in key or c not in df.columns]
+    return _fill(join_on(df, placed.select(*extra), key), mode, pad)
 
 
 def padding_waste(df: DataFrame, length: str, order: list, batch_size: int) -> DataFrame:
@@ -121,9 +169,15 @@ def padding_report(df: DataFrame, length: str, tie_break: str, batch_size: int)
 
 
 def pack_sequences(df: DataFrame, order: list, block_len: int = T.MAX_LEN_A, ids: str = "input_ids") -> DataFrame:
-    """Chain all sequences end to end and cut blocks of ``block_len``; only the last block may be short."""
-    indexed = with_row_index(df.where(F.size(ids) > 0).select(ids, *order), order).select("row_idx", ids)
-    placed = running_sum(indexed, [], "row_idx", F.size(ids).cast("long"), "start")
+    """Chain all sequences end to end and cut blocks of ``block_len``; only the last block may be short.
+
+    ``order`` names columns that identify a row. Places are found on a table of lengths; the token arrays move once
+    to meet their place and once to their blocks.
+    """
+    used = df.where(F.size(ids) > 0).select(*dict.fromkeys([*order, ids]))
+    narrow = with_row_index(used.select(*order, F.size(ids).cast("long").alias("_n")), order)
+    placed = running_sum(narrow, [], "row_idx", F.col("_n"), "start").select(*order, "start")
+    placed = join_on(used, placed, order)
     last = idiv(F.col("start") + F.size(ids) - 1, block_len)
     rows = placed.select("start", ids, F.explode(F.sequence(idiv(F.col("start"), block_len), last)).alias("block_id"))
     # Part of the sequence inside the block; a block holds at most block_len pieces.

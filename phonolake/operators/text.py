@@ -25,11 +25,10 @@ def phoneme_vocab(first_id: int = 0) -> dict[str, int]:
     return {token: first_id + i for i, token in enumerate(sorted(set(T.PHONEMES.values())))}
 
 
-def phoneme_ids(df: DataFrame, tokens: str = "phoneme_text", out: str = "phoneme_ids", first_id: int = 0) -> DataFrame:
-    """One id per phoneme token; the vocabulary is a constant of 41 entries."""
-    pairs = [F.lit(v) for item in phoneme_vocab(first_id).items() for v in item]
-    lookup = F.create_map(*pairs)
-    return df.withColumn(out, F.transform(X.phoneme_array(F.col(tokens)), lambda t: F.try_element_at(lookup, t)))
+def phoneme_ids(df: DataFrame, ipa: str = "ipa", out: str = "phoneme_ids", first_id: int = 0) -> DataFrame:
+    """One id per phoneme of an IPA text; the vocabulary is a constant of 41 entries."""
+    ids = phoneme_vocab(first_id)
+    return df.withColumn(out, X.ipa_lookup(F.col(ipa), {s: ids[token] for s, token in T.PHONEMES.items()}))
 
 
 def emotive_tags(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:

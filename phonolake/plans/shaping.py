@@ -49,7 +49,7 @@ MIX_SQL = {
 )
 def mix_by_ratio(spark, sf_dir):
     d1, d2 = mix_sets(spark, sf_dir)
-    return ops.mix_by_ratio(d1, d2, ["doc_id"], ["doc_id"], 2, 4)
+    return ops.mix_by_ratio(d1, d2, ["doc_id"], ["doc_id"], 2, 4, ["doc_id"])
 
 
 @query(
@@ -66,7 +66,7 @@ def mix_by_ratio(spark, sf_dir):
 )
 def mix_by_schedule(spark, sf_dir):
     d1, d2 = mix_sets(spark, sf_dir)
-    return ops.mix_by_schedule(d1, d2, ["doc_id"], ["doc_id"], [(2, 1, 10), (1, 1, None)], 4)
+    return ops.mix_by_schedule(d1, d2, ["doc_id"], ["doc_id"], [(2, 1, 10), (1, 1, None)], 4, ["doc_id"])
 
 
 BATCH_SQL = {
@@ -94,7 +94,7 @@ def _pad(mode: str, labels: str):
     @query(f"pad_batches_{mode}", _pad_sql(labels))
     def run(spark, sf_dir):
         rows = I.sequences(spark, sf_dir).withColumn("length", F.size("input_ids"))
-        rows = ops.pad_batches(ops.batches(rows, ["length", "utt_id"], 12), mode)
+        rows = ops.padded_batches(rows, ["length", "utt_id"], ["utt_id"], 12, mode)
         return rows.select(
             "utt_id",
             "batch_id",
@@ -123,7 +123,7 @@ _pad("finetune", "input_ids")
 def pad_batches_labelled(spark, sf_dir):
     rows = I.sequences(spark, sf_dir).where(F.col("labels").isNotNull())
     rows = rows.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
-    padded = ops.pad_batches(ops.batches(rows, ["utt_id"], 12), "labelled")
+    padded = ops.pad_batches(ops.batches(rows, ["utt_id"], 12, ["utt_id"]), "labelled")
     learned = F.size(F.filter("labels", lambda x: x != -100))
     return padded.groupBy("batch_id").agg(
         F.max("padded_len").alias("padded_len"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
+from phonolake.operators import corpus
 from phonolake.operators import text as ops
 from phonolake.operators.vocab import vocab_encode
 from phonolake.plans import inputs as I
@@ -76,8 +77,7 @@ def ipa_to_tokens(spark, sf_dir):
 )
 def phoneme_ids(spark, sf_dir):
     docs = I.table(spark, sf_dir, "documents", spread=True)
-    rows = ops.phonemes(docs.select("doc_id", F.col("text").alias("ipa")))
-    rows = ops.phoneme_ids(rows, first_id=10)
+    rows = ops.phoneme_ids(docs.select("doc_id", F.col("text").alias("ipa")), first_id=10)
     return rows.select("doc_id", C.digest(F.col("phoneme_ids")).alias("ids_md5"))
 
 
@@ -87,9 +87,8 @@ def phoneme_ids(spark, sf_dir):
 )
 def distinct_phonemes(spark, sf_dir):
     docs = I.table(spark, sf_dir, "documents", spread=True)
-    rows = ops.phonemes(docs.select(F.col("text").alias("ipa")))
-    used = rows.select(F.explode(F.array_distinct(X.phoneme_array(F.col("phoneme_text")))).alias("token"))
-    return used.distinct().orderBy("token")
+    found = F.array_distinct(X.ipa_lookup(F.col("text"), T.PHONEMES))
+    return corpus.distinct_sorted(docs.select(F.explode(found).alias("token")), "token")
 
 
 @query(

@@ -39,13 +39,14 @@ class OrderedProcessor(StatefulProcessor):
         for batch in rows:
             # Arrow batches are bounded, so this sorts a bounded number of rows.
             ordered = batch.sort_values("seq")
-            for seq, *row in ordered[["seq", *names]].itertuples(index=False, name=None):
+            for seq, *cells in ordered[["seq", *names]].itertuples(index=False, name=None):
                 if closed or seq < next_seq:
                     continue
+                row = [_plain(v, f.dataType) for v, f in zip(cells, self.row_fields, strict=True)]
                 if seq > next_seq:
-                    self.waiting.updateValue((int(seq),), tuple(_plain(v) for v in row))
+                    self.waiting.updateValue((int(seq),), tuple(row))
                     continue
-                closed = self.fold(key, int(seq), [_plain(v) for v in row], state, out)
+                closed = self.fold(key, int(seq), row, state, out)
                 next_seq += 1
                 while not closed and self.waiting.containsKey((next_seq,)):
                     held = list(self.waiting.getValue((next_seq,)))
@@ -95,8 +96,13 @@ class OrderedProcessor(StatefulProcessor):
         """Called once when a key times out."""
 
 
-def _plain(value):
-    """Python value of a pandas cell; missing becomes None."""
+PYTHON_TYPES = {Ty.LongType: int, Ty.IntegerType: int, Ty.DoubleType: float, Ty.BooleanType: bool}
+
+
+def _plain(value, kind: Ty.DataType):
+    """Python value of a pandas cell. A whole-number column with missing values arrives as floats, which state of a
+    whole-number type would lose."""
     if value is None or value is pd.NA or (isinstance(value, float) and value != value):
         return None
-    return value.item() if hasattr(value, "item") else value
+    convert = PYTHON_TYPES.get(type(kind))
+    return convert(value) if convert else value
