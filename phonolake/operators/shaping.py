@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from phonolake.functions import tokens as T
 from phonolake.functions.codes import idiv
 from phonolake.operators.ordered import index_rows, join_on, number_rows, running_sum, with_row_index
+from phonolake.session import materialise
 
 
 def assign_groups(df: DataFrame, size: int, out: str, index: str = "row_idx") -> DataFrame:
@@ -141,7 +142,7 @@ def padded_batches(
     is joined back by ``key``.
     """
     facts = _row_facts(df)
-    narrow = df.withColumns(facts).select(*dict.fromkeys([*order, *key, *facts]))
+    narrow = materialise(df.withColumns(facts).select(*dict.fromkeys([*order, *key, *facts])))
     placed = _batch_facts(batches(narrow, order, batch_size), "batch_id")
     extra = [c for c in placed.columns if c in key or c not in df.columns]
     return _fill(join_on(df, placed.select(*extra), key), mode, pad)
@@ -175,7 +176,7 @@ def pack_sequences(df: DataFrame, order: list, block_len: int = T.MAX_LEN_A, ids
     to meet their place and once to their blocks.
     """
     used = df.where(F.size(ids) > 0).select(*dict.fromkeys([*order, ids]))
-    narrow = with_row_index(used.select(*order, F.size(ids).cast("long").alias("_n")), order)
+    narrow = with_row_index(materialise(used.select(*order, F.size(ids).cast("long").alias("_n"))), order)
     placed = running_sum(narrow, [], "row_idx", F.col("_n"), "start").select(*order, "start")
     placed = join_on(used, placed, order)
     last = idiv(F.col("start") + F.size(ids) - 1, block_len)

@@ -41,8 +41,7 @@ FAULTY_SQL = {
 
 
 def faulty(spark, sf_dir):
-    lang = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("utt_id"), "lang")
-    rows = I.codes(spark, sf_dir).join(lang, "utt_id")
+    rows = I.codes(spark, sf_dir, "lang")
     short1, short2 = F.slice("l1", 1, F.size("l1") - 1), F.slice("l2", 1, F.size("l2") - 1)
     return rows.select(
         "utt_id",

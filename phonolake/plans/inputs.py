@@ -69,6 +69,7 @@ def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", spread=True).select(
         F.col("doc_id").alias("utt_id"),
         "text",
+        "lang",
         F.nullif("source", F.lit("src7")).alias("speaker"),
         (F.col("n_chars") * SAMPLES_PER_CHAR).alias("n_samples"),
         F.lit(T.SAMPLE_RATE).alias("sample_rate"),
@@ -85,8 +86,8 @@ def add_codes(df: DataFrame) -> DataFrame:
     return df.withColumns({"l0": l0, "l1": l1, "l2": l2})
 
 
-def codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_codes(source_rows(spark, sf_dir).select("utt_id", "n_samples"))
+def codes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return add_codes(source_rows(spark, sf_dir).select("utt_id", "n_samples", *more))
 
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
+from phonolake.functions.sql import register
 from phonolake.operators import corpus
 from phonolake.operators import text as ops
 from phonolake.operators.vocab import vocab_encode
@@ -193,3 +194,18 @@ def vocab_encode_documents(spark, sf_dir):
     rows = docs.select("doc_id", X.words(F.col("text")).alias("words")).where(F.size("words") > 0)
     ids = vocab_encode(rows, I.vocab(spark, sf_dir), "doc_id", "words", unknown=-1)
     return ids.select("doc_id", C.digest(F.col("ids")).alias("ids_md5"), F.size("ids").cast("long").alias("n"))
+
+
+@query(
+    "sql_functions",
+    f"""SELECT doc_id, len({sentences_sql("text", "sentence")})::INTEGER AS n_sentences,
+          len({sentences_sql("text", "clause")})::INTEGER AS n_clauses,
+          md5(source || ': ' || text) AS prompt_md5 FROM documents""",
+)
+def sql_functions(spark, sf_dir):
+    register(spark)
+    I.table(spark, sf_dir, "documents", spread=True).createOrReplaceTempView("phonolake_documents")
+    return spark.sql(
+        """SELECT doc_id, size(text_sentences(text)) AS n_sentences, size(text_clauses(text)) AS n_clauses,
+             md5(voice_prompt(source, text)) AS prompt_md5 FROM phonolake_documents"""
+    )

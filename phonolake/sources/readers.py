@@ -28,43 +28,48 @@ def read_table(spark: SparkSession, path: str, spread_by: list[str] | None = Non
     return df
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> list[str]:
-    """Sorted paths of the files in ``folder``; their content is not read."""
+def _files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame | None:
+    """Paths of the files in ``folder`` as a table; their content is not read. None without such a folder."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     except AnalysisException:
-        return []
-    return sorted(r["path"] for r in files.select("path").collect())
+        return None
+    return files.select("path")
 
 
-def read_manifest(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
-    """Manifest CSV with header; ``limit`` keeps the first rows in file order, 0 all."""
+# Place of a row in its input: file, split of the file, and row inside the split.
+_PLACE = "struct(_metadata.file_path, _metadata.file_block_start, monotonically_increasing_id())"
+
+
+def read_manifest(spark: SparkSession, path: str, limit: int = 0, multi_line: bool = True) -> DataFrame:
+    """Manifest CSV with header; ``limit`` keeps the first rows in file order, 0 all.
+
+    ``multi_line`` allows line breaks inside fields, for which Spark reads each file in one task.
+    """
     header = spark.read.option("header", True).csv(path).columns
     schema = Ty.StructType([Ty.StructField(c, Ty.StringType()) for c in header])
-    rows = spark.read.option("header", True).option("multiLine", True).option("escape", '"').schema(schema).csv(path)
-    require_columns(rows, MANIFEST_COLUMNS)
-    rows = rows.withColumns(
-        {"frames": F.col("frames").cast("double").cast("int"), "duration_sec": F.col("duration_sec").cast("double")}
-    )
+    options = {"header": True, "multiLine": multi_line, "escape": '"'}
+    rows = require_columns(spark.read.options(**options).schema(schema).csv(path), MANIFEST_COLUMNS)
+    numbers = {"frames": F.col("frames").cast("double").cast("int"), "duration_sec": F.col("duration_sec").cast("double")}
     if not limit:
-        return rows
-    # A file that may hold line breaks inside fields is one split, so the id follows the lines of the file.
-    return rows.withColumn("_line", F.monotonically_increasing_id()).orderBy("_line").limit(limit).drop("_line")
+        return rows.withColumns(numbers)
+    first = rows.withColumn("_place", F.expr(_PLACE)).orderBy("_place").limit(limit).drop("_place")
+    return first.withColumns(numbers)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Pipe-separated file names and texts with the first text per file name."""
-    rows = spark.read.option("header", True).option("sep", "|").schema("filename string, text string").csv(path)
-    return first_per_key(rows.withColumn("ord", F.monotonically_increasing_id()), "filename", "ord").drop("ord")
+    rows = spark.read.options(header=True, sep="|", escape='"').schema("filename string, text string").csv(path)
+    return first_per_key(rows.withColumn("ord", F.expr(_PLACE)), "filename", "ord").drop("ord")
 
 
 def read_audio_shards(spark: SparkSession, folder: str, limit: int = 0) -> DataFrame:
-    """The four used columns of the raw shards; ``limit`` counts shards in name order."""
-    files = list_files(spark, folder)
-    if not files:
+    """The four used columns of the raw shards; ``limit`` counts shards in name order, 0 means all."""
+    files = _files(spark, folder)
+    if files is None or files.isEmpty():
         raise ValueError(f"no parquet shards in {folder}")
-    df = spark.read.parquet(*(files[:limit] if limit else files))
-    return require_columns(df, AUDIO_COLUMNS).select(*AUDIO_COLUMNS)
+    first = [r["path"] for r in files.orderBy("path").limit(limit).collect()] if limit else [folder]
+    return require_columns(spark.read.parquet(*first), AUDIO_COLUMNS).select(*AUDIO_COLUMNS)
 
 
 def read_split(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
@@ -74,22 +79,38 @@ def read_split(spark: SparkSession, path: str, split: str = "train") -> DataFram
 
 
 def read_training_set(spark: SparkSession, folder: str, check: bool = True) -> DataFrame:
-    """Shards below ``folder/parquet`` if there are any, else ``folder`` itself.
+    """Shards below ``folder/parquet`` if there is such a folder, else ``folder`` itself.
 
     With ``check`` a ``parquet`` folder without shards is an error.
     """
     shards = f"{folder.rstrip('/')}/parquet"
-    files = list_files(spark, shards)
-    if files:
-        return spark.read.parquet(*files)
-    if check and _exists(spark, shards):
-        raise ValueError(f"no parquet shards found in {shards}")
-    return spark.read.parquet(folder)
-
-
-def _exists(spark: SparkSession, folder: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(folder)
-    except AnalysisException:
-        return False
-    return True
+    files = _files(spark, shards)
+    if files is None:
+        return spark.read.parquet(folder)
+    if files.isEmpty():
+        if check:
+            raise ValueError(f"no parquet shards found in {shards}")
+        return spark.read.parquet(folder)
+    return spark.read.parquet(shards).drop("shard")
+
+
+TELEMETRY_SCHEMAS = {
+    "engine": "request_id string, voice string, prompt string, prompt_string_preview string, prompt_string_len long, "
+    "temperature double, top_p double, max_tokens long, stop_token_ids array<long>, repetition_penalty double, "
+    "started_at double, finished_at double, elapsed_s double, callback_count long, "
+    "stream_text_samples array<struct<len: long, tail: string>>, final_text_len long, custom_token_count long, "
+    "final_text_tail string",
+    "decoder": "request_id string, started_at double, finished_at double, elapsed_s double, events_seen long, "
+    "parsed_tokens long, invalid_events long, audio_chunks long, audio_bytes long, audio_chunk_sizes array<long>, "
+    "first_audio_token_index long",
+    "transport": "request_id string, prompt string, voice string, total_bytes long, total_chunks long, "
+    "elapsed_s double, source string, sentence_index long, sentence_text string",
+}
+
+
+def read_telemetry(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The three kinds of request documents, one file ``<request id>.<kind>.json`` each."""
+    return {
+        kind: spark.read.schema(schema).options(multiLine=True, pathGlobFilter=f"*.{kind}.json").json(folder)
+        for kind, schema in TELEMETRY_SCHEMAS.items()
+    }
