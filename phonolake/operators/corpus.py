@@ -174,15 +174,25 @@ def corpus_stats(df: DataFrame, length: str = "seq_len") -> DataFrame:
     )
 
 
-def speaker_stats(df: DataFrame) -> DataFrame:
-    """Kept examples and hours per speaker, dropped rows, and a total row with a null speaker."""
+def speaker_stats(df: DataFrame, length: str | None = None) -> DataFrame:
+    """Kept examples and hours per speaker, dropped rows, and a total row with a null speaker.
+
+    ``length`` names a column whose maximum and mean over the kept rows are added, 0 without any.
+    """
     keep = F.col("drop_reason").isNull()
-    return df.rollup("speaker").agg(
+    out = [
         F.grouping("speaker").cast("int").alias("is_total"),
         F.count_if(keep).alias("examples"),
         F.count_if(~keep).alias("dropped"),
         (F.coalesce(F.sum(F.when(keep, F.col("duration_s"))), F.lit(0.0)) / 3600).alias("hours"),
-    )
+    ]
+    if length:
+        of_kept = F.when(keep, F.col(length))
+        out += [
+            F.coalesce(F.max(of_kept), F.lit(0)).alias("max_sequence_length"),
+            F.coalesce(F.avg(of_kept), F.lit(0.0)).alias("avg_sequence_length"),
+        ]
+    return df.rollup("speaker").agg(*out)
 
 
 def distinct_sorted(df: DataFrame, col: str, limit: int | None = None) -> DataFrame:

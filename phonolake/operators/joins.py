@@ -40,11 +40,10 @@ def lookup_join(
 
 
 def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
 
-
-def checked_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint only for a table of a checked size."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    A plain count combines in every task; counting behind a limit would first move up to ``max_rows`` rows of every
+    partition into one.
+    """
+    return df.count() <= max_rows
 

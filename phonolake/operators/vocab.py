@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phonolake.functions import tokens as T
 from phonolake.operators.joins import fits_broadcast, lookup_join
 from phonolake.operators.ordered import index_rows, with_row_index
 from phonolake.session import materialise
@@ -78,14 +79,18 @@ def extend_vocab(vocab: DataFrame, new_tokens: DataFrame, order: str = "ord") ->
     wanted = new_tokens.groupBy("token").agg(F.min(order).alias("ord"))
     known = wanted.join(vocab, "token").select("token", "id", F.lit("skipped").alias("status"))
     fresh, _ = index_rows(wanted.join(vocab, "token", "left_anti"), ["ord", "token"], "_k")
-    first_free = vocab.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("_base"))
-    added = fresh.crossJoin(F.broadcast(first_free)).select(
-        "token", (F.col("_base") + F.col("_k")).cast("int").alias("id"), F.lit("added").alias("status")
-    )
+    first_free = vocab.agg(F.coalesce(F.max("id"), F.lit(-1)) + 1).scalar()
+    added = fresh.select("token", (first_free + F.col("_k")).cast("int").alias("id"), F.lit("added").alias("status"))
     base = vocab.join(known.select("token"), "token", "left_anti").withColumn("status", F.lit("base"))
     return base.unionByName(known).unionByName(added)
 
 
+def custom_tokens(spark: SparkSession, count: int = T.CUSTOM_TOKEN_COUNT) -> DataFrame:
+    """The custom tokens that a base vocabulary is extended with, in order."""
+    name = F.concat(F.lit("<custom_token_"), F.col("id").cast("string"), F.lit(">"))
+    return spark.range(count).select(name.alias("token"), F.col("id").alias("ord"))
+
+
 def mean_embedding(members: DataFrame, table: DataFrame) -> DataFrame:
     """Mean vector per new token over its member ids; a token without member gets the mean of the whole table.
 
@@ -99,7 +104,7 @@ def mean_embedding(members: DataFrame, table: DataFrame) -> DataFrame:
     overall = dims.groupBy("dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
     vectors = own.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("v"))
     # One vector of the table's width.
-    fallback = overall.agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("whole"))
+    fallback = overall.agg(F.sort_array(F.collect_list(F.struct("dim", "x")))).scalar()
     tokens = members.select("token").distinct().join(vectors, "token", "left")
-    filled = tokens.crossJoin(F.broadcast(fallback)).withColumn("v", F.coalesce("v", "whole"))
+    filled = tokens.withColumn("v", F.coalesce(F.col("v"), fallback))
     return filled.select("token", F.transform("v", lambda p: p["x"]).alias("embedding"))

@@ -120,7 +120,7 @@ def duration_filter(spark, sf_dir):
     ),
 )
 def length_filter(spark, sf_dir):
-    rows = I.source_rows(spark, sf_dir)
+    rows = I.source_rows(spark, sf_dir, spread=True)
     rows = rows.withColumn("seq_len", ops.length_a(X.words(F.col("text")), F.col("n_samples")).cast("int"))
     return ops.tag_length(rows, F.col("seq_len"), T.MAX_LEN_A).select("utt_id", "seq_len", "drop_reason")
 
@@ -270,7 +270,7 @@ TAGGED_SQL = {
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source rows with the reason why they are dropped."""
-    rows = I.source_rows(spark, sf_dir)
+    rows = I.source_rows(spark, sf_dir, spread=True)
     rows = rows.withColumn("seq_len", ops.length_a(X.words(F.col("text")), F.col("n_samples")))
     return ops.tag_length(ops.tag_duration(ops.tag_clean(rows)), F.col("seq_len"), 1500)
 

@@ -64,9 +64,9 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(again)
 
 
-def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def source_rows(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """Documents as labelled source rows: text, speaker (null for one source), samples and rate."""
-    return table(spark, sf_dir, "documents", spread=True).select(
+    return table(spark, sf_dir, "documents", spread).select(
         F.col("doc_id").alias("utt_id"),
         "text",
         "lang",
@@ -87,7 +87,7 @@ def add_codes(df: DataFrame) -> DataFrame:
 
 
 def codes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    return add_codes(source_rows(spark, sf_dir).select("utt_id", "n_samples", *more))
+    return add_codes(source_rows(spark, sf_dir, spread=True).select("utt_id", "n_samples", *more))
 
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.functions import codes as C
 from phonolake.operators import corpus
 from phonolake.plans import corpus as PC
 from phonolake.plans import inputs as I
+from phonolake.plans import jobs
 from phonolake.plans.inputs import with_inputs
 from phonolake.plans.registry import query
 from phonolake.session import scratch_dir
@@ -34,22 +36,81 @@ def write_shards(spark, sf_dir):
     )
 
 
+@query(
+    "prepare_format_a_job",
+    with_inputs(
+        """SELECT filename, speaker, len(ids)::INTEGER AS seq_len, md5(array_to_string(ids, ',')) AS ids_md5,
+             (row_number() OVER (ORDER BY utt_id) - 1) // 512 AS shard
+           FROM (SELECT a.utt_id, a.filepath AS filename, a.speaker, list_concat(list_concat(list_concat([128259],
+                   coalesce(p.ids, [])), [128009, 128260, 128261, 128257]), list_concat(flatten(fr), [128258])) AS ids
+                 FROM attached a LEFT JOIN voice_ids p USING (utt_id) JOIN frames f USING (utt_id))
+           WHERE len(ids) <= 8192""",
+        **PC.PREPARED_SQL,
+        voice_ids="""
+            SELECT utt_id, list(v.id ORDER BY pos) AS ids FROM
+              (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM
+                (SELECT utt_id, regexp_extract_all(lower(CASE WHEN coalesce(speaker, '') <> ''
+                   THEN speaker || ': ' || text ELSE text END), '[a-zà-ÿ]+') AS words FROM attached))
+              JOIN vocab v USING (token) GROUP BY utt_id""",
+    ),
+)
+def prepare_format_a_job(spark, sf_dir):
+    """Shards of the whole corpus, read back with their shard numbers."""
+    path = scratch_dir(spark)
+    layers = I.codes(spark, sf_dir).drop("n_samples")
+    audio, meta, words = I.audio_rows(spark, sf_dir), I.metadata(spark, sf_dir), I.vocab(spark, sf_dir)
+    jobs.prepare_format_a(audio, meta, layers, words, path)
+    rows = spark.read.parquet(f"{path}/parquet")
+    return rows.select(
+        "filename",
+        "speaker",
+        "seq_len",
+        C.digest(F.col("input_ids")).alias("ids_md5"),
+        F.col("shard").cast("long").alias("shard"),
+    )
+
+
+FORMAT_B_SQL = {
+    "b_clean": f"""
+        SELECT utt_id, n_samples, n_samples / sample_rate AS duration_s, trim(text, {PC.WS_SQL}) AS text,
+          coalesce(trim(speaker, {PC.WS_SQL}), 'speaker') AS speaker FROM source_rows""",
+    "b_ids": """
+        SELECT utt_id, list(v.id ORDER BY pos) AS ids FROM
+          (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM
+            (SELECT utt_id, regexp_extract_all(lower(speaker || ': ' || text), '[a-zà-ÿ]+') AS words FROM b_clean))
+          JOIN vocab v USING (token) GROUP BY utt_id""",
+    "b_rows": """
+        SELECT c.*, coalesce(p.ids, []) AS ids, d.audio_ids, CASE WHEN text = '' THEN 'empty_text'
+          WHEN speaker = '' THEN 'empty_speaker' WHEN duration_s NOT BETWEEN 0.5 AND 20.0 THEN 'duration'
+          WHEN len(d.audio_ids) = 0 THEN 'no_audio_tokens'
+          WHEN len(coalesce(p.ids, [])) + len(d.audio_ids) + 7 > 4096 THEN 'over_length' END AS drop_reason
+        FROM b_clean c LEFT JOIN b_ids p USING (utt_id) JOIN deduped d USING (utt_id)""",
+}
+
+
+def run_format_b(spark, sf_dir) -> tuple[str, DataFrame]:
+    path = scratch_dir(spark)
+    layers = I.codes(spark, sf_dir).drop("n_samples")
+    stats = jobs.prepare_format_b(
+        I.source_rows(spark, sf_dir), layers, I.vocab(spark, sf_dir), path, template=I.TEMPLATE
+    )
+    return path, stats
+
+
 @query(
     "write_typed",
     with_inputs(
         """SELECT speaker AS speaker_id, md5(text) AS text_md5, len(audio_ids)::INTEGER AS audio_token_count,
-             len(input_ids)::INTEGER AS sequence_length, round(duration_s, 4) AS duration_s,
-             md5(array_to_string(input_ids, ',')) AS ids_md5
-           FROM prepared""",
-        **PC.PREPARED_SQL,
+             (len(ids) + len(audio_ids) + 7)::INTEGER AS sequence_length, round(duration_s, 4) AS duration_s,
+             md5(array_to_string(list_concat(list_concat(list_concat([128259], ids), [128009, 128260, 128261, 128257]),
+               list_concat(audio_ids, [128258, 128262])), ',')) AS ids_md5
+           FROM b_rows WHERE drop_reason IS NULL""",
+        **FORMAT_B_SQL,
     ),
 )
 def write_typed(spark, sf_dir):
     """Format-B sequences with their text, written with fixed types and read as a training set."""
-    texts = PC.cleaned_utterances(spark, sf_dir).select("utt_id", "text")
-    rows = PC.prepared(spark, sf_dir).join(texts, "utt_id").withColumnRenamed("speaker", "speaker_id")
-    path = scratch_dir(spark)
-    writers.write_typed(rows, f"{path}/parquet")
+    path, _ = run_format_b(spark, sf_dir)
     back = readers.read_training_set(spark, path)
     return back.select(
         "speaker_id",
@@ -61,21 +122,42 @@ def write_typed(spark, sf_dir):
     )
 
 
+@query(
+    "prepare_format_b_job",
+    with_inputs(
+        """SELECT speaker, grouping(speaker)::INTEGER AS is_total, count(*) FILTER (drop_reason IS NULL) AS examples,
+             count(*) FILTER (drop_reason IS NOT NULL) AS dropped,
+             round(coalesce(sum(duration_s) FILTER (drop_reason IS NULL), 0) / 3600, 6) AS hours,
+             coalesce(max(n) FILTER (drop_reason IS NULL), 0)::INTEGER AS max_sequence_length,
+             round(coalesce(avg(n) FILTER (drop_reason IS NULL), 0), 6) AS avg_sequence_length
+           FROM (SELECT *, len(ids) + len(audio_ids) + 7 AS n FROM b_rows) GROUP BY ROLLUP (speaker)""",
+        **FORMAT_B_SQL,
+    ),
+)
+def prepare_format_b_job(spark, sf_dir):
+    """Statistics of the format-B set."""
+    _, stats = run_format_b(spark, sf_dir)
+    return stats.withColumns(
+        {"hours": F.round("hours", 6), "avg_sequence_length": F.round("avg_sequence_length", 6)}
+    )
+
+
 @query(
     "write_stats",
     with_inputs(
-        """SELECT count(*) FILTER (drop_reason IS NULL) AS kept_examples,
-             count(*) FILTER (drop_reason IS NOT NULL) AS dropped_examples,
-             count(DISTINCT speaker) FILTER (drop_reason IS NULL) AS speakers FROM tagged""",
+        """SELECT speaker, grouping(speaker)::INTEGER AS is_total, count(*) FILTER (drop_reason IS NULL) AS examples,
+             count(*) FILTER (drop_reason IS NOT NULL) AS dropped,
+             round(coalesce(sum(duration_s) FILTER (drop_reason IS NULL), 0) / 3600, 6) AS hours
+           FROM tagged GROUP BY ROLLUP (speaker)""",
         **PC.TAGGED_SQL,
     ),
 )
 def write_stats(spark, sf_dir):
+    """Per-speaker statistics written as JSON lines and read back."""
     path = scratch_dir(spark)
-    writers.write_stats(writers.speaker_map(corpus.speaker_stats(PC.tagged(spark, sf_dir))), path)
-    schema = "kept_examples long, dropped_examples long, speakers map<string, struct<examples: long, hours: double>>"
-    rows = spark.read.schema(schema).json(path)
-    return rows.withColumn("speakers", F.cardinality("speakers").cast("long"))
+    writers.write_stats(corpus.speaker_stats(PC.tagged(spark, sf_dir)), path)
+    schema = "speaker string, is_total int, examples long, dropped long, hours double"
+    return spark.read.schema(schema).json(path).withColumn("hours", F.round("hours", 6))
 
 
 @query("manifest_roundtrip", "SELECT count(*) AS rows, sum(n_chars // 2)::BIGINT AS frames FROM documents")

@@ -30,12 +30,14 @@ def write_shards(
     order: list,
     rows_per_shard: int = T.ROWS_PER_SHARD,
     mode: str = "errorifexists",
+    key: list[str] | None = None,
 ) -> int:
     """Write ``path/parquet/shard=<n>`` with exactly ``rows_per_shard`` consecutive rows each, the last may be short.
 
-    Returns the number of shards. Rows of a shard meet in one task, which writes one zstd file in order.
+    Returns the number of shards. Rows of a shard meet in one task, which writes one zstd file in order. ``key``
+    names columns that identify a row, see ``index_rows``.
     """
-    indexed, total = index_rows(df, order, "_row")
+    indexed, total = index_rows(df, order, "_row", key)
     shards = assign_groups(indexed, rows_per_shard, "shard", "_row")
     placed = shards.repartition("shard").sortWithinPartitions("shard", "_row").drop("_row")
     placed.write.mode(mode).option("compression", "zstd").partitionBy("shard").parquet(f"{path}/parquet")
@@ -60,22 +62,8 @@ def write_typed(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Statistics as JSON; for a table of at most a few rows."""
-    stats.coalesce(1).write.mode(mode).json(path)
-
-
-def speaker_map(stats: DataFrame) -> DataFrame:
-    """Per-speaker statistics as one row with a total and a map by speaker."""
-    per_speaker = F.struct("examples", "hours")
-    return stats.agg(
-        F.sum(F.when(F.col("is_total") == 1, F.col("examples"))).alias("kept_examples"),
-        F.sum(F.when(F.col("is_total") == 1, F.col("dropped"))).alias("dropped_examples"),
-        F.map_from_entries(
-            F.sort_array(
-                F.collect_list(F.when((F.col("is_total") == 0) & (F.col("examples") > 0), F.struct("speaker", per_speaker)))
-            )
-        ).alias("speakers"),
-    )
+    """Statistics as JSON lines, one per row of the table."""
+    stats.write.mode(mode).json(path)
 
 
 def write_pointer(spark, path: str, num_shards: int, mode: str = "overwrite") -> None:

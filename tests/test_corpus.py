@@ -151,6 +151,13 @@ def test_build_and_extend_vocab(spark):
     }
 
 
+def test_custom_tokens(spark):
+    base = spark.createDataFrame([("x", 128255)], "token string, id int")
+    got = {r["token"]: r["id"] for r in V.extend_vocab(base, V.custom_tokens(spark)).collect()}
+    assert got["<custom_token_0>"] == T.BASE_VOCAB_SIZE and got["<custom_token_10>"] == T.AUDIO_BASE
+    assert got["<custom_token_1>"] == T.START_OF_SPEECH and len(got) == 1 + 28683
+
+
 def test_mean_embedding(spark):
     table = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 6.0]), (2, [5.0, 1.0])], "id long, embedding array<float>")
     members = spark.createDataFrame([("x", 0), ("x", 1), ("x", 1), ("y", None), ("z", 2)], "token string, id long")

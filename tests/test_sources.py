@@ -110,13 +110,11 @@ def test_stats_and_pointer(spark, tmp_path):
     df = spark.createDataFrame(
         [("a", 3600.0, None), ("b", 1.0, "duration")], "speaker string, duration_s double, drop_reason string"
     )
-    writers.write_stats(writers.speaker_map(ops.speaker_stats(df)), str(tmp_path / "stats"))
-    (line,) = [l for f in (tmp_path / "stats").glob("*.json") for l in f.read_text().splitlines()]
-    assert json.loads(line) == {
-        "kept_examples": 1, "dropped_examples": 1, "speakers": {"a": {"examples": 1, "hours": 1.0}},
-    }
+    writers.write_stats(ops.speaker_stats(df), str(tmp_path / "stats"))
+    lines = [json.loads(x) for f in (tmp_path / "stats").glob("*.json") for x in f.read_text().splitlines()]
+    assert {(x.get("speaker"), x["examples"], x["dropped"]) for x in lines} == {("a", 1, 0), ("b", 0, 1), (None, 1, 1)}
     writers.write_pointer(spark, str(tmp_path), 3)
-    (line,) = [l for f in (tmp_path / "pointer").glob("*.json") for l in f.read_text().splitlines()]
+    (line,) = [x for f in (tmp_path / "pointer").glob("*.json") for x in f.read_text().splitlines()]
     assert json.loads(line) == {"format": "parquet", "data_dir": f"{tmp_path}/parquet", "num_shards": 3}
 
 
