@@ -16,6 +16,7 @@ from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators.ordered import running_sums
 from phonolake.operators.vocab import build_vocab
+from phonolake.session import materialise
 from phonolake.sources.readers import read_table
 
 SAMPLES_PER_CHAR = 240
@@ -93,7 +94,7 @@ def codes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of the documents, numbered in word order."""
     docs = table(spark, sf_dir, "documents", spread=True)
-    return build_vocab(docs.select(F.explode(F.array_distinct(X.words(F.col("text")))).alias("token")))
+    return build_vocab(docs.select(F.explode(X.words(F.col("text"))).alias("token")))
 
 
 def token_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +160,8 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sequence per document, as long as its text; ids by formula. Labels only where the document is labelled."""
+    """Table of one sequence per document, as long as its text; ids by formula. Labels only where the document is
+    labelled."""
     docs = table(spark, sf_dir, "documents", spread=True)
     labelled = table(spark, sf_dir, "labels").select("doc_id", F.lit(True).alias("has_labels"))
     rows = docs.select("doc_id", "n_chars").join(labelled, "doc_id", "left")
@@ -170,7 +172,7 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = C.idiv(F.size("input_ids"), 2).cast("int")
     rest = F.slice("input_ids", half + 1, F.size("input_ids"))
     masked = F.concat(F.array_repeat(F.lit(T.IGNORE_LABEL), half), rest)
-    return rows.select("utt_id", "input_ids", F.when(F.col("has_labels"), masked).alias("labels"))
+    return materialise(rows.select("utt_id", "input_ids", F.when(F.col("has_labels"), masked).alias("labels")))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:

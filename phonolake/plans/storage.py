@@ -12,7 +12,7 @@ from phonolake.plans import inputs as I
 from phonolake.plans import jobs
 from phonolake.plans.inputs import with_inputs
 from phonolake.plans.registry import query
-from phonolake.session import scratch_dir
+from phonolake.session import materialise, scratch_dir
 from phonolake.sources import readers, writers
 
 
@@ -57,7 +57,7 @@ def write_shards(spark, sf_dir):
 def prepare_format_a_job(spark, sf_dir):
     """Shards of the whole corpus, read back with their shard numbers."""
     path = scratch_dir(spark)
-    layers = I.codes(spark, sf_dir).drop("n_samples")
+    layers = materialise(I.codes(spark, sf_dir).drop("n_samples"))
     audio, meta, words = I.audio_rows(spark, sf_dir), I.metadata(spark, sf_dir), I.vocab(spark, sf_dir)
     jobs.prepare_format_a(audio, meta, layers, words, path)
     rows = spark.read.parquet(f"{path}/parquet")
@@ -90,7 +90,7 @@ FORMAT_B_SQL = {
 
 def run_format_b(spark, sf_dir) -> tuple[str, DataFrame]:
     path = scratch_dir(spark)
-    layers = I.codes(spark, sf_dir).drop("n_samples")
+    layers = materialise(I.codes(spark, sf_dir).drop("n_samples"))
     stats = jobs.prepare_format_b(
         I.source_rows(spark, sf_dir), layers, I.vocab(spark, sf_dir), path, template=I.TEMPLATE
     )

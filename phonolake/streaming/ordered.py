@@ -11,12 +11,16 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from phonolake.functions.schema import struct
 
 
+WAIT_BLOCK = 256
+
+
 class OrderedProcessor(StatefulProcessor):
     """Base of processors that fold the rows of a key in order of ``seq`` (from 0, without gaps).
 
-    Rows that come too early wait in keyed state until the gap closes; repeated rows are ignored. A subclass names its
-    state and row fields and folds one row at a time. With ``timeout_ms`` a key without new rows for that long is
-    closed through :meth:`on_timeout`.
+    Rows that come too early wait in keyed state until the gap closes; repeated rows are ignored. Waiting rows are
+    kept in blocks of 256 numbers, so a block costs one state access, and only the block that is next is held in
+    memory. A subclass names its state and row fields and folds one row at a time. With ``timeout_ms`` a key without
+    new rows for that long is closed through :meth:`on_timeout`.
     """
 
     state_schema: Ty.StructType
@@ -30,34 +34,32 @@ class OrderedProcessor(StatefulProcessor):
         self.handle = handle
         progress = struct(next_seq="long", closed="boolean").fields
         self.state = handle.getValueState("state", Ty.StructType(progress + self.state_schema.fields))
-        self.waiting = handle.getMapState("waiting", struct(seq="long"), Ty.StructType(self.row_fields))
+        row = Ty.StructType(struct(seq="long").fields + list(self.row_fields))
+        rows = Ty.StructType([Ty.StructField("rows", Ty.ArrayType(row))])
+        self.waiting = handle.getMapState("waiting", struct(block="long"), rows)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        next_seq, closed, *state = self.state.get() if self.state.exists() else (0, False, *self.start())
-        state, out = list(state), []
-        names = [f.name for f in self.row_fields]
+        next_seq, closed, *state = self.state.get() or (0, False, *self.start())
+        state = list(state)
+        self.block, self.held = None, {}
         for batch in rows:
-            # Arrow batches are bounded, so this sorts a bounded number of rows.
-            ordered = batch.sort_values("seq")
-            for seq, *cells in ordered[["seq", *names]].itertuples(index=False, name=None):
-                if closed or seq < next_seq:
-                    continue
-                row = [_plain(v, f.dataType) for v, f in zip(cells, self.row_fields, strict=True)]
-                if seq > next_seq:
-                    self.waiting.updateValue((int(seq),), tuple(row))
-                    continue
-                closed = self.fold(key, int(seq), row, state, out)
+            # An Arrow batch is bounded, so the rows in memory are.
+            arrived = {} if closed else self._rows(batch, next_seq)
+            out: list[tuple] = []
+            while not closed:
+                row = arrived.pop(next_seq, None) or self._held(next_seq)
+                if row is None:
+                    break
+                closed = self.fold(key, next_seq, row, state, out)
                 next_seq += 1
-                while not closed and self.waiting.containsKey((next_seq,)):
-                    held = list(self.waiting.getValue((next_seq,)))
-                    self.waiting.removeKey((next_seq,))
-                    closed = self.fold(key, next_seq, held, state, out)
-                    next_seq += 1
+            if not closed:
+                self._hold({s: r for s, r in arrived.items() if s > next_seq})
             if out:
                 yield self.frame(out)
-                out = []
         if closed:
             self.waiting.clear()
+        elif self.block is not None:
+            self._drop_passed(next_seq)
         self.state.update((next_seq, closed, *state))
         if self.timeout_ms is not None:
             for timer in list(self.handle.listTimers()):
@@ -65,10 +67,44 @@ class OrderedProcessor(StatefulProcessor):
             if not closed:
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
 
+    def _rows(self, batch: pd.DataFrame, next_seq: int) -> dict[int, list]:
+        names = ["seq", *[f.name for f in self.row_fields]]
+        found = {}
+        for seq, *cells in batch[names].itertuples(index=False, name=None):
+            if seq >= next_seq:
+                found[int(seq)] = [_plain(v, f.dataType) for v, f in zip(cells, self.row_fields, strict=True)]
+        return found
+
+    def _held(self, seq: int) -> list | None:
+        """Waiting row ``seq``; loads its block when it is the next one."""
+        block = seq // WAIT_BLOCK
+        if block != self.block:
+            if self.block is not None:
+                self._drop_passed(seq)
+            self.block, self.held = block, self._load(block)
+        return self.held.get(seq)
+
+    def _load(self, block: int) -> dict[int, list]:
+        stored = self.waiting.getValue((block,)) if self.waiting.containsKey((block,)) else None
+        return {r[0]: list(r[1:]) for r in stored[0]} if stored else {}
+
+    def _hold(self, early: dict[int, list]) -> None:
+        blocks: dict[int, dict[int, list]] = {}
+        for seq, row in early.items():
+            blocks.setdefault(seq // WAIT_BLOCK, {})[seq] = row
+        for block, rows in blocks.items():
+            merged = {**(self.held if block == self.block else self._load(block)), **rows}
+            self.waiting.updateValue((block,), ([(s, *merged[s]) for s in sorted(merged)],))
+            if block == self.block:
+                self.held = merged
+
+    def _drop_passed(self, next_seq: int) -> None:
+        """Forget the loaded block once all its numbers are used."""
+        if self.held and next_seq >= (self.block + 1) * WAIT_BLOCK:
+            self.waiting.removeKey((self.block,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
-            return
-        next_seq, closed, *state = self.state.get()
+        next_seq, closed, *state = self.state.get() or (0, True)
         if closed:
             return
         out: list[tuple] = []
