@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 HOT_SHARE = 0.01
 HOT_SAMPLE = 0.001
@@ -39,11 +40,13 @@ def lookup_join(
     return big.where(~is_hot).join(unique, key, how).unionByName(spread)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows.
+def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> bool:
+    """Whether ``df`` is small enough to be held by every worker, by its rows and the bytes of its strings.
 
-    A plain count combines in every task; counting behind a limit would first move up to ``max_rows`` rows of every
-    partition into one.
+    A plain aggregate combines in every task; counting behind a limit would first move up to ``max_rows`` rows of
+    every partition into one.
     """
-    return df.count() <= max_rows
-
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType == StringType()]
+    size = sum(texts, F.lit(0)).cast("long")
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return found["rows"] <= max_rows and found["bytes"] <= max_bytes

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from phonolake.functions import tokens as T
 from phonolake.operators.joins import fits_broadcast, lookup_join
@@ -21,25 +25,53 @@ def build_vocab(tokens: DataFrame, col: str = "token") -> DataFrame:
 
 
 def _lookup(df: DataFrame, table: DataFrame, id_col: str, arr: str, out: str, unknown, keep: list[str]) -> DataFrame:
-    """Replace each entry of ``arr`` by its value in ``table`` (_entry, _value), order kept; gives (id, keep, out).
+    """Replace each entry of ``arr`` by its value in ``table`` (_entry, _value), order kept; gives (id, keep, out)."""
+    if fits_broadcast(table, MAX_BROADCAST_TOKENS):
+        return df.select(id_col, *keep, _lookup_udf(table, unknown)(arr).alias(out))
+    return _lookup_by_join(df, table, id_col, arr, out, unknown, keep)
 
-    With a table that may be broadcast the rows are first spread by id, so that entries are exploded, looked up and
-    collected again inside one task each and only the compact arrays are shuffled. A larger table is joined by
-    entry, where frequent entries are handled as hot keys. ``keep`` names small columns that go along.
+
+def _lookup_udf(table: DataFrame, unknown):
+    """Lookup of whole Arrow batches against a table of checked size that every Python worker holds once.
+
+    Nothing is shuffled and no row is taken apart. Spark's own map lookup searches a map from its start, and a
+    broadcast join needs one row per entry and an aggregation to put the arrays together again; both were slower.
     """
-    small = fits_broadcast(table, MAX_BROADCAST_TOKENS)
-    rows = df.select(id_col, *keep, arr)
-    entries = (rows.repartition(id_col) if small else rows).select(
-        id_col, *keep, F.posexplode_outer(arr).alias("_pos", "_entry")
-    )
-    found = (
-        entries.join(F.broadcast(table), "_entry", "left") if small else lookup_join(entries, table, "_entry", "left")
-    )
+    spark, kind = table.sparkSession, table.schema["_value"].dataType
+    local = table.toArrow()
+    shared = spark.sparkContext.broadcast((local["_entry"].combine_chunks(), local["_value"].combine_chunks()))
+
+    @F.arrow_udf(ArrayType(kind))
+    def lookup(rows: pa.Array) -> pa.Array:
+        entries, values = shared.value
+        flat, parents = rows.flatten(), pc.list_parent_indices(rows)
+        found = values.take(pc.index_in(flat, value_set=entries.cast(flat.type)))
+        if unknown is None:
+            known = found.is_valid()
+            found, parents = found.filter(known), parents.filter(known)
+        else:
+            found = found.fill_null(unknown)
+        sizes = np.bincount(parents.to_numpy(zero_copy_only=False), minlength=len(rows))
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), found)
+
+    return lookup
+
+
+def _lookup_by_join(
+    df: DataFrame, table: DataFrame, id_col: str, arr: str, out: str, unknown, keep: list[str]
+) -> DataFrame:
+    """Lookup in a table of any size: one row per entry, joined by entry with frequent entries as hot keys."""
+    entries = df.select(id_col, *keep, F.posexplode_outer(arr).alias("_pos", "_entry"))
+    found = lookup_join(entries, table, "_entry", "left")
     filled = F.col("_value") if unknown is None else F.coalesce("_value", F.lit(unknown))
     # An empty array has one outer row without position; entries without a value are left out.
     use = F.col("_pos").isNotNull() & filled.isNotNull()
     pairs = F.collect_list(F.when(use, F.struct("_pos", filled.alias("_value"))))
-    return found.groupBy(id_col, *keep).agg(F.transform(F.sort_array(pairs), lambda p: p["_value"]).alias(out))
+    return found.groupBy(id_col).agg(
+        *[F.any_value(c).alias(c) for c in keep],
+        F.transform(F.sort_array(pairs), lambda p: p["_value"]).alias(out),
+    )
 
 
 def vocab_encode(

@@ -92,3 +92,6 @@ def test_hot_keys_and_lookup_join(spark):
 
 def test_fits_broadcast(spark):
     assert joins.fits_broadcast(spark.range(5), 5) and not joins.fits_broadcast(spark.range(6), 5)
+    words = spark.createDataFrame([("ab",), ("é",), (None,)], "w string")
+    assert joins.fits_broadcast(words, 5, 4) and not joins.fits_broadcast(words, 5, 3)
+    assert joins.fits_broadcast(spark.range(0), 0)
