@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,13 +40,13 @@ def marks_of(granularity: str) -> str:
     return T.SENTENCE_MARKS if granularity == "sentence" else T.CLAUSE_MARKS
 
 
-def _char_class(chars: str) -> str:
+def char_class(chars: str) -> str:
     return "".join("\\" + c if c in "]\\^-[" else c for c in chars)
 
 
 def piece_pattern(granularity: str) -> str:
     """One piece: up to a mark with the closing characters behind it, or the rest without a mark."""
-    marks, closing = _char_class(marks_of(granularity)), _char_class(T.CLOSING_CHARS)
+    marks, closing = char_class(marks_of(granularity)), char_class(T.CLOSING_CHARS)
     return f"[^{marks}]*[{marks}][{closing}]*|[^{marks}]+"
 
 
@@ -104,7 +102,3 @@ def count_tokens(text: Column) -> Column:
 def first_filled(*cols: Column) -> Column:
     """First value that is neither null nor empty."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
-
-
-def quote_alternatives(items: list[str]) -> str:
-    return "|".join(re.escape(i) for i in items)

@@ -15,6 +15,7 @@ from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators.codes import in_range
+from phonolake.operators.ordered import join_on
 from phonolake.session import materialise
 
 EVENTS_PER_BLOCK = 512
@@ -83,9 +84,8 @@ def _ends(blocks: DataFrame, width: int, levels: int = 1) -> DataFrame:
 def _with_start(blocks: DataFrame, block: str, ends: DataFrame) -> DataFrame:
     """Start of a block is the end of the one before, 0 for the first."""
     before = ends.select("request_id", (F.col("block") + 1).alias(block), F.col("end").alias("start"))
-    return blocks.join(before, ["request_id", block], "left").withColumn(
-        "start", F.coalesce("start", F.lit(0).cast("long"))
-    )
+    placed = join_on(blocks, before, ["request_id", block], "left")
+    return placed.withColumn("start", F.coalesce("start", F.lit(0).cast("long")))
 
 
 def extract_codes(events: DataFrame, mode: str = "compat", width: int = EVENTS_PER_BLOCK) -> DataFrame:

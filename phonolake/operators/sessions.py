@@ -52,7 +52,7 @@ def open_messages(messages: DataFrame) -> DataFrame:
         F.min(F.when(F.col("type") == "input.done", F.col("seq"))).alias("done_seq"),
         F.max(F.when(has_text, F.col("seq"))).alias("last_text_seq"),
     )
-    marked = lookup_join(messages, facts, "session_id")
+    marked = lookup_join(messages, facts, "session_id", "left")
     return marked.where(F.col("done_seq").isNull() | (F.col("seq") <= F.col("done_seq")))
 
 
@@ -88,7 +88,7 @@ def session_sentences(messages: DataFrame, granularity: str = "sentence") -> Dat
     character starts a new sentence, and the number of cuts before it. Both come from a narrow table without text.
     Sentences whose end is not certain yet are given only for sessions that are done.
     """
-    marks, closing = X._char_class(X.marks_of(granularity)), X._char_class(T.CLOSING_CHARS)
+    marks, closing = X.char_class(X.marks_of(granularity)), X.char_class(T.CLOSING_CHARS)
     texts = open_messages(messages).where((F.col("type") == "input.text") & (F.col("text") != ""))
     lead = F.regexp_extract("text", f"\\A[{closing}]*", 0)
 

@@ -42,7 +42,7 @@ def ready_pieces(buffer: str, granularity: str) -> tuple[list[str], str]:
     A piece ends behind a mark and its closing characters once another character follows: until then more closing
     characters may come.
     """
-    marks, closing = X._char_class(X.marks_of(granularity)), X._char_class(T.CLOSING_CHARS)
+    marks, closing = X.char_class(X.marks_of(granularity)), X.char_class(T.CLOSING_CHARS)
     certain = re.compile(f"[^{marks}]*[{marks}][{closing}]*(?=[^{closing}])")
     pieces, at = [], 0
     while found := certain.match(buffer, at):
