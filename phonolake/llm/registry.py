@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-MODULES = ["sharding", "packing", "warc"]
+MODULES = ["sharding", "packing", "warc", "language", "quality"]
 
 
 def query(name: str, sql: str | None = None):
