@@ -14,7 +14,7 @@ import pyarrow as pa
 
 from phonolake.llm import words
 
-CACHED = 1_000_000
+CACHED = 400_000
 LETTER, DIGIT, MARK, ODD = 1, 2, 3, 4
 
 _kinds = np.full(256, ODD, np.uint8)

@@ -2,7 +2,7 @@
 
 A word is a run of bytes that are no separators; separators are single ASCII bytes, so no character is cut. A word's
 64-bit hash is a polynomial over random byte values, read from prefix sums; sequences of words are hashed the same way
-from the word hashes. Work goes in blocks of about a megabyte that end between words, so memory follows the batch, not
+from the word hashes. Work goes in blocks of half a megabyte that end between words, so memory follows the batch, not
 the corpus.
 """
 
@@ -13,8 +13,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
-SLICE = 4 << 20
+BLOCK = 1 << 19
+SLICE = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 NOT_ALNUM = bytes(b for b in range(128) if not (48 <= b <= 57 or 97 <= b <= 122))
@@ -75,7 +75,7 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches of at most about four megabytes of ``column``, one row at least."""
+    """Batches of at most about a megabyte of ``column``, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
