@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.llm import words
+from phonolake.llm.columns import pack, unpack
 from phonolake.llm.registry import query, table
 
 BUCKETS = 1 << 15
@@ -234,9 +235,8 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
         parts = [_predict(shared.value, part.column("text")) for part in words.slices([batch], "text")]
         return pa.concat_arrays(parts) if parts else pa.array([], _RESULT)
 
-    names = ("lang_pred", "score", "rejected")
-    result = docs.withColumn("_found", found.asNondeterministic()(F.col(text)))  # else a filter runs it again
-    return result.withColumns({n: F.col(f"_found.{n}") for n in names}).drop("_found")
+    result = pack(docs, _found=found.asNondeterministic()(F.col(text)))  # else a filter runs it again
+    return unpack(result, docs.columns, **{f.name: F.col("_found").getField(f.name) for f in _RESULT})
 
 
 @query("op5_subword_language")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.llm import words
+from phonolake.llm.columns import pack, unpack
 from phonolake.llm.registry import query, table
 from phonolake.session import materialise
 
@@ -81,8 +82,8 @@ def _text_statistics(column: pa.Array) -> pa.Array:
 
 def add_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     counted = F.arrow_udf(_text_statistics, ", ".join(f"{name} long" for name in STATISTICS))
-    result = docs.withColumn("_statistics", counted.asNondeterministic()(F.col(text)))
-    return result.withColumns({n: F.col(f"_statistics.{n}") for n in STATISTICS}).drop("_statistics")
+    result = pack(docs, _statistics=counted.asNondeterministic()(F.col(text)))
+    return unpack(result, docs.columns, **{n: F.col("_statistics").getField(n) for n in STATISTICS})
 
 
 def base_failed() -> Column:

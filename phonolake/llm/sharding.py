@@ -23,6 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phonolake.llm.columns import ALL, pack, unpack
 from phonolake.llm.registry import query, table
 from phonolake.session import materialise
 
@@ -86,16 +87,15 @@ def add_shards(df: DataFrame, keys: list[str], limit: int = LIMIT, size: Column
     texts = [F.octet_length(f.name) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
     if size is None:
         size = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in texts], F.lit(0))
-    kept = [c for c in df.columns if c not in ("row_bytes", "shard", "shard_depth")]
     own = {"_h": hash_bits(*[F.col(k) for k in keys]), "row_bytes": F.coalesce(size, F.lit(0)).cast("long")}
-    rows = df.withColumns(own | {"_group": F.lit("")}).select(*kept, "row_bytes", "_h", "_group")
+    rows = pack(df, **own, _group=F.lit(""))
     total = rows.agg(F.sum("row_bytes")).first()[0] or 0
     bits = min(BITS, max(0, math.ceil(math.log2(max(1, total) / limit))) + SPARE)
     parts, have = [], BITS
-    plain = [*kept, "row_bytes", "_h", "_group"]
+    plain = [ALL, "row_bytes", "_h", "_group"]
     while True:
         done, rest = _split(rows, have, limit, bits)
-        parts.append(done.select(*kept, "row_bytes", "shard"))
+        parts.append(done.select(ALL, "row_bytes", "shard"))
         rest = materialise(rest)
         if rest.isEmpty():
             break
@@ -110,7 +110,8 @@ def add_shards(df: DataFrame, keys: list[str], limit: int = LIMIT, size: Column
         rows = materialise(deeper.select(*plain).unionByName(copies.select(*plain)))
         have, bits = BITS, STEP
     out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("shard_depth", F.length(F.regexp_replace("shard", r"\+", "")))
+    depth = F.length(F.regexp_replace("shard", r"\+", ""))
+    return unpack(out, df.columns, row_bytes=F.col("row_bytes"), shard=F.col("shard"), shard_depth=depth)
 
 
 def directory(sharded: DataFrame) -> DataFrame:
