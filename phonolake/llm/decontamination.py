@@ -23,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.llm import filters, words
-from phonolake.llm.registry import query, table
+from phonolake.llm.columns import pack, unpack
+from phonolake.llm.registry import bound_batches, query, table
 from phonolake.session import materialise
 
 WINDOW = 10
@@ -184,6 +185,17 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def clean(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` without those that hold an item's window; all their columns stay."""
+    bound_batches(documents.sparkSession)
+    whole = F.coalesce(F.col(text), F.lit(""))
+    # Whether a text is hit depends on the text alone, so its hash stands for it.
+    docs, hits, _ = occurrences(documents.select(F.xxhash64(whole).alias("doc_id"), whole.alias("text")), benchmark)
+    hit = docs.join(hits.select("_row").distinct(), "_row", "left_semi")
+    hit = materialise(hit.select(F.col("doc_id").alias("_key")).distinct())
+    return unpack(filters.without(pack(documents, _key=F.xxhash64(whole)), hit, "_key"), documents.columns)
+
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP4_SQL = rf"""
 with d as (select doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),

@@ -7,7 +7,8 @@ behind it. It is reduced to 64-bit words by an aggregate before any of it reache
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 26
@@ -24,6 +25,26 @@ def build(hashes: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
     return out
 
 
+def may_hold(keys: DataFrame, key: str, column: Column, bits: int = BITS) -> Column:
+    """Whether ``column`` may be among the keys; never false for one that is."""
+    shared = keys.sparkSession.sparkContext.broadcast(build(keys, key, bits))
+
+    @F.arrow_udf("boolean")
+    def held(values: pa.Array) -> pa.Array:
+        return pa.array(contains(shared.value, values.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return held(column)
+
+
+def without(df: DataFrame, keys: DataFrame, *key: str) -> DataFrame:
+    """Rows of ``df`` whose key columns (64-bit hashes, no nulls) are not in ``keys``.
+
+    Rows that the filter on the first column rules out go on at once; only the others are shuffled to meet the keys.
+    """
+    held = may_hold(keys, key[0], F.col(key[0]))
+    return df.where(~held).unionByName(df.where(held).join(keys.select(*key), [*key], "left_anti"))
+
+
 def contains(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = 6 + int(len(table)).bit_length() - 1
     slot = hashes >> np.uint64(64 - bits)

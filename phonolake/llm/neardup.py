@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.llm import filters, words
+from phonolake.llm.columns import pack, unpack
 from phonolake.llm.registry import bound_batches, query, table
 from phonolake.session import materialise
 
@@ -143,8 +144,8 @@ def _sets_of(batches):
     for batch in words.slices(batches, "text"):
         sets = Sets(batch.column("text"))
         c1, c2 = sets.identity()
-        columns = [batch["doc_id"], pa.array(sets.sizes, pa.int64()), pa.array(c1), pa.array(c2)]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "c1", "c2"])
+        columns = [batch["doc_id"], batch["copy"], pa.array(sets.sizes, pa.int64()), pa.array(c1), pa.array(c2)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "copy", "n_shingles", "c1", "c2"])
 
 
 def _chosen(batch: pa.RecordBatch, wanted: np.ndarray) -> tuple[Sets, np.ndarray, np.ndarray]:
@@ -379,13 +380,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Per row of (doc_id, text): doc_id, n_shingles, c1, c2 (hashes of its set), component_id."""
+    """Per row of (doc_id, text): doc_id, copy (hash of its text), n_shingles, component_id."""
     spark = docs.sparkSession
     bound_batches(spark)
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string")
-    )
-    rows = materialise(texts.mapInArrow(_sets_of, "doc_id long, n_shingles long, c1 long, c2 long"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    texts = docs.select(doc_id.alias("doc_id"), F.xxhash64(text).alias("copy"), text.alias("text"))
+    rows = materialise(texts.mapInArrow(_sets_of, "doc_id long, copy long, n_shingles long, c1 long, c2 long"))
     filled = rows.where("n_shingles > 0")
     held = filled.groupBy("c1", "c2", "doc_id").agg(F.count("*").alias("times"))
     classes = materialise(held.groupBy("c1", "c2").agg(F.min("doc_id").alias("cls"), F.max("times").alias("times")))
@@ -407,8 +408,37 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     component = F.coalesce("component", "cls", "doc_id")
     return joined.select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"),
-        "n_shingles", "c1", "c2", F.nullif(component, F.lit(NO_ID)).alias("component_id"),
-    )
+        "copy",
+        "n_shingles",
+        F.nullif(component, F.lit(NO_ID)).alias("component_id"),
+    )
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``docs`` (doc_id, text and others) with one row of each component: that of its smallest id.
+
+    Of rows that repeat this id, the text of the smallest hash stays, and one of equal rows.
+    """
+    found = near_duplicates(docs.select("doc_id", "text"), percent)
+    found = materialise(found.withColumn("row", _row_hash("doc_id", "copy")))
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    held = found.groupBy("doc_id", "copy", "row").agg(F.max(stays.cast("int")).alias("stays"), F.count("*").alias("times"))
+    best = held.groupBy("doc_id").agg(F.min("copy").alias("best"))
+    best = best.select(F.col("doc_id").alias("_id"), "best")
+    held = materialise(held.join(best, F.col("doc_id").eqNullSafe(F.col("_id"))))
+    stays = (F.col("stays") == 1) & (F.col("copy") == F.col("best"))
+    copy = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    packed = pack(docs, row=_row_hash(F.col("doc_id").cast("long"), copy), copy=copy)
+    kept = filters.without(packed, held.where(~stays), "row", "copy")
+    repeated = held.where(stays & (F.col("times") > 1))
+    if not repeated.isEmpty():
+        again = kept.join(repeated.select("row", "copy"), ["row", "copy"], "left_semi").dropDuplicates(["row", "copy"])
+        kept = filters.without(kept, repeated, "row", "copy").unionByName(again.select(*kept.columns))
+    return unpack(kept, docs.columns)
+
+
+def _row_hash(doc_id, copy):
+    return F.xxhash64(doc_id, copy)
 
 
 @query("op6_bayes_minhash")

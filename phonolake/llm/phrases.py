@@ -241,18 +241,12 @@ def _cut(column: pa.Array, spans: pa.Array) -> pa.Array:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the words that stay, joined by one space, as text; adds n_words and n_removed."""
-    spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
     keyed = pack(docs, _id=number, _row=F.xxhash64(doc_id, whole), _copy=F.xxhash64(whole), _text=whole)
     spans = materialise(repeated_spans(keyed.select("_id", "_row", "_copy", "_text")))
-    shared = spark.sparkContext.broadcast(filters.build(spans, "_row"))
-
-    @F.arrow_udf("boolean")
-    def touched(rows: pa.Array) -> pa.Array:
-        keys = rows.to_numpy(zero_copy_only=False).view(np.uint64)
-        return pa.array(filters.contains(shared.value, keys))
+    touched = filters.may_hold(spans, "_row", F.col("_row"))
 
     def cut(column: pa.Array, listed: pa.Array) -> pa.Array:
         return _cut(column, listed)
@@ -260,8 +254,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cut = F.arrow_udf(cut, "text string, n_words long, n_removed long").asNondeterministic()
     none = F.lit(None).cast(spans.schema["_spans"].dataType)
     # Only texts that lose words meet their spans; the filter may send some others along.
-    plain = keyed.where(~touched("_row")).withColumn("_spans", none)
-    joined = keyed.where(touched("_row")).join(spans, ["_row", "_copy"], "left").select(*plain.columns)
+    plain = keyed.where(~touched).withColumn("_spans", none)
+    joined = keyed.where(touched).join(spans, ["_row", "_copy"], "left").select(*plain.columns)
     result = plain.unionByName(joined).withColumn("_cut", cut("_text", "_spans"))
     parts = {name: F.col("_cut").getField(name) for name in ("n_words", "n_removed")}
     return unpack(result, docs.columns, **{text: F.col("_cut").getField("text")}, **parts)
