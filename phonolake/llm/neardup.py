@@ -4,16 +4,20 @@ Documents with equal shingle sets form a class, told by 128 bits of the set; all
 Each class has ``BANDS`` bands of ``ROWS`` minimum hashes, and a sketch: its shingles fall into ``BINS`` bins, of which each
 keeps a byte of the smallest. Classes that share a band are candidates. Their sketches are compared in batches of bins;
 with m equal of n non-empty bins and a uniform prior, the chance of a similarity of ``t`` or more is that of at most m
-hits in n + 1 trials of chance t, and a pair is dropped as soon as it is below ``MISS``. What survives is verified on the
-full shingle sets, and links are joined to components.
+hits in n + 1 trials of chance t, and a pair is dropped as soon as it is below ``MISS``. Also, every bin that differs
+holds a shingle that only one of the sets has, so the differing bins bound the similarity from above; for short texts
+this bound is nearly exact. What survives is verified on the full shingle sets, and links are joined to components.
 
 A pair is compared in the first band it shares only. The members of a bucket are compared in blocks: members go to
 blocks by hash, and every pair of blocks is a unit of work, so a bucket of any size is spread over tasks and none of
-its pairs is left out, while only survivors become rows. Exact verification works in blocks as well: a set is sent once
-per pair of blocks, not once per pair, and a unit returns a spanning forest of its links.
+its pairs is left out, while only survivors become rows. They do so in two rounds. The first takes of each unit a
+forest of its most similar survivors, as many as members; their verified links join most of a group. The second takes
+all survivors between different components, so every pair that could join two of them is verified, and a large
+group of mutually similar texts costs rows by its size, not by its square. Exact verification works in blocks as well:
+a set is sent once per pair of blocks, not once per pair, and a unit returns a spanning forest of its links.
 
-Texts are read three times: for the sets' hashes, for bands and sketches of one text per class, and for the sets of
-survivors; the last two are told by a filter of fixed size. Nothing about single documents reaches the driver.
+Texts are read four times: for the sets' hashes, for bands and sketches of one text per class, and in each round for the
+sets of survivors; all but the first are told by a filter of fixed size. Nothing about single documents reaches the driver.
 
 Defined results: texts without words and null texts have an empty set and no link; a text of fewer than five words has
 one shingle, all its words; rows with one id are one node, whose links are those of all its texts; a null id counts as
@@ -118,11 +122,19 @@ def least_equal(percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
     return out
 
 
-def survivors(left: np.ndarray, right: np.ndarray, sketches: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which of the pairs of rows pass all batches."""
+def survivors(
+    left: np.ndarray, right: np.ndarray, sketches: np.ndarray, sizes: np.ndarray, percent: int = PERCENT
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs of rows pass all batches, and the share of their bins that are equal.
+
+    With s shingles in both sets together and d in only one, the similarity is (s - d) / (s + d).
+    """
     need = least_equal(percent)
     alive = np.arange(len(left))
     equal, filled = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
+    total = sizes[left] + sizes[right]
+    most = total * (100 - percent) // (100 + percent)
+    alive = alive[np.abs(sizes[left] - sizes[right]) <= most]
     for start in range(0, BINS, BATCH):
         a = sketches[left[alive], start : start + BATCH]
         b = sketches[right[alive], start : start + BATCH]
@@ -130,7 +142,8 @@ def survivors(left: np.ndarray, right: np.ndarray, sketches: np.ndarray, percent
         equal[alive] += ((a == b) & some).sum(1)
         filled[alive] += some.sum(1)
         alive = alive[equal[alive] >= need[filled[alive]]]
-    return alive
+        alive = alive[filled[alive] - equal[alive] <= most[alive]]
+    return alive, equal[alive] / np.maximum(filled[alive], 1)
 
 
 def row_key(c1, doc_id):
@@ -166,8 +179,9 @@ def _signatures(shared):
                 at = np.arange(len(bands) + 1, dtype=np.int32) * BANDS
                 listed = pa.ListArray.from_arrays(pa.array(at), pa.array(words.signed(bands.ravel())))
                 sketch = words.binary_array(sets.sketches().ravel(), np.full(len(bands), BINS))
-                columns = [pa.array(ids[sets.docs]), pa.array(keys[sets.docs]), listed, sketch]
-                yield pa.RecordBatch.from_arrays(columns, ["cls", "key", "bands", "sketch"])
+                sizes = pa.array(sets.sizes[sets.docs], pa.int64())
+                columns = [pa.array(ids[sets.docs]), pa.array(keys[sets.docs]), sizes, listed, sketch]
+                yield pa.RecordBatch.from_arrays(columns, ["cls", "key", "size", "bands", "sketch"])
 
     return run
 
@@ -207,13 +221,34 @@ def _fixed(column: pa.ChunkedArray, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
 
 
-def _compare(percent: int):
-    """Survivors among the members of each unit (band, bucket, low block, high block)."""
+class Forest:
+    """Union-find over small numbers."""
+
+    def __init__(self, n: int) -> None:
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _compare(percent: int, sparse: bool):
+    """Survivors between components among the members of each unit (band, bucket, low block, high block).
+
+    ``sparse`` takes a forest of each unit only, the most similar pairs first.
+    """
 
     def run(batches):
-        pairs: list[np.ndarray] = []
+        pairs: list[np.ndarray] = [np.zeros((0, 2), np.int64)]
         for unit in _groups(batches, ["band", "bucket", "low", "high"]):
-            ids = unit["cls"].to_numpy()
+            ids, parts, sizes = (unit[c].to_numpy() for c in ("cls", "component", "size"))
             sketches = _fixed(unit["sketch"], np.uint8, BINS)
             bands = np.array(unit["bands"].combine_chunks().flatten()).reshape(-1, BANDS)
             band = int(unit["band"][0].as_py())
@@ -222,36 +257,28 @@ def _compare(percent: int):
             else:
                 side = unit["side"].to_numpy()
                 a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1)))
+            found, scores = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
             for start in range(0, len(a), 1 << 16):
                 left, right = a[start : start + (1 << 16)], b[start : start + (1 << 16)]
-                stay = survivors(left, right, sketches, percent)
+                apart = parts[left] != parts[right]
+                left, right = left[apart], right[apart]
+                stay, share = survivors(left, right, sketches, sizes, percent)
                 left, right = left[stay], right[stay]
                 stay = ~(bands[left, :band] == bands[right, :band]).any(1) & (ids[left] != ids[right])
-                pairs.append(np.sort(np.stack([ids[left[stay]], ids[right[stay]]], 1), 1))
-        found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+                found.append(np.stack([left[stay], right[stay]], 1))
+                scores.append(share[stay])
+            chosen = np.concatenate(found)
+            if sparse and len(chosen) >= len(ids):
+                forest = Forest(len(ids))
+                order = np.argsort(-np.concatenate(scores), kind="stable")
+                chosen = np.array([p for p in chosen[order].tolist() if forest.join(*p)])
+            pairs.append(np.sort(ids[chosen], 1))
+        found = np.concatenate(pairs)
         yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
 
     return run
 
 
-class Forest:
-    """Union-find over small numbers."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
-        return x != y
-
-
 def _verify(percent: int):
     """A spanning forest of the links of each unit: its rows are sets (a, body) and pairs (a, b)."""
 
@@ -311,35 +338,50 @@ def _candidates(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, groups
 
 
-def _spread(members: DataFrame) -> DataFrame:
+def _spread(members: DataFrame, *more: str) -> DataFrame:
     """Each member in every unit of work its bucket's blocks give it."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = members.withColumn("blocks", blocks).withColumn("own", F.expr("pmod(xxhash64(cls, 3), blocks)").cast("int"))
     rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     return rows.select(
-        "cls", "band", "bucket",
+        "cls", *more, "band", "bucket",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         (F.col("own") > F.col("other")).cast("int").alias("side"),
     )
 
 
-def similar_pairs(signatures: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of classes that the sketches do not rule out (a, b), and per class its block for verification."""
-    members, groups = _candidates(signatures)
+def similar_pairs(members: DataFrame, signatures: DataFrame, percent: int, joined: DataFrame | None) -> DataFrame:
+    """Pairs of classes that the sketches do not rule out (a, b), between the components ``joined`` (node, component).
+
+    Without components each class is its own, and a unit's pairs are thinned to a forest.
+    """
+    wide = signatures.select("cls", "size", "bands", "sketch")
+    work = members
+    if joined is None:
+        wide = wide.withColumn("component", F.col("cls"))
+    else:
+        parts = joined.select(F.col("node").alias("cls"), "component")
+        work = work.join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        mixed = work.groupBy("band", "bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+        work = work.join(mixed.where("least < most").select("band", "bucket"), ["band", "bucket"])
     unit = ["band", "bucket", "low", "high"]
-    work = _spread(members).join(signatures.select("cls", "bands", "sketch"), "cls")
+    work = _spread(work, *(["component"] if joined is not None else [])).join(wide, "cls")
     work = work.repartition(*unit).sortWithinPartitions(*unit)
-    pairs = materialise(work.mapInArrow(_compare(percent), "a long, b long"))
+    return materialise(work.mapInArrow(_compare(percent, joined is None), "a long, b long").distinct())
+
+
+def _blocks(groups: DataFrame) -> DataFrame:
+    """Per class its block for verification."""
     sizes = groups.groupBy("hub").agg(F.ceil(F.count("*") / SET_BLOCK).alias("blocks"))
     block = F.xxhash64("hub", F.expr("pmod(xxhash64(cls, 5), blocks)"))
-    return pairs, groups.join(sizes, "hub").select("cls", block.alias("block"))
+    return groups.join(sizes, "hub").select("cls", block.alias("block"))
 
 
 def links(texts: DataFrame, pairs: DataFrame, blocks: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
     """Verified links (a, b) that join all similar classes; ``keys`` has cls and key."""
     spark = texts.sparkSession
     sides = [blocks.select(F.col("cls").alias(c), F.col("block").alias(f"block_{c}")) for c in ("a", "b")]
-    placed = pairs.distinct().join(sides[0], "a").join(sides[1], "b")
+    placed = pairs.join(sides[0], "a").join(sides[1], "b")
     unit = F.xxhash64(F.least("block_a", "block_b"), F.greatest("block_a", "block_b"))
     placed = materialise(placed.select(unit.alias("unit"), "a", "b"))
     needed = placed.select("unit", F.explode(F.array("a", "b")).alias("cls")).distinct()
@@ -392,13 +434,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = materialise(held.groupBy("c1", "c2").agg(F.min("doc_id").alias("cls"), F.max("times").alias("times")))
     keys = classes.select("cls", row_key(F.col("c1"), F.col("cls")).alias("key"))
     wanted = spark.sparkContext.broadcast(filters.build(keys, "key"))
-    schema = "cls long, key long, bands array<long>, sketch binary"
+    schema = "cls long, key long, size long, bands array<long>, sketch binary"
     signatures = texts.mapInArrow(_signatures(wanted), schema).join(keys, ["cls", "key"], "left_semi")
     if not classes.where("times > 1").isEmpty():  # rows that repeat id and text
         signatures = signatures.dropDuplicates(["cls", "key"])
     signatures = materialise(signatures)
-    pairs, blocks = similar_pairs(signatures, percent)
-    edges = links(texts, pairs, blocks, keys, percent)
+    members, groups = _candidates(signatures)
+    blocks = materialise(_blocks(groups))
+    pairs = similar_pairs(members, signatures, percent, None)
+    edges = materialise(links(texts, pairs, blocks, keys, percent))
+    rest = similar_pairs(members, signatures, percent, components(edges)).join(pairs, ["a", "b"], "left_anti")
+    edges = edges.unionByName(links(texts, rest, blocks, keys, percent))
     # A row's id hangs on its class, so ids that several classes share join them.
     own = held.join(classes, ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("cls").alias("b"))
     shared = held.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("a"))
