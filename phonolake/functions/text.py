@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from phonolake.functions import tokens as T
 
 LAST_TOKEN_PATTERN = r"<custom_token_([+-]?[0-9]+)>$"
+TEXT_TOKEN_PATTERN = r"[\pL\pM]+|\pN+|[^\x09-\x0D\x20\pL\pM\pN]"
 PHONEME_PATTERN = r"<\|ph_[A-Za-z]+\|>"
 
 
@@ -61,6 +62,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ]+"), F.lit(0))
 
 
+def text_tokens(text: Column) -> Column:
+    """The whole text but for its blanks: letters with their marks, numbers, and every other character alone."""
+    return F.regexp_extract_all(text, F.lit(TEXT_TOKEN_PATTERN), F.lit(0))
+
+
 def ipa_lookup(ipa: Column, table: dict) -> Column:
     """Array of the table's values for the IPA symbols of a text, longest symbol first; other characters are dropped.
 

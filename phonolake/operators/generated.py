@@ -1,4 +1,6 @@
-"""Analysis of generated token streams: events (request_id, seq, text), seq 0-based and without gaps per request.
+"""Analysis of generated token streams: events (request_id, seq, text) in the order of seq, which may have gaps.
+
+Of events that repeat a request and seq the one with the largest token number counts.
 
 Which slot a token falls into depends on how many tokens of its request were accepted before it, so extraction is a
 fold in seq order. The fold has only seven slot states, so a block of events is summed up by seven numbers: the
@@ -58,34 +60,34 @@ def _chain(gains: Column) -> Column:
     return F.aggregate(gains, F.array(*[F.lit(0).cast("long")] * T.SLOTS), step)
 
 
-def _ends(blocks: DataFrame, width: int, levels: int = 1) -> DataFrame:
-    """Tokens accepted up to the end of each block; (request_id, block, gain) to (request_id, block, end)."""
+def _starts(blocks: DataFrame, width: int, levels: int = 1) -> DataFrame:
+    """Tokens accepted before each block; (request_id, block, gain) to (request_id, block, start).
+
+    Blocks are chained in their order, so missing ones make no difference.
+    """
     group = C.idiv(F.col("block"), width) if levels else F.lit(0).cast("long")
     groups = blocks.groupBy("request_id", group.alias("group")).agg(
         F.sort_array(F.collect_list(F.struct("block", "gain"))).alias("members")
     )
     if levels:
         sums = groups.select("request_id", F.col("group").alias("block"), _chain(F.col("members.gain")).alias("gain"))
-        groups = _with_start(groups, "group", _ends(sums, width, levels - 1))
+        groups = _with_start(groups, "group", _starts(sums, width, levels - 1))
     else:
         groups = groups.withColumn("start", F.lit(0).cast("long"))
 
-    empty = F.expr("cast(array() as array<struct<block:bigint,end:bigint>>)")
+    empty = F.expr("cast(array() as array<struct<block:bigint,start:bigint>>)")
 
     def step(acc: Column, m: Column) -> Column:
         end = acc["end"] + F.get(m["gain"], (acc["end"] % T.SLOTS).cast("int"))
-        done = F.struct(m["block"].alias("block"), end.alias("end"))
+        done = F.struct(m["block"].alias("block"), acc["end"].alias("start"))
         return F.struct(end.alias("end"), F.array_append(acc["done"], done).alias("done"))
 
     walked = F.aggregate("members", F.struct(F.col("start").alias("end"), empty.alias("done")), step, lambda a: a["done"])
     return groups.select("request_id", F.inline(walked))
 
 
-def _with_start(blocks: DataFrame, block: str, ends: DataFrame) -> DataFrame:
-    """Start of a block is the end of the one before, 0 for the first."""
-    before = ends.select("request_id", (F.col("block") + 1).alias(block), F.col("end").alias("start"))
-    placed = join_on(blocks, before, ["request_id", block], "left")
-    return placed.withColumn("start", F.coalesce("start", F.lit(0).cast("long")))
+def _with_start(blocks: DataFrame, block: str, starts: DataFrame) -> DataFrame:
+    return join_on(blocks, starts.select("request_id", F.col("block").alias(block), "start"), ["request_id", block])
 
 
 def extract_codes(events: DataFrame, mode: str = "compat", width: int = EVENTS_PER_BLOCK) -> DataFrame:
@@ -99,13 +101,12 @@ def extract_codes(events: DataFrame, mode: str = "compat", width: int = EVENTS_P
     )
     # Both uses of this aggregate have the same columns, so Spark runs its shuffle once.
     blocks = numbered.groupBy("request_id", "block").agg(
-        F.sort_array(F.collect_list(F.struct("seq", "token_number"))).alias("toks")
-    )
-    # A block that is not full is the last of its request and needs no sum.
-    sums = blocks.where(F.size("toks") == width).select(
-        "request_id", "block", _gain(F.col("toks.token_number"), accept).alias("gain")
+        F.sort_array(F.collect_set(F.struct("seq", "token_number"))).alias("toks")
     )
-    blocks = _with_start(blocks, "block", _ends(sums, width))
+    last_of_seq = F.filter("toks", lambda t, i: ~F.coalesce(F.get("toks", i + 1)["seq"] == t["seq"], F.lit(False)))
+    blocks = blocks.withColumn("toks", last_of_seq)
+    sums = blocks.select("request_id", "block", _gain(F.col("toks.token_number"), accept).alias("gain"))
+    blocks = _with_start(blocks, "block", _starts(sums, width))
     empty = F.expr("cast(array() as array<struct<seq:bigint,idx:bigint,code:bigint>>)")
 
     def step(acc: Column, tok: Column) -> Column:

@@ -131,7 +131,11 @@ def carry_forward(
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """First row per key in ``order``: a combining aggregate, so a hot key is reduced before the shuffle."""
+    """First row per key in ``order``: a combining aggregate, so a hot key is reduced before the shuffle.
+
+    Rows without order value come last; of rows with equal ones the smallest by the other columns is taken.
+    """
     rest = [c for c in df.columns if c != key]
-    best = df.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_first"))
+    place = F.struct(F.col(order).isNull(), F.col(order), *[F.col(c) for c in rest])
+    best = df.groupBy(key).agg(F.min_by(F.struct(*rest), place).alias("_first"))
     return best.select(key, "_first.*").select(*df.columns)

@@ -49,6 +49,8 @@ def request_plan(runs: DataFrame, prompts: list, save_below: int = 3) -> DataFra
     sends one warm-up request with run 90 + offset.
     """
     types = ["short", "medium", "long"]
+    if len(prompts) > len(types):
+        raise ValueError(f"at most {len(types)} prompts, got {len(prompts)}")
     planned = F.array(
         *[F.struct(F.lit(t).alias("type"), F.lit(p).alias("prompt")) for t, p in zip(types, prompts, strict=False)]
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +17,8 @@ from phonolake.operators.ordered import index_rows, with_row_index
 from phonolake.session import materialise
 
 MAX_BROADCAST_TOKENS = 1_000_000
+UNKNOWN_ID = -1
+UNKNOWN_TOKEN = "\ufffd"
 
 
 def build_vocab(tokens: DataFrame, col: str = "token") -> DataFrame:
@@ -24,36 +28,42 @@ def build_vocab(tokens: DataFrame, col: str = "token") -> DataFrame:
     return indexed.select("token", F.col("id").cast("int").alias("id"))
 
 
-def _lookup(df: DataFrame, table: DataFrame, id_col: str, arr: str, out: str, unknown, keep: list[str]) -> DataFrame:
-    """Replace each entry of ``arr`` by its value in ``table`` (_entry, _value), order kept; gives (id, keep, out)."""
-    if fits_broadcast(table, MAX_BROADCAST_TOKENS):
+def _lookup(
+    df: DataFrame, table: DataFrame, id_col: str, arr: str, out: str, unknown, keep: list[str], most: int
+) -> DataFrame:
+    """Replace each entry of ``arr`` by its value in ``table`` (_entry, _value), order kept; gives (id, keep, out).
+
+    Entries that the table lacks, null ones too, become ``unknown``; an entry that it has twice has the smaller value;
+    a null array becomes empty. Every row stays a row, whatever its id. Tables of up to ``most`` entries are looked
+    up in place, larger ones by a join, with the same result.
+    """
+    table = table.where(F.col("_entry").isNotNull()).groupBy("_entry").agg(F.min("_value").alias("_value"))
+    if fits_broadcast(table, most):
         return df.select(id_col, *keep, _lookup_udf(table, unknown)(arr).alias(out))
     return _lookup_by_join(df, table, id_col, arr, out, unknown, keep)
 
 
 def _lookup_udf(table: DataFrame, unknown):
-    """Lookup of whole Arrow batches against a table of checked size that every Python worker holds once.
+    """Lookup of whole Arrow batches against a table of checked size that every Python worker holds.
 
-    Nothing is shuffled and no row is taken apart. Spark's own map lookup searches a map from its start, and a
-    broadcast join needs one row per entry and an aggregation to put the arrays together again; both were slower.
+    Nothing is shuffled and no row is taken apart. The hash table is built once per task, and only the distinct entries
+    of a batch are looked up in it.
     """
     spark, kind = table.sparkSession, table.schema["_value"].dataType
     local = table.toArrow()
     shared = spark.sparkContext.broadcast((local["_entry"].combine_chunks(), local["_value"].combine_chunks()))
 
     @F.arrow_udf(ArrayType(kind))
-    def lookup(rows: pa.Array) -> pa.Array:
+    def lookup(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         entries, values = shared.value
-        flat, parents = rows.flatten(), pc.list_parent_indices(rows)
-        found = values.take(pc.index_in(flat, value_set=entries.cast(flat.type)))
-        if unknown is None:
-            known = found.is_valid()
-            found, parents = found.filter(known), parents.filter(known)
-        else:
-            found = found.fill_null(unknown)
-        sizes = np.bincount(parents.to_numpy(zero_copy_only=False), minlength=len(rows))
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), found)
+        known = dict(zip(entries.to_pylist(), values.to_pylist(), strict=True))
+        for rows in batches:
+            distinct = rows.flatten().dictionary_encode()
+            found = pa.array([known.get(x, unknown) for x in distinct.dictionary.to_pylist()], values.type)
+            flat = found.take(distinct.indices).fill_null(unknown)
+            sizes = pc.list_value_length(rows).fill_null(0).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), flat)
 
     return lookup
 
@@ -61,17 +71,17 @@ def _lookup_udf(table: DataFrame, unknown):
 def _lookup_by_join(
     df: DataFrame, table: DataFrame, id_col: str, arr: str, out: str, unknown, keep: list[str]
 ) -> DataFrame:
-    """Lookup in a table of any size: one row per entry, joined by entry with frequent entries as hot keys."""
-    entries = df.select(id_col, *keep, F.posexplode_outer(arr).alias("_pos", "_entry"))
-    found = lookup_join(entries, table, "_entry", "left")
-    filled = F.col("_value") if unknown is None else F.coalesce("_value", F.lit(unknown))
-    # An empty array has one outer row without position; entries without a value are left out.
-    use = F.col("_pos").isNotNull() & filled.isNotNull()
-    pairs = F.collect_list(F.when(use, F.struct("_pos", filled.alias("_value"))))
-    return found.groupBy(id_col).agg(
-        *[F.any_value(c).alias(c) for c in keep],
-        F.transform(F.sort_array(pairs), lambda p: p["_value"]).alias(out),
-    )
+    """Lookup in a table of any size: one row per entry, with a row number only, joined by entry.
+
+    Frequent entries make skewed join keys, which adaptive execution splits.
+    """
+    rows = materialise(df.select(id_col, *keep, arr).withColumn("_row", F.monotonically_increasing_id()))
+    entries = rows.select("_row", F.posexplode(arr).alias("_pos", "_entry"))
+    found = entries.join(table, "_entry", "left").select("_row", "_pos", F.coalesce("_value", F.lit(unknown)).alias("_value"))
+    lists = found.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_pos", "_value"))).alias("_pairs"))
+    empty = F.array().cast(ArrayType(table.schema["_value"].dataType))
+    values = F.coalesce(F.transform("_pairs", lambda p: p["_value"]), empty)
+    return rows.join(lists, "_row", "left").select(id_col, *keep, values.alias(out))
 
 
 def vocab_encode(
@@ -80,12 +90,13 @@ def vocab_encode(
     id_col: str,
     arr: str,
     out: str = "ids",
-    unknown: int | None = None,
+    unknown: int = UNKNOWN_ID,
     keep: list[str] | None = None,
+    most: int = MAX_BROADCAST_TOKENS,
 ) -> DataFrame:
-    """Ids of the tokens of each row; unknown tokens get ``unknown`` or are left out."""
+    """Ids of the tokens of each row; unknown tokens get ``unknown``."""
     table = vocab.select(F.col("token").alias("_entry"), F.col("id").alias("_value"))
-    return _lookup(df, table, id_col, arr, out, unknown, keep or [])
+    return _lookup(df, table, id_col, arr, out, unknown, keep or [], most)
 
 
 def vocab_decode(
@@ -94,12 +105,13 @@ def vocab_decode(
     id_col: str,
     arr: str,
     out: str = "tokens",
-    unknown: str | None = None,
+    unknown: str = UNKNOWN_TOKEN,
     keep: list[str] | None = None,
+    most: int = MAX_BROADCAST_TOKENS,
 ) -> DataFrame:
-    """Tokens of the ids of each row."""
+    """Tokens of the ids of each row; unknown ids get ``unknown``."""
     table = vocab.select(F.col("id").alias("_entry"), F.col("token").alias("_value"))
-    return _lookup(df, table, id_col, arr, out, unknown, keep or [])
+    return _lookup(df, table, id_col, arr, out, unknown, keep or [], most)
 
 
 def extend_vocab(vocab: DataFrame, new_tokens: DataFrame, order: str = "ord") -> DataFrame:

@@ -29,11 +29,11 @@ PREPARED_SQL = {
             trim(text, {WS_SQL}) AS text, coalesce(trim(speaker, {WS_SQL}), 'speaker') AS speaker FROM attached)
         WHERE text <> '' AND speaker <> '' AND duration_s BETWEEN 0.5 AND 20.0""",
     "prompt_words": """
-        SELECT utt_id, regexp_extract_all(lower(speaker || ': ' || text), '[a-zà-ÿ]+') AS words FROM cleaned""",
+        SELECT utt_id, regexp_extract_all(speaker || ': ' || text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS words FROM cleaned""",
     "prompt_ids": """
-        SELECT utt_id, list(v.id ORDER BY pos) AS ids FROM
+        SELECT utt_id, list(coalesce(v.id, -1) ORDER BY pos) AS ids FROM
           (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM prompt_words)
-          JOIN vocab v USING (token) GROUP BY utt_id""",
+          LEFT JOIN vocab v USING (token) GROUP BY utt_id""",
     "prepared": """
         SELECT c.*, coalesce(p.ids, []) AS ids, d.audio_ids,
           list_concat(list_concat(list_concat([128259], coalesce(p.ids, [])), [128009, 128260, 128261, 128257]),
@@ -53,7 +53,7 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned utterances with the word ids of their prompt."""
     rows = cleaned_utterances(spark, sf_dir)
     prompt = X.template_prompt(I.TEMPLATE, F.col("speaker"), F.col("text"))
-    rows = rows.withColumn("words", X.words(prompt))
+    rows = rows.withColumn("words", X.text_tokens(prompt))
     keep = ["filepath", "speaker", "duration_s", "n_samples"]
     return vocab_encode(rows, I.vocab(spark, sf_dir), "utt_id", "words", "prompt_ids", keep=keep)
 
@@ -116,12 +116,12 @@ def duration_filter(spark, sf_dir):
     with_inputs(
         """SELECT utt_id, (len(words) + 7 * ((n_samples + 2047) // 2048) + 6)::INTEGER AS seq_len,
              CASE WHEN len(words) + 7 * ((n_samples + 2047) // 2048) + 6 > 8192 THEN 'over_length' END AS drop_reason
-           FROM (SELECT *, regexp_extract_all(lower(text), '[a-zà-ÿ]+') AS words FROM source_rows)"""
+           FROM (SELECT *, regexp_extract_all(text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS words FROM source_rows)"""
     ),
 )
 def length_filter(spark, sf_dir):
     rows = I.source_rows(spark, sf_dir, spread=True)
-    rows = rows.withColumn("seq_len", ops.length_a(X.words(F.col("text")), F.col("n_samples")).cast("int"))
+    rows = rows.withColumn("seq_len", ops.length_a(X.text_tokens(F.col("text")), F.col("n_samples")).cast("int"))
     return ops.tag_length(rows, F.col("seq_len"), T.MAX_LEN_A).select("utt_id", "seq_len", "drop_reason")
 
 
@@ -259,11 +259,11 @@ def check_voice(spark, sf_dir):
 TAGGED_SQL = {
     "tagged": f"""
         SELECT *, CASE WHEN text = '' THEN 'empty_text' WHEN speaker = '' THEN 'empty_speaker'
-            WHEN duration_s NOT BETWEEN 0.5 AND 20.0 THEN 'duration' WHEN seq_len > 1500 THEN 'over_length' END
+            WHEN duration_s NOT BETWEEN 0.5 AND 20.0 THEN 'duration' WHEN seq_len > 8192 THEN 'over_length' END
             AS drop_reason
         FROM (SELECT utt_id, n_samples / sample_rate AS duration_s,
                 trim(text, {WS_SQL}) AS text, coalesce(trim(speaker, {WS_SQL}), 'speaker') AS speaker,
-                len(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) + 7 * ((n_samples + 2047) // 2048) + 6 AS seq_len
+                len(regexp_extract_all(text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]')) + 7 * ((n_samples + 2047) // 2048) + 6 AS seq_len
               FROM source_rows)"""
 }
 
@@ -271,8 +271,8 @@ TAGGED_SQL = {
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source rows with the reason why they are dropped."""
     rows = I.source_rows(spark, sf_dir, spread=True)
-    rows = rows.withColumn("seq_len", ops.length_a(X.words(F.col("text")), F.col("n_samples")))
-    return ops.tag_length(ops.tag_duration(ops.tag_clean(rows)), F.col("seq_len"), 1500)
+    rows = rows.withColumn("seq_len", ops.length_a(X.text_tokens(F.col("text")), F.col("n_samples")))
+    return ops.tag_length(ops.tag_duration(ops.tag_clean(rows)), F.col("seq_len"), T.MAX_LEN_A)
 
 
 @query(

@@ -19,11 +19,11 @@ _ACCEPT_SQL = {
 }
 
 
-def fold_sql(mode: str) -> dict[str, str]:
+def fold_sql(mode: str, events: str = "token_events") -> dict[str, str]:
     return {
-        "parsed": """
-            SELECT request_id, seq, try_cast(nullif(regexp_extract(text, '<custom_token_([0-9+-]+)>$', 1), '') AS BIGINT)
-              AS n FROM token_events""",
+        "parsed": f"""
+            SELECT request_id, seq, max(try_cast(nullif(regexp_extract(text, '<custom_token_([0-9+-]+)>$', 1), '')
+              AS BIGINT)) AS n FROM {events} GROUP BY request_id, seq""",
         "folded": f"""
             SELECT request_id, list_reduce(list({{'k': 0::BIGINT, 'n': n, 'seq': seq, 'out': []::STRUCT(seq BIGINT,
                 idx BIGINT, code BIGINT)[]}} ORDER BY seq), lambda x, y: CASE WHEN {_ACCEPT_SQL[mode]}
@@ -46,8 +46,19 @@ def _extract(mode: str):
         return ops.extract_codes(I.token_events(spark, sf_dir), mode)
 
 
+def _extract_uneven(mode: str):
+    @query(
+        f"extract_codes_uneven_{mode}",
+        with_inputs("SELECT request_id, seq, idx, slot, code FROM accepted", **fold_sql(mode, "uneven_events")),
+    )
+    def run(spark, sf_dir):
+        """Blocks of eight events, so that gaps take out parts of blocks and whole ones."""
+        return ops.extract_codes(I.uneven_events(spark, sf_dir), mode, width=8)
+
+
 for _mode in ops.ACCEPT:
     _extract(_mode)
+    _extract_uneven(_mode)
 
 WINDOWS_SQL = fold_sql("compat") | {
     "frame_rows": """

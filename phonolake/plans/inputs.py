@@ -94,7 +94,7 @@ def codes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All words of the documents, numbered in word order."""
     docs = table(spark, sf_dir, "documents", spread=True)
-    return build_vocab(docs.select(F.explode(X.words(F.col("text"))).alias("token")))
+    return build_vocab(docs.select(F.explode(X.text_tokens(F.col("text"))).alias("token")))
 
 
 def token_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +112,17 @@ def token_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("request_id", "seq", text.alias("text"))
 
 
+def uneven_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token stream with gaps, where sign-ups, one seq in thirteen and a run of them are left out, and with
+    repeats: every fifth event comes twice, every eleventh again as noise."""
+    events = token_events(spark, sf_dir)
+    seq = F.col("seq")
+    events = events.where(~F.col("text").endswith("-3>") & ~((seq % 13 == 4) | seq.between(12, 29)))
+    again = events.where(seq % 5 == 0)
+    noise = events.where(seq % 11 == 0).withColumn("text", F.lit("noise"))
+    return events.unionByName(again).unionByName(noise)
+
+
 def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generations: the audio tokens of a document, stray ids in front for one language, END_OF_SPEECH behind
     unless the document has no label."""
@@ -222,7 +233,7 @@ INPUT_SQL = {
           flatten(list_filter(fr, lambda x, i: i = 1 OR x[1] <> fr[i - 1][1])) AS audio_ids FROM frames""",
     "vocab": """
         SELECT token, (row_number() OVER (ORDER BY token) - 1)::INTEGER AS id FROM
-          (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS token FROM documents)""",
+          (SELECT DISTINCT unnest(regexp_extract_all(text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]')) AS token FROM documents)""",
     "token_events": """
         SELECT request_id, seq, CASE WHEN event_type = 'error' THEN 'noise' ELSE '<custom_token_' ||
           (10 + (k % 7) * 4096 + CASE WHEN event_type = 'signup' THEN -3 ELSE (event_id * 37) % 4096 END) || '>'
@@ -231,6 +242,12 @@ INPUT_SQL = {
                 count(*) FILTER (event_type NOT IN ('error', 'signup')) OVER (PARTITION BY user_id ORDER BY event_id
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k
               FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))""",
+    "uneven_events": """
+        SELECT * FROM (
+          SELECT * FROM token_events UNION ALL SELECT * FROM token_events WHERE seq % 5 = 0
+          UNION ALL SELECT request_id, seq, 'noise' FROM token_events
+          WHERE seq % 11 = 0 AND NOT suffix(text, '-3>'))
+        WHERE NOT suffix(text, '-3>') AND seq % 13 <> 4 AND NOT seq BETWEEN 12 AND 29""",
     "generated": """
         SELECT utt_id, list_concat(list_concat(
             CASE WHEN lang = 'de' THEN [1000, 128263] ELSE []::BIGINT[] END, flatten(fr)),

@@ -21,7 +21,7 @@ from phonolake.sources import writers
 
 def with_prompt_ids(rows: DataFrame, prompt, vocab: DataFrame, keep: list[str]) -> DataFrame:
     """Rows with the ids of their prompt words; only ``keep`` columns go along."""
-    worded = rows.withColumn("words", X.words(prompt))
+    worded = rows.withColumn("words", X.text_tokens(prompt))
     return vocab_encode(worded, vocab, "utt_id", "words", "prompt_ids", keep=keep)
 
 
@@ -34,12 +34,16 @@ def prepare_format_a(
     max_len: int = T.MAX_LEN_A,
     rows_per_shard: int = T.ROWS_PER_SHARD,
     mode: str = "errorifexists",
-) -> DataFrame:
+) -> DataFrame | None:
     """Recordings with text to format-A shards below ``out_dir``; returns the statistics row that is also written.
 
+    With ``mode="ignore"`` an existing set, its statistics and its pointer are kept and nothing is computed.
+
     ``audio``: utt_id, filepath, speaker, n_samples; ``meta``: filename, text, ord.
     """
     corpus.require_columns(audio, ["utt_id", "filepath", "speaker", "n_samples"])
+    if mode == "ignore" and _has_rows(audio, f"{out_dir}/parquet"):
+        return None
     rows = corpus.attach_text(audio.select("utt_id", "filepath", "speaker", "n_samples"), meta)
     prompt = X.voice_prompt(F.col("speaker"), F.col("text"))
     rows = with_prompt_ids(rows, prompt, vocab, ["filepath", "speaker", "n_samples"])
@@ -80,7 +84,7 @@ def prepare_format_b(
     rows = corpus.tag_duration(corpus.tag_clean(source, default_speaker), min_duration_s, max_duration_s)
     said = F.col("text") if phonemize is None else X.ipa_to_tokens(F.col(phonemize))
     prompt = X.template_prompt(template, F.col("speaker"), said)
-    words = X.words(prompt) if phonemize is None else X.phoneme_array(prompt)
+    words = X.text_tokens(prompt) if phonemize is None else X.phoneme_array(prompt)
     narrow = rows.select("utt_id", "speaker", "duration_s", "drop_reason", words.alias("words"))
     keep = ["speaker", "duration_s", "drop_reason"]
     prompts = vocab_encode(narrow, vocab, "utt_id", "words", "prompt_ids", keep=keep)

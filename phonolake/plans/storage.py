@@ -47,11 +47,11 @@ def write_shards(spark, sf_dir):
            WHERE len(ids) <= 8192""",
         **PC.PREPARED_SQL,
         voice_ids="""
-            SELECT utt_id, list(v.id ORDER BY pos) AS ids FROM
+            SELECT utt_id, list(coalesce(v.id, -1) ORDER BY pos) AS ids FROM
               (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM
-                (SELECT utt_id, regexp_extract_all(lower(CASE WHEN coalesce(speaker, '') <> ''
-                   THEN speaker || ': ' || text ELSE text END), '[a-zà-ÿ]+') AS words FROM attached))
-              JOIN vocab v USING (token) GROUP BY utt_id""",
+                (SELECT utt_id, regexp_extract_all(CASE WHEN coalesce(speaker, '') <> ''
+                   THEN speaker || ': ' || text ELSE text END, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS words FROM attached))
+              LEFT JOIN vocab v USING (token) GROUP BY utt_id""",
     ),
 )
 def prepare_format_a_job(spark, sf_dir):
@@ -75,10 +75,10 @@ FORMAT_B_SQL = {
         SELECT utt_id, n_samples, n_samples / sample_rate AS duration_s, trim(text, {PC.WS_SQL}) AS text,
           coalesce(trim(speaker, {PC.WS_SQL}), 'speaker') AS speaker FROM source_rows""",
     "b_ids": """
-        SELECT utt_id, list(v.id ORDER BY pos) AS ids FROM
+        SELECT utt_id, list(coalesce(v.id, -1) ORDER BY pos) AS ids FROM
           (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM
-            (SELECT utt_id, regexp_extract_all(lower(speaker || ': ' || text), '[a-zà-ÿ]+') AS words FROM b_clean))
-          JOIN vocab v USING (token) GROUP BY utt_id""",
+            (SELECT utt_id, regexp_extract_all(speaker || ': ' || text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS words FROM b_clean))
+          LEFT JOIN vocab v USING (token) GROUP BY utt_id""",
     "b_rows": """
         SELECT c.*, coalesce(p.ids, []) AS ids, d.audio_ids, CASE WHEN text = '' THEN 'empty_text'
           WHEN speaker = '' THEN 'empty_speaker' WHEN duration_s NOT BETWEEN 0.5 AND 20.0 THEN 'duration'

@@ -17,22 +17,27 @@ from phonolake.plans.registry import query
              e.events AS engine_events, d.errors AS decoder_errors, t.bytes AS transport_bytes,
              e.request_id IS NOT NULL AS has_engine, d.request_id IS NOT NULL AS has_decoder,
              t.request_id IS NOT NULL AS has_transport
-           FROM (SELECT user_id AS request_id, count(*) AS events FROM events WHERE event_type = 'click' GROUP BY 1) e
-           FULL JOIN (SELECT user_id AS request_id, count(*) AS errors FROM events
-                      WHERE event_type = 'error' AND value > 60 GROUP BY 1) d ON e.request_id = d.request_id
-           FULL JOIN (SELECT user_id AS request_id, 4096 * count(*) AS bytes FROM events
-                      WHERE event_type = 'view' AND value > 60 GROUP BY 1) t
-             ON coalesce(e.request_id, d.request_id) = t.request_id"""
+           FROM (SELECT request_id, count(*) AS events FROM telemetry_events WHERE part = 'engine' GROUP BY 1) e
+           FULL JOIN (SELECT request_id, count(*) AS errors FROM telemetry_events
+                      WHERE part = 'decoder' GROUP BY 1) d ON e.request_id = d.request_id
+           FULL JOIN (SELECT request_id, 4096 * count(*) AS bytes FROM telemetry_events
+                      WHERE part = 'transport' GROUP BY 1) t
+             ON coalesce(e.request_id, d.request_id) = t.request_id""",
+        telemetry_events="""
+            SELECT user_id * 100 + event_id % 97 AS request_id, CASE WHEN event_type = 'error' THEN 'decoder'
+              WHEN event_type IN ('view', 'signup') THEN 'transport' ELSE 'engine' END AS part FROM events""",
     ),
 )
 def join_telemetry(spark, sf_dir):
-    """Clicks, large errors and large views of a user stand for the three kinds of documents."""
-    events = I.table(spark, sf_dir, "events").withColumnRenamed("user_id", "request_id")
-    kind, large = F.col("event_type"), F.col("value") > 60
-    n = F.count(F.lit(1))
-    engine = events.where(kind == "click").groupBy("request_id").agg(n.alias("events"))
-    decoder = events.where((kind == "error") & large).groupBy("request_id").agg(n.alias("errors"))
-    transport = events.where((kind == "view") & large).groupBy("request_id").agg((n * 4096).alias("bytes"))
+    """All events, as documents of many short requests: errors of the decoder, views and sign-ups of the transport."""
+    events = I.table(spark, sf_dir, "events")
+    kind, n = F.col("event_type"), F.count(F.lit(1))
+    part = F.when(kind == "error", "decoder").when(kind.isin("view", "signup"), "transport").otherwise("engine")
+    events = events.select((F.col("user_id") * 100 + F.col("event_id") % 97).alias("request_id"), part.alias("part"))
+    of = lambda name: events.where(F.col("part") == name).groupBy("request_id")
+    engine = of("engine").agg(n.alias("events"))
+    decoder = of("decoder").agg(n.alias("errors"))
+    transport = of("transport").agg((n * 4096).alias("bytes"))
     return ops.join_telemetry(engine, decoder, transport)
 
 

@@ -167,35 +167,48 @@ def emotive_tags(spark, sf_dir):
     "request_plan",
     """SELECT o AS "offset", run_id, label || '_run' || run_id AS label, 'Chapter ' || run_id || ': ' || p AS prompt,
          run_id < 3 AS saved
-       FROM (SELECT doc_id // 50 * 50 AS o, doc_id AS run_id, 'short' AS label, 'Read document ' || source AS p
-             FROM documents
+       FROM (SELECT doc_id // 50 * 50 AS o, doc_id AS run_id, label, p FROM
+               (SELECT doc_id, unnest(['short', 'medium', 'long']) AS label,
+                  unnest(['Read document ' || source, 'Read it in ' || lang, text]) AS p FROM documents)
              UNION ALL
              SELECT DISTINCT doc_id // 50 * 50, 90 + doc_id // 50 * 50, 'warmup', 'warmup' FROM documents)""",
 )
 def request_plan(spark, sf_dir):
     docs = I.table(spark, sf_dir, "documents")
     runs = docs.select(
-        (F.col("doc_id") - F.col("doc_id") % 50).alias("offset"), F.col("doc_id").alias("run_id"), "source"
+        (F.col("doc_id") - F.col("doc_id") % 50).alias("offset"), F.col("doc_id").alias("run_id"), "source", "lang", "text"
     )
-    return ops.request_plan(runs, [F.concat(F.lit("Read document "), "source")])
+    prompts = [F.concat(F.lit("Read document "), "source"), F.concat(F.lit("Read it in "), "lang"), F.col("text")]
+    return ops.request_plan(runs, prompts)
 
 
-@query(
-    "vocab_encode",
-    with_inputs(
+ENCODE_SQL = with_inputs(
         """SELECT doc_id, md5(string_agg(coalesce(id, -1), ',' ORDER BY pos)) AS ids_md5, count(*) AS n
            FROM (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM
-             (SELECT doc_id, regexp_extract_all(lower(text), '[a-zà-ÿ]+') AS w FROM documents))
+             (SELECT doc_id, regexp_extract_all(text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS w FROM documents))
            LEFT JOIN vocab USING (token) GROUP BY doc_id"""
-    ),
 )
-def vocab_encode_documents(spark, sf_dir):
+
+
+def _encoded(spark, sf_dir, **limit):
     docs = I.table(spark, sf_dir, "documents", spread=True)
-    rows = docs.select("doc_id", X.words(F.col("text")).alias("words")).where(F.size("words") > 0)
-    ids = vocab_encode(rows, I.vocab(spark, sf_dir), "doc_id", "words", unknown=-1)
+    rows = docs.select("doc_id", X.text_tokens(F.col("text")).alias("words")).where(F.size("words") > 0)
+    ids = vocab_encode(rows, I.vocab(spark, sf_dir), "doc_id", "words", **limit)
     return ids.select("doc_id", C.digest(F.col("ids")).alias("ids_md5"), F.size("ids").cast("long").alias("n"))
 
 
+
+@query("vocab_encode", ENCODE_SQL)
+def vocab_encode_documents(spark, sf_dir):
+    return _encoded(spark, sf_dir)
+
+
+@query("vocab_encode_by_join", ENCODE_SQL)
+def vocab_encode_by_join(spark, sf_dir):
+    """The way of a vocabulary that is too large to hand out."""
+    return _encoded(spark, sf_dir, most=0)
+
+
 @query(
     "sql_functions",
     f"""SELECT doc_id, len({sentences_sql("text", "sentence")})::INTEGER AS n_sentences,

@@ -19,22 +19,21 @@ def build_vocab(spark, sf_dir):
 
 @query(
     "vocab_decode",
-    "SELECT doc_id, md5(array_to_string(w, ' ')) AS words_md5 FROM "
-    "(SELECT doc_id, regexp_extract_all(lower(text), '[a-zà-ÿ]+') AS w FROM documents)",
+    "SELECT doc_id, md5(regexp_replace(text, '[\\x09-\\x0D\\x20]', '', 'g')) AS text_md5 FROM documents",
 )
 def vocab_decode(spark, sf_dir):
-    """Encode all words and decode them again: the words must come back."""
+    """Encode all tokens and decode them again: the texts must come back, but for their blanks."""
     words = I.vocab(spark, sf_dir)
-    docs = I.table(spark, sf_dir, "documents", spread=True).select("doc_id", X.words(F.col("text")).alias("words"))
+    docs = I.table(spark, sf_dir, "documents", spread=True).select("doc_id", X.text_tokens(F.col("text")).alias("words"))
     ids = ops.vocab_encode(docs, words, "doc_id", "words")
     back = ops.vocab_decode(ids, words, "doc_id", "ids")
-    return back.select("doc_id", F.md5(F.array_join("tokens", " ")).alias("words_md5"))
+    return back.select("doc_id", F.md5(F.array_join("tokens", "")).alias("text_md5"))
 
 
 EXTEND_SQL = {
     "new_tokens": """
         SELECT token, min(conv_id * 100 + turn) AS ord FROM
-          (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]+')) AS token FROM conversations)
+          (SELECT conv_id, turn, unnest(regexp_extract_all(text, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]')) AS token FROM conversations)
         GROUP BY 1"""
 }
 
@@ -55,7 +54,7 @@ def extend_vocab(spark, sf_dir):
     turns = I.table(spark, sf_dir, "conversations")
     new = turns.select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("ord"),
-        F.explode(F.array_distinct(X.words(F.col("text")))).alias("token"),
+        F.explode(F.array_distinct(X.text_tokens(F.col("text")))).alias("token"),
     )
     return ops.extend_vocab(I.vocab(spark, sf_dir), new)
 
