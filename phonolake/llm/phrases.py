@@ -1,16 +1,17 @@
 """Substring dedup by repeated-phrase automata.
 
-A window is twenty consecutive words. Of the eleven ten-word phrases in a window, the one of the smallest hash is its
-anchor, so equal windows have equal anchors and about one phrase in six is an anchor at all. The first scan counts
+A window is twenty consecutive words. Of the sixteen five-word phrases in a window, the one of the smallest hash is its
+anchor, so equal windows have equal anchors and about one phrase in eight is an anchor at all. The first scan counts
 anchors; the second cuts the texts around anchors that occur more than once into pieces: the words of all windows that
-share one place of an anchor. Phrases are confirmed by their words, and split into shards of at most ``PHRASES`` phrases.
-Each shard's phrases are compiled into an Aho-Corasick automaton, and all pieces that may hold them are streamed through
-it; a piece counts where the automaton finds its phrase at its place.
+share one place of an anchor. Pieces go to shards by their anchor. A shard confirms the phrases that recur in its pieces,
+compiles them into an Aho-Corasick automaton and streams all its pieces through it; where a piece's phrase is found at
+its place, the piece's windows are compared word by word with those of the same phrase in earlier documents, and each
+window that was seen before is removed. A shard's size is bounded, whatever the corpus: the number of shards follows the
+number of pieces, and anchors of more than ``HOT`` occurrences take another way. Their windows are hashed to 128 bits and
+their first places found by minima that are combined before they move, then joined back.
 
-Equal pieces meet in a shard, ordered by document; every one but the first is removed whole. The windows of the first
-ones are compared across all shards by 128-bit hashes, and each that also starts earlier is removed. So an exact copy
-costs a row per piece, not per window. A shard of many pieces is dealt to several tasks that compile the same automaton;
-what each task finds first is resolved with the windows. No text is shuffled but pieces and texts that lose words.
+Texts equal to one with a smaller id lose all words if they have twenty, and take no part in the rest. No text is
+shuffled but pieces and texts that lose words.
 
 Earlier means a smaller document id or, in the same one, an earlier start; a null id is the smallest; rows that repeat
 an id and a start are not earlier than each other. Windows are judged on the input. Null text has no words. All other
@@ -19,6 +20,8 @@ columns are kept; columns with names that are added are replaced.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,9 +33,10 @@ from phonolake.llm.registry import bound_batches, query, table
 from phonolake.session import materialise
 
 WINDOW = 20
-ANCHOR = 10
-PHRASES = 20_000
-PIECES = 200_000
+ANCHOR = 5
+PIECES = 50_000
+HOT = 50_000
+EVERYTHING = 2**31 - 1
 NO_ID = -(2**63)
 
 
@@ -43,7 +47,7 @@ def anchors(found: words.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes[starts] = words.sequence_hashes(found.hashes, starts, ANCHOR)
     windows = found.window_starts(WINDOW)
     spread = WINDOW - ANCHOR + 1
-    # Place of the smallest of the next 1, 2, 4, 8 phrases; the first of equal ones.
+    # Place of the smallest of the next 1, 2, 4, ... phrases; the first of equal ones.
     best, width = np.arange(len(found)), 1
     while width * 2 <= spread:
         later = np.minimum(np.arange(len(found)) + width, len(found) - 1)
@@ -80,41 +84,66 @@ def _normal(found: words.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return body, shift[found.starts], shift[found.ends - 1] + 1 if len(found) else found.ends
 
 
-PIECE = "_id long, _row long, _copy long, low int, anchor long, p1 long, p2 long, at int, size int, body binary"
+PIECE = "unit long, _id long, _row long, _copy long, low int, at int, size int, body binary"
+
+
+class _Runs:
+    """Runs of windows of one place of an anchor in the texts of a batch, those whose anchor is wanted."""
 
+    def __init__(self, batch: pa.RecordBatch, wanted: np.ndarray, other: np.ndarray | None) -> None:
+        self.found = words.Words(*words.raw(batch.column("_text")), words.PLAIN)
+        windows, anchor, hashes = anchors(self.found)
+        first, last = _runs(windows, anchor)
+        key = hashes[anchor[first]]
+        chosen = filters.contains(wanted, key)
+        if other is not None:
+            chosen &= ~filters.contains(other, key)
+        first, last = first[chosen], last[chosen]
+        self.key, self.place = key[chosen], anchor[first]
+        self.low, self.stop = windows[first], windows[last] + WINDOW
+        self.owner = self.found.owners()[self.low]
+        self.held = [batch.column(c).take(pa.array(self.owner)) for c in ("_id", "_row", "_copy")]
+        self.number = self.low - self.found.first[self.owner]
 
-def _pieces(shared):
+
+def _pieces(recurring, hot, units: int):
     def run(batches):
         for batch in words.slices(batches, "_text"):
-            found = words.Words(*words.raw(batch.column("_text")), words.PLAIN)
-            windows, anchor, hashes = anchors(found)
-            first, last = _runs(windows, anchor)
-            wanted = filters.contains(shared.value, hashes[anchor[first]])
-            first, last = first[wanted], last[wanted]
-            if not len(first):
+            runs = _Runs(batch, recurring.value, hot.value)
+            body, starts, ends = _normal(runs.found)
+            if not len(runs.low):
                 continue
-            place = anchor[first]
-            low, high = windows[first], windows[last] + WINDOW
-            body, starts, ends = _normal(found)
-            begin = starts[low]
-            texts = [body[a:b] for a, b in zip(begin.tolist(), ends[high - 1].tolist(), strict=True)]
-            offset = (place - low).astype(np.uint64)
-            p1 = words.mix(words.spans(found.hashes, low, high) + offset)
-            p2 = words.mix(words.spans(found.hashes, low, high, words.BASE + np.uint64(1310)) ^ offset)
-            owner = found.owners()[low]
-            held = [batch.column(c).take(pa.array(owner)) for c in ("_id", "_row", "_copy")]
-            numbers = [low - found.first[owner], starts[place] - begin, ends[place + ANCHOR - 1] - starts[place]]
-            numbers = [pa.array(x.astype(np.int32)) for x in numbers]
-            longs = [pa.array(words.signed(x)) for x in (hashes[place], p1, p2)]
+            begin = starts[runs.low]
+            texts = [body[a:b] for a, b in zip(begin.tolist(), ends[runs.stop - 1].tolist(), strict=True)]
+            unit = (runs.key % np.uint64(units)).astype(np.int64)
+            at, size = starts[runs.place] - begin, ends[runs.place + ANCHOR - 1] - starts[runs.place]
+            numbers = [pa.array(x.astype(np.int32)) for x in (runs.number, at, size)]
             yield pa.RecordBatch.from_arrays(
-                [*held, numbers[0], *longs, *numbers[1:], pa.array(texts, pa.binary())],
-                ["_id", "_row", "_copy", "low", "anchor", "p1", "p2", "at", "size", "body"],
+                [pa.array(unit), *runs.held, *numbers, pa.array(texts, pa.binary())],
+                ["unit", "_id", "_row", "_copy", "low", "at", "size", "body"],
             )
 
     return run
 
 
-OCCURRENCE = "_id long, _row long, _copy long, low int, windows int, first boolean, w1 array<long>, w2 array<long>"
+def _hot_windows(hot):
+    """Windows of hot anchors, each with its 128-bit hash."""
+
+    def run(batches):
+        for batch in words.slices(batches, "_text"):
+            runs = _Runs(batch, hot.value, None)
+            counts = runs.stop - runs.low - WINDOW + 1
+            inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            starts = np.repeat(runs.low, counts) + inner
+            hashes = [words.sequence_hashes(runs.found.hashes, starts, WINDOW, seed) for seed in (1, 2)]
+            which = pa.array(np.repeat(np.arange(len(counts)), counts))
+            number = pa.array((np.repeat(runs.number, counts) + inner).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [*(h.take(which) for h in runs.held), number, *(pa.array(words.signed(h)) for h in hashes)],
+                ["_id", "_row", "_copy", "start", "w1", "w2"],
+            )
+
+    return run
 
 
 def _automaton(phrases: list[str]):
@@ -127,92 +156,85 @@ def _automaton(phrases: list[str]):
     return machine
 
 
-def _stream(batches):
-    """Rows by unit (shard and deal): first its phrases (p1 null), then its pieces by (p1, p2, document, place)."""
-    unit, phrases, machine, last, seen = None, [], None, None, None
+def _resolve(rows: list[tuple]) -> list[tuple]:
+    """Spans of words to remove from one shard's pieces (id, row, copy, low, place and size of the phrase, text).
+
+    Pieces are taken in the order of their documents, so the first to show a window has its earliest place.
+    """
+    pieces = []
+    for doc, row, copy, low, at, size, body in rows:
+        text = body.decode()
+        phrase = body[at : at + size].decode()
+        # Places are bytes, the automaton counts characters of " text ".
+        pieces.append((doc, low, row, copy, at if len(text) == len(body) else len(body[:at].decode()), phrase, text))
+    pieces.sort(key=lambda p: p[:2])
+    times = Counter(p[5] for p in pieces)
+    machine = _automaton([phrase for phrase, n in times.items() if n > 1])
+    if not len(machine):
+        return []
+    seen: dict[str, dict[tuple, tuple]] = {}
+    out = []
+    for doc, low, row, copy, at, phrase, text in pieces:
+        if not any(size == len(phrase) and end - size - 1 == at for end, size in machine.iter(f" {text} ")):
+            continue
+        known = seen.setdefault(phrase, {})
+        found = text.split(" ")
+        gone = []
+        for k in range(len(found) - WINDOW + 1):
+            first = known.setdefault(tuple(found[k : k + WINDOW]), (doc, low + k))
+            if first < (doc, low + k):
+                gone.append(low + k)
+        for k, start in enumerate(gone):
+            if k and gone[k - 1] == start - 1:
+                out[-1] = (*out[-1][:3], start + WINDOW)
+            else:
+                out.append((row, copy, start, start + WINDOW))
+    return out
+
+
+SPAN = "_row long, _copy long, start int, stop int"
+
+
+def _shards(batches):
+    """Shards come sorted; one is held at a time, and it is bounded."""
+
+    def spans(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*_resolve(rows), strict=True)) or [[]] * 4
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["_row", "_copy", "start", "stop"])
+
+    unit, rows = None, []
     for batch in batches:
-        units = batch["unit"].to_pylist()
-        keys = list(zip(batch["p1"].to_pylist(), batch["p2"].to_pylist(), strict=True))
-        places = list(zip(batch["_id"].to_pylist(), batch["low"].to_pylist(), strict=True))
-        ats, bodies = batch["at"].to_pylist(), batch["body"].to_pylist()
-        rows, firsts = [], []
-        for i, key in enumerate(keys):
-            if units[i] != unit:
-                unit, phrases, machine, last = units[i], [], None, None
-            text = bodies[i].decode()
-            if key[0] is None:
-                phrases.append(text)
-                continue
-            if machine is None:
-                machine = _automaton(phrases)
-                phrases = []
-            # Places are bytes, the automaton counts characters of " text ".
-            at = len(bodies[i][: ats[i]].decode()) if len(text) != len(bodies[i]) else ats[i]
-            if not len(machine) or not any(end - size - 1 == at for end, size in machine.iter(f" {text} ")):
-                continue
-            if key != last:
-                last, seen = key, places[i]
-            rows.append(i)
-            firsts.append(places[i] == seen)
-        if rows:
-            yield _occurrences(batch.take(pa.array(rows)), np.array(firsts))
-
-
-def _occurrences(batch: pa.RecordBatch, first: np.ndarray) -> pa.RecordBatch:
-    """Found pieces; those that are first of their kind carry the hashes of their windows."""
-    found = words.Words(*words.raw(batch["body"].cast(pa.string())), words.PLAIN)
-    counts = (found.counts() - WINDOW + 1).astype(np.int32)
-    starts = found.window_starts(WINDOW)
-    stay = np.repeat(first, counts)
-    at = np.concatenate([[0], np.cumsum(np.where(first, counts, 0))]).astype(np.int32)
-    hashes = []
-    for seed in (1, 2):
-        values = pa.array(words.signed(words.sequence_hashes(found.hashes, starts[stay], WINDOW, seed)))
-        hashes.append(pa.ListArray.from_arrays(pa.array(at), values))
-    held = [batch[c] for c in ("_id", "_row", "_copy", "low")]
-    columns = [*held, pa.array(counts), pa.array(first), *hashes]
-    return pa.RecordBatch.from_arrays(columns, ["_id", "_row", "_copy", "low", "windows", "first", "w1", "w2"])
-
-
-def occurrences(texts: DataFrame) -> DataFrame:
-    """Places of confirmed phrases in ``texts`` (_id, _row, _copy, _text) with the windows around them."""
-    spark = texts.sparkSession
-    counts = texts.select("_text").mapInArrow(_counts, "anchor long, n long")
-    counts = counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1")
-    known = spark.sparkContext.broadcast(filters.build(counts, "anchor"))
-    pieces = materialise(texts.mapInArrow(_pieces(known), PIECE))
-    phrase = F.expr("substring(body, at + 1, size)")
-    confirmed = pieces.groupBy("anchor", phrase.alias("body")).agg(F.count("*").alias("n")).where("n > 1")
-    confirmed = materialise(confirmed.select("anchor", "body"))
-    shards = max(1, -(-confirmed.count() // PHRASES))
-    shard = F.pmod("anchor", F.lit(shards))
-    deals = pieces.groupBy(shard.alias("shard")).agg(F.ceil(F.count("*") / PIECES).cast("int").alias("deals"))
-    unit = F.struct("shard", "deal")
-    machines = confirmed.withColumn("shard", shard).join(deals, "shard")
-    machines = machines.withColumn("deal", F.explode(F.expr("sequence(0, deals - 1)")))
-    empty = {c: F.lit(None).cast("long") for c in ("_id", "_row", "_copy", "p1", "p2")}
-    machines = machines.withColumns(empty | {"low": F.lit(None).cast("int"), "at": F.lit(None).cast("int")})
-    rows = pieces.withColumn("shard", shard).join(deals, "shard")
-    rows = rows.withColumn("deal", F.expr("pmod(xxhash64(_row), deals)").cast("int"))
-    columns = ["_id", "_row", "_copy", "low", "p1", "p2", "at", "body"]
-    both = machines.select("shard", "deal", *columns).unionByName(rows.select("shard", "deal", *columns))
-    both = both.repartition("shard", "deal").sortWithinPartitions("shard", "deal", "p1", "p2", "_id", "low")
-    both = both.select((F.col("shard") * (1 << 31) + F.col("deal")).alias("unit"), *columns)
-    return both.mapInArrow(_stream, OCCURRENCE)
+        names = ["_id", "_row", "_copy", "low", "at", "size", "body"]
+        for number, *row in zip(*(batch[c].to_pylist() for c in ["unit", *names]), strict=True):
+            if number != unit:
+                if rows:
+                    yield spans(rows)
+                unit, rows = number, []
+            rows.append(tuple(row))
+    if rows:
+        yield spans(rows)
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """Words to remove: per (_row, _copy) the spans of words, (start, stop), that lie in windows seen earlier."""
-    found = materialise(occurrences(texts))
-    own = ["_row", "_copy"]
-    again = found.where(~F.col("first")).select(*own, F.col("low").alias("start"), (F.col("low") + F.col("windows") + WINDOW - 1).alias("stop"))
-    each = found.where("first").select("_id", *own, "low", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w"))
-    each = each.select("_id", *own, (F.col("low") + F.col("k")).alias("start"), "w.w1", "w.w2")
+    """Spans of words, (_row, _copy, start, stop), that windows seen earlier cover, of (_id, _row, _copy, _text)."""
+    spark = texts.sparkSession
+    counts = texts.select("_text").mapInArrow(_counts, "anchor long, n long")
+    counts = materialise(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
+    total = counts.where(F.col("n") <= HOT).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    units = max(1, -(-total // PIECES))
+    recurring = spark.sparkContext.broadcast(filters.build(counts, "anchor"))
+    hot = spark.sparkContext.broadcast(filters.build(counts.where(F.col("n") > HOT), "anchor"))
+    pieces = texts.mapInArrow(_pieces(recurring, hot, units), PIECE)
+    spans = pieces.repartition("unit").sortWithinPartitions("unit").mapInArrow(_shards, SPAN)
+    if not hot.value.any():
+        return spans
+    each = texts.mapInArrow(_hot_windows(hot), "_id long, _row long, _copy long, start int, w1 long, w2 long")
+    each = materialise(each)
     firsts = each.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("_id", "start")).alias("earliest"))
-    firsts = firsts.where("n > 1").select("w1", "w2", "earliest")
-    later = each.join(firsts, ["w1", "w2"]).where(F.struct("_id", "start") > F.col("earliest"))
-    spans = again.unionByName(later.select(*own, "start", (F.col("start") + WINDOW).alias("stop")))
-    return spans.groupBy(*own).agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
+    later = each.join(firsts.where("n > 1"), ["w1", "w2"]).where(F.struct("_id", "start") > F.col("earliest"))
+    return spans.unionByName(later.select("_row", "_copy", "start", (F.col("start") + WINDOW).alias("stop")))
 
 
 def _cut(column: pa.Array, spans: pa.Array) -> pa.Array:
@@ -229,8 +251,9 @@ def _cut(column: pa.Array, spans: pa.Array) -> pa.Array:
             continue
         edges = np.zeros(high - low + 1, np.int64)
         inner = listed.values
-        np.add.at(edges, inner.field("start").to_numpy(), 1)
-        np.add.at(edges, inner.field("stop").to_numpy(), -1)
+        if high - low >= WINDOW:
+            np.add.at(edges, inner.field("start").to_numpy(), 1)
+            np.add.at(edges, np.minimum(inner.field("stop").to_numpy(), high - low), -1)
         gone = np.cumsum(edges[:-1]) > 0
         stay = np.flatnonzero(~gone) + low
         out.append(b" ".join(body[a:b] for a, b in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)))
@@ -244,8 +267,19 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bound_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    keyed = pack(docs, _id=number, _row=F.xxhash64(doc_id, whole), _copy=F.xxhash64(whole), _text=whole)
-    spans = materialise(repeated_spans(keyed.select("_id", "_row", "_copy", "_text")))
+    hashes = {"_row": F.xxhash64(doc_id, whole), "_copy": F.xxhash64(whole), "_twin": F.xxhash64(F.lit(1), whole)}
+    keyed = pack(docs, _id=number, **hashes, _text=whole)
+    own = ["_row", "_copy"]
+    same = materialise(keyed.select("_id", *own, "_twin"))
+    firsts = same.groupBy("_copy", "_twin").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
+    firsts = firsts.where("_first < _last").drop("_last")
+    copies = same.join(firsts, ["_copy", "_twin"]).where("_id > _first").select(*own).distinct()
+    copies = materialise(copies)
+    texts = filters.without(keyed.select("_id", *own, "_text"), copies, *own)
+    spans = repeated_spans(texts).unionByName(
+        copies.select(*own, F.lit(0).alias("start"), F.lit(EVERYTHING).alias("stop"))
+    )
+    spans = materialise(spans.groupBy(*own).agg(F.collect_list(F.struct("start", "stop")).alias("_spans")))
     touched = filters.may_hold(spans, "_row", F.col("_row"))
 
     def cut(column: pa.Array, listed: pa.Array) -> pa.Array:
@@ -254,6 +288,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     cut = F.arrow_udf(cut, "text string, n_words long, n_removed long").asNondeterministic()
     none = F.lit(None).cast(spans.schema["_spans"].dataType)
     # Only texts that lose words meet their spans; the filter may send some others along.
+    keyed = keyed.drop("_id", "_twin")
     plain = keyed.where(~touched).withColumn("_spans", none)
     joined = keyed.where(touched).join(spans, ["_row", "_copy"], "left").select(*plain.columns)
     result = plain.unionByName(joined).withColumn("_cut", cut("_text", "_spans"))

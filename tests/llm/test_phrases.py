@@ -61,8 +61,9 @@ def test_edge_rows(spark, tmp_path):
     check(spark, tmp_path, docs)
 
 
-def test_small_shards_and_deals(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(phrases, "PHRASES", 4)
+@pytest.mark.parametrize("hot", [50_000, 6, 1])
+def test_small_shards_and_hot_phrases(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(phrases, "HOT", hot)
     monkeypatch.setattr(phrases, "PIECES", 7)
     rng = np.random.default_rng(1)
     shared = passages(rng, 3)
