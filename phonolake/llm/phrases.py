@@ -20,6 +20,7 @@ columns are kept; columns with names that are added are replaced.
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 
 import numpy as np
@@ -34,8 +35,8 @@ from phonolake.session import materialise
 
 WINDOW = 20
 ANCHOR = 5
-PIECES = 50_000
-HOT = 50_000
+PIECES = 8_000
+HOT = 20_000
 EVERYTHING = 2**31 - 1
 NO_ID = -(2**63)
 
@@ -172,16 +173,16 @@ def _resolve(rows: list[tuple]) -> list[tuple]:
     machine = _automaton([phrase for phrase, n in times.items() if n > 1])
     if not len(machine):
         return []
-    seen: dict[str, dict[tuple, tuple]] = {}
+    seen: dict[str, dict[str, tuple]] = {}
     out = []
     for doc, low, row, copy, at, phrase, text in pieces:
         if not any(size == len(phrase) and end - size - 1 == at for end, size in machine.iter(f" {text} ")):
             continue
         known = seen.setdefault(phrase, {})
-        found = text.split(" ")
+        cuts = [0, *itertools.accumulate(len(w) + 1 for w in text.split(" "))]
         gone = []
-        for k in range(len(found) - WINDOW + 1):
-            first = known.setdefault(tuple(found[k : k + WINDOW]), (doc, low + k))
+        for k in range(len(cuts) - WINDOW):
+            first = known.setdefault(text[cuts[k] : cuts[k + WINDOW] - 1], (doc, low + k))
             if first < (doc, low + k):
                 gone.append(low + k)
         for k, start in enumerate(gone):
