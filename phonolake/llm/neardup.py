@@ -45,6 +45,7 @@ BINS, BATCH = 1024, 128
 MISS = 1e-5
 BLOCK = 512
 SET_BLOCK = 256
+PAIRS = 1 << 14
 NO_ID = -(2**63)
 
 _draw = np.random.default_rng(77)
@@ -258,8 +259,8 @@ def _compare(percent: int, sparse: bool):
                 side = unit["side"].to_numpy()
                 a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1)))
             found, scores = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
-            for start in range(0, len(a), 1 << 16):
-                left, right = a[start : start + (1 << 16)], b[start : start + (1 << 16)]
+            for start in range(0, len(a), PAIRS):
+                left, right = a[start : start + PAIRS], b[start : start + PAIRS]
                 apart = parts[left] != parts[right]
                 left, right = left[apart], right[apart]
                 stay, share = survivors(left, right, sketches, sizes, percent)
@@ -395,9 +396,11 @@ def links(texts: DataFrame, pairs: DataFrame, blocks: DataFrame, keys: DataFrame
     return rows.mapInArrow(_verify(percent), "a long, b long")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """Smallest reachable id of every node of ``edges`` (a, b): (node, component).
 
+    After a limited number of rounds it is a smaller id of the same component.
+
     Large-star and small-star in turn: each step hangs nodes onto the smallest neighbour by equi joins and minima, until
     every edge leads to its component's smallest node. Steps are written, so a lost executor repeats one step only.
     """
@@ -414,10 +417,13 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = materialise(small.where("u <> v").distinct())
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == seen:
+        rounds = None if rounds is None else rounds - 1
+        if state == seen or rounds == 0:
             break
         seen = state
-    found = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    found = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    if rounds == 0:
+        return found
     return found.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
@@ -443,7 +449,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     blocks = materialise(_blocks(groups))
     pairs = similar_pairs(members, signatures, percent, None)
     edges = materialise(links(texts, pairs, blocks, keys, percent))
-    rest = similar_pairs(members, signatures, percent, components(edges)).join(pairs, ["a", "b"], "left_anti")
+    rest = similar_pairs(members, signatures, percent, components(edges, 3)).join(pairs, ["a", "b"], "left_anti")
     edges = edges.unionByName(links(texts, rest, blocks, keys, percent))
     # A row's id hangs on its class, so ids that several classes share join them.
     own = held.join(classes, ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("cls").alias("b"))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 1 << 19
-SLICE = 1 << 20
+SLICE = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 NOT_ALNUM = bytes(b for b in range(128) if not (48 <= b <= 57 or 97 <= b <= 122))
@@ -75,7 +75,7 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches of at most about a megabyte of ``column``, one row at least."""
+    """Batches of at most about half a megabyte of ``column``, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
