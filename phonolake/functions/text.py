@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,6 +59,26 @@ def sentences(text: Column, granularity: str = "sentence") -> Column:
     return F.filter(F.transform(pieces, strip), lambda p: p != "")
 
 
+def ready_pieces(buffer: str, granularity: str) -> tuple[list[str], str]:
+    """Pieces whose end is certain, and the rest.
+
+    A piece ends behind a mark and its closing characters once another character follows: until then more closing
+    characters may come.
+    """
+    marks, closing = char_class(marks_of(granularity)), char_class(T.CLOSING_CHARS)
+    certain = re.compile(f"[^{marks}]*[{marks}][{closing}]*(?=[^{closing}])")
+    pieces, at = [], 0
+    while found := certain.match(buffer, at):
+        pieces.append(found.group().strip())
+        at = found.end()
+    return [p for p in pieces if p], buffer[at:]
+
+
+def rest_pieces(buffer: str, granularity: str) -> list[str]:
+    """All pieces of a text that is complete."""
+    return [p for p in (m.strip() for m in re.findall(piece_pattern(granularity), buffer)) if p]
+
+
 def words(text: Column) -> Column:
     """Lower-case letter runs."""
     return F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ]+"), F.lit(0))

@@ -5,6 +5,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,7 +84,12 @@ def fold_session_config(messages: DataFrame) -> DataFrame:
 
 
 def session_sentences(messages: DataFrame, granularity: str = "sentence") -> DataFrame:
-    """Sentences of each session's concatenated text (session_id, sentence_index, sentence_text).
+    """Sentences of each session's concatenated text (session_id, sentence_index, sentence_text), all cut alike."""
+    return placed_sentences(messages, granularity).drop("seq")
+
+
+def placed_sentences(messages: DataFrame, granularity: str) -> DataFrame:
+    """Sentences with ``seq``, the message that made their end certain: where the next one begins, else the last.
 
     The text of a session is never put together whole. Each message is cut by itself; what it needs to know of the
     messages before it is one bit, whether they end in a mark and closing characters, so that the next other
@@ -114,14 +122,18 @@ def session_sentences(messages: DataFrame, granularity: str = "sentence") -> Dat
     placed = join_on(texts, facts.select("session_id", "seq", "pending", "first_no"), ["session_id", "seq"])
     parts = F.when(F.coalesce("pending", F.lit(False)), F.concat(F.array(lead), behind)).otherwise(whole)
     unsure = F.col("done_seq").isNull() & (F.col("seq") == F.col("last_text_seq"))
-    rows = placed.select("session_id", "seq", "first_no", unsure.alias("unsure"), parts.alias("parts")).select(
-        "session_id", "seq", "first_no", "unsure", F.size("parts").alias("n"), F.posexplode("parts").alias("k", "part")
-    )
+    rows = placed.select("session_id", "seq", "done_seq", "first_no", unsure.alias("unsure"), parts.alias("parts"))
+    rows = rows.select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("k", "part")).drop("parts")
     ordered = F.sort_array(F.collect_list(F.struct("seq", "k", "part")))
     sentences = rows.groupBy("session_id", (F.col("first_no") + F.col("k")).alias("sentence_index")).agg(
         X.strip(F.array_join(F.transform(ordered, lambda p: p["part"]), "")).alias("sentence_text"),
         F.max(F.col("unsure") & (F.col("k") == F.col("n") - 1)).alias("unsure"),
+        F.min("seq").alias("begins"),
+        F.max("done_seq").alias("done_seq"),
     )
+    nexts = sentences.select("session_id", (F.col("sentence_index") - 1).alias("sentence_index"), F.col("begins").alias("seq"))
+    sentences = join_on(sentences.drop("begins"), nexts, ["session_id", "sentence_index"], "left")
+    sentences = sentences.withColumn("seq", F.coalesce("seq", "done_seq")).drop("done_seq")
     sure = sentences.where(~F.col("unsure") & (F.col("sentence_text") != "")).drop("unsure")
     if not any(m.isspace() for m in X.marks_of(granularity)):
         # Every sentence but the last holds a mark, so none in between was empty and the numbers have no gaps.
@@ -129,16 +141,56 @@ def session_sentences(messages: DataFrame, granularity: str = "sentence") -> Dat
     # A line break is a mark that is trimmed away, so empty pieces leave gaps.
     sure = materialise(sure.withColumnRenamed("sentence_index", "raw_no"))
     return number_rows(sure, ["session_id"], "raw_no", "sentence_index").select(
-        "session_id", "sentence_index", "sentence_text"
+        "session_id", "sentence_index", "sentence_text", "seq"
     )
 
 
-def sentence_requests(messages: DataFrame, granularity: str = "sentence") -> DataFrame:
-    """Sentences with the session's final voice and sampling configuration."""
-    folded = fold_session_config(messages)
-    cols = [*STICKY, *RESET]
-    final = folded.groupBy("session_id").agg(F.max_by(F.struct(*cols), "seq").alias("c")).select("session_id", "c.*")
-    return lookup_join(session_sentences(messages, granularity), final, "session_id", "left")
+def _fold_pieces(batches):
+    """Sentences of sessions whose granularity changes: rows come by session and seq, one buffer is held at a time."""
+    session, buffer, number = None, "", 0
+    for batch in batches:
+        out = []
+        columns = (batch[c].to_pylist() for c in ("key", "seq", "type", "text", "split_granularity"))
+        for key, seq, kind, text, granularity in zip(*columns, strict=True):
+            if key != session:
+                session, buffer, number = key, "", 0
+            if kind == "input.text":
+                pieces, buffer = X.ready_pieces(buffer + (text or ""), granularity)
+            else:
+                pieces, buffer = X.rest_pieces(buffer, granularity), ""
+            out += [(key, number + k, piece, seq) for k, piece in enumerate(pieces)]
+            number += len(pieces)
+        arrays = zip(*out, strict=True) if out else [[]] * 4
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64()]
+        arrays = [pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, ["key", "sentence_index", "sentence_text", "seq"])
+
+
+def sentence_requests(messages: DataFrame) -> DataFrame:
+    """Sentences with the voice and sampling configuration in force when their end became certain.
+
+    The granularity is that of the configuration. Sessions that keep one are cut message by message in parallel; in
+    a session that changes it, what is left in the buffer is cut anew, which is a fold over its messages in order.
+    """
+    folded = materialise(fold_session_config(messages))
+    said = folded.where(F.col("type").isin("input.text", "input.done"))
+    mark = F.when(F.col("split_granularity") == "sentence", "sentence").otherwise("clause")
+    used = said.groupBy("session_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+    used = materialise(used)
+    parts = []
+    for granularity in ("sentence", "clause"):
+        own = used.where((F.col("least") == granularity) & (F.col("most") == granularity)).select("session_id")
+        parts.append(placed_sentences(join_on(messages, own, ["session_id"]), granularity))
+    mixed = used.where("least <> most").select("session_id")
+    rows = join_on(join_on(open_messages(messages), mixed, ["session_id"]), said.select("session_id", "seq", "split_granularity").withColumnRenamed("split_granularity", "in_force"), ["session_id", "seq"])
+    kind = messages.schema["session_id"].dataType
+    rows = rows.select(F.col("session_id").cast("string").alias("key"), "seq", "type", "text", F.col("in_force").alias("split_granularity"))
+    rows = rows.repartition("key").sortWithinPartitions("key", "seq")
+    cut = rows.mapInArrow(_fold_pieces, "key string, sentence_index long, sentence_text string, seq long")
+    parts.append(cut.select(F.col("key").cast(kind).alias("session_id"), "sentence_index", "sentence_text", "seq"))
+    columns = ["session_id", "sentence_index", "sentence_text", "seq"]
+    sentences = reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+    return join_on(sentences, folded.drop("type"), ["session_id", "seq"]).drop("seq")
 
 
 def assemble_audio(chunks: DataFrame, chunks_per_part: int = 4096) -> DataFrame:

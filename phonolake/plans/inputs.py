@@ -112,6 +112,30 @@ def token_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("request_id", "seq", text.alias("text"))
 
 
+def changing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as sessions in which a configuration precedes every text; sessions of odd number cut at clauses."""
+    turns = table(spark, sf_dir, "conversations")
+    turn, conv = F.col("turn"), F.col("conv_id")
+    granularity = F.when(conv % 2 == 1, "clause")
+    fields = {f: F.lit(None).cast(k) for f, k in (("speaker", "string"), ("stream_audio", "boolean"),
+              ("repetition_penalty", "double"), ("temperature", "double"), ("top_p", "double"))}
+    config = turns.select(
+        conv.alias("session_id"),
+        (2 * turn).alias("seq"),
+        F.lit("session.config").alias("type"),
+        F.lit(None).cast("string").alias("text"),
+        F.when(turn % 3 != 1, F.concat(F.lit("voice"), turn.cast("string"))).alias("voice"),
+        granularity.alias("split_granularity"),
+        F.when(turn % 2 == 0, "wav").alias("response_format"),
+        F.when(turn % 3 == 2, (1000 + turn).cast("int")).alias("max_tokens"),
+        *[c.alias(f) for f, c in fields.items()],
+    )
+    said = turns.select(conv.alias("session_id"), (2 * turn + 1).alias("seq"), F.lit("input.text").alias("type"), F.concat("text", F.lit(" and")).alias("text"))
+    ends = turns.groupBy(conv.alias("session_id")).agg((2 * F.max("turn") + 2).alias("seq"))
+    ends = ends.withColumn("type", F.lit("input.done"))
+    return config.unionByName(said, allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
+
+
 def uneven_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token stream with gaps, where sign-ups, one seq in thirteen and a run of them are left out, and with
     repeats: every fifth event comes twice, every eleventh again as noise."""
@@ -242,6 +266,14 @@ INPUT_SQL = {
                 count(*) FILTER (event_type NOT IN ('error', 'signup')) OVER (PARTITION BY user_id ORDER BY event_id
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k
               FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id))""",
+    "changing_messages": """
+        SELECT conv_id AS session_id, 2 * turn AS seq, 'session.config' AS type, NULL AS text,
+          CASE WHEN turn % 3 <> 1 THEN 'voice' || turn END AS voice,
+          CASE WHEN turn % 2 = 0 THEN 'wav' ELSE 'pcm' END AS response_format,
+          CASE WHEN turn % 3 = 2 THEN 1000 + turn END AS max_tokens FROM conversations
+        UNION ALL SELECT conv_id, 2 * turn + 1, 'input.text', text || ' and', NULL, NULL, NULL FROM conversations
+        UNION ALL SELECT conv_id, 2 * max(turn) + 2, 'input.done', NULL, NULL, NULL, NULL FROM conversations
+        GROUP BY 1""",
     "uneven_events": """
         SELECT * FROM (
           SELECT * FROM token_events UNION ALL SELECT * FROM token_events WHERE seq % 5 = 0

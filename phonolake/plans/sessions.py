@@ -13,7 +13,7 @@ from phonolake.plans import inputs as I
 from phonolake.plans.generated import WINDOWS_SQL, _pick
 from phonolake.plans.inputs import with_inputs
 from phonolake.plans.registry import query
-from phonolake.plans.text import sentences_sql
+from phonolake.plans.text import WS_SQL, sentences_sql, sql_text
 from phonolake.session import scratch_dir
 from phonolake.sources import streams
 from phonolake.streaming.run import run_to_table, run_updates_to_table
@@ -59,16 +59,48 @@ def fold_session_config(spark, sf_dir):
     return ops.fold_session_config(I.session_messages(spark, sf_dir))
 
 
+# A sentence belongs to the first text message that reaches behind its end, else to the end of the session.
+REQUESTS_SQL = {
+    "config_at": """
+        SELECT session_id, seq, coalesce(last_value(voice IGNORE NULLS) OVER w, 'Metin') AS voice,
+          coalesce(last_value(max_tokens IGNORE NULLS) OVER w, 2000)::INTEGER AS max_tokens,
+          coalesce(last_value(response_format IGNORE NULLS) OVER w, 'pcm') AS response_format
+        FROM changing_messages
+        WINDOW w AS (PARTITION BY session_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+    "session_granularity": """
+        SELECT session_id, max(seq) AS done_seq, string_agg(text, '' ORDER BY seq) AS text,
+          session_id % 2 = 1 AS by_clause FROM changing_messages GROUP BY 1""",
+    "raw_pieces": f"""
+        SELECT session_id, done_seq, unnest(p) AS piece, generate_subscripts(p, 1) AS k FROM
+          (SELECT session_id, done_seq, CASE WHEN by_clause
+             THEN regexp_extract_all(text, {sql_text(X.piece_pattern("clause"))})
+             ELSE regexp_extract_all(text, {sql_text(X.piece_pattern("sentence"))}) END AS p
+           FROM session_granularity)""",
+    "piece_ends": f"""
+        SELECT session_id, done_seq, k, trim(piece, {WS_SQL}) AS sentence_text,
+          sum(length(piece)) OVER (PARTITION BY session_id ORDER BY k) AS piece_end FROM raw_pieces""",
+    "message_ends": """
+        SELECT session_id, seq, sum(length(text)) OVER (PARTITION BY session_id ORDER BY seq) AS message_end
+        FROM changing_messages WHERE type = 'input.text'""",
+    "requests_at": """
+        SELECT p.session_id, k, sentence_text, coalesce(min(m.seq), any_value(done_seq)) AS seq
+        FROM piece_ends p LEFT JOIN message_ends m ON m.session_id = p.session_id AND m.message_end > p.piece_end
+        WHERE sentence_text <> '' GROUP BY ALL""",
+}
+
+
 @query(
     "sentence_requests",
     with_inputs(
-        """SELECT session_id, sentence_index, sentence_text, voice, max_tokens, response_format
-           FROM session_sentences JOIN final_config USING (session_id)""",
-        **SENTENCES_SQL,
+        """SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY k) - 1 AS sentence_index,
+             sentence_text, voice, max_tokens, response_format
+           FROM requests_at JOIN config_at USING (session_id, seq)""",
+        **REQUESTS_SQL,
     ),
 )
 def sentence_requests(spark, sf_dir):
-    rows = ops.sentence_requests(I.session_messages(spark, sf_dir))
+    """Sessions that are configured again between their texts, half of them with clauses from the start."""
+    rows = ops.sentence_requests(I.changing_messages(spark, sf_dir))
     return rows.select("session_id", "sentence_index", "sentence_text", "voice", "max_tokens", "response_format")
 
 
@@ -136,8 +168,8 @@ def message_files(spark, sf_dir) -> str:
 
 def session_events(spark, sf_dir) -> DataFrame:
     files = message_files(spark, sf_dir)
-    stream = streams.read_session_stream(spark, files, spark.sparkContext.defaultParallelism)
-    return run_to_table(segment_sessions(stream))
+    stream = streams.read_session_stream(spark, files, spark.sparkContext.defaultParallelism, "long")
+    return run_to_table(segment_sessions(stream, None))
 
 
 @query(
@@ -190,8 +222,8 @@ def windows_of_stream(spark, sf_dir):
     path = scratch_dir(spark)
     events = I.token_events(spark, sf_dir)
     events.repartition(2 * spark.sparkContext.defaultParallelism, "request_id", "seq").write.parquet(path)
-    stream = streams.read_token_stream(spark, path, spark.sparkContext.defaultParallelism)
-    rows = run_to_table(stream_windows(stream))
+    stream = streams.read_token_stream(spark, path, spark.sparkContext.defaultParallelism, "long")
+    rows = run_to_table(stream_windows(stream, None))
     return rows.select("request_id", "token_index", *[C.join_ints(F.col(f"l{n}")).alias(f"l{n}") for n in range(3)])
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from phonolake.operators.sessions import MESSAGE_SCHEMA
 
-RAW_MESSAGES = "session_id long, seq long, payload string"
-TOKEN_EVENTS = "request_id long, seq long, text string"
+RAW_MESSAGES = "session_id {id_type}, seq long, payload string"
+TOKEN_EVENTS = "request_id {id_type}, seq long, text string"
 
 
 def parse_messages(raw: DataFrame) -> DataFrame:
@@ -19,16 +19,20 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     return parsed.select("session_id", "seq", *fields)
 
 
-def read_session_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def read_session_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, id_type: str = "string"
+) -> DataFrame:
     """Messages from a folder of JSON lines; a Kafka topic gives the same three columns."""
-    reader = spark.readStream.schema(RAW_MESSAGES)
+    reader = spark.readStream.schema(RAW_MESSAGES.format(id_type=id_type))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return parse_messages(reader.json(path))
 
 
-def read_token_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(TOKEN_EVENTS)
+def read_token_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, id_type: str = "string"
+) -> DataFrame:
+    reader = spark.readStream.schema(TOKEN_EVENTS.format(id_type=id_type))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

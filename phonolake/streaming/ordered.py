@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import types as Ty
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -12,6 +13,13 @@ from phonolake.functions.schema import struct
 
 
 WAIT_BLOCK = 256
+KEEP_MS = 3_600_000
+
+
+def with_key_type(output: Ty.StructType, stream: DataFrame, key: str) -> Ty.StructType:
+    """``output`` with the type that ``key`` has in the stream."""
+    kind = stream.schema[key].dataType
+    return Ty.StructType([Ty.StructField(f.name, kind if f.name == key else f.dataType) for f in output])
 
 
 class OrderedProcessor(StatefulProcessor):
@@ -19,15 +27,17 @@ class OrderedProcessor(StatefulProcessor):
 
     Rows that come too early wait in keyed state until the gap closes; repeated rows are ignored. Waiting rows are
     kept in blocks of 256 numbers, so a block costs one state access, and only the block that is next is held in
-    memory. A subclass names its state and row fields and folds one row at a time. With ``timeout_ms`` a key without
-    new rows for that long is closed through :meth:`on_timeout`.
+    memory. A subclass names its state and row fields and folds one row at a time. A key without new rows for
+    ``timeout_ms`` is closed through :meth:`on_timeout`, and all its state goes; a key that was closed before keeps a
+    mark for as long, by which late rows are ignored. ``None`` keeps all state: for runs over a bounded input, which
+    timers would not let end.
     """
 
     state_schema: Ty.StructType
     row_fields: list[Ty.StructField]
     out_columns: list[str]
 
-    def __init__(self, timeout_ms: int | None = None) -> None:
+    def __init__(self, timeout_ms: int | None = KEEP_MS) -> None:
         self.timeout_ms = timeout_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -64,8 +74,7 @@ class OrderedProcessor(StatefulProcessor):
         if self.timeout_ms is not None:
             for timer in list(self.handle.listTimers()):
                 self.handle.deleteTimer(timer)
-            if not closed:
-                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
 
     def _rows(self, batch: pd.DataFrame, next_seq: int) -> dict[int, list]:
         names = ["seq", *[f.name for f in self.row_fields]]
@@ -105,12 +114,11 @@ class OrderedProcessor(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         next_seq, closed, *state = self.state.get() or (0, True)
-        if closed:
-            return
         out: list[tuple] = []
-        self.on_timeout(key, next_seq, list(state), out)
+        if not closed:
+            self.on_timeout(key, next_seq, list(state), out)
         self.waiting.clear()
-        self.state.update((next_seq, True, *state))
+        self.state.clear()
         if out:
             yield self.frame(out)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from phonolake.functions import tokens as T
 from phonolake.functions.schema import struct
 from phonolake.operators.sessions import MESSAGE_SCHEMA, RESET, STICKY
 from phonolake.session import ROCKSDB_PROVIDER
-from phonolake.streaming.ordered import OrderedProcessor
+from phonolake.streaming.ordered import KEEP_MS, OrderedProcessor, with_key_type
 
 CONFIG_FIELDS = {
     "voice": "string",
@@ -36,26 +34,6 @@ SESSION_OUTPUT = struct(
 CONFIG = list(CONFIG_FIELDS)
 
 
-def ready_pieces(buffer: str, granularity: str) -> tuple[list[str], str]:
-    """Pieces whose end is certain, and the rest.
-
-    A piece ends behind a mark and its closing characters once another character follows: until then more closing
-    characters may come.
-    """
-    marks, closing = X.char_class(X.marks_of(granularity)), X.char_class(T.CLOSING_CHARS)
-    certain = re.compile(f"[^{marks}]*[{marks}][{closing}]*(?=[^{closing}])")
-    pieces, at = [], 0
-    while found := certain.match(buffer, at):
-        pieces.append(found.group().strip())
-        at = found.end()
-    return [p for p in pieces if p], buffer[at:]
-
-
-def rest_pieces(buffer: str, granularity: str) -> list[str]:
-    """All pieces of a text that is complete."""
-    return [p for p in (m.strip() for m in re.findall(X.piece_pattern(granularity), buffer)) if p]
-
-
 class SessionProcessor(OrderedProcessor):
     """Sentence buffer, configuration and end of one session.
 
@@ -77,10 +55,10 @@ class SessionProcessor(OrderedProcessor):
             self._configure(message, state)
             self._emit(out, key, seq, "configured", state)
         elif kind == "input.text":
-            pieces, state[0] = ready_pieces(state[0] + (message["text"] or ""), self._granularity(state))
+            pieces, state[0] = X.ready_pieces(state[0] + (message["text"] or ""), self._granularity(state))
             self._sentences(out, key, seq, pieces, state)
         elif kind == "input.done":
-            self._sentences(out, key, seq, rest_pieces(state[0], self._granularity(state)), state)
+            self._sentences(out, key, seq, X.rest_pieces(state[0], self._granularity(state)), state)
             state[0] = ""
             self._emit(out, key, seq, "done", state)
             return True
@@ -115,12 +93,15 @@ class SessionProcessor(OrderedProcessor):
         out.append((key[0], seq, kind, index, text, *state[2:], error))
 
 
-def segment_sessions(messages: DataFrame, timeout_ms: int | None = None) -> DataFrame:
-    """Session events of a stream of messages (session_id, seq, type, …)."""
+def segment_sessions(messages: DataFrame, timeout_ms: int | None = KEEP_MS) -> DataFrame:
+    """Session events of a stream of messages (session_id, seq, type, …); ids keep their type.
+
+    A session without messages for ``timeout_ms`` is closed, and its state goes; that of a done session does as well.
+    """
     use_rocksdb(messages)
     return messages.groupBy("session_id").transformWithStateInPandas(
         statefulProcessor=SessionProcessor(timeout_ms),
-        outputStructType=SESSION_OUTPUT,
+        outputStructType=with_key_type(SESSION_OUTPUT, messages, "session_id"),
         outputMode="Append",
         timeMode="None" if timeout_ms is None else "ProcessingTime",
     )
@@ -131,12 +112,18 @@ def use_rocksdb(stream: DataFrame) -> None:
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def stream_session_totals(chunks: DataFrame) -> DataFrame:
+def stream_session_totals(chunks: DataFrame, time: str | None = None, keep: str = "1 day") -> DataFrame:
     """Running totals per session of a stream of chunks (session_id, sentence_index, bytes, error).
 
-    Run it in update mode. A sentence fails at most once, with its last chunk row.
+    Run it in update mode. A sentence fails at most once, with its last chunk row. With an event-time column ``time``
+    totals are of sessions of chunks less than ``keep`` apart, and their state goes once the watermark has passed;
+    without one it stays for good, which is meant for bounded input.
     """
-    return chunks.groupBy("session_id").agg(
+    key = ["session_id"]
+    if time is not None:
+        key.append(F.session_window(time, keep))
+        chunks = chunks.withWatermark(time, keep)
+    return chunks.groupBy(*key).agg(
         (F.max("sentence_index") + 1).alias("total_sentences"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
         F.count_if("error").alias("failed_sentences"),

@@ -9,7 +9,7 @@ from phonolake.functions import tokens as T
 from phonolake.functions.schema import struct
 from phonolake.operators.codes import in_range
 from phonolake.operators.generated import parse_tokens, window_layers
-from phonolake.streaming.ordered import OrderedProcessor
+from phonolake.streaming.ordered import KEEP_MS, OrderedProcessor, with_key_type
 from phonolake.streaming.sessions import use_rocksdb
 
 WINDOW = T.SLOTS * T.WINDOW_FRAMES
@@ -33,21 +33,26 @@ class WindowProcessor(OrderedProcessor):
         code = int(row[0]) - T.CUSTOM_TOKEN_SHIFT - (accepted % T.SLOTS) * T.CODEBOOK
         if code > 0:
             accepted += 1
-            recent = [*recent, code][-WINDOW:]
+            recent.append(code)
+            if len(recent) >= 2 * WINDOW:
+                del recent[:-WINDOW]
             if accepted % T.SLOTS == 0 and accepted >= WINDOW:
-                out.append((key[0], accepted, recent))
+                out.append((key[0], accepted, recent[-WINDOW:]))
             state[:] = [accepted, recent]
         return False
 
 
-def stream_windows(events: DataFrame) -> DataFrame:
-    """Valid windows of a stream of token events (request_id, seq, text); same rows as the batch operator."""
+def stream_windows(events: DataFrame, timeout_ms: int | None = KEEP_MS) -> DataFrame:
+    """Valid windows of a stream of token events (request_id, seq, text); same rows as the batch operator.
+
+    Ids keep their type. The state of a request goes when it has had no event for ``timeout_ms``.
+    """
     use_rocksdb(events)
     parsed = parse_tokens(events).select("request_id", "seq", "token_number")
     windows = parsed.groupBy("request_id").transformWithStateInPandas(
-        statefulProcessor=WindowProcessor(),
-        outputStructType=WINDOW_OUTPUT,
+        statefulProcessor=WindowProcessor(timeout_ms),
+        outputStructType=with_key_type(WINDOW_OUTPUT, events, "request_id"),
         outputMode="Append",
-        timeMode="None",
+        timeMode="None" if timeout_ms is None else "ProcessingTime",
     )
     return window_layers(windows.where(F.forall("codes", lambda c: in_range(c, "lenient"))))

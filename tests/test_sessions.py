@@ -121,20 +121,20 @@ def test_assemble_audio(spark):
 def write_messages(spark, sessions, files):
     """JSON lines with the messages of each session scattered over all files."""
     rows = [
-        (s, i, json.dumps({k: v for k, v in m.items() if v is not None}))
+        (str(s), i, json.dumps({k: v for k, v in m.items() if v is not None}))
         for s, ms in sessions.items()
         for i, m in enumerate(ms)
     ]
     random.Random(3).shuffle(rows)
     path = scratch_dir(spark)
-    spark.createDataFrame(rows, streams.RAW_MESSAGES).repartition(files).write.json(path)
+    spark.createDataFrame(rows, streams.RAW_MESSAGES.format(id_type="string")).repartition(files).write.json(path)
     return path
 
 
 def test_stream_equals_batch(spark):
     sessions = random_sessions(40, seed=21)
     stream = streams.read_session_stream(spark, write_messages(spark, sessions, 5), 1)
-    events = run_to_table(segment_sessions(stream))
+    events = run_to_table(segment_sessions(stream, None))
     got = by_session(events.where(F.col("kind") == "sentence").collect())
     batch = by_session(ops.session_sentences(messages(spark, sessions)).collect())
     assert got == batch
@@ -156,7 +156,7 @@ def test_stream_config_errors_and_granularity_change(spark):
         ]
     }
     stream = streams.read_session_stream(spark, write_messages(spark, sessions, 3), 1)
-    rows = run_to_table(segment_sessions(stream)).orderBy("seq", "sentence_index").collect()
+    rows = run_to_table(segment_sessions(stream, None)).orderBy("seq", "sentence_index").collect()
     said = [(r["seq"], r["sentence_text"]) for r in rows if r["kind"] == "sentence"]
     # The clause mark in the buffer counts from the next text on; then the default granularity is back.
     assert said == [(2, "a,"), (5, "b c, d."), (6, "e")]
@@ -210,8 +210,8 @@ def test_stream_windows(spark):
     rows = [(r, i, t) for r, texts in requests.items() for i, t in enumerate(texts)]
     rng.shuffle(rows)
     path = scratch_dir(spark)
-    spark.createDataFrame(rows, streams.TOKEN_EVENTS).repartition(4).write.parquet(path)
-    got = run_to_table(stream_windows(streams.read_token_stream(spark, path, 1))).collect()
+    spark.createDataFrame(rows, streams.TOKEN_EVENTS.format(id_type="string")).repartition(4).write.parquet(path)
+    got = run_to_table(stream_windows(streams.read_token_stream(spark, path, 1), None)).collect()
     assert {(r["request_id"], r["token_index"]) for r in got} == {
         (r, end) for r, texts in requests.items() for end, _ in slow_windows(slow_extract(texts, "compat"))
     }
