@@ -45,17 +45,45 @@ def prepare_format_a(
     if mode == "ignore" and _has_rows(audio, f"{out_dir}/parquet"):
         return None
     rows = corpus.attach_text(audio.select("utt_id", "filepath", "speaker", "n_samples"), meta)
+    return _write_format_a(rows, layers, vocab, out_dir, ["utt_id"], max_len, rows_per_shard, mode)
+
+
+def prepare_manifest(
+    manifest: DataFrame,
+    layers: DataFrame,
+    vocab: DataFrame,
+    out_dir: str,
+    sort_by_length: bool = True,
+    max_len: int = T.MAX_LEN_A,
+    rows_per_shard: int = T.ROWS_PER_SHARD,
+    mode: str = "errorifexists",
+) -> DataFrame | None:
+    """Manifest rows, which carry their text, to format-A shards, by default in the order of their frames.
+
+    ``manifest``: utt_id, wav_path, speaker, text, frames. With ``mode="ignore"`` an existing set is kept.
+    """
+    corpus.require_columns(manifest, ["utt_id", "wav_path", "speaker", "text", "frames"])
+    if mode == "ignore" and _has_rows(manifest, f"{out_dir}/parquet"):
+        return None
+    rows = manifest.where(F.col("text").isNotNull())
+    rows = rows.select("utt_id", F.col("wav_path").alias("filepath"), "speaker", "text", F.col("frames").cast("long").alias("n_samples"))
+    order = ["n_samples", "utt_id"] if sort_by_length else ["utt_id"]
+    return _write_format_a(rows, layers, vocab, out_dir, order, max_len, rows_per_shard, mode)
+
+
+def _write_format_a(rows, layers, vocab, out_dir: str, order: list[str], max_len: int, rows_per_shard: int, mode: str):
     prompt = X.voice_prompt(F.col("speaker"), F.col("text"))
     rows = with_prompt_ids(rows, prompt, vocab, ["filepath", "speaker", "n_samples"])
     length = corpus.length_a(F.col("prompt_ids"), F.col("n_samples")).cast("int")
     tagged = materialise(corpus.tag_length(rows.withColumn("seq_len", length), length, max_len))
 
     accepted = corpus.kept(tagged).drop("seq_len").join(layers.hint("merge"), "utt_id")
-    sequences = corpus.assemble_a(accepted, 0).withColumnRenamed("filepath", "filename").drop("n_samples")
-    shards = writers.write_shards(sequences, out_dir, ["utt_id"], rows_per_shard, mode, key=["utt_id"])
+    sequences = corpus.assemble_a(accepted, 0).withColumnRenamed("filepath", "filename")
+    sequences = sequences if "n_samples" in order else sequences.drop("n_samples")
+    shards = writers.write_shards(sequences, out_dir, order, rows_per_shard, mode, key=["utt_id"])
     stats = materialise(corpus.corpus_stats(tagged))
     writers.write_stats(stats, f"{out_dir}/stats")
-    writers.write_pointer(audio.sparkSession, out_dir, shards)
+    writers.write_pointer(rows.sparkSession, out_dir, shards)
     return stats
 
 

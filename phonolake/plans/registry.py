@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-MODULES = ["corpus", "codes", "text", "generated", "shaping", "vocab", "sessions", "telemetry", "storage"]
+MODULES = ["corpus", "codes", "text", "generated", "shaping", "vocab", "sessions", "telemetry", "storage", "sources"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -160,7 +160,11 @@ def write_stats(spark, sf_dir):
     return spark.read.schema(schema).json(path).withColumn("hours", F.round("hours", 6))
 
 
-@query("manifest_roundtrip", "SELECT count(*) AS rows, sum(n_chars // 2)::BIGINT AS frames FROM documents")
+@query(
+    "manifest_roundtrip",
+    """SELECT 'd' || doc_id AS filename, source AS speaker, md5(text) AS text_md5, (n_chars // 2)::INTEGER AS frames,
+         n_chars / 100 AS duration_sec FROM documents""",
+)
 def manifest_roundtrip(spark, sf_dir):
     """Documents written as a manifest CSV and read through the manifest reader."""
     docs = I.table(spark, sf_dir, "documents")
@@ -174,6 +178,6 @@ def manifest_roundtrip(spark, sf_dir):
         (F.col("n_chars") / 100).cast("string").alias("duration_sec"),
     )
     path = scratch_dir(spark)
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    rows.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     back = readers.read_manifest(spark, path)
-    return back.agg(F.count("text").alias("rows"), F.sum("frames").alias("frames"))
+    return back.select("filename", "speaker", F.md5("text").alias("text_md5"), "frames", "duration_sec")
