@@ -30,7 +30,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """New folder below ``spark.checkpoint.dir``.
 
     Written intermediates must outlive executors, so on a cluster the folder has to be shared and is taken from
-    the session. Only a local session without the setting gets a folder of this machine.
+    the session. Only a local session may use a folder of this machine, and gets one if nothing is set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
@@ -39,6 +39,9 @@ def scratch_dir(spark: SparkSession) -> str:
         root = tempfile.mkdtemp(prefix="phonolake-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
+    local = spark.sparkContext.master.startswith("local")
+    if not local and root.startswith(("/tmp", "file:/tmp", "file:///tmp")):
+        raise ValueError(f"{root} is a folder of one machine; set spark.checkpoint.dir to one that all executors share")
     return f"{root.rstrip('/')}/phonolake-{uuid.uuid4().hex}"
 
 

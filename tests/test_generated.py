@@ -71,6 +71,27 @@ def test_extract_codes(spark, requests, mode, width):
         assert sorted(got.get(request, [])) == slow_extract(texts, mode), request
 
 
+@pytest.mark.parametrize("mode", list(ACCEPT))
+@pytest.mark.parametrize("width", [1, 8, 512])
+def test_extract_codes_with_gaps_and_repeats(spark, requests, mode, width):
+    """Any events may be missing, whole blocks too, and any may come again, also with another text."""
+    rng = random.Random(5)
+    rows, left = [], {}
+    for request, texts in requests.items():
+        gone = set(range(20, 45)) | {i for i in range(len(texts)) if rng.random() < 0.1}
+        left[request] = [(i, t) for i, t in enumerate(texts) if i not in gone]
+        rows += [(request, i, t) for i, t in left[request]]
+        rows += [(request, i, rng.choice([t, "noise"])) for i, t in left[request] if rng.random() < 0.3]
+    rng.shuffle(rows)
+    got = {}
+    df = spark.createDataFrame(rows, "request_id long, seq long, text string")
+    for r in ops.extract_codes(df, mode, width).collect():
+        got.setdefault(r["request_id"], []).append((r["seq"], r["idx"], r["slot"], r["code"]))
+    for request, kept in left.items():
+        want = [(kept[seq][0], *rest) for seq, *rest in slow_extract([t for _, t in kept], mode)]
+        assert sorted(got.get(request, [])) == want, request
+
+
 @pytest.mark.parametrize("width", [4, 256])
 def test_decode_windows(spark, requests, width):
     codes = ops.extract_codes(events(spark, requests), "compat")

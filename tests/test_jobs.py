@@ -19,7 +19,7 @@ def layers(spark, sizes):
 
 
 def vocab(spark):
-    return spark.createDataFrame([("hi", 0), ("you", 1), ("ann", 2)], "token string, id int")
+    return spark.createDataFrame([("hi", 0), ("you", 1), ("ann", 2), ("Hi", 3), (":", 4), ("!", 5)], "token string, id int")
 
 
 def test_format_a(spark, tmp_path):
@@ -36,13 +36,17 @@ def test_format_a(spark, tmp_path):
     assert (stats["rows_seen"], stats["rows_written"], stats["rows_skipped_over_length"]) == (7, 6, 1)
     rows = {r["filename"]: r for r in readers.read_training_set(spark, out).collect()}
     assert set(rows) == {"f0", "f1", "f2", "f4", "f5", "f6"}
-    assert rows["f1"]["input_ids"][:8] == [T.START_OF_HUMAN, 2, 0, 1, *[128009, 128260, 128261, 128257]]
-    assert rows["f0"]["input_ids"][:7] == [T.START_OF_HUMAN, 0, 1, *[128009, 128260, 128261, 128257]]
-    assert len(rows["f0"]["input_ids"]) == rows["f0"]["seq_len"] == 1 + 2 + 4 + 14 + 1
+    assert rows["f1"]["input_ids"][:8] == [T.START_OF_HUMAN, 2, 4, 3, 1, 5, *[128009, 128260]]
+    assert rows["f0"]["input_ids"][:8] == [T.START_OF_HUMAN, 3, 1, 5, *[128009, 128260, 128261, 128257]]
+    assert len(rows["f0"]["input_ids"]) == rows["f0"]["seq_len"] == 1 + 3 + 4 + 14 + 1
     shards = spark.read.parquet(f"{out}/parquet").groupBy("shard").count().collect()
     assert {r["shard"]: r["count"] for r in shards} == {0: 4, 1: 2}
     (pointer,) = [x for f in (tmp_path / "pointer").glob("*.json") for x in f.read_text().splitlines()]
     assert json.loads(pointer)["num_shards"] == 2
+    again = jobs.prepare_format_a(audio, meta, codes, vocab(spark), out, max_len=100, rows_per_shard=1, mode="ignore")
+    assert again is None
+    (same,) = [x for f in (tmp_path / "pointer").glob("*.json") for x in f.read_text().splitlines()]
+    assert same == pointer
 
 
 def source(spark):
@@ -62,9 +66,9 @@ def test_format_b(spark, tmp_path):
     got = {(r["speaker"], r["is_total"]): r for r in stats.collect()}
     assert (got["ann", 0]["examples"], got["ann", 0]["dropped"]) == (1, 4)
     assert got["you", 0]["examples"] == 1 and got[None, 1]["examples"] == 2
-    assert got[None, 1]["hours"] == pytest.approx(2 / 3600) and got[None, 1]["max_sequence_length"] == 2 + 21 + 7
+    assert got[None, 1]["hours"] == pytest.approx(2 / 3600) and got[None, 1]["max_sequence_length"] == 3 + 21 + 7
     rows = {r["speaker_id"]: r for r in readers.read_training_set(spark, out).collect()}
-    assert rows["ann"]["input_ids"][:4] == [T.START_OF_HUMAN, 2, 0, 1] and rows["ann"]["text"] == "Hi you"
+    assert rows["ann"]["input_ids"][:5] == [T.START_OF_HUMAN, 2, 4, 3, 1] and rows["ann"]["text"] == "Hi you"
     for r in rows.values():
         n = r["sequence_length"]
         assert len(r["input_ids"]) == len(r["labels"]) == len(r["attention_mask"]) == n

@@ -72,6 +72,13 @@ def test_index_of_empty_table(spark):
     assert total == 0 and indexed.count() == 0
 
 
+def test_first_per_key_without_order(spark):
+    rows = [("a", None, "t"), ("b", None, "x"), ("b", 3, "y"), ("c", 1, "q"), ("c", 1, "p")]
+    df = spark.createDataFrame(rows, "k string, ord int, t string")
+    got = {r["k"]: (r["ord"], r["t"]) for r in ordered.first_per_key(df, "k", "ord").collect()}
+    assert got == {"a": (None, "t"), "b": (3, "y"), "c": (1, "p")}
+
+
 def test_first_per_key(spark):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, None), ("b", 5, "y")], "k string, ord int, t string")
     got = {r["k"]: (r["ord"], r["t"]) for r in ordered.first_per_key(df, "k", "ord").collect()}

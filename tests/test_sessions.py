@@ -3,13 +3,15 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from phonolake.functions import text as X
 from phonolake.operators import sessions as ops
 from phonolake.session import scratch_dir
 from phonolake.sources import streams
 from phonolake.streaming.run import run_to_table, run_updates_to_table
-from phonolake.streaming.sessions import rest_pieces, segment_sessions, stream_session_totals
+from phonolake.functions.text import rest_pieces
+from phonolake.streaming.sessions import segment_sessions, stream_session_totals
 from phonolake.streaming.windows import stream_windows
 from tests.test_generated import slow_extract, slow_windows, stream
 
@@ -135,11 +137,11 @@ def test_stream_equals_batch(spark):
     sessions = random_sessions(40, seed=21)
     stream = streams.read_session_stream(spark, write_messages(spark, sessions, 5), 1)
     events = run_to_table(segment_sessions(stream, None))
-    got = by_session(events.where(F.col("kind") == "sentence").collect())
+    got = by_session(events.where(F.col("kind") == "sentence").withColumn("session_id", F.col("session_id").cast("long")).collect())
     batch = by_session(ops.session_sentences(messages(spark, sessions)).collect())
     assert got == batch
     ended = {s for s, ms in sessions.items() if DONE in ms}
-    assert {r["session_id"] for r in events.where("kind = 'done'").collect()} == ended
+    assert {int(r["session_id"]) for r in events.where("kind = 'done'").collect()} == ended
 
 
 def test_stream_config_errors_and_granularity_change(spark):
@@ -187,14 +189,14 @@ def test_stream_timeout_closes_without_flush(spark):
                 break
     finally:
         query.stop()
-    assert [(r["session_id"], r["sentence_index"]) for r in rows if r["kind"] == "disconnected"] == [(1, 1)]
+    assert [(r["session_id"], r["sentence_index"]) for r in rows if r["kind"] == "disconnected"] == [("1", 1)]
     assert sorted(r["sentence_text"] for r in rows if r["kind"] == "sentence") == ["A.", "One.", "b"]
 
 
 def stream_schema():
     from phonolake.streaming.sessions import SESSION_OUTPUT
 
-    return SESSION_OUTPUT
+    return StructType([StructField("session_id", StringType()), *SESSION_OUTPUT.fields[1:]])
 
 
 def has_rows(spark, out):
@@ -206,7 +208,7 @@ def has_rows(spark, out):
 
 def test_stream_windows(spark):
     rng = random.Random(13)
-    requests = {r: stream(rng, n) for r, n in {1: 120, 2: 30, 3: 5}.items()}
+    requests = {f"req-{r}": stream(rng, n) for r, n in {1: 120, 2: 30, 3: 5}.items()}
     rows = [(r, i, t) for r, texts in requests.items() for i, t in enumerate(texts)]
     rng.shuffle(rows)
     path = scratch_dir(spark)
@@ -227,3 +229,44 @@ def test_stream_totals(spark):
     got = {r["session_id"]: r for r in run_updates_to_table(stream_session_totals(stream), "session_id").collect()}
     assert (got[1]["total_sentences"], got[1]["total_bytes"], got[1]["failed_sentences"]) == (2, 8, 1)
     assert got[2]["total_sentences"] == 1
+
+
+def changing_sessions():
+    rng = random.Random(8)
+    out = {}
+    for s in range(30):
+        out[s] = []
+        for turn in range(rng.randrange(1, 9)):
+            if rng.random() < 0.5:
+                config = {"type": "session.config", "voice": f"v{turn}"}
+                if s % 3:
+                    config["split_granularity"] = rng.choice(["clause", "sentence"]) if s % 3 == 1 else "clause"
+                out[s].append(config)
+            out[s].append(text("".join(rng.choice("ab ,.!\n\"") for _ in range(rng.randrange(8)))))
+        if rng.random() < 0.7:
+            out[s].append(DONE)
+    return out
+
+
+def plain_requests(ms):
+    """Buffer, granularity and voice of one session, message by message."""
+    buffer, granularity, voice, out = "", "sentence", "Metin", []
+    for m in ms:
+        if m["type"] == "session.config":
+            granularity, voice = m.get("split_granularity", "sentence"), m["voice"]
+        elif m["type"] == "input.text":
+            pieces, buffer = X.ready_pieces(buffer + m["text"], granularity)
+            out += [(p, voice) for p in pieces]
+        else:
+            return out + [(p, voice) for p in rest_pieces(buffer, granularity)]
+    return out
+
+
+def test_sentence_requests_have_the_configuration_in_force(spark):
+    sessions = changing_sessions()
+    got = {}
+    for r in ops.sentence_requests(messages(spark, sessions)).orderBy("session_id", "sentence_index").collect():
+        found = got.setdefault(r["session_id"], [])
+        assert r["sentence_index"] == len(found)
+        found.append((r["sentence_text"], r["voice"]))
+    assert got == {s: out for s, ms in sessions.items() if (out := plain_requests(ms))}

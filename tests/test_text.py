@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,6 @@ from phonolake.functions import sql
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators import text as ops
-from phonolake.streaming.sessions import ready_pieces, rest_pieces
 
 
 def one(spark, value, column):
@@ -37,7 +37,7 @@ CASES = ["", "   ", "Wait...", 'Hi! "ok" bye', "no mark", "a. b", 'x.")  y', "A
 def test_sentences(spark, text, mode):
     want = slow_sentences(text, X.marks_of(mode))
     assert one(spark, text, lambda c: X.sentences(c, mode)) == want
-    assert rest_pieces(text, mode) == want
+    assert X.rest_pieces(text, mode) == want
 
 
 @pytest.mark.parametrize("mode", ["sentence", "clause"])
@@ -49,10 +49,10 @@ def test_incremental_cut_does_not_depend_on_pushes(mode):
         buffer, got, at = "", [], 0
         while at < len(text):
             step = rng.randrange(1, 6)
-            ready, buffer = ready_pieces(buffer + text[at : at + step], mode)
+            ready, buffer = X.ready_pieces(buffer + text[at : at + step], mode)
             got += ready
             at += step
-        assert got + rest_pieces(buffer, mode) == slow_sentences(text, X.marks_of(mode))
+        assert got + X.rest_pieces(buffer, mode) == slow_sentences(text, X.marks_of(mode))
 
 
 def slow_phonemes(ipa):
@@ -133,6 +133,10 @@ def test_request_plan(spark):
     runs = ops.request_runs(spark, 2, 4)
     got = ops.request_plan(runs, ["Hello"]).collect()
     assert len(got) == 2 * 4 + 2
+    three = ops.request_plan(runs, ["Hello", "Well", F.lit("So")]).collect()
+    assert {r["label"].split("_")[0] for r in three} == {"short", "medium", "long", "warmup"} and len(three) == 26
+    with pytest.raises(ValueError, match="at most 3"):
+        ops.request_plan(runs, ["a", "b", "c", "d"])
     by_label = {r["label"]: r for r in got}
     assert by_label["short_run5"]["prompt"] == "Chapter 5: Hello" and by_label["short_run5"]["offset"] == 4
     assert by_label["warmup_run94"]["prompt"] == "Chapter 94: warmup"
@@ -148,3 +152,9 @@ def test_sql_functions(spark):
     assert row["s"] == ["Hi!", 'It\'s "ok".', "x"] and row["c"] == ["a,", "b"]
     assert row["f"] == [list(range(1, 8)), list(range(8, 15))] and row["e"] == []
     assert row["n"] == 7 and row["p"] == "x"
+
+
+def test_text_tokens_keep_everything_but_blanks(spark):
+    value = "Şu ğ 12a, é́  x²\t—漢字\u00a0\U0001d4b3!"
+    tokens = one(spark, value, X.text_tokens)
+    assert "".join(tokens) == re.sub("[\x09-\x0d ]", "", value) and tokens[:5] == ["Şu", "ğ", "12", "a", ","]
