@@ -216,6 +216,8 @@ def _groups(batches, names: list[str]):
             last = mark
     if held:
         yield pa.Table.from_batches(held)
+    del held
+    words.release()
 
 
 def _fixed(column: pa.ChunkedArray, dtype, width: int) -> np.ndarray:

@@ -10,8 +10,7 @@ window that was seen before is removed. A shard's size is bounded, whatever the
 number of pieces, and anchors of more than ``HOT`` occurrences take another way. Their windows are hashed to 128 bits and
 their first places found by minima that are combined before they move, then joined back.
 
-Texts equal to one with a smaller id lose all words if they have twenty, and take no part in the rest. No text is
-shuffled but pieces and texts that lose words.
+No text is shuffled but pieces and texts that lose words.
 
 Earlier means a smaller document id or, in the same one, an earlier start; a null id is the smallest; rows that repeat
 an id and a start are not earlier than each other. Windows are judged on the input. Null text has no words. All other
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.llm import filters, words
-from phonolake.llm.columns import pack, unpack
+from phonolake.llm.columns import ALL, pack, unpack
 from phonolake.llm.registry import bound_batches, query, table
 from phonolake.session import materialise
 
@@ -37,7 +36,7 @@ WINDOW = 20
 ANCHOR = 5
 PIECES = 8_000
 HOT = 20_000
-EVERYTHING = 2**31 - 1
+SPACES = r"\x20\x09-\x0D"
 NO_ID = -(2**63)
 
 
@@ -216,6 +215,7 @@ def _shards(batches):
             rows.append(tuple(row))
     if rows:
         yield spans(rows)
+    words.release()
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -252,9 +252,8 @@ def _cut(column: pa.Array, spans: pa.Array) -> pa.Array:
             continue
         edges = np.zeros(high - low + 1, np.int64)
         inner = listed.values
-        if high - low >= WINDOW:
-            np.add.at(edges, inner.field("start").to_numpy(), 1)
-            np.add.at(edges, np.minimum(inner.field("stop").to_numpy(), high - low), -1)
+        np.add.at(edges, inner.field("start").to_numpy(), 1)
+        np.add.at(edges, inner.field("stop").to_numpy(), -1)
         gone = np.cumsum(edges[:-1]) > 0
         stay = np.flatnonzero(~gone) + low
         out.append(b" ".join(body[a:b] for a, b in zip(starts[stay].tolist(), ends[stay].tolist(), strict=True)))
@@ -268,18 +267,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bound_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
-    hashes = {"_row": F.xxhash64(doc_id, whole), "_copy": F.xxhash64(whole), "_twin": F.xxhash64(F.lit(1), whole)}
-    keyed = pack(docs, _id=number, **hashes, _text=whole)
+    keyed = pack(docs, _id=number, _row=F.xxhash64(doc_id, whole), _copy=F.xxhash64(whole), _text=whole)
     own = ["_row", "_copy"]
-    same = materialise(keyed.select("_id", *own, "_twin"))
-    firsts = same.groupBy("_copy", "_twin").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"))
-    firsts = firsts.where("_first < _last").drop("_last")
-    copies = same.join(firsts, ["_copy", "_twin"]).where("_id > _first").select(*own).distinct()
-    copies = materialise(copies)
-    texts = filters.without(keyed.select("_id", *own, "_text"), copies, *own)
-    spans = repeated_spans(texts).unionByName(
-        copies.select(*own, F.lit(0).alias("start"), F.lit(EVERYTHING).alias("stop"))
-    )
+    spans = repeated_spans(keyed.select("_id", *own, "_text"))
     spans = materialise(spans.groupBy(*own).agg(F.collect_list(F.struct("start", "stop")).alias("_spans")))
     touched = filters.may_hold(spans, "_row", F.col("_row"))
 
@@ -287,12 +277,16 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         return _cut(column, listed)
 
     cut = F.arrow_udf(cut, "text string, n_words long, n_removed long").asNondeterministic()
-    none = F.lit(None).cast(spans.schema["_spans"].dataType)
     # Only texts that lose words meet their spans; the filter may send some others along.
-    keyed = keyed.drop("_id", "_twin")
-    plain = keyed.where(~touched).withColumn("_spans", none)
-    joined = keyed.where(touched).join(spans, ["_row", "_copy"], "left").select(*plain.columns)
-    result = plain.unionByName(joined).withColumn("_cut", cut("_text", "_spans"))
+    split = F.filter(F.split("_text", f"[{SPACES}]+"), lambda w: w != "")
+    whole = F.struct(
+        F.array_join(split, " ").alias("text"),
+        F.size(split).cast("long").alias("n_words"),
+        F.lit(0).cast("long").alias("n_removed"),
+    )
+    plain = keyed.where(~touched).select(ALL, whole.alias("_cut"))
+    joined = keyed.where(touched).join(spans, own, "left").select(ALL, cut("_text", "_spans").alias("_cut"))
+    result = plain.unionByName(joined)
     parts = {name: F.col("_cut").getField(name) for name in ("n_words", "n_removed")}
     return unpack(result, docs.columns, **{text: F.col("_cut").getField("text")}, **parts)
 

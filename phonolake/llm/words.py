@@ -8,6 +8,8 @@ the corpus.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,6 +87,16 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             stop = max(start + 1, int(np.searchsorted(at, at[start] + SLICE, "right")) - 1)
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """Give freed memory back at the end of a task: Python workers live on and share their executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class Words:
