@@ -283,7 +283,10 @@ def _compare(percent: int, sparse: bool):
 
 
 def _verify(percent: int):
-    """A spanning forest of the links of each unit: its rows are sets (a, body) and pairs (a, b)."""
+    """The links of each unit, joined within it: every linked id with the smallest one (a, b).
+
+    The rows of a unit are sets (a, body) and pairs (a, b).
+    """
 
     def run(batches):
         links: list[tuple[int, int]] = []
@@ -317,8 +320,12 @@ def _verify(percent: int):
                                 common = int(mark[number[first[j] : first[j] + sizes[j]]].sum())
                                 if 100 * common >= percent * (sizes[i] + sizes[j] - common):
                                     forest.join(i, j)
-                                    links.append((x, y))
                     mark[own] = False
+            roots = np.array([forest.root(i) for i in range(len(ids))])
+            least = np.full(len(ids), np.iinfo(np.int64).max)
+            np.minimum.at(least, roots, ids)
+            moved = ids != least[roots]
+            links += zip(ids[moved].tolist(), least[roots][moved].tolist(), strict=True)
         columns = list(zip(*links, strict=True)) or [[], []]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
@@ -408,17 +415,18 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """
     edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges = materialise(edges)
-    seen = None
-    while True:
+    checksum = (F.count("*"), F.bit_xor(F.xxhash64("u", "v")))
+    seen = edges.agg(*checksum).first()
+    while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = large.where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
         edges = materialise(small.where("u <> v").distinct())
-        state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        state = edges.agg(*checksum).first()
         rounds = None if rounds is None else rounds - 1
         if state == seen or rounds == 0:
             break
@@ -454,9 +462,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = similar_pairs(members, signatures, percent, components(edges, 3)).join(pairs, ["a", "b"], "left_anti")
     edges = edges.unionByName(links(texts, rest, blocks, keys, percent))
     # A row's id hangs on its class, so ids that several classes share join them.
-    own = held.join(classes, ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("cls").alias("b"))
     shared = held.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("a"))
-    found = components(edges.unionByName(own.join(shared, "a", "left_semi")))
+    if not shared.isEmpty():
+        own = held.join(classes, ["c1", "c2"]).select(F.col("doc_id").alias("a"), F.col("cls").alias("b"))
+        edges = edges.unionByName(own.join(shared, "a", "left_semi"))
+    found = components(edges)
     joined = rows.join(classes.select("c1", "c2", "cls"), ["c1", "c2"], "left")
     joined = joined.join(found, F.coalesce("cls", "doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "cls", "doc_id")
