@@ -199,6 +199,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model
     shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANGUAGE / r["count"]))])
     sample = rows.where(draw < F.coalesce(F.element_at(shares, F.col("lang")), F.lit(0.0)))
     keep = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 0
+    # Equal texts are drawn together, so one of each is taken; copies are combined before they move.
+    sample = sample.dropDuplicates(["lang", "text"])
     found = sample.select("text", "lang", keep.alias("keep")).mapInArrow(_features, SAMPLE).collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["grams"]), bytes(r["weights"])))
     return fit(

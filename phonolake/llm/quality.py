@@ -215,7 +215,7 @@ def learn_rules(rows: np.ndarray, bad: np.ndarray) -> DecisionList:
 def learn(stats: DataFrame, labels: DataFrame) -> DecisionList:
     """Rules from ``stats`` (doc_id and statistics) and ``labels`` (doc_id, quality 0 or 1)."""
     marks = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    joined = stats.join(marks, "doc_id").where(~base_failed())
+    joined = stats.join(marks, "doc_id").where(~base_failed()).dropDuplicates(["doc_id", *STATISTICS])
     total = joined.count()
     draw = F.pmod(F.xxhash64("doc_id", *STATISTICS), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(total, 1)))
     values = features()
