@@ -14,14 +14,13 @@ HOT_MIN_ROWS = 10
 def hot_keys(df: DataFrame, key: str, sample: float = HOT_SAMPLE, share: float = HOT_SHARE) -> list:
     """Keys that hold at least ``share`` of a sample of the rows; at most 1 / share keys can.
 
-    Only the key column is read. A sample too small to tell gives no key.
+    Only the key column is read, once: the total comes with the counts, as the row without key. A sample too small to
+    tell gives no key.
     """
-    counts = df.select(key).where(F.col(key).isNotNull()).sample(sample, seed=7).groupBy(key).count()
-    top = counts.orderBy(F.desc("count"), key).limit(int(1 / share)).collect()
-    if not top or top[0]["count"] < HOT_MIN_ROWS:
-        return []
-    total = counts.agg(F.sum("count")).first()[0]
-    return [r[key] for r in top if r["count"] >= max(HOT_MIN_ROWS, share * total)]
+    counts = df.select(key).where(F.col(key).isNotNull()).sample(sample, seed=7).rollup(key).count()
+    top = counts.orderBy(F.desc("count"), F.asc_nulls_first(key)).limit(int(1 / share) + 1).collect()
+    total = max((r["count"] for r in top if r[key] is None), default=0)
+    return [r[key] for r in top if r[key] is not None and r["count"] >= max(HOT_MIN_ROWS, share * total)]
 
 
 def lookup_join(

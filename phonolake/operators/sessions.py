@@ -202,13 +202,20 @@ def assemble_audio(chunks: DataFrame, chunks_per_part: int = 4096) -> DataFrame:
     parted = chunks.withColumn("part", idiv(F.col("seq"), chunks_per_part))
     ordered = F.array_sort(F.collect_list(F.struct("seq", "chunk")))
     body = F.unhex(F.array_join(F.transform(ordered, lambda c: F.hex(c["chunk"])), ""))
-    parts = parted.groupBy("session_id", "part").agg(body.alias("wav"), F.count(F.lit(1)).alias("chunks"))
-    first = parts.groupBy("session_id").agg(F.min("part").alias("first_part"))
-    parts = parts.join(first, "session_id")
-    with_header = F.concat(F.lit(wav_header()), "wav")
-    parts = parts.withColumn("wav", F.when(F.col("part") == F.col("first_part"), with_header).otherwise(F.col("wav")))
-    placed = running_sum(parts, ["session_id"], "part", F.length("wav").cast("long"), "byte_offset")
-    return placed.drop("first_part")
+    own = ["session_id", "part"]
+    parts = parted.groupBy(*own).agg(body.alias("wav"), F.count(F.lit(1)).alias("chunks"))
+    # Offsets come from lengths alone, so the audio is gathered once.
+    sizes = materialise(parted.groupBy(*own).agg(F.sum(F.length("chunk")).alias("bytes")))
+    before = running_sum(sizes, ["session_id"], "part", F.col("bytes"), "bytes_before")
+    parts = join_on(parts, before.select(*own, "bytes_before"), own)
+    starts = join_on(parts, sizes.groupBy("session_id").agg(F.min("part").alias("first_part")), ["session_id"])
+    is_first, header = F.col("part") == F.col("first_part"), wav_header()
+    return starts.withColumns(
+        {
+            "wav": F.when(is_first, F.concat(F.lit(header), "wav")).otherwise(F.col("wav")),
+            "byte_offset": F.col("bytes_before") + F.when(is_first, 0).otherwise(len(header)),
+        }
+    ).drop("first_part", "bytes_before")
 
 
 def wav_header(sample_rate: int = T.SAMPLE_RATE, bits: int = 16, channels: int = 1) -> bytes:
