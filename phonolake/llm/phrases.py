@@ -234,7 +234,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     each = texts.mapInArrow(_hot_windows(hot), "_id long, _row long, _copy long, start int, w1 long, w2 long")
     each = materialise(each)
     firsts = each.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("_id", "start")).alias("earliest"))
-    later = each.join(firsts.where("n > 1"), ["w1", "w2"]).where(F.struct("_id", "start") > F.col("earliest"))
+    # Written, so that the join deals both sides itself and Spark can split a window that is very frequent.
+    firsts = materialise(firsts.where("n > 1").drop("n"))
+    later = each.join(firsts, ["w1", "w2"]).where(F.struct("_id", "start") > F.col("earliest"))
     return spans.unionByName(later.select("_row", "_copy", "start", (F.col("start") + WINDOW).alias("stop")))
 
 
