@@ -25,7 +25,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines whose template recurs across documents, but for the first, so that no text is lost altogether."""
-    kept = lines.drop_lines(docs, keep_first=True)
+    kept = lines.drop_lines(docs, keep_first=True, full=True)
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

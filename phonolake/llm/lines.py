@@ -6,6 +6,12 @@ documents have it there; all other positions are variable fields. A line's templ
 them at ``LEAST_CONSTANT`` of its positions. A template that occurs in ``MIN_DOCUMENTS`` different documents recurs, and
 its lines are dropped: all of them, or all but the first one (smallest document, then line) if ``keep_first`` is set.
 
+That is the rule of the query and its SQL. With ``full`` set, as in the pipeline, more lines go. A line has a template for
+each of ``SHARES``: a token is constant if it also has that share of its leaf's documents, so values of a field that
+reach ``MIN_DOCUMENTS`` in a large corpus are variable in one of them as they are in a small one. A line's whole text, but
+for blanks at its ends, is one more template, which needs no constant tokens. With ``keep_first``, every dropped line has
+an earlier one with which it shares a template.
+
 Documents with equal texts count once, so the lines of mere copies do not recur. Counts go over the whole corpus. The
 first scan counts leaves, the second hands on the tokens of lines in recurring leaves only, told by a filter of fixed
 size; what it lets through in vain falls out in the counts. Every count combines distinct (key, document) pairs before
@@ -32,13 +38,14 @@ MIN_TOKENS = 4
 LEADING = 3
 MIN_DOCUMENTS = 5
 LEAST_CONSTANT = 0.7
+SHARES = (0.0, 0.01, 0.1, 0.5)
 FIELD = np.uint64(0x2A)
 
 
 class Lines:
     """Lines of at least ``MIN_TOKENS`` words: leaf, text, line number, and their words."""
 
-    def __init__(self, column: pa.Array) -> None:
+    def __init__(self, column: pa.Array, full: bool = False) -> None:
         data, offsets = words.raw(column)
         found = words.Words(data, offsets, words.PLAIN)
         digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
@@ -49,11 +56,17 @@ class Lines:
         line = np.searchsorted(breaks, found.starts)
         first = np.flatnonzero(np.diff(line + owners, prepend=-1))
         sizes = np.diff(np.append(first, len(found)))
-        first, self.sizes = first[sizes >= MIN_TOKENS], sizes[sizes >= MIN_TOKENS]
+        enough = sizes >= MIN_TOKENS
+        first, self.sizes = first[enough], sizes[enough]
         self.first, self.owner = first, owners[first]
         self.number = line[first] - np.searchsorted(breaks, offsets[:-1])[self.owner]
-        lead = words.sequence_hashes(self.hashes, first, LEADING)
-        self.leaf = words.mix(lead + self.sizes.astype(np.uint64) * words.BASE)
+        self.long = self.sizes >= MIN_TOKENS
+        self.leaf = self.text = np.zeros(len(first), np.uint64)
+        if full:
+            self.text = words.blocks_of_spans(words.PLAIN.values, data, found.starts[first], found.ends[first + self.sizes - 1])
+            self.leaf = words.mix(self.text + words.BASE)
+        lead = words.sequence_hashes(self.hashes, first[self.long], LEADING)
+        self.leaf[self.long] = words.mix(lead + self.sizes[self.long].astype(np.uint64) * words.BASE)
 
     def keys(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of (leaf, position, token) of the chosen lines' constant-looking words, and how many each has."""
@@ -62,23 +75,26 @@ class Lines:
         at = np.repeat(self.first[chosen], sizes) + place
         leaf = np.repeat(self.leaf[chosen], sizes)
         keys = words.mix(leaf + words.mix(self.hashes[at] + place.astype(np.uint64) * words.BASE))
-        plain = ~self.field[at]
+        plain = ~self.field[at] & np.repeat(self.long[chosen], sizes)
         line = np.repeat(np.arange(len(sizes)), sizes)
         return keys[plain], np.bincount(line[plain], minlength=len(sizes))
 
 
-def _leaves(batches):
-    for batch in words.slices(batches, "_text"):
-        lines = Lines(batch.column("_text"))
-        pairs = np.unique(np.stack([lines.owner.astype(np.uint64), lines.leaf], 1), axis=0)
-        copies = batch["_copy"].to_numpy(zero_copy_only=False)[pairs[:, 0].astype(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(words.signed(pairs[:, 1].copy())), pa.array(copies)], ["leaf", "_copy"])
+def _leaves(full):
+    def run(batches):
+        for batch in words.slices(batches, "_text"):
+            lines = Lines(batch.column("_text"), full)
+            pairs = np.unique(np.stack([lines.owner.astype(np.uint64), lines.leaf], 1), axis=0)
+            copies = batch["_copy"].to_numpy(zero_copy_only=False)[pairs[:, 0].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(words.signed(pairs[:, 1].copy())), pa.array(copies)], ["leaf", "_copy"])
+
+    return run
 
 
-def _tokens(shared):
+def _tokens(shared, full):
     def run(batches):
         for batch in words.slices(batches, "_text"):
-            lines = Lines(batch.column("_text"))
+            lines = Lines(batch.column("_text"), full)
             chosen = np.flatnonzero(filters.contains(shared.value, lines.leaf))
             keys, counts = lines.keys(chosen)
             at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
@@ -86,15 +102,15 @@ def _tokens(shared):
             held = [batch.column(c).take(owner) for c in ("_id", "_row", "_copy")]
             own = [pa.array(lines.number[chosen].astype(np.int32)), pa.array(lines.sizes[chosen].astype(np.int32))]
             tokens = pa.ListArray.from_arrays(pa.array(at), pa.array(words.signed(keys)))
+            hashes = [pa.array(words.signed(h[chosen])) for h in (lines.leaf, lines.text)]
             yield pa.RecordBatch.from_arrays(
-                [*held, *own, pa.array(words.signed(lines.leaf[chosen])), tokens],
-                ["_id", "_row", "_copy", "line", "n", "leaf", "tokens"],
+                [*held, *own, *hashes, tokens], ["_id", "_row", "_copy", "line", "n", "leaf", "whole", "tokens"]
             )
 
     return run
 
 
-LINE = "_id long, _row long, _copy long, line int, n int, leaf long, tokens array<long>"
+LINE = "_id long, _row long, _copy long, line int, n int, leaf long, whole long, tokens array<long>"
 
 
 def _common(pairs: DataFrame, keys: list[str], least: int) -> DataFrame:
@@ -103,25 +119,49 @@ def _common(pairs: DataFrame, keys: list[str], least: int) -> DataFrame:
     return counts.where(F.col("documents") >= least)
 
 
-def recurring_lines(texts: DataFrame, least: int = MIN_DOCUMENTS, keep_first: bool = False) -> DataFrame:
+def _levels(lines: DataFrame, least: int, shares: tuple) -> DataFrame:
+    """Constant tokens, and how many of ``shares`` of their leaf's documents they reach."""
+    if len(shares) == 1:
+        tokens = _common(lines.select("_copy", F.explode("tokens").alias("token")), ["token"], least)
+        return tokens.select("token", F.lit(1).alias("level"))
+    tokens = _common(lines.select("leaf", "_copy", F.explode("tokens").alias("token")), ["leaf", "token"], least)
+    leaves = _common(lines, ["leaf"], least).withColumnRenamed("documents", "all")
+    reached = sum((F.col("documents") >= share * F.col("all")).cast("int") for share in shares)
+    return tokens.join(leaves, "leaf").select("token", reached.alias("level"))
+
+
+def recurring_lines(
+    texts: DataFrame, least: int = MIN_DOCUMENTS, keep_first: bool = False, full: bool = False
+) -> DataFrame:
     """Lines to drop, (_row, _copy, lines), from ``texts`` (_id, _row, _copy, _text)."""
     spark = texts.sparkSession
-    leaves = texts.select("_copy", "_text").mapInArrow(_leaves, "leaf long, _copy long")
+    shares = SHARES if full else SHARES[:1]
+    leaves = texts.select("_copy", "_text").mapInArrow(_leaves(full), "leaf long, _copy long")
     known = spark.sparkContext.broadcast(filters.build(_common(leaves, ["leaf"], least), "leaf"))
-    lines = texts.mapInArrow(_tokens(known), LINE).withColumn("_place", F.monotonically_increasing_id())
-    lines = materialise(lines)  # repeated rows differ by their place
-    frequent = _common(lines.select("_copy", F.explode("tokens").alias("token")), ["token"], least).select("token")
+    lines = texts.mapInArrow(_tokens(known, full), LINE).withColumn("_place", F.monotonically_increasing_id())
+    lines = materialise(lines if full else lines.drop("whole"))  # repeated rows differ by their place
     each = lines.select("_place", "_id", "_row", "_copy", "line", "n", "leaf", F.explode("tokens").alias("token"))
-    each = each.join(frequent, "token")
-    # The set of constant tokens by two sums that need no order.
-    templates = each.groupBy("_place", "_id", "_row", "_copy", "line", "n", "leaf").agg(
-        F.count("*").alias("constant"), F.bit_xor("token").alias("t1"), F.bit_xor(F.xxhash64("token")).alias("t2")
-    )
-    templates = templates.where(F.col("constant") >= LEAST_CONSTANT * F.col("n")).drop("_place", "n", "constant")
+    each = each.join(_levels(lines, least, shares), "token")
+    # The set of constant tokens at each share by two sums that need no order.
+    sums, sets = [], []
+    for i in range(len(shares)):
+        token = F.when(F.col("level") > i, F.col("token"))
+        again = F.when(F.col("level") > i, F.xxhash64("token"))
+        sums += [F.count(token).alias(f"c{i}"), F.bit_xor(token).alias(f"a{i}"), F.bit_xor(again).alias(f"b{i}")]
+        enough = F.col(f"c{i}") >= LEAST_CONSTANT * F.col("n")
+        sets.append(F.when(enough, F.struct(F.col(f"a{i}").alias("t1"), F.col(f"b{i}").alias("t2"))))
+    templates = each.groupBy("_place", "_id", "_row", "_copy", "line", "n", "leaf").agg(*sums)
+    templates = templates.withColumn("_sets", F.array_compact(F.array_distinct(F.array(*sets))))
+    templates = templates.select("_id", "_row", "_copy", "line", "leaf", F.inline("_sets"))
     templates = materialise(templates)
     template = ["leaf", "t1", "t2"]
-    recurring = _common(templates, template, least).select(*template)
-    dropped = templates.join(recurring, template)
+    recurring = _common(templates, template, least)
+    if full:
+        own = [F.col("whole").alias("t1"), F.lit(0).cast("long").alias("t2")]
+        whole = lines.select("_id", "_row", "_copy", "line", "leaf", *own)
+        many = _common(lines.select("_copy", "leaf", *own), template, least)
+        templates, recurring = templates.unionByName(whole), recurring.unionByName(many)
+    dropped = templates.join(recurring.select(*template), template)
     if keep_first:
         place = F.struct("_id", "line")
         firsts = dropped.groupBy(*template).agg(F.min(place).alias("_first"))
@@ -130,14 +170,15 @@ def recurring_lines(texts: DataFrame, least: int = MIN_DOCUMENTS, keep_first: bo
 
 
 def drop_lines(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_DOCUMENTS, keep_first: bool = False
-) -> DataFrame:
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_DOCUMENTS, keep_first: bool = False,
+    full: bool = False,
+) -> DataFrame:
     """``docs`` without the lines of recurring templates; adds n_lines and n_dropped."""
     bound_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit(""))
     own = {"_row": F.xxhash64(doc_id, whole), "_copy": F.xxhash64(whole), "_id": F.col(doc_id).cast("long")}
     keyed = pack(docs, **own, _text=whole)
-    lost = recurring_lines(keyed.select("_id", "_row", "_copy", "_text"), least, keep_first)
+    lost = recurring_lines(keyed.select("_id", "_row", "_copy", "_text"), least, keep_first, full)
     joined = keyed.join(lost, ["_row", "_copy"], "left")
     split = F.split("_text", "\n", -1)
     stays = F.filter(split, lambda line, i: ~F.array_contains("_lines", i))

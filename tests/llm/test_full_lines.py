@@ -1,0 +1,71 @@
+"""The pipeline's line rule, which drops more than the query's."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from phonolake.llm import lines
+from tests.llm import test_lines as query_rule
+
+DOCS = "doc_id long, text string"
+BLANKS = " \t\r\v\f"
+
+
+def brute(docs, least):
+    """Kept text per (doc_id, text) by plain dictionaries; the first line of a template stays."""
+    found = []
+    for doc, text in sorted(set(docs), key=lambda d: (d[0] is not None, d[0], d[1] or "")):
+        for i, line in enumerate((text or "").split("\n")):
+            ws = [None if re.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
+            if len(ws) >= 4:
+                found.append((doc, text or "", i, ws, (len(ws), *ws[:3]), line.strip(BLANKS)))
+    tokens, leaves = defaultdict(set), defaultdict(set)
+    for _, text, _, ws, leaf, _ in found:
+        leaves[leaf].add(text)
+        for p, w in enumerate(ws):
+            if w is not None:
+                tokens[leaf, p, w].add(text)
+    templates, members = defaultdict(set), defaultdict(list)
+    for doc, text, i, ws, leaf, line in found:
+        keys = {line}
+        for share in lines.SHARES:
+            most = max(least, share * len(leaves[leaf]))
+            constant = tuple((p, w) for p, w in enumerate(ws) if w is not None and len(tokens[leaf, p, w]) >= most)
+            if len(constant) >= 0.7 * len(ws):
+                keys.add(constant)
+        for key in keys:
+            templates[leaf, key].add(text)
+            members[leaf, key].append((doc, text, i))
+    gone = set()
+    for key, texts in templates.items():
+        if len(texts) >= least:
+            first = members[key][0]
+            gone |= {m for m in members[key] if (m[0], m[2]) != (first[0], first[2])}
+    return {
+        (doc, text): "\n".join(x for i, x in enumerate((text or "").split("\n")) if (doc, text or "", i) not in gone)
+        for doc, text in docs
+    }
+
+
+def kept(spark, docs, **options):
+    return lines.drop_lines(spark.createDataFrame(docs, DOCS), full=True, **options)
+
+
+@pytest.mark.parametrize("least", [5, 2])
+def test_against_brute_force(spark, least):
+    docs = query_rule.documents()
+    docs += [(100 + i, f"Seen in the {'abc'[i % 3]} by {'xyzuvw'[i // 3 % 6]} for our dear readers\nown {'k' * i}") for i in range(60)]
+    want, narrow = brute(docs, least), query_rule.brute(docs, least, True)
+    got = kept(spark, docs, least=least, keep_first=True)
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter((d[0], want[d]) for d in docs)
+    assert any(want[d] != narrow[d] for d in docs)
+
+
+@pytest.mark.parametrize("n", [300, 20_000])
+def test_values_of_a_field_do_not_split_a_template_as_the_corpus_grows(spark, n):
+    """100 sections and 100 names, evenly spread."""
+    word = [f"{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}" for i in range(100)]
+    docs = [(i, f"Posted in the {word[i % 100]} by {word[i // 100 % 100]} for our readers today\nown {i}") for i in range(n)]
+    got = kept(spark, docs).where("n_dropped = 1").count()
+    assert got == n
