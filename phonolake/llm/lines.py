@@ -8,7 +8,8 @@ its lines are dropped: all of them, or all but the first one (smallest document,
 
 That is the rule of the query and its SQL. With ``full`` set, as in the pipeline, more lines go. A line has a template for
 each of ``SHARES``: a token is constant if it also has that share of its leaf's documents, so values of a field that
-reach ``MIN_DOCUMENTS`` in a large corpus are variable in one of them as they are in a small one. A line's whole text, but
+reach ``MIN_DOCUMENTS`` in a large corpus are variable in one of them as they are in a small one. Tokens with a digit are
+fields that match, so ``LEAST_CONSTANT`` is asked of the other positions, at least one of them. A line's whole text, but
 for blanks at its ends, is one more template, which needs no constant tokens. With ``keep_first``, every dropped line has
 an earlier one with which it shares a template.
 
@@ -140,7 +141,8 @@ def recurring_lines(
     known = spark.sparkContext.broadcast(filters.build(_common(leaves, ["leaf"], least), "leaf"))
     lines = texts.mapInArrow(_tokens(known, full), LINE).withColumn("_place", F.monotonically_increasing_id())
     lines = materialise(lines if full else lines.drop("whole"))  # repeated rows differ by their place
-    each = lines.select("_place", "_id", "_row", "_copy", "line", "n", "leaf", F.explode("tokens").alias("token"))
+    asked = F.size("tokens") if full else F.col("n")
+    each = lines.select("_place", "_id", "_row", "_copy", "line", asked.alias("n"), "leaf", F.explode("tokens").alias("token"))
     each = each.join(_levels(lines, least, shares), "token")
     # The set of constant tokens at each share by two sums that need no order.
     sums, sets = [], []

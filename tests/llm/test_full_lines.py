@@ -32,7 +32,7 @@ def brute(docs, least):
         for share in lines.SHARES:
             most = max(least, share * len(leaves[leaf]))
             constant = tuple((p, w) for p, w in enumerate(ws) if w is not None and len(tokens[leaf, p, w]) >= most)
-            if len(constant) >= 0.7 * len(ws):
+            if constant and len(constant) >= 0.7 * sum(w is not None for w in ws):
                 keys.add(constant)
         for key in keys:
             templates[leaf, key].add(text)
@@ -69,3 +69,10 @@ def test_values_of_a_field_do_not_split_a_template_as_the_corpus_grows(spark, n)
     docs = [(i, f"Posted in the {word[i % 100]} by {word[i // 100 % 100]} for our readers today\nown {i}") for i in range(n)]
     got = kept(spark, docs).where("n_dropped = 1").count()
     assert got == n
+
+
+def test_lines_of_digits_recur(spark):
+    """The first is one text everywhere, the others are a template whose fields are digits."""
+    docs = [(i, f"own {i}\nTel: 0800 123 456 789\n12 34 56 78\nPage {i} of {i + 9}") for i in range(8)]
+    got = {r["doc_id"]: r["text"] for r in kept(spark, docs).collect()}
+    assert got == {i: f"own {i}" for i in range(8)}
