@@ -10,16 +10,17 @@ That is the rule of the query and its SQL. With ``full`` set, as in the pipeline
 each of ``SHARES``: a token is constant if it also has that share of its leaf's documents, so values of a field that
 reach ``MIN_DOCUMENTS`` in a large corpus are variable in one of them as they are in a small one. Tokens with a digit are
 fields that match, so ``LEAST_CONSTANT`` is asked of the other positions, at least one of them. A line's whole text, but
-for blanks at its ends, is one more template, which needs no constant tokens. With ``keep_first``, every dropped line has
-an earlier one with which it shares a template.
+for blanks at its ends, is one more template, which needs no constant tokens. It is the only one of lines of fewer than
+``MIN_TOKENS`` tokens, which needs ``SHORT`` times the documents, because few words meet by chance. With ``keep_first``,
+every dropped line has an earlier one with which it shares a template.
 
 Documents with equal texts count once, so the lines of mere copies do not recur. Counts go over the whole corpus. The
 first scan counts leaves, the second hands on the tokens of lines in recurring leaves only, told by a filter of fixed
 size; what it lets through in vain falls out in the counts. Every count combines distinct (key, document) pairs before
 they move, so a line that a third of all documents share meets no single task.
 
-Defined results: null text has one empty line and becomes empty; lines of fewer than ``MIN_TOKENS`` tokens always stay,
-blank ones too; a document may lose all lines and stays as an empty text; equal rows get equal results; a null id sorts
+Defined results: null text has one empty line and becomes empty; blank lines always stay, without
+``full`` all of fewer than ``MIN_TOKENS`` tokens; a document may lose all lines and stays as an empty text; equal rows get equal results; a null id sorts
 first. All other columns are kept; columns with the names that are added are replaced.
 """
 
@@ -40,11 +41,12 @@ LEADING = 3
 MIN_DOCUMENTS = 5
 LEAST_CONSTANT = 0.7
 SHARES = (0.0, 0.01, 0.1, 0.5)
+SHORT = 5
 FIELD = np.uint64(0x2A)
 
 
 class Lines:
-    """Lines of at least ``MIN_TOKENS`` words: leaf, text, line number, and their words."""
+    """Lines of at least ``MIN_TOKENS`` words, or one if ``full``: leaf, text, line number, and their words."""
 
     def __init__(self, column: pa.Array, full: bool = False) -> None:
         data, offsets = words.raw(column)
@@ -57,7 +59,7 @@ class Lines:
         line = np.searchsorted(breaks, found.starts)
         first = np.flatnonzero(np.diff(line + owners, prepend=-1))
         sizes = np.diff(np.append(first, len(found)))
-        enough = sizes >= MIN_TOKENS
+        enough = sizes >= (1 if full else MIN_TOKENS)
         first, self.sizes = first[enough], sizes[enough]
         self.first, self.owner = first, owners[first]
         self.number = line[first] - np.searchsorted(breaks, offsets[:-1])[self.owner]
@@ -161,7 +163,8 @@ def recurring_lines(
     if full:
         own = [F.col("whole").alias("t1"), F.lit(0).cast("long").alias("t2")]
         whole = lines.select("_id", "_row", "_copy", "line", "leaf", *own)
-        many = _common(lines.select("_copy", "leaf", *own), template, least)
+        many = _common(lines.select("_copy", "leaf", "n", *own), [*template, "n"], least)
+        many = many.where((F.col("n") >= MIN_TOKENS) | (F.col("documents") >= SHORT * least)).drop("n")
         templates, recurring = templates.unionByName(whole), recurring.unionByName(many)
     dropped = templates.join(recurring.select(*template), template)
     if keep_first:

@@ -18,8 +18,9 @@ def brute(docs, least):
     for doc, text in sorted(set(docs), key=lambda d: (d[0] is not None, d[0], d[1] or "")):
         for i, line in enumerate((text or "").split("\n")):
             ws = [None if re.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
-            if len(ws) >= 4:
-                found.append((doc, text or "", i, ws, (len(ws), *ws[:3]), line.strip(BLANKS)))
+            if ws:
+                leaf = (len(ws), *ws[:3]) if len(ws) >= 4 else line.strip(BLANKS)
+                found.append((doc, text or "", i, ws if len(ws) >= 4 else [], leaf, line.strip(BLANKS)))
     tokens, leaves = defaultdict(set), defaultdict(set)
     for _, text, _, ws, leaf, _ in found:
         leaves[leaf].add(text)
@@ -39,7 +40,7 @@ def brute(docs, least):
             members[leaf, key].append((doc, text, i))
     gone = set()
     for key, texts in templates.items():
-        if len(texts) >= least:
+        if len(texts) >= (5 * least if isinstance(key[0], str) else least):
             first = members[key][0]
             gone |= {m for m in members[key] if (m[0], m[2]) != (first[0], first[2])}
     return {
@@ -76,3 +77,9 @@ def test_lines_of_digits_recur(spark):
     docs = [(i, f"own {i}\nTel: 0800 123 456 789\n12 34 56 78\nPage {i} of {i + 9}") for i in range(8)]
     got = {r["doc_id"]: r["text"] for r in kept(spark, docs).collect()}
     assert got == {i: f"own {i}" for i in range(8)}
+
+
+def test_short_lines_recur_by_their_text(spark):
+    docs = [(i, f"own {i}\n Read more \n\nAll rights reserved" + "\nAt last" * (i < 24)) for i in range(25)]
+    got = {r["doc_id"]: r["text"] for r in kept(spark, docs, keep_first=True).collect()}
+    assert got == {i: f"own {i}\n" + "\nAt last" * (i < 24) if i else docs[0][1] for i in range(25)}
