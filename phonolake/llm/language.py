@@ -5,8 +5,7 @@ end. Each is hashed to one of ``BUCKETS`` embeddings; their mean goes through a
 together by stochastic gradient descent in numpy on a bounded sample: about ``PER_LANGUAGE`` labelled texts of each of
 at most ``LANGUAGES`` languages, drawn by a hash. A fifth of the sample is kept out of the training to fit a temperature,
 so that scores are probabilities, and a threshold below which a prediction is rejected: the score that all but
-``LOST`` of its correctly named texts reach, but at most one half and at most 1.5 times the score of a blind guess, so
-that only texts which fit no learned language are turned away.
+``LOST`` of its correctly named texts reach.
 
 For prediction, embeddings and softmax are multiplied out, so a subword costs one table row. Every whole text is
 read; the score of a text depends on its text alone.
@@ -37,6 +36,7 @@ EPOCHS = 5
 RATE = 0.1
 BATCH = 32
 LOST = 0.001
+ROUNDING = 1e-6
 UNKNOWN = "und"
 
 _letters = np.zeros(256, bool)
@@ -162,8 +162,7 @@ def _calibrated(model: Model, texts: list, label: np.ndarray) -> Model:
     found = model.probabilities(means)
     right = found.argmax(1) == label
     if right.any():
-        most = min(0.5, 1.5 / len(model.languages))
-        model.threshold = float(min(most, np.quantile(found.max(1)[right], LOST)))
+        model.threshold = float(np.quantile(found.max(1)[right], LOST)) - ROUNDING
     return model
 
 
