@@ -2,8 +2,8 @@
 
 A text is lower-cased; its subwords are the runs of three and four bytes of words, with one separator allowed at either
 end. Each is hashed to one of ``BUCKETS`` embeddings; their mean goes through a linear softmax. Both are trained
-together by stochastic gradient descent in numpy on a bounded sample: about ``PER_LANGUAGE`` labelled texts of each of
-at most ``LANGUAGES`` languages, drawn by a hash. A fifth of the sample is kept out of the training to fit a temperature,
+together by stochastic gradient descent in numpy on a bounded sample: about ``PER_LANGUAGE`` different labelled texts, or
+all there are, of each of the ``LANGUAGES`` languages with the most different texts, drawn by a hash. A fifth of the sample is kept out of the training to fit a temperature,
 so that scores are probabilities, and a threshold below which a prediction is rejected: the score that all but
 ``LOST`` of its correctly named texts reach.
 
@@ -191,7 +191,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model
     """Model of the rows with text and language. What reaches the driver is the bounded sample's bucket counts."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    different = rows.select("lang", F.xxhash64("text").alias("copy")).distinct()
+    counts = different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not counts:
         return None
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
