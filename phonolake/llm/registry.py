@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-MODULES = ["sharding", "packing", "warc", "language", "quality", "decontamination", "secrets", "lines", "neardup", "phrases", "runs"]
+MODULES = ["sharding", "packing", "warc", "language", "quality", "decontamination", "secrets", "lines", "neardup", "phrases", "runs", "repair", "hmm"]
 
 
 def query(name: str, sql: str | None = None):
