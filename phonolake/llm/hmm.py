@@ -11,11 +11,11 @@ emissions and transitions in numpy; the sums of all tasks are added in two shuff
 is cut into spans of ``SPAN`` tokens that run side by side, each span's transition product carries the state
 distributions from span to span. So the sequential part of a text is one product per span.
 
-A text's likelihood is the product of the recursion's scales. Counts of single words come from a sorted table of the most
+A text's likelihood is the product of the forward recursion's scales. Counts of single words come from a sorted table of the most
 frequent ones, ``TABLE`` at most, which every task holds; the other tokens meet their counts in a join by word, one row per
 text and word, so both ways give the same numbers for every word.
 
-What is held of a batch follows half a megabyte of text, or one longer text. Defined results: null and blank texts are their
+What is held of a batch follows two megabytes of text, or one longer text. Defined results: null and blank texts are their
 end alone; without training texts every text scores by the untrained model over unknown words; equal texts score the same,
 repeated rows stay apart; an empty table gives an empty one. All columns but the text are kept, whatever their names;
 columns of the names that are added are replaced.
@@ -41,12 +41,16 @@ STATES = 8
 BITS = 16
 CLASSES = 1 << BITS
 ROUNDS = 5
-SPAN = 64
+SPAN = 512
+NORMED = 8
+SLICE = 1 << 21
 TABLE = 1 << 20
 HELD = 1 << 22
 STAY = 0.99
 SPREAD = 0.5
 PART = 1024
+FAN_IN = 64
+TASK_TOKENS = 1 << 23
 END = 0x1E2D3C4B5A69788
 
 
@@ -69,11 +73,15 @@ class Tokens:
 class Model:
     start: np.ndarray
     move: np.ndarray
-    emit: np.ndarray  # by class, then state
+    emit: np.ndarray  # by class, then state; not changed in place
     mass: np.ndarray  # of each class: its words' counts, one more for each, and one for an unknown word
     tokens: int = 0
     different: int = 0
 
+    def __post_init__(self) -> None:
+        self.tops = self.emit.max(1)
+        self.relative = self.emit / self.tops[:, None]
+
     @property
     def unigram_total(self) -> int:
         return self.tokens + self.different + 1
@@ -96,7 +104,8 @@ class Spans:
         self.start, self.size, self.number, self.text = (x[order] for x in (self.start, self.size, self.number, self.text))
         self.head = self.number == 0
         # Spans longer than t are the first so many.
-        self.active = np.searchsorted(-self.size, -np.arange(SPAN), "left")
+        self.active = np.searchsorted(-self.size, -np.arange(SPAN + 1), "left").tolist()
+        self.steps = int(self.size[0]) if len(self.size) else 0
         # Level j: places of the spans number j and j + 1 of all texts that have both.
         self.follows = []
         left = np.flatnonzero(self.counts > 1)
@@ -112,92 +121,106 @@ def _normal(x: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """Forward recursion over all spans, with the state distributions that enter them."""
+    """Forward and backward recursions over all spans side by side, from the distributions that enter them.
+
+    Arrays over tokens go step by step, with the spans' tokens of a step together. A token's emissions are taken relative
+    to the likeliest state's. Distributions are normed every ``NORMED`` steps and at a span's last token, by ``scales``,
+    which are one elsewhere; the backward recursion is divided by the same scales, so that the product of both sums to one
+    at every token.
+    """
 
     def __init__(self, model: Model, tokens: Tokens) -> None:
         self.model, self.tokens = model, tokens
         self.spans = spans = Spans(tokens.first)
-        self.emitted = model.emit[tokens.classes]
+        self.steps = [slice(b - n, b) for n, b in zip(spans.active, np.cumsum(spans.active).tolist(), strict=True)]
+        self.order = np.empty(len(tokens.classes), np.int64)  # the token at each place
+        for t in range(spans.steps):
+            np.add(spans.start[: spans.active[t]], t, out=self.order[self.steps[t]])
+        self.classes = tokens.classes[self.order]
+        self.emitted = model.relative[self.classes]
         self.entry = np.zeros((len(spans.start), len(model.start)))
-        self.products: np.ndarray | None = None
         if spans.follows:
             self._carry()
-        self.scales = np.zeros(len(tokens.classes))
+        self._forward()
 
     def _carry(self) -> None:
         """Product of each later span's steps, and from them the distribution behind every span."""
         spans, move = self.spans, self.model.move
         later = np.flatnonzero(~spans.head)
         states = len(move)
+        active = np.searchsorted(-spans.size[later], -np.arange(SPAN), "left").tolist()
         products = np.broadcast_to(np.eye(states), (len(later), states, states)).copy()
-        size = spans.size[later]
-        for t in range(SPAN):
-            n = int(np.searchsorted(-size, -t, "left"))
+        for t, n in enumerate(active):
             if not n:
                 break
             step = (products[:n].reshape(-1, states) @ move).reshape(n, states, states)
-            step *= self.emitted[spans.start[later[:n]] + t][:, None, :]
-            products[:n] = step / step.sum((1, 2), keepdims=True)
+            np.multiply(step, self.emitted[self.steps[t]][later[:n], None, :], out=products[:n])
+            if t % NORMED == NORMED - 1:
+                products[:n] /= products[:n].sum((1, 2), keepdims=True)
         self.products = np.zeros((len(spans.start), states, states))
         self.products[later] = products
         heads, after = spans.follows[0]
-        alpha = _normal(self.model.start * self.emitted[spans.start[heads]])
+        alpha = _normal(self.model.start * self.emitted[self.steps[0]][heads])
         for t in range(1, SPAN):
-            alpha = _normal((alpha @ move) * self.emitted[spans.start[heads] + t])
-        self.entry[after] = alpha
+            alpha = (alpha @ move) * self.emitted[self.steps[t]][heads]
+            if t % NORMED == NORMED - 1:
+                alpha = _normal(alpha)
+        self.entry[after] = _normal(alpha)
         for here, after in spans.follows[1:]:
             self.entry[after] = _normal(np.einsum("ni,nij->nj", self.entry[here], self.products[here]))
 
-    def forward(self, keep: bool) -> list[np.ndarray]:
-        """Scale of every token; the normed distributions of each step if they are kept."""
+    def _normed(self, t: int) -> slice:
+        """Spans whose distributions are normed at step ``t``: all that reach it, or those that end there."""
+        active = self.spans.active
+        return slice(0 if t % NORMED == NORMED - 1 else active[t + 1], active[t])
+
+    def _forward(self) -> None:
         spans, move = self.spans, self.model.move
+        self.alpha = np.empty_like(self.emitted)
+        self.scales = np.ones(len(self.emitted))
         alpha = np.where(spans.head[:, None], self.model.start, self.entry @ move)
-        kept = []
-        for t in range(SPAN):
-            n = int(spans.active[t])
-            if not n:
-                break
-            if t:
-                alpha = alpha[:n] @ move
-            at = spans.start[:n] + t
-            alpha = alpha[:n] * self.emitted[at]
-            scale = alpha.sum(1)
-            alpha /= scale[:, None]
-            self.scales[at] = scale
-            if keep:
-                kept.append(alpha)
-        return kept
+        for t in range(spans.steps):
+            step = self.steps[t]
+            now = np.multiply(alpha[: spans.active[t]], self.emitted[step], out=self.alpha[step])
+            some = self._normed(t)
+            if some.start < some.stop:
+                scale = now[some].sum(1)
+                now[some] /= scale[:, None]
+                self.scales[step][some] = scale
+            if t + 1 < spans.steps:
+                alpha = now[: spans.active[t + 1]] @ move
 
     def likelihoods(self) -> np.ndarray:
         """log10 of every text's probability as a sequence of classes."""
-        self.forward(keep=False)
-        first = self.tokens.first
-        return np.add.reduceat(np.log10(self.scales), first[:-1]) if len(first) > 1 else np.zeros(0)
+        out = np.zeros(len(self.tokens.first) - 1)
+        logs = np.log10(self.scales * self.model.tops[self.classes])
+        for t in range(self.spans.steps):
+            np.add.at(out, self.spans.text[: self.spans.active[t]], logs[self.steps[t]])
+        return out
 
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected states of every token, transitions, and first states."""
-        spans, model = self.spans, self.model
-        kept = self.forward(keep=True)
+        """Expected states of every token of ``classes``, transitions, and first states."""
+        spans, move = self.spans, self.model.move
         beta = np.ones_like(self.entry)
         for here, after in reversed(spans.follows):
             beta[here] = _normal(np.einsum("nij,nj->ni", self.products[after], beta[after]))
+        for t in range(spans.steps):  # each span where it ends
+            ends = slice(spans.active[t + 1], spans.active[t])
+            beta[ends] /= (self.alpha[self.steps[t]][ends] * beta[ends]).sum(1, keepdims=True)
         share = np.empty_like(self.emitted)
-        moves, starts = np.zeros_like(model.move), np.zeros_like(model.start)
-        for t in reversed(range(len(kept))):
-            n = len(kept[t])
-            at = spans.start[:n] + t
-            both = kept[t] * beta[:n]
-            total = both.sum(1, keepdims=True)
-            share[at] = both / total
-            seen = self.emitted[at] * beta[:n]
-            weighted = seen / (self.scales[at][:, None] * total)
+        moves = np.zeros_like(move)
+        for t in reversed(range(spans.steps)):
+            step, n = self.steps[t], spans.active[t]
+            np.multiply(self.alpha[step], beta[:n], out=share[step])
+            seen = self.emitted[step] * beta[:n]
+            some = self._normed(t)
+            seen[some] /= self.scales[step][some, None]
             if t:
-                moves += kept[t - 1][:n].T @ weighted
-                beta[:n] = _normal(seen @ model.move.T)
+                moves += self.alpha[self.steps[t - 1]][:n].T @ seen
+                np.matmul(seen, move.T, out=beta[:n])
             else:
-                moves += self.entry.T @ weighted  # spans at a text's head are entered by nothing
-                starts = share[at[spans.head]].sum(0)
-        return share, moves * model.move, starts
+                moves += self.entry.T @ seen  # nothing enters the spans at a text's head
+        return share, moves * move, share[: len(spans.start)][spans.head].sum(0)
 
 
 def _word_counts(batches):
@@ -221,66 +244,101 @@ def _word_counts(batches):
 SUMS = "part int, salt int, sums binary"
 
 
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    """The rows of a table that are not all zero: how many, which, and their values."""
+    rows = np.flatnonzero(values.any(1)).astype(np.int32)
+    return np.int32(len(rows)).tobytes() + rows.tobytes() + values[rows].astype(kind).tobytes()
+
+
+def _unpacked(body: bytes, states: int, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(body, np.int32, 1)[0])
+    return np.frombuffer(body, np.int32, n, 4), np.frombuffer(body, kind, n * states, 4 + 4 * n).reshape(n, states)
+
+
 def _expectations(shared):
-    """Expected counts of a task, in parts of ``PART`` classes; the last part holds moves, starts, and the likelihood."""
+    """Expected counts of a task, in parts of ``PART`` classes; the last part holds moves, starts, and the likelihood.
+
+    Only classes that the task has met take room, in single precision; sums over tasks are in double precision.
+    """
 
     def run(batches):
         model = shared.value
         states = len(model.start)
         emit, moves, starts, likelihood = np.zeros_like(model.emit), np.zeros_like(model.move), np.zeros(states), 0.0
         salt = None
-        for batch in words.slices(batches, "_text"):
+        for batch in words.slices(batches, "_text", SLICE):
             salt = int(batch["salt"][0].as_py()) if salt is None else salt
             tokens = Tokens(batch.column("_text"))
             lattice = Lattice(model, tokens)
             share, m, s = lattice.expected()
             for k in range(states):
-                emit[:, k] += np.bincount(tokens.classes, share[:, k], len(emit))
-            moves, starts, likelihood = moves + m, starts + s, likelihood + np.log10(lattice.scales).sum()
+                emit[:, k] += np.bincount(lattice.classes, share[:, k], len(emit))
+            moves, starts, likelihood = moves + m, starts + s, likelihood + lattice.likelihoods().sum()
         if salt is None:
             return
-        parts = [emit[i : i + PART].ravel() for i in range(0, len(emit), PART)]
-        parts.append(np.concatenate([moves.ravel(), starts, [likelihood]]))
+        parts = [_packed(emit[i : i + PART], "f4") for i in range(0, len(emit), PART)]
+        parts.append(_packed(_rest(moves, starts, likelihood), "f4"))
         columns = [pa.array(range(len(parts)), pa.int32()), pa.array([salt] * len(parts), pa.int32())]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "salt", "sums"])
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(parts, pa.binary())], ["part", "salt", "sums"])
 
     return run
 
 
-def _added(batches):
+def _rest(moves: np.ndarray, starts: np.ndarray, likelihood: float) -> np.ndarray:
+    return np.vstack([moves, starts, np.full(len(starts), likelihood)])
+
+
+def _added(states: int, kind: str):
     """Sums of equal parts, which come in one piece."""
-    now, total = None, None
 
-    def give() -> pa.RecordBatch:
-        arrays = [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([total.tobytes()], pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["part", "salt", "sums"])
-
-    for batch in batches:
-        for part, salt, body in zip(*(batch[c].to_pylist() for c in ("part", "salt", "sums")), strict=True):
-            values = np.frombuffer(body, np.float64)
-            if now == (part, salt):
-                total = total + values
-            else:
-                if now is not None:
-                    yield give()
-                now, total = (part, salt), values
-    if now is not None:
-        yield give()
+    def run(batches):
+        now, total = None, None
+
+        def give() -> pa.RecordBatch:
+            arrays = [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([_packed(total, "f8")], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["part", "salt", "sums"])
+
+        for batch in batches:
+            for part, salt, body in zip(*(batch[c].to_pylist() for c in ("part", "salt", "sums")), strict=True):
+                if now != (part, salt):
+                    if now is not None:
+                        yield give()
+                    now, total = (part, salt), np.zeros((PART, states))
+                rows, values = _unpacked(body, states, kind)
+                total[rows] += values
+        if now is not None:
+            yield give()
+
+    return run
 
 
 def _round(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float] | None:
-    """Expected counts of all texts; what reaches the driver has the size of the model."""
+    """Expected counts of all texts; what reaches the driver has the size of the model.
+
+    Sums of ``FAN_IN`` tasks meet first, then the sums of these.
+    """
+    states = len(model.start)
     shared = texts.sparkSession.sparkContext.broadcast(model)
-    sums = texts.select("_text", F.pmod(F.spark_partition_id(), F.lit(64)).alias("salt")).mapInArrow(_expectations(shared), SUMS)
-    sums = sums.repartition("part", "salt").sortWithinPartitions("part", "salt").mapInArrow(_added, SUMS)
-    sums = sums.withColumn("salt", F.lit(0)).repartition("part").sortWithinPartitions("part", "salt").mapInArrow(_added, SUMS)
-    found = sums.toArrow().sort_by("part")
+    group = F.floor(F.spark_partition_id() / FAN_IN).cast("int")
+    sums = texts.select("_text", group.alias("salt")).mapInArrow(_expectations(shared), SUMS)
+    sums = sums.repartition("part", "salt").sortWithinPartitions("part", "salt").mapInArrow(_added(states, "f4"), SUMS)
+    sums = sums.withColumn("salt", F.lit(0)).repartition("part").sortWithinPartitions("part")
+    found = sums.mapInArrow(_added(states, "f8"), SUMS).toArrow().sort_by("part")
     if not found.num_rows:
         return None
-    parts = [np.frombuffer(b.as_py(), np.float64) for b in found["sums"]]
-    states = len(model.start)
-    moves, starts, rest = np.split(parts[-1], [states * states, states * states + states])
-    return np.concatenate(parts[:-1]).reshape(-1, states), moves.reshape(states, states), starts, float(rest[0])
+    tables = []
+    for body in found["sums"].to_pylist():
+        tables.append(np.zeros((PART, states)))
+        rows, values = _unpacked(body, states, "f8")
+        tables[-1][rows] = values
+    emit, rest = np.concatenate(tables[:-1])[: len(model.emit)], tables[-1]
+    return emit, rest[:states], rest[states], float(rest[states + 1, 0])
+
+
+def _in_tasks(texts: DataFrame, tokens: int) -> DataFrame:
+    """``texts`` in fewer tasks where they lie in many small parts: every task gives sums of up to the model's size."""
+    tasks = max(4 * texts.sparkSession.sparkContext.defaultParallelism, -(-tokens // TASK_TOKENS))
+    return texts.coalesce(tasks) if texts.rdd.getNumPartitions() > 2 * tasks else texts
 
 
 def untrained(mass: np.ndarray, states: int = STATES) -> Model:
@@ -320,6 +378,7 @@ def train(docs: DataFrame, counts: DataFrame, text: str = "text", states: int =
     filled[found["kind"].to_numpy()] += found["mass"].to_numpy()
     model = untrained(filled, states)
     model.tokens, model.different = int(sum(found["n"].to_pylist())), int(sum(found["v"].to_pylist()))
+    texts = _in_tasks(texts, model.tokens)
     for _ in range(rounds):
         sums = _round(texts, model)
         if sums is None:
@@ -343,17 +402,43 @@ def _frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], found["n"].to_numpy()[order]
 
 
+class Counts:
+    """Counts of the words of a sorted table, by the leading bits of their hashes."""
+
+    def __init__(self, keys: np.ndarray, times: np.ndarray) -> None:
+        self.shift = np.uint64(64 - max(1, len(keys).bit_length()))
+        self.keys, self.times = np.append(keys, np.uint64(0)), np.append(times, 0)
+        found = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << (64 - int(self.shift)))
+        self.first = np.append(0, np.cumsum(found))
+        self.most = int(found.max())
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """0 for words that the table lacks."""
+        out = np.zeros(len(hashes), np.int64)
+        place = (hashes >> self.shift).astype(np.int64)
+        at, stop = self.first[place], self.first[place + 1]
+        left = np.flatnonzero(at < stop)
+        for _ in range(self.most):
+            if not len(left):
+                break
+            here = at[left]
+            hit = self.keys[here] == hashes[left]
+            out[left[hit]] = self.times[here[hit]]
+            at[left] += 1
+            left = left[~hit & (at[left] < stop[left])]
+        return out
+
+
 def _scores(shared, held):
     def run(batches):
-        model, (keys, times) = shared.value, held.value
+        model, counts = shared.value, Counts(*held.value)
         mass = np.log10(model.mass)
-        for batch in words.slices(batches, "_text"):
+        for batch in words.slices(batches, "_text", SLICE):
             tokens = Tokens(batch.column("_text"))
             lasts = tokens.first[:-1]
             likelihood = Lattice(model, tokens).likelihoods() - np.add.reduceat(mass[tokens.classes], lasts)
-            at = np.minimum(np.searchsorted(keys, tokens.hashes), max(len(keys) - 1, 0))
-            known = keys[at] == tokens.hashes if len(keys) else np.zeros(len(at), bool)
-            n = np.where(known, times[at], 0) if len(keys) else np.zeros(len(at), np.int64)
+            n = counts.of(tokens.hashes)
+            known = n > 0
             single = np.add.reduceat(np.log10(n + 1.0), lasts)
             owner = np.repeat(np.arange(batch.num_rows), tokens.sizes())[~known]
             rest = tokens.hashes[~known]

@@ -76,15 +76,15 @@ def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (body[at[0] : at[-1]], at - at[0]) if len(at) else (body[:0], np.zeros(1, np.int64))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches of at most about half a megabyte of ``column``, one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Batches of at most about ``size`` bytes of ``column``, one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, at = raw(batch.column(column))
         start = 0
         while start < batch.num_rows:
-            stop = max(start + 1, int(np.searchsorted(at, at[start] + SLICE, "right")) - 1)
+            stop = max(start + 1, int(np.searchsorted(at, at[start] + size, "right")) - 1)
             yield batch.slice(start, stop - start)
             start = stop
     release()

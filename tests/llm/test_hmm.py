@@ -23,7 +23,7 @@ def texts(n, seed=1):
     """Two kinds of texts with words of their own, and some words of both."""
     rng = random.Random(seed)
     pools = [[f"{kind}{i}" for i in range(12)] + ["of", "In"] for kind in ("ka", "mo")]
-    out = [" ".join(rng.choices(pools[i % 2], k=rng.choice([0, 1, 5, 40, 63, 64, 65, 200]))) for i in range(n)]
+    out = [" ".join(rng.choices(pools[i % 2], k=rng.choice([0, 1, 5, 7, 8, 9, 40, 510, 511, 512, 300]))) for i in range(n)]
     return out + [None, "", " \n", "Ka1 kA1\tKA1"]
 
 
@@ -69,11 +69,13 @@ def some_model(states, seed=0):
 @pytest.mark.parametrize("states", [1, 3, 8])
 def test_spans_give_the_plain_recursion(states):
     model = some_model(states)
-    column = pa.array([*texts(25), " ".join(f"w{i % 37}" for i in range(1000))])
+    column = pa.array([*texts(25), " ".join(f"w{i % 37}" for i in range(2500))])
     tokens = hmm.Tokens(column)
     lattice = hmm.Lattice(model, tokens)
     likelihoods = hmm.Lattice(model, tokens).likelihoods()
-    share, moves, starts = lattice.expected()
+    by_step, moves, starts = lattice.expected()
+    share = np.empty_like(by_step)
+    share[lattice.order] = by_step
     all_moves, all_starts = np.zeros_like(model.move), np.zeros(states)
     for i, text in enumerate(column.to_pylist()):
         classes = [class_of(t) for t in tokens_of(text)]
@@ -133,6 +135,23 @@ def test_query_against_brute_force(spark, tmp_path, monkeypatch, table):
         assert mine[5:] == pytest.approx(want[5:])
 
 
+@pytest.mark.parametrize("n", [0, 1, 5, 3000])
+def test_counts_of_a_table(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**64, n, dtype=np.uint64))
+    counts = hmm.Counts(keys, np.arange(1, len(keys) + 1))
+    asked = np.concatenate([keys, keys + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+    known = dict(zip(keys.tolist(), range(1, len(keys) + 1), strict=True))
+    assert counts.of(asked).tolist() == [known.get(h, 0) for h in asked.tolist()]
+
+
+def test_sums_pass_in_packed_form():
+    values = np.zeros((9, 3))
+    values[[2, 7]] = np.arange(6).reshape(2, 3) + 0.5
+    rows, found = hmm._unpacked(hmm._packed(values, "f4"), 3, "f4")
+    assert rows.tolist() == [2, 7] and found.tolist() == values[[2, 7]].tolist()
+    assert hmm._unpacked(hmm._packed(values * 0, "f8"), 3, "f8")[1].shape == (0, 3)
+
+
 def test_probabilities_sum_to_one():
     model, counts = brute_training(texts(10), 3, 2)
     by_class = {}
