@@ -241,8 +241,8 @@ class Chain:
         return self._hand_out(min(whole, key=lambda t: (t.cost, t.edits())), self.waiting)
 
 
-def diagnose(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Turns as (conv, turn, role, text, place, first, fault): place in the table's order, number of the fault."""
+def place(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """Turns as (conv, turn, role, text, key, place): digest of role and text, place in the table's order. They are written."""
     spoken, said = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(" ")) for c in (role, text))
     rows = turns.select(
         F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), spoken.alias("role"), said.alias("text")
@@ -251,17 +251,25 @@ def diagnose(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role:
     whole = F.concat(F.length("role").cast("string"), F.lit(":"), "role", "text")
     rows = rows.withColumns({"key": F.unhex(F.sha2(whole.cast("binary"), 256)), "copy": F.monotonically_increasing_id()})
     order = [F.asc_nulls_first(c) for c in ("conv", "turn", "role", "key", "copy")]
-    rows, _ = index_rows(rows, order, "place")
+    return index_rows(rows, order, "place")[0].drop("copy")
+
+
+def diagnose(rows: DataFrame) -> DataFrame:
+    """Placed turns as (conv, place, role, fault), the number of the fault; texts are only looked at where they are."""
     rest = F.rtrim("text", F.lit(BLANKS))
-    last = F.substring(rest, -1, 1)
-    own = F.when(rest == "", 2).when(~last.isin(ENDS), 1).otherwise(0)
-    rows = rows.withColumn("fault", own)
+    own = F.when(rest == "", 2).when(~F.substring(rest, -1, 1).isin(ENDS), 1).otherwise(0)
+    narrow = rows.select("conv", "place", "role", own.alias("own"))
     # Places are unique, so the first places meet their rows without any hot key.
     firsts = rows.groupBy("conv", "key").agg(F.min("place").alias("place")).select("place", F.lit(True).alias("first"))
-    seen = rows.select("place").join(firsts, "place", "left").select("place", F.col("first").isNull().alias("again"))
-    rows = rows.join(seen, "place")
-    fault = F.when((F.col("fault") != 2) & F.col("again"), 3).otherwise(F.col("fault"))
-    return rows.select("conv", "turn", "role", "text", "place", fault.alias("fault"))
+    met = narrow.join(firsts, "place", "left")
+    fault = F.when((F.col("own") != 2) & F.col("first").isNull(), 3).otherwise(F.col("own"))
+    return met.select("conv", "place", "role", fault.alias("fault"))
+
+
+def _by_conversation(blocks: DataFrame) -> DataFrame:
+    """Blocks of a conversation in order, in as many tasks as a shuffle has: rows are few, their parsing is not."""
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(tasks, "conv").sortWithinPartitions("conv", "block")
 
 
 def _block() -> Column:
@@ -308,13 +316,13 @@ def _rows(rows: list[tuple], names: list[str], kind: pa.DataType) -> pa.RecordBa
 
 
 def plan_edits(rows: DataFrame) -> DataFrame:
-    """Edits of each block of ``diagnose``'s rows, the role wanted at its start, its cost and its faults."""
+    """Edits of each block of diagnosed turns, the role wanted at its start, its cost and its faults."""
     initial = F.substring("role", 1, 1)
     kind = F.when(initial == "s", 4).when(initial == "u", 8).when(initial == "a", 12).otherwise(0)
     letter = F.char(F.lit(65) + kind + F.col("fault"))
     listed = F.array_sort(F.collect_list(F.struct("place", letter.alias("letter"))))
     blocks = rows.groupBy("conv", _block()).agg(F.transform(listed, lambda t: t["letter"]).alias("turns"))
-    blocks = blocks.repartition("conv").sortWithinPartitions("conv", "block")
+    blocks = _by_conversation(blocks)
     conv = rows.schema["conv"].dataType.simpleString()
     return blocks.mapInArrow(_edits, f"conv {conv}, {EDITS}")
 
@@ -341,7 +349,7 @@ _REPAIRED = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
 
 
 def repair(rows: DataFrame) -> DataFrame:
-    """Repaired turns of each block of ``diagnose``'s rows: conv, block, turns, and the columns of ``plan_edits``."""
+    """Repaired turns of each block of placed turns: conv, block, turns, and the columns of ``plan_edits``."""
 
     def changed(turns: pa.Array, audit: pa.Array, wanted: pa.Array) -> pa.Array:
         each = zip(turns.to_pylist(), audit.to_pylist(), wanted.to_pylist(), strict=True)
@@ -351,7 +359,7 @@ def repair(rows: DataFrame) -> DataFrame:
     changed = F.arrow_udf(changed, REPAIRED)
     listed = F.array_sort(F.collect_list(F.struct("place", "role", "text")))
     blocks = rows.groupBy("conv", _block()).agg(F.transform(listed, lambda t: F.struct(t["role"], t["text"])).alias("turns"))
-    edits = plan_edits(rows).withColumnsRenamed({"conv": "_conv", "block": "_block"})
+    edits = plan_edits(diagnose(rows)).withColumnsRenamed({"conv": "_conv", "block": "_block"})
     met = blocks.join(edits, F.col("conv").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
     return met.drop("_conv", "_block").withColumn("turns", changed("turns", "audit", "wanted"))
 
@@ -399,7 +407,7 @@ def digest(repaired: DataFrame) -> DataFrame:
     """One row per conversation: faults, cost, edits, and the hash of its repaired ``role:text`` lines."""
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
     blocks = repaired.select("conv", "block", *SUMS, "audit", F.size("turns").alias("n"), lines.alias("lines"))
-    blocks = blocks.repartition("conv").sortWithinPartitions("conv", "block")
+    blocks = _by_conversation(blocks)
     conv = repaired.schema["conv"].dataType.simpleString()
     return blocks.mapInArrow(_digest, f"conv {conv}, {DIGEST}")
 
@@ -483,7 +491,7 @@ def op13_glr_repair(spark, sf_dir):
     """Faults of every conversation after planted damage, and its cheapest repair."""
     turns, gaps = _damaged(table(spark, sf_dir, "conversations"))
     bound_batches(spark)
-    found = digest(repair(diagnose(turns, "conv_id")))
+    found = digest(repair(place(turns)))
     found = join_on(gaps, found.withColumnRenamed("conv", "conv_id"), ["conv_id"], "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
     nothing = hashlib.sha256(b"").hexdigest()

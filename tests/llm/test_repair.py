@@ -158,7 +158,7 @@ def test_no_rows_and_all_dropped(spark, tmp_path):
 def test_turns_come_back_with_clashing_columns(spark):
     rows = [("k", 1, "user", "Hi.", 1, "p"), ("k", 2, "user", "Ok.", 2, "q"), ("k", 3, "assistant", "Yes.", 3, "r")]
     df = spark.createDataFrame(rows, "`my conv` string, n int, role string, text string, place int, `key.x` string")
-    fixed = repair.repaired_turns(repair.repair(repair.diagnose(df, "my conv", "n"))).orderBy("block", "place").collect()
+    fixed = repair.repaired_turns(repair.repair(repair.place(df, "my conv", "n"))).orderBy("block", "place").collect()
     # A delete is dearer than an insert.
     assert [(r["role"], r["text"]) for r in fixed] == [("user", "Hi."), ("assistant", ""), ("user", "Ok."), ("assistant", "Yes.")]
 
@@ -168,7 +168,7 @@ def test_long_conversation_is_not_held_by_one_task(spark):
         F.lit(1).alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("t"), "id", F.lit(".")).alias("text"),
     )
-    found = repair.repair(repair.diagnose(rows))
+    found = repair.repair(repair.place(rows))
     blocks = found.select("block", F.size("turns").alias("n"), "audit").collect()
     assert max(b["n"] for b in blocks) <= repair.BLOCK
     assert {c for b in blocks for c in b["audit"]} == {"K"}
