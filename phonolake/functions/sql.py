@@ -41,8 +41,25 @@ FUNCTIONS = {
 }
 
 
+def _rows_of(call: str) -> str:
+    return f"SELECT e.pos, e.col FROM (SELECT {call} AS items) t, LATERAL posexplode(t.items) AS e(pos, col)"
+
+
+#: Functions that give rows, to be used in FROM, also laterally.
+TABLE_FUNCTIONS = {
+    "sentence_rows(text STRING)": ("sentence_index INT, sentence_text STRING", _rows_of(_sentences("sentence"))),
+    "clause_rows(text STRING)": ("sentence_index INT, sentence_text STRING", _rows_of(_sentences("clause"))),
+    "frame_rows(tokens ARRAY<INT>)": (
+        "frame INT, tokens ARRAY<INT>",
+        _rows_of(FUNCTIONS["token_frames(tokens ARRAY<INT>)"][1]),
+    ),
+}
+
+
 def register(spark: SparkSession) -> list[str]:
     """Create the temporary functions in the session and return their signatures."""
     for signature, (kind, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {kind} RETURN {body}")
-    return list(FUNCTIONS)
+    for signature, (columns, body) in TABLE_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS TABLE ({columns}) RETURN {body}")
+    return [*FUNCTIONS, *TABLE_FUNCTIONS]

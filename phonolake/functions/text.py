@@ -11,6 +11,10 @@ from phonolake.functions import tokens as T
 
 LAST_TOKEN_PATTERN = r"<custom_token_([+-]?[0-9]+)>$"
 TEXT_TOKEN_PATTERN = r"[\pL\pM]+|\pN+|[^\x09-\x0D\x20\pL\pM\pN]"
+#: The published pattern that cuts a text before the merges of byte-level rank files.
+SUBWORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Tokens that a vocabulary is extended with; they are cut out of a text before anything else.
+ADDED_PATTERN = r"<custom_token_[0-9]+>|<\|ph_[A-Za-z]+\|>"
 PHONEME_PATTERN = r"<\|ph_[A-Za-z]+\|>"
 
 
@@ -89,6 +93,19 @@ def text_tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TEXT_TOKEN_PATTERN), F.lit(0))
 
 
+def subword_pieces(text: Column, added: str | None = None) -> Column:
+    """Pieces of a text that subwords do not cross; all of them together are the text. White space is that of Unicode."""
+
+    def cut(part: Column) -> Column:
+        return F.regexp_extract_all(part, F.lit(f"(?U){SUBWORD_PATTERN}"), F.lit(0))
+
+    if added is None:
+        return cut(text)
+    parts = F.regexp_extract_all(text, F.lit(f"(?s)(?:{added})|(?:(?!{added}).)+"), F.lit(0))
+    whole = F.transform(parts, lambda p: F.when(p.rlike(f"\\A(?:{added})\\z"), F.array(p)).otherwise(cut(p)))
+    return F.when(text.rlike(added), F.flatten(whole)).otherwise(cut(text))
+
+
 def ipa_lookup(ipa: Column, table: dict) -> Column:
     """Array of the table's values for the IPA symbols of a text, longest symbol first; other characters are dropped.
 

@@ -29,6 +29,7 @@ MAX_LEN_B = 4096
 MIN_DURATION_S = 0.5
 MAX_DURATION_S = 20.0
 ROWS_PER_SHARD = 512
+SHARDS_PER_TASK = 64
 DEFAULT_SPEAKER = "speaker"
 DEFAULT_VOICE = "Metin"
 DEFAULT_GRANULARITY = "sentence"

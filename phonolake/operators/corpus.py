@@ -160,18 +160,23 @@ def assemble_b(df: DataFrame) -> DataFrame:
     ).drop("prompt_ids", "frames", "l0", "l1", "l2")
 
 
-def corpus_stats(df: DataFrame, length: str = "seq_len") -> DataFrame:
-    """One row of totals over a tagged table; lengths are of kept rows, 0 when there is none."""
+def corpus_totals(length: str = "seq_len") -> list[Column]:
+    """Totals of a tagged table; lengths are of kept rows, 0 when there is none."""
     keep = F.col("drop_reason").isNull()
     of_kept = F.when(keep, F.col(length))
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("rows_seen"),
         F.count_if(keep).alias("rows_written"),
         F.count_if(F.col("drop_reason") == "over_length").alias("rows_skipped_over_length"),
         F.coalesce(F.min(of_kept), F.lit(0)).cast("long").alias("min_seq_len"),
         F.coalesce(F.max(of_kept), F.lit(0)).cast("long").alias("max_seq_len"),
         F.coalesce(F.avg(of_kept), F.lit(0.0)).alias("mean_seq_len"),
-    )
+    ]
+
+
+def corpus_stats(df: DataFrame, length: str = "seq_len") -> DataFrame:
+    """One row of totals over a tagged table."""
+    return df.agg(*corpus_totals(length))
 
 
 def speaker_stats(df: DataFrame, length: str | None = None) -> DataFrame:

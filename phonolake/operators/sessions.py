@@ -5,9 +5,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,51 +142,112 @@ def placed_sentences(messages: DataFrame, granularity: str) -> DataFrame:
     )
 
 
-def _fold_pieces(batches):
-    """Sentences of sessions whose granularity changes: rows come by session and seq, one buffer is held at a time."""
-    session, buffer, number = None, "", 0
-    for batch in batches:
-        out = []
-        columns = (batch[c].to_pylist() for c in ("key", "seq", "type", "text", "split_granularity"))
-        for key, seq, kind, text, granularity in zip(*columns, strict=True):
-            if key != session:
-                session, buffer, number = key, "", 0
-            if kind == "input.text":
-                pieces, buffer = X.ready_pieces(buffer + (text or ""), granularity)
-            else:
-                pieces, buffer = X.rest_pieces(buffer, granularity), ""
-            out += [(key, number + k, piece, seq) for k, piece in enumerate(pieces)]
-            number += len(pieces)
-        arrays = zip(*out, strict=True) if out else [[]] * 4
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64()]
-        arrays = [pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, ["key", "sentence_index", "sentence_text", "seq"])
+#: Kinds of places where a sentence can end: behind a clause mark, behind a sentence mark.
+CLAUSE, SENTENCE = 1, 2
+LAST_SEQ = 1 << 62
+
+
+def _next(facts: DataFrame, cols: list[str], include_self: bool) -> DataFrame:
+    """Each column's next non-null value in the session."""
+    turned = facts.withColumn("_turned", F.lit(LAST_SEQ) - F.col("seq"))
+    return carry_forward(turned, ["session_id"], "_turned", cols, include_self).drop("_turned")
+
+
+def changing_sentences(messages: DataFrame, granularity: DataFrame) -> DataFrame:
+    """Sentences of sessions whose granularity (session_id, seq, split_granularity) may change, placed as above.
+
+    A sentence may end behind a mark and its closing characters, where another character follows. That place belongs to
+    the text alone. Behind a sentence mark it is a cut at the message that shows it. Behind a clause mark it is one at
+    the next message with clause granularity, unless a message before that one showed the next cut behind a sentence
+    mark, for the buffer was emptied up to there. So a message has to know the last mark before it, the next message
+    with clause granularity and the next with a sentence mark's cut: values that are carried over blocks of a
+    narrow table, forwards and backwards. Every message is then cut by itself, and no session is folded.
+    """
+    sentence, clause = X.char_class(T.SENTENCE_MARKS), X.char_class(T.CLAUSE_MARKS)
+    closing = X.char_class(T.CLOSING_CHARS)
+
+    def pieces(text, kind):
+        return F.regexp_extract_all(text, F.lit(X.piece_pattern(kind)), F.lit(0))
+
+    def within(text, kind):
+        return F.greatest(F.size(pieces(text, kind)) - 1, F.lit(0))
+
+    by_clause = F.col("split_granularity") != "sentence"
+    own = granularity.select("session_id", "seq", by_clause.alias("by_clause"))
+    said = open_messages(messages).where(F.col("type").isin("input.text", "input.done"))
+    said = said.withColumn("text", F.when(F.col("type") == "input.text", F.coalesce("text", F.lit(""))).otherwise(""))
+    said = join_on(said.select("session_id", "seq", "text", "done_seq", "last_text_seq"), own, ["session_id", "seq"])
+
+    lead = F.regexp_extract("text", f"\\A[{closing}]*", 0)
+    last = F.element_at(pieces(F.col("text"), "sentence"), -1)
+    ends = F.when(F.col("text").rlike(f"[{sentence}][{closing}]*\\z"), SENTENCE)
+    ends = ends.when(F.col("text").rlike(f"[{clause}][{closing}]*\\z"), CLAUSE).otherwise(0)
+    facts = said.select(
+        "session_id",
+        "seq",
+        "by_clause",
+        F.when(F.col("text") != lead, ends).alias("before"),  # only closing characters change nothing
+        (F.col("text") != lead).alias("filled"),
+        within(F.col("text"), "sentence").alias("full"),
+        within(F.col("text"), "clause").alias("all"),
+        F.when(F.col("text") != "", within(last, "clause")).otherwise(0).alias("tail"),
+    )
+    facts = carry_forward(materialise(facts), ["session_id"], "seq", ["before"], include_self=False)
+    facts = facts.withColumn("before", F.coalesce("before", F.lit(0)))
+    opens = (F.col("filled") & (F.col("before") == SENTENCE)).cast("int")
+    facts = facts.withColumn("full", F.col("full") + opens)
+    facts = materialise(facts.withColumns({
+        "clause_at": F.when(F.col("by_clause"), F.col("seq")), "full_at": F.when(F.col("full") > 0, F.col("seq"))
+    }))
+    facts = _next(materialise(_next(facts, ["clause_at"], True)), ["full_at"], False)
+    late = F.when(F.col("full_at").isNull() | (F.col("clause_at") <= F.col("full_at")), F.col("clause_at"))
+    facts = facts.withColumn("late", late)
+    # What a clause mark before the message left open ends with its first character that closes nothing.
+    open_clause = F.col("filled") & (F.col("before") == CLAUSE)
+    now = open_clause & (F.col("by_clause") | ((F.col("full") == 0) & F.col("late").isNotNull()))
+    facts = facts.withColumn("opens", now | (F.col("filled") & (F.col("before") == SENTENCE)))
+    seldom = F.col("full") + F.when(F.col("late").isNotNull(), F.col("tail") + now.cast("int")).otherwise(0)
+    cuts = F.when(F.col("by_clause"), F.col("all") + F.col("opens").cast("int")).otherwise(seldom)
+    facts = running_sum(materialise(facts), ["session_id"], "seq", cuts.cast("long"), "first_no")
+
+    placed = join_on(
+        said.where(F.col("text") != "").drop("by_clause"),
+        facts.select("session_id", "seq", "by_clause", "opens", "full", "late", "first_no"),
+        ["session_id", "seq"],
+    )
+    rest = F.when(F.col("opens"), F.substr("text", F.length(lead) + 1)).otherwise(F.col("text"))
+    whole = pieces(rest, "sentence")
+    tail = F.concat(F.slice(whole, 1, F.greatest(F.size(whole) - 1, F.lit(0))), pieces(F.element_at(whole, -1), "clause"))
+    body = F.when(F.col("by_clause"), pieces(rest, "clause")).when(F.col("late").isNotNull(), tail).otherwise(whole)
+    parts = F.when(F.col("opens"), F.concat(F.array(lead), body)).otherwise(body)
+    unsure = F.col("done_seq").isNull() & (F.col("seq") == F.col("last_text_seq"))
+    rows = placed.select("*", parts.alias("parts"), unsure.alias("last")).drop("text")
+    rows = rows.select("*", F.size("parts").alias("n"), F.posexplode("parts").alias("k", "part")).drop("parts")
+    at_once = F.col("by_clause") | (F.col("k") <= F.col("full"))
+    begins = F.when(F.col("k") == 0, None).when(at_once, F.col("seq")).otherwise(F.col("late"))
+    ordered = F.sort_array(F.collect_list(F.struct("seq", "k", "part")))
+    found = rows.groupBy("session_id", (F.col("first_no") + F.col("k")).alias("raw_no")).agg(
+        X.strip(F.array_join(F.transform(ordered, lambda p: p["part"]), "")).alias("sentence_text"),
+        F.max(F.col("last") & (F.col("k") == F.col("n") - 1)).alias("unsure"),
+        F.min(begins).alias("begins"),
+        F.max("done_seq").alias("done_seq"),
+    )
+    found = materialise(found)
+    nexts = found.select("session_id", (F.col("raw_no") - 1).alias("raw_no"), F.col("begins").alias("seq"))
+    found = join_on(found.drop("begins"), nexts, ["session_id", "raw_no"], "left")
+    sure = found.where(~F.col("unsure") & (F.col("sentence_text") != ""))
+    sure = sure.select("session_id", "raw_no", "sentence_text", F.coalesce("seq", "done_seq").alias("seq"))
+    # Line breaks are clause marks that are trimmed away, so empty pieces leave gaps.
+    return number_rows(materialise(sure), ["session_id"], "raw_no", "sentence_index").drop("raw_no")
 
 
 def sentence_requests(messages: DataFrame) -> DataFrame:
     """Sentences with the voice and sampling configuration in force when their end became certain.
 
-    The granularity is that of the configuration. Sessions that keep one are cut message by message in parallel; in
-    a session that changes it, what is left in the buffer is cut anew, which is a fold over its messages in order.
+    The granularity is that of the configuration in force at each message.
     """
     folded = materialise(fold_session_config(messages))
-    said = folded.where(F.col("type").isin("input.text", "input.done"))
-    mark = F.when(F.col("split_granularity") == "sentence", "sentence").otherwise("clause")
-    used = said.groupBy("session_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
-    used = materialise(used)
-    parts = []
-    for granularity in ("sentence", "clause"):
-        own = used.where((F.col("least") == granularity) & (F.col("most") == granularity)).select("session_id")
-        parts.append(placed_sentences(join_on(messages, own, ["session_id"]), granularity))
-    mixed = used.where("least <> most").select("session_id")
-    rows = join_on(join_on(open_messages(messages), mixed, ["session_id"]), said.select("session_id", "seq", "split_granularity").withColumnRenamed("split_granularity", "in_force"), ["session_id", "seq"])
-    kind = messages.schema["session_id"].dataType
-    rows = rows.select(F.col("session_id").cast("string").alias("key"), "seq", "type", "text", F.col("in_force").alias("split_granularity"))
-    rows = rows.repartition("key").sortWithinPartitions("key", "seq")
-    cut = rows.mapInArrow(_fold_pieces, "key string, sentence_index long, sentence_text string, seq long")
-    parts.append(cut.select(F.col("key").cast(kind).alias("session_id"), "sentence_index", "sentence_text", "seq"))
-    columns = ["session_id", "sentence_index", "sentence_text", "seq"]
-    sentences = reduce(DataFrame.unionByName, [p.select(*columns) for p in parts])
+    sentences = changing_sentences(messages, folded)
     return join_on(sentences, folded.drop("type"), ["session_id", "seq"]).drop("seq")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -138,17 +140,15 @@ def custom_tokens(spark: SparkSession, count: int = T.CUSTOM_TOKEN_COUNT) -> Dat
 def mean_embedding(members: DataFrame, table: DataFrame) -> DataFrame:
     """Mean vector per new token over its member ids; a token without member gets the mean of the whole table.
 
-    ``members`` has (token, id) with a null id for a token without members, ``table`` has (id, embedding). Sums per
-    (token, dimension) are combined before the shuffle, so a token with very many members is no bottleneck.
+    ``members`` has (token, id) with a null id for a token without members, ``table`` has (id, embedding), vectors of one
+    length. A vector is added up as a whole, and sums are combined before the shuffle, so a token with very many members
+    is no bottleneck and no row is taken apart. Null vectors do not count.
     """
-    dims = table.select("id", F.posexplode("embedding").alias("dim", "x"))
-    linked = lookup_join(members.where(F.col("id").isNotNull()), table, "id")
-    sums = linked.select("token", F.posexplode("embedding").alias("dim", "x")).groupBy("token", "dim")
-    own = sums.agg(F.avg(F.col("x").cast("double")).alias("x"))
-    overall = dims.groupBy("dim").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    vectors = own.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("dim", "x"))).alias("v"))
+    vector = F.col("embedding").cast("array<double>")
+    vectors = table.where(F.col("embedding").isNotNull()).select("id", array_to_vector(vector).alias("v"))
+    linked = lookup_join(members.where(F.col("id").isNotNull()), vectors, "id")
+    own = linked.groupBy("token").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("embedding"))
     # One vector of the table's width.
-    fallback = overall.agg(F.sort_array(F.collect_list(F.struct("dim", "x")))).scalar()
-    tokens = members.select("token").distinct().join(vectors, "token", "left")
-    filled = tokens.withColumn("v", F.coalesce(F.col("v"), fallback))
-    return filled.select("token", F.transform("v", lambda p: p["x"]).alias("embedding"))
+    overall = vectors.agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("embedding")).where(F.size("embedding") > 0)
+    tokens = members.select("token").distinct().join(own, "token", "left")
+    return tokens.select("token", F.coalesce(F.col("embedding"), overall.scalar()).alias("embedding"))

@@ -136,6 +136,18 @@ def changing_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config.unionByName(said, allowMissingColumns=True).unionByName(ends, allowMissingColumns=True)
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a granularity that changes from turn to turn, and every text in two messages."""
+    rows = changing_messages(spark, sf_dir)
+    number = F.floor(F.col("seq") / 2)
+    clause = (F.col("type") == "session.config") & ((F.col("session_id") + number) % 3 == 1)
+    rows = rows.withColumns({"split_granularity": F.when(clause, "clause"), "seq": 3 * number + F.col("seq") % 2})
+    said = F.col("type") == "input.text"
+    half = F.floor(F.length("text") / 2).cast("int")
+    second = rows.where(said).withColumns({"text": F.substr("text", half + 1), "seq": F.col("seq") + 1})
+    return rows.withColumn("text", F.substr("text", F.lit(1), half)).unionByName(second)
+
+
 def uneven_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token stream with gaps, where sign-ups, one seq in thirteen and a run of them are left out, and with
     repeats: every fifth event comes twice, every eleventh again as noise."""
@@ -311,16 +323,22 @@ INPUT_SQL = {
 
 
 def with_inputs(statement: str, **more: str) -> str:
-    """``statement`` behind the named inputs it uses, directly or through other inputs."""
+    """``statement`` behind the named inputs it uses, directly, through other inputs, or through themselves."""
     known = INPUT_SQL | more
     needed: list[str] = []
+    opened: set[str] = set()
+    recursive = False
 
-    def visit(sql: str) -> None:
+    def visit(sql: str, within: str = "") -> None:
+        nonlocal recursive
         for name, body in known.items():
-            if name not in needed and re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql):
-                visit(body)
-                needed.append(name)
+            if re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql):
+                recursive |= name == within
+                if name not in opened:
+                    opened.add(name)
+                    visit(body, name)
+                    needed.append(name)
 
     visit(statement)
     head = ",\n".join(f"{name} AS ({known[name]})" for name in needed)
-    return f"WITH {head}\n{statement}" if needed else statement
+    return f"WITH {'RECURSIVE ' * recursive}{head}\n{statement}" if needed else statement

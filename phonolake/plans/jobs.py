@@ -14,15 +14,15 @@ from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators import corpus
+from phonolake.operators.subwords import encode_prompts
 from phonolake.operators.vocab import vocab_encode
-from phonolake.session import materialise
+from phonolake.session import materialise, materialise_observed
 from phonolake.sources import writers
 
 
 def with_prompt_ids(rows: DataFrame, prompt, vocab: DataFrame, keep: list[str]) -> DataFrame:
-    """Rows with the ids of their prompt words; only ``keep`` columns go along."""
-    worded = rows.withColumn("words", X.text_tokens(prompt))
-    return vocab_encode(worded, vocab, "utt_id", "words", "prompt_ids", keep=keep)
+    """Rows with the ids of their prompts by a vocabulary or a rank table; only ``keep`` columns go along."""
+    return encode_prompts(rows, prompt, vocab, "utt_id", "prompt_ids", keep)
 
 
 def prepare_format_a(
@@ -75,13 +75,13 @@ def _write_format_a(rows, layers, vocab, out_dir: str, order: list[str], max_len
     prompt = X.voice_prompt(F.col("speaker"), F.col("text"))
     rows = with_prompt_ids(rows, prompt, vocab, ["filepath", "speaker", "n_samples"])
     length = corpus.length_a(F.col("prompt_ids"), F.col("n_samples")).cast("int")
-    tagged = materialise(corpus.tag_length(rows.withColumn("seq_len", length), length, max_len))
+    tagged = corpus.tag_length(rows.withColumn("seq_len", length), length, max_len)
+    tagged, stats = materialise_observed(tagged, *corpus.corpus_totals())
 
     accepted = corpus.kept(tagged).drop("seq_len").join(layers.hint("merge"), "utt_id")
     sequences = corpus.assemble_a(accepted, 0).withColumnRenamed("filepath", "filename")
     sequences = sequences if "n_samples" in order else sequences.drop("n_samples")
     shards = writers.write_shards(sequences, out_dir, order, rows_per_shard, mode, key=["utt_id"])
-    stats = materialise(corpus.corpus_stats(tagged))
     writers.write_stats(stats, f"{out_dir}/stats")
     writers.write_pointer(rows.sparkSession, out_dir, shards)
     return stats
@@ -112,10 +112,12 @@ def prepare_format_b(
     rows = corpus.tag_duration(corpus.tag_clean(source, default_speaker), min_duration_s, max_duration_s)
     said = F.col("text") if phonemize is None else X.ipa_to_tokens(F.col(phonemize))
     prompt = X.template_prompt(template, F.col("speaker"), said)
-    words = X.text_tokens(prompt) if phonemize is None else X.phoneme_array(prompt)
-    narrow = rows.select("utt_id", "speaker", "duration_s", "drop_reason", words.alias("words"))
     keep = ["speaker", "duration_s", "drop_reason"]
-    prompts = vocab_encode(narrow, vocab, "utt_id", "words", "prompt_ids", keep=keep)
+    if phonemize is None:
+        prompts = with_prompt_ids(rows, prompt, vocab, keep)
+    else:
+        narrow = rows.select("utt_id", *keep, X.phoneme_array(prompt).alias("words"))
+        prompts = vocab_encode(narrow, vocab, "utt_id", "words", "prompt_ids", keep=keep)
 
     # The first layer alone tells which frames stay, so lengths are known before any token array is built.
     frames = layers.select("utt_id", C.changed_frames(F.col("l0"), F.col("l1"), F.col("l2")).alias("frames"))

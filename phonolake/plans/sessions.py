@@ -104,6 +104,53 @@ def sentence_requests(spark, sf_dir):
     return rows.select("session_id", "sentence_index", "sentence_text", "voice", "max_tokens", "response_format")
 
 
+# The buffer's fold, message by message: pieces but the last one are certain, the end of the session makes that certain too.
+_PIECES = f"""CASE WHEN x.g THEN regexp_extract_all(a.r || x.t, {sql_text(X.piece_pattern("clause"))})
+  ELSE regexp_extract_all(a.r || x.t, {sql_text(X.piece_pattern("sentence"))}) END"""
+MIXED_SQL = {
+    "mixed_said": """
+        SELECT conv_id AS session_id, 3 * turn + 1 + h AS seq, (conv_id + turn) % 3 = 1 AS g, false AS d,
+          CASE WHEN h = 0 THEN left(text || ' and', length(text || ' and') // 2)
+            ELSE substr(text || ' and', length(text || ' and') // 2 + 1) END AS t, turn
+        FROM conversations, (VALUES (0), (1)) v(h)
+        UNION ALL SELECT conv_id, 3 * max(turn) + 3, (conv_id + max(turn)) % 3 = 1, true, '', max(turn)
+        FROM conversations GROUP BY conv_id""",
+    "mixed_folds": f"""
+        SELECT session_id, list_reduce(
+          list({{'t': t, 'g': g, 'd': d, 'q': seq, 'r': '', 'o': []::STRUCT(p VARCHAR, q BIGINT)[]}} ORDER BY seq),
+          lambda a, x: {{'t': x.t, 'g': x.g, 'd': x.d, 'q': x.q,
+            'r': CASE WHEN x.d THEN '' ELSE coalesce(({_PIECES})[-1], '') END,
+            'o': list_concat(a.o, list_transform(CASE WHEN x.d THEN {_PIECES} ELSE ({_PIECES})[:-2] END,
+              lambda p: {{'p': trim(p, {WS_SQL}), 'q': x.q}}))}},
+          {{'t': '', 'g': false, 'd': false, 'q': 0::BIGINT, 'r': '', 'o': []::STRUCT(p VARCHAR, q BIGINT)[]}}).o AS o
+        FROM mixed_said GROUP BY session_id""",
+    "mixed_config": """
+        SELECT s.session_id, s.seq, coalesce(last_value(voice IGNORE NULLS) OVER w, 'Metin') AS voice,
+          coalesce(last_value(max_tokens IGNORE NULLS) OVER w, 2000)::INTEGER AS max_tokens,
+          CASE WHEN s.turn % 2 = 0 THEN 'wav' ELSE 'pcm' END AS response_format
+        FROM mixed_said s JOIN changing_messages c ON c.session_id = s.session_id AND c.seq = 2 * s.turn
+        WINDOW w AS (PARTITION BY s.session_id ORDER BY s.seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+}
+
+
+@query(
+    "sentence_requests_mixed",
+    with_inputs(
+        """SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY k) - 1 AS sentence_index,
+             p AS sentence_text, voice, max_tokens, response_format
+           FROM (SELECT session_id, k, o[k].p AS p, o[k].q AS seq FROM
+                  (SELECT session_id, o, unnest(range(1, len(o) + 1)) AS k FROM mixed_folds)
+                 WHERE o[k].p <> '')
+             JOIN mixed_config USING (session_id, seq)""",
+        **MIXED_SQL,
+    ),
+)
+def sentence_requests_mixed(spark, sf_dir):
+    """Sessions whose granularity changes from turn to turn."""
+    rows = ops.sentence_requests(I.mixed_messages(spark, sf_dir))
+    return rows.select("session_id", "sentence_index", "sentence_text", "voice", "max_tokens", "response_format")
+
+
 UNSUPPORTED_SQL = """
     SELECT conv_id AS session_id, turn AS seq, 'unsupported message type: ' || role AS error FROM conversations
     WHERE role <> 'user'"""

@@ -13,6 +13,7 @@ from phonolake.plans import inputs as I
 from phonolake.plans import jobs
 from phonolake.plans.inputs import with_inputs
 from phonolake.plans.registry import query
+from phonolake.plans.text import sentences_sql
 from phonolake.session import materialise, scratch_dir
 from phonolake.sources import readers, writers
 
@@ -95,13 +96,43 @@ def telemetry_documents(spark, sf_dir):
     )
 
 
+@query(
+    "telemetry_further_fields",
+    """SELECT 'engine' AS kind, 'model' AS field, count(*) AS documents, sum(n)::BIGINT AS total FROM
+         (SELECT conv_id, count(*) AS n FROM conversations WHERE role = 'user' GROUP BY 1) WHERE conv_id % 3 = 0
+       HAVING count(*) > 0
+       UNION ALL SELECT 'decoder', 'gpu', count(*), sum(2 * n)::BIGINT FROM
+         (SELECT conv_id, count(*) AS n FROM conversations WHERE role = 'system' GROUP BY 1) WHERE conv_id % 2 = 0
+       HAVING count(*) > 0""",
+)
+def telemetry_further_fields(spark, sf_dir):
+    """Documents of which some have fields that no schema knows; their values come out of the whole documents."""
+    turns = I.table(spark, sf_dir, "conversations")
+    path, conv, n = scratch_dir(spark), F.col("conv_id"), F.count("*")
+    name = F.concat(F.lit("req-"), conv.cast("string")).alias("request_id")
+    of = lambda role: turns.where(F.col("role") == role).groupBy("conv_id")
+    model = F.when(conv % 3 == 0, F.struct(F.col("n").alias("layers")))
+    of("user").agg(n.alias("n")).select(name, F.col("n").alias("callback_count"), model.alias("model")).write.json(f"{path}/engine")
+    gpu = F.when(conv % 2 == 0, 2 * F.col("n"))
+    of("system").agg(n.alias("n")).select(name, F.col("n").alias("invalid_events"), gpu.alias("gpu")).write.json(f"{path}/decoder")
+    of("assistant").agg(n.alias("total_bytes")).select(name, "total_bytes").write.json(f"{path}/transport")
+    documents = readers.read_documents(spark, path, collected=True)
+    counts = readers.further_fields(documents)
+    values = {"engine": "$.model.layers", "decoder": "$.gpu", "transport": "$.none"}
+    totals = [
+        df.agg(F.sum(F.try_variant_get("document", values[kind], "long")).alias("total")).withColumn("kind", F.lit(kind))
+        for kind, df in documents.items()
+    ]
+    return counts.join(totals[0].unionByName(totals[1]).unionByName(totals[2]), "kind").select("kind", "field", "documents", "total")
+
+
 @query("write_pointer", "SELECT 'parquet' AS format, ceil(count(*) / 100)::BIGINT AS num_shards FROM documents")
 def write_pointer(spark, sf_dir):
     """The pointer of a sharded set, and the shards that it stands for."""
     path = scratch_dir(spark)
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
     writers.write_pointer(spark, path, writers.write_shards(docs, path, ["doc_id"], 100))
-    there = spark.read.parquet(f"{path}/parquet").agg(F.count_distinct("shard").alias("there"))
+    there = readers.read_shards(spark, path).agg(F.count_distinct("shard").alias("there"))
     pointer = spark.read.schema("format string, data_dir string, num_shards long").json(f"{path}/pointer")
     return pointer.join(there, F.col("num_shards") == F.col("there")).select("format", "num_shards")
 
@@ -146,6 +177,29 @@ def sql_token_functions(spark, sf_dir):
     return rows.select("request_id", "seq", "number", F.size(whole).alias("frames"), last.alias("last_frame"))
 
 
+@query(
+    "sql_table_functions",
+    f"""SELECT conv_id, turn, 'sentence' AS kind, (generate_subscripts(s, 1) - 1)::INTEGER AS n, unnest(s) AS item
+        FROM (SELECT conv_id, turn, {sentences_sql("text", "sentence")} AS s FROM conversations)
+        UNION ALL SELECT conv_id, turn, 'clause', (generate_subscripts(s, 1) - 1)::INTEGER, unnest(s)
+        FROM (SELECT conv_id, turn, {sentences_sql("text", "clause")} AS s FROM conversations)
+        UNION ALL SELECT conv_id, turn, 'frame', f::INTEGER, array_to_string(range(7 * f, least(7 * f + 7, turn * 9 + 8)), ',')
+        FROM (SELECT conv_id, turn, unnest(range((turn * 9 + 8) // 7)) AS f FROM conversations)""",
+)
+def sql_table_functions(spark, sf_dir):
+    """One statement without DataFrame code: rows of sentences, clauses and frames of every turn."""
+    register(spark)
+    I.table(spark, sf_dir, "conversations").createOrReplaceTempView("phonolake_turns")
+    return spark.sql(
+        """SELECT conv_id, turn, 'sentence' AS kind, sentence_index AS n, sentence_text AS item
+           FROM phonolake_turns, LATERAL sentence_rows(text)
+           UNION ALL SELECT conv_id, turn, 'clause', sentence_index, sentence_text
+           FROM phonolake_turns, LATERAL clause_rows(text)
+           UNION ALL SELECT conv_id, turn, 'frame', frame, array_join(cast(tokens AS array<string>), ',')
+           FROM phonolake_turns, LATERAL frame_rows(sequence(0, cast(turn * 9 + 7 AS int)))"""
+    )
+
+
 @query(
     "prepare_manifest_job",
     with_inputs(
@@ -172,6 +226,5 @@ def prepare_manifest_job(spark, sf_dir):
     manifest = rows.select("utt_id", F.col("filepath").alias("wav_path"), "speaker", "text", F.col("n_samples").alias("frames"))
     layers = materialise(I.codes(spark, sf_dir).drop("n_samples"))
     jobs.prepare_manifest(manifest, layers, I.vocab(spark, sf_dir), path)
-    back = spark.read.parquet(f"{path}/parquet")
     ids = C.digest(F.col("input_ids")).alias("ids_md5")
-    return back.select("filename", "speaker", "seq_len", ids, F.col("shard").cast("long").alias("shard"))
+    return readers.read_shards(spark, path).select("filename", "speaker", "seq_len", ids, "shard")

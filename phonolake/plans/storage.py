@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from phonolake.functions import codes as C
 from phonolake.operators import corpus
 from phonolake.plans import corpus as PC
+from phonolake.plans import incremental
 from phonolake.plans import inputs as I
 from phonolake.plans import jobs
 from phonolake.plans.inputs import with_inputs
@@ -26,9 +27,8 @@ from phonolake.sources import readers, writers
 )
 def write_shards(spark, sf_dir):
     path = scratch_dir(spark)
-    writers.write_shards(I.lengths(spark, sf_dir), path, ["utt_id"], 100)
-    rows = spark.read.parquet(f"{path}/parquet")
-    return rows.groupBy(F.col("shard").cast("long").alias("shard")).agg(
+    writers.write_shards(I.lengths(spark, sf_dir), path, ["utt_id"], 100, shards_per_task=4)
+    return readers.read_shards(spark, path, 4).groupBy("shard").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("utt_id").alias("first_utt"),
         F.max("utt_id").alias("last_utt"),
@@ -36,6 +36,14 @@ def write_shards(spark, sf_dir):
     )
 
 
+VOICE_IDS_SQL = """
+    SELECT utt_id, list(coalesce(v.id, -1) ORDER BY pos) AS ids FROM
+      (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM
+        (SELECT utt_id, regexp_extract_all(CASE WHEN coalesce(speaker, '') <> ''
+           THEN speaker || ': ' || text ELSE text END, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS words FROM attached))
+      LEFT JOIN vocab v USING (token) GROUP BY utt_id"""
+
+
 @query(
     "prepare_format_a_job",
     with_inputs(
@@ -46,12 +54,7 @@ def write_shards(spark, sf_dir):
                  FROM attached a LEFT JOIN voice_ids p USING (utt_id) JOIN frames f USING (utt_id))
            WHERE len(ids) <= 8192""",
         **PC.PREPARED_SQL,
-        voice_ids="""
-            SELECT utt_id, list(coalesce(v.id, -1) ORDER BY pos) AS ids FROM
-              (SELECT utt_id, unnest(words) AS token, generate_subscripts(words, 1) AS pos FROM
-                (SELECT utt_id, regexp_extract_all(CASE WHEN coalesce(speaker, '') <> ''
-                   THEN speaker || ': ' || text ELSE text END, '[\\pL\\pM]+|\\pN+|[^\\x09-\\x0D\\x20\\pL\\pM\\pN]') AS words FROM attached))
-              LEFT JOIN vocab v USING (token) GROUP BY utt_id""",
+        voice_ids=VOICE_IDS_SQL,
     ),
 )
 def prepare_format_a_job(spark, sf_dir):
@@ -60,14 +63,49 @@ def prepare_format_a_job(spark, sf_dir):
     layers = materialise(I.codes(spark, sf_dir).drop("n_samples"))
     audio, meta, words = I.audio_rows(spark, sf_dir), I.metadata(spark, sf_dir), I.vocab(spark, sf_dir)
     jobs.prepare_format_a(audio, meta, layers, words, path)
-    rows = spark.read.parquet(f"{path}/parquet")
-    return rows.select(
-        "filename",
-        "speaker",
-        "seq_len",
-        C.digest(F.col("input_ids")).alias("ids_md5"),
-        F.col("shard").cast("long").alias("shard"),
-    )
+    rows = readers.read_shards(spark, path)
+    return rows.select("filename", "speaker", "seq_len", C.digest(F.col("input_ids")).alias("ids_md5"), "shard")
+
+
+SEQUENCES_SQL = """
+    SELECT a.filepath AS filename, a.speaker, list_concat(list_concat(list_concat([128259],
+      coalesce(p.ids, [])), [128009, 128260, 128261, 128257]), list_concat(flatten(fr), [128258])) AS ids
+    FROM attached a LEFT JOIN voice_ids p USING (utt_id) JOIN frames f USING (utt_id)"""
+
+
+@query(
+    "prepare_incremental",
+    with_inputs(
+        """SELECT filename, speaker, len(ids)::INTEGER AS seq_len, md5(array_to_string(ids, ',')) AS ids_md5
+           FROM sequences_a WHERE len(ids) <= 8192""",
+        **PC.PREPARED_SQL,
+        sequences_a=SEQUENCES_SQL,
+        voice_ids=VOICE_IDS_SQL,
+    ),
+)
+def prepare_incremental(spark, sf_dir):
+    """Recordings prepared in three runs, as their files come, one of which comes again with other rows."""
+    path = scratch_dir(spark)
+    audio, meta, words = I.audio_rows(spark, sf_dir), I.metadata(spark, sf_dir), I.vocab(spark, sf_dir)
+    layers = materialise(I.codes(spark, sf_dir).drop("n_samples"))
+    part = F.col("utt_id") % 4
+
+    def prepare(rows: DataFrame, folder: str) -> int:
+        jobs.prepare_format_a(rows, meta, layers, words, folder)
+        return spark.read.schema("num_shards long").json(f"{folder}/pointer").scalar()
+
+    def run() -> None:
+        incremental.prepare_new(spark, f"{path}/in/*", f"{path}/out", prepare)
+
+    audio.where(part < 2).write.parquet(f"{path}/in/first")
+    audio.where((part == 2) & (F.col("utt_id") < 100)).write.parquet(f"{path}/in/second")
+    run()
+    audio.where(part == 3).write.parquet(f"{path}/in/third")
+    run()
+    audio.where(part == 2).write.mode("overwrite").parquet(f"{path}/in/second")
+    run()
+    rows = incremental.read_prepared(spark, f"{path}/out")
+    return rows.select("filename", "speaker", "seq_len", C.digest(F.col("input_ids")).alias("ids_md5"))
 
 
 FORMAT_B_SQL = {

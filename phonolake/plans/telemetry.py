@@ -8,37 +8,66 @@ from phonolake.operators import telemetry as ops
 from phonolake.plans import inputs as I
 from phonolake.plans.inputs import with_inputs
 from phonolake.plans.registry import query
+from phonolake.session import materialise, scratch_dir
+from phonolake.streaming.run import run_to_table
+from phonolake.streaming.telemetry import stream_join_telemetry
 
 
-@query(
-    "join_telemetry",
-    with_inputs(
-        """SELECT coalesce(e.request_id, d.request_id, t.request_id) AS request_id,
-             e.events AS engine_events, d.errors AS decoder_errors, t.bytes AS transport_bytes,
-             e.request_id IS NOT NULL AS has_engine, d.request_id IS NOT NULL AS has_decoder,
-             t.request_id IS NOT NULL AS has_transport
-           FROM (SELECT request_id, count(*) AS events FROM telemetry_events WHERE part = 'engine' GROUP BY 1) e
-           FULL JOIN (SELECT request_id, count(*) AS errors FROM telemetry_events
-                      WHERE part = 'decoder' GROUP BY 1) d ON e.request_id = d.request_id
-           FULL JOIN (SELECT request_id, 4096 * count(*) AS bytes FROM telemetry_events
-                      WHERE part = 'transport' GROUP BY 1) t
-             ON coalesce(e.request_id, d.request_id) = t.request_id""",
-        telemetry_events="""
-            SELECT user_id * 100 + event_id % 97 AS request_id, CASE WHEN event_type = 'error' THEN 'decoder'
-              WHEN event_type IN ('view', 'signup') THEN 'transport' ELSE 'engine' END AS part FROM events""",
-    ),
+JOIN_SQL = with_inputs(
+    """SELECT coalesce(e.request_id, d.request_id, t.request_id) AS request_id,
+         e.events AS engine_events, d.errors AS decoder_errors, t.bytes AS transport_bytes,
+         e.request_id IS NOT NULL AS has_engine, d.request_id IS NOT NULL AS has_decoder,
+         t.request_id IS NOT NULL AS has_transport
+       FROM (SELECT request_id, count(*) AS events FROM telemetry_events WHERE part = 'engine' GROUP BY 1) e
+       FULL JOIN (SELECT request_id, count(*) AS errors FROM telemetry_events
+                  WHERE part = 'decoder' GROUP BY 1) d ON e.request_id = d.request_id
+       FULL JOIN (SELECT request_id, 4096 * count(*) AS bytes FROM telemetry_events
+                  WHERE part = 'transport' GROUP BY 1) t
+         ON coalesce(e.request_id, d.request_id) = t.request_id""",
+    telemetry_events="""
+        SELECT user_id * 100 + event_id % 97 AS request_id, CASE WHEN event_type = 'error' THEN 'decoder'
+          WHEN event_type IN ('view', 'signup') THEN 'transport' ELSE 'engine' END AS part FROM events""",
 )
-def join_telemetry(spark, sf_dir):
+
+
+def documents(spark, sf_dir) -> dict:
     """All events, as documents of many short requests: errors of the decoder, views and sign-ups of the transport."""
     events = I.table(spark, sf_dir, "events")
     kind, n = F.col("event_type"), F.count(F.lit(1))
     part = F.when(kind == "error", "decoder").when(kind.isin("view", "signup"), "transport").otherwise("engine")
     events = events.select((F.col("user_id") * 100 + F.col("event_id") % 97).alias("request_id"), part.alias("part"))
     of = lambda name: events.where(F.col("part") == name).groupBy("request_id")
-    engine = of("engine").agg(n.alias("events"))
-    decoder = of("decoder").agg(n.alias("errors"))
-    transport = of("transport").agg((n * 4096).alias("bytes"))
-    return ops.join_telemetry(engine, decoder, transport)
+    return {
+        "engine": of("engine").agg(n.alias("events")),
+        "decoder": of("decoder").agg(n.alias("errors")),
+        "transport": of("transport").agg((n * 4096).alias("bytes")),
+    }
+
+
+@query("join_telemetry", JOIN_SQL)
+def join_telemetry(spark, sf_dir):
+    return ops.join_telemetry(**documents(spark, sf_dir))
+
+
+@query("stream_join_telemetry", JOIN_SQL)
+def stream_join(spark, sf_dir):
+    """The same documents as three streams: those of a request arrive up to two minutes apart, requests one after another.
+
+    A document of no request arrives much later, so that the watermark passes all others.
+    """
+    streams = {}
+    for minutes, (kind, rows) in enumerate(documents(spark, sf_dir).items()):
+        seconds = F.col("request_id") % 50_000 + 60 * minutes
+        timed = rows.withColumn("arrived", F.timestamp_seconds(1_700_000_000 + seconds))
+        end = spark.range(1).select(
+            F.lit(None).cast("long").alias("request_id"), F.lit(None).cast("long").alias(rows.columns[1]),
+            F.timestamp_seconds(F.lit(1_800_000_000)).alias("arrived"),
+        )
+        path = scratch_dir(spark)
+        timed.repartitionByRange(4, "arrived").write.parquet(path)
+        end.coalesce(1).write.mode("append").parquet(path)
+        streams[kind] = spark.readStream.schema(timed.schema).parquet(path)
+    return run_to_table(stream_join_telemetry(streams))
 
 
 RATES_SQL = {
@@ -95,3 +124,26 @@ def progress_report(spark, sf_dir):
     done = events.where(F.col("event_type") == "view").select(us.alias("finished_us"))
     rows = ops.progress_report(done, events.count())
     return rows.withColumns({"elapsed_s": F.round("elapsed_s", 4), "rate": F.round("rate", 6), "eta_s": F.round("eta_s", 4)})
+
+
+@query(
+    "latency_sketches",
+    """SELECT event_type AS voice, count(*) AS requests, count(DISTINCT ts::DATE) AS days, true AS close
+       FROM events GROUP BY 1""",
+)
+def latency_sketches(spark, sf_dir):
+    """Values of all events sketched per type and day, written, and merged per type; the median and the 95th of a hundred
+    must stand at their ranks among the values themselves."""
+    events = I.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("voice"), F.to_date("ts").alias("day"), F.col("value").cast("double").alias("first_chunk_s")
+    )
+    sketches = materialise(ops.latency_sketches(events, "voice", "day"))
+    found = ops.sketched_quantiles(sketches, "voice").withColumnRenamed("requests", "n")
+    days = sketches.groupBy("voice").agg(F.count("*").alias("days"))
+    value, near = F.col("first_chunk_s"), 2 * ops.SKETCH_ERROR
+    below = {f"{c}_{k}": F.count_if(value < F.col(c)) if k == "lt" else F.count_if(value <= F.col(c)) for c in ("p50", "p95") for k in ("lt", "le")}
+    ranked = events.join(F.broadcast(found), "voice").groupBy("voice", "n").agg(*[c.alias(k) for k, c in below.items()])
+    close = F.lit(True)
+    for c, q in (("p50", 0.5), ("p95", 0.95)):
+        close &= (F.col(f"{c}_lt") <= (q + near) * F.col("n")) & (F.col(f"{c}_le") >= (q - near) * F.col("n"))
+    return ranked.join(days, "voice").select("voice", F.col("n").alias("requests"), "days", close.alias("close"))

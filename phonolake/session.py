@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -45,6 +45,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/phonolake-{uuid.uuid4().hex}"
 
 
+def materialise_observed(df: DataFrame, *totals: Column) -> tuple[DataFrame, DataFrame]:
+    """``materialise``, and a row of ``totals`` over ``df`` that the write itself has added up: nothing is read for it."""
+    seen = Observation()
+    written = materialise(df.observe(seen, *totals))
+    schema = df.limit(0).agg(*totals).schema
+    return written, df.sparkSession.createDataFrame([tuple(seen.get[f.name] for f in schema)], schema)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared scratch folder and read it back: lineage ends here."""
     path = scratch_dir(df.sparkSession)

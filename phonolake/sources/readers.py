@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from phonolake.functions import tokens as T
 from phonolake.operators.corpus import require_columns
 from phonolake.operators.ordered import first_per_key
 
@@ -28,13 +31,13 @@ def read_table(spark: SparkSession, path: str, spread_by: list[str] | None = Non
     return df
 
 
-def _files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame | None:
-    """Paths of the files in ``folder`` as a table; their content is not read. None without such a folder."""
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame | None:
+    """Files in ``folder`` (path, length, modified); their content is not read. None without such a folder."""
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     except AnalysisException:
         return None
-    return files.select("path")
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 # Place of a row in its input: file, split of the file, and row inside the split.
@@ -65,7 +68,7 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def read_audio_shards(spark: SparkSession, folder: str, limit: int = 0) -> DataFrame:
     """The four used columns of the raw shards; ``limit`` counts shards in name order, 0 means all."""
-    files = _files(spark, folder)
+    files = list_files(spark, folder)
     if files is None or files.isEmpty():
         raise ValueError(f"no parquet shards in {folder}")
     first = [r["path"] for r in files.orderBy("path").limit(limit).collect()] if limit else [folder]
@@ -84,14 +87,28 @@ def read_training_set(spark: SparkSession, folder: str, check: bool = True) -> D
     With ``check`` a ``parquet`` folder without shards is an error.
     """
     shards = f"{folder.rstrip('/')}/parquet"
-    files = _files(spark, shards)
+    files = list_files(spark, shards)
     if files is None:
         return spark.read.parquet(folder)
     if files.isEmpty():
         if check:
             raise ValueError(f"no parquet shards found in {shards}")
         return spark.read.parquet(folder)
-    return spark.read.parquet(shards).drop("shard")
+    return spark.read.parquet(shards)
+
+
+def read_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """Rank table (token binary, id) of a rank file: a token in base64 and its rank on each line."""
+    parts = F.split("value", " ")
+    rows = spark.read.text(path).where(F.col("value") != "")
+    return rows.select(F.unbase64(parts[0]).alias("token"), parts[1].cast("int").alias("id"))
+
+
+def read_shards(spark: SparkSession, path: str, shards_per_task: int = T.SHARDS_PER_TASK) -> DataFrame:
+    """Rows of ``write_shards`` with their ``shard``, told by the numbers in the files' names."""
+    number = lambda n: F.regexp_extract("_metadata.file_name", r"part-(\d+)-.*-c(\d+)\.", n).cast("long")
+    rows = spark.read.parquet(f"{path.rstrip('/')}/parquet")
+    return rows.withColumn("shard", number(1) * shards_per_task + number(2))
 
 
 TELEMETRY_SCHEMAS = {
@@ -119,3 +136,31 @@ def read_telemetry(spark: SparkSession, folder: str, collected: bool = False) ->
         kind: spark.read.schema(schema).options(multiLine=True, pathGlobFilter=f"*.{kind}.json").json(folder)
         for kind, schema in TELEMETRY_SCHEMAS.items()
     }
+
+
+def read_documents(spark: SparkSession, folder: str, collected: bool = False) -> dict[str, DataFrame]:
+    """The documents of ``read_telemetry`` with nothing lost.
+
+    Beside the typed columns there are the whole ``document`` as a VARIANT, from which any field can be taken, and ``further``,
+    the sorted names of fields that have no column. A field of another type is null in its column. What is no JSON
+    object has null columns and no further fields.
+    """
+    found = {}
+    for kind, schema in TELEMETRY_SCHEMAS.items():
+        reader = spark.read.option("singleVariantColumn", "document")
+        if collected:
+            documents = reader.json(f"{folder}/{kind}")
+        else:
+            documents = reader.options(multiLine=True, pathGlobFilter=f"*.{kind}.json").json(folder)
+        fields = Ty.StructType.fromDDL(schema)
+        typed = [F.try_variant_get("document", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields]
+        names = F.coalesce(F.json_object_keys(F.to_json("document")), F.array().cast("array<string>"))
+        further = F.array_sort(F.array_except(names, F.array(*[F.lit(name) for name in fields.names])))
+        found[kind] = documents.select(*typed, "document", further.alias("further"))
+    return found
+
+
+def further_fields(documents: dict[str, DataFrame]) -> DataFrame:
+    """How many documents of each kind have which fields without a column: kind, field, documents."""
+    named = [df.select(F.lit(kind).alias("kind"), F.explode("further").alias("field")) for kind, df in documents.items()]
+    return reduce(DataFrame.unionByName, named).groupBy("kind", "field").agg(F.count(F.lit(1)).alias("documents"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phonolake.operators.sessions import MESSAGE_SCHEMA
+from phonolake.sources.readers import TELEMETRY_SCHEMAS
 
 RAW_MESSAGES = "session_id {id_type}, seq long, payload string"
 TOKEN_EVENTS = "request_id {id_type}, seq long, text string"
@@ -36,3 +37,16 @@ def read_token_stream(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
+
+
+def read_telemetry_stream(
+    spark: SparkSession, folder: str, files_per_trigger: int | None = None
+) -> dict[str, DataFrame]:
+    """Streams of the three kinds of request documents, one file ``<request id>.<kind>.json`` each, and when it arrived."""
+    streams = {}
+    for kind, schema in TELEMETRY_SCHEMAS.items():
+        reader = spark.readStream.schema(schema).options(multiLine=True, pathGlobFilter=f"*.{kind}.json")
+        if files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+        streams[kind] = reader.json(folder).withColumn("arrived", F.col("_metadata.file_modification_time"))
+    return streams

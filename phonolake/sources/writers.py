@@ -9,7 +9,6 @@ from phonolake.functions import tokens as T
 from phonolake.functions.schema import struct
 from phonolake.operators.corpus import require_columns
 from phonolake.operators.ordered import index_rows
-from phonolake.operators.shaping import assign_groups
 
 # Every input row of format B has these columns and types.
 FORMAT_B = struct(
@@ -31,17 +30,23 @@ def write_shards(
     rows_per_shard: int = T.ROWS_PER_SHARD,
     mode: str = "errorifexists",
     key: list[str] | None = None,
+    shards_per_task: int = T.SHARDS_PER_TASK,
 ) -> int:
-    """Write ``path/parquet/shard=<n>`` with exactly ``rows_per_shard`` consecutive rows each, the last may be short.
+    """Write shards of exactly ``rows_per_shard`` consecutive rows each, the last may be short, as files of ``path/parquet``.
 
-    Returns the number of shards. Rows of a shard meet in one task, which writes one zstd file in order. ``key``
-    names columns that identify a row, see ``index_rows``.
+    Returns the number of shards. The index of a row gives its task directly, ``shards_per_task`` shards after the other
+    to each, so a task writes its sorted rows as one zstd file after the other and needs no folder per shard. A file's
+    name holds the task's and the file's number, and with them the shard's, see ``readers.read_shards``. ``key`` names
+    columns that identify a row, see ``index_rows``.
     """
     indexed, total = index_rows(df, order, "_row", key)
-    shards = assign_groups(indexed, rows_per_shard, "shard", "_row")
-    placed = shards.repartition("shard").sortWithinPartitions("shard", "_row").drop("_row")
-    placed.write.mode(mode).option("compression", "zstd").partitionBy("shard").parquet(f"{path}/parquet")
-    return -(-total // rows_per_shard)
+    shards = -(-total // rows_per_shard)
+    tasks = max(1, -(-shards // shards_per_task))
+    task = F.expr(f"cast(_row div {rows_per_shard * shards_per_task} as int)")
+    placed = indexed.repartitionById(tasks, task).sortWithinPartitions("_row").drop("_row")
+    writer = placed.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", rows_per_shard)
+    writer.parquet(f"{path}/parquet")
+    return shards
 
 
 def write_rows(df: DataFrame, path: str, max_rows_per_file: int = T.ROWS_PER_SHARD, mode: str = "errorifexists") -> None:

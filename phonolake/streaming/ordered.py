@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -13,6 +14,7 @@ from phonolake.functions.schema import struct
 
 
 WAIT_BLOCK = 256
+HELD = "held_"
 KEEP_MS = 3_600_000
 
 
@@ -76,6 +78,21 @@ class OrderedProcessor(StatefulProcessor):
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Take over a key from the rows of :func:`open_keys`: one with its state, the others with waiting rows."""
+        fields = struct(next_seq="long", closed="boolean").fields + self.state_schema.fields
+        early = {}
+        for row in initialState.to_dict("records"):
+            if _plain(row["next_seq"], Ty.LongType()) is not None:
+                self.state.update(tuple(_plain(row[f.name], f.dataType) for f in fields))
+            else:
+                cells = [_plain(row[f"{HELD}{f.name}"], f.dataType) for f in self.row_fields]
+                early[int(row[f"{HELD}seq"])] = cells
+        self.block, self.held = None, {}
+        self._hold(early)
+        if self.timeout_ms is not None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms)
+
     def _rows(self, batch: pd.DataFrame, next_seq: int) -> dict[int, list]:
         names = ["seq", *[f.name for f in self.row_fields]]
         found = {}
@@ -140,6 +157,27 @@ class OrderedProcessor(StatefulProcessor):
         """Called once when a key times out."""
 
 
+def open_keys(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
+    """State of all keys of a stopped query with an ordered processor, as a table that a new query can start from.
+
+    One row per key with its state, and one per row that waits for a gap, whose columns begin with ``held_``.
+    """
+
+    def read(name: str) -> DataFrame:
+        return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+    state = read("state").select(F.col("key").getField(key).alias(key), "value.*")
+    waiting = read("waiting")
+    if "user_map_value" in waiting.columns:
+        block = F.col("user_map_value.rows")
+    else:
+        waiting = waiting.select("key", F.explode("map_value").alias("block", "value"))
+        block = F.col("value.rows")
+    held = waiting.select(F.col("key").getField(key).alias(key), F.explode(block).alias("row")).select(key, "row.*")
+    held = held.select(key, *[F.col(c).alias(f"{HELD}{c}") for c in held.columns if c != key])
+    return state.unionByName(held, allowMissingColumns=True)
+
+
 PYTHON_TYPES = {Ty.LongType: int, Ty.IntegerType: int, Ty.DoubleType: float, Ty.BooleanType: bool}
 
 

@@ -93,10 +93,14 @@ class SessionProcessor(OrderedProcessor):
         out.append((key[0], seq, kind, index, text, *state[2:], error))
 
 
-def segment_sessions(messages: DataFrame, timeout_ms: int | None = KEEP_MS) -> DataFrame:
+def segment_sessions(
+    messages: DataFrame, timeout_ms: int | None = KEEP_MS, handed_over: DataFrame | None = None
+) -> DataFrame:
     """Session events of a stream of messages (session_id, seq, type, …); ids keep their type.
 
     A session without messages for ``timeout_ms`` is closed, and its state goes; that of a done session does as well.
+    ``handed_over`` are the open sessions of a stopped query, see ``open_keys``: the new query goes on where that one
+    stopped, and takes the messages that it had not seen.
     """
     use_rocksdb(messages)
     return messages.groupBy("session_id").transformWithStateInPandas(
@@ -104,6 +108,7 @@ def segment_sessions(messages: DataFrame, timeout_ms: int | None = KEEP_MS) -> D
         outputStructType=with_key_type(SESSION_OUTPUT, messages, "session_id"),
         outputMode="Append",
         timeMode="None" if timeout_ms is None else "ProcessingTime",
+        initialState=None if handed_over is None else handed_over.groupBy("session_id"),
     )
 
 

@@ -39,7 +39,7 @@ def test_format_a(spark, tmp_path):
     assert rows["f1"]["input_ids"][:8] == [T.START_OF_HUMAN, 2, 4, 3, 1, 5, *[128009, 128260]]
     assert rows["f0"]["input_ids"][:8] == [T.START_OF_HUMAN, 3, 1, 5, *[128009, 128260, 128261, 128257]]
     assert len(rows["f0"]["input_ids"]) == rows["f0"]["seq_len"] == 1 + 3 + 4 + 14 + 1
-    shards = spark.read.parquet(f"{out}/parquet").groupBy("shard").count().collect()
+    shards = readers.read_shards(spark, out).groupBy("shard").count().collect()
     assert {r["shard"]: r["count"] for r in shards} == {0: 4, 1: 2}
     (pointer,) = [x for f in (tmp_path / "pointer").glob("*.json") for x in f.read_text().splitlines()]
     assert json.loads(pointer)["num_shards"] == 2

@@ -9,6 +9,7 @@ from phonolake.functions import text as X
 from phonolake.operators import sessions as ops
 from phonolake.session import scratch_dir
 from phonolake.sources import streams
+from phonolake.streaming.ordered import open_keys
 from phonolake.streaming.run import run_to_table, run_updates_to_table
 from phonolake.functions.text import rest_pieces
 from phonolake.streaming.sessions import segment_sessions, stream_session_totals
@@ -193,6 +194,34 @@ def test_stream_timeout_closes_without_flush(spark):
     assert sorted(r["sentence_text"] for r in rows if r["kind"] == "sentence") == ["A.", "One.", "b"]
 
 
+def test_open_sessions_go_from_one_query_to_the_next(spark):
+    """Half of the messages to one query, in which some wait for a gap, the rest to another: all events as of one query."""
+    sessions = random_sessions(25, seed=5)
+    whole = run_to_table(segment_sessions(streams.read_session_stream(spark, write_messages(spark, sessions, 4), 1), None))
+    rows = messages(spark, sessions)
+    first, second, out = scratch_dir(spark), scratch_dir(spark), scratch_dir(spark)
+    early = (F.col("seq") < 3) | (F.col("seq") == 5)
+    for part, path in ((rows.where(early), first), (rows.where(~early), second)):
+        part.select("session_id", "seq", F.to_json(F.struct(*FIELDS)).alias("payload")).write.json(path)
+
+    def run(events, number):
+        query = (
+            events.writeStream.format("parquet")
+            .options(path=f"{out}/{number}/rows", checkpointLocation=f"{out}/{number}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        return spark.read.schema(events.schema).parquet(f"{out}/{number}/rows")
+
+    one = run(segment_sessions(streams.read_session_stream(spark, first), None), 1)
+    handed = open_keys(spark, f"{out}/1/checkpoint", "session_id")
+    assert handed.where("held_seq = 5").count() > 0
+    two = run(segment_sessions(streams.read_session_stream(spark, second), None, handed), 2)
+    plain = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert plain(one.unionByName(two)) == plain(whole)
+
+
 def stream_schema():
     from phonolake.streaming.sessions import SESSION_OUTPUT
 
@@ -270,3 +299,44 @@ def test_sentence_requests_have_the_configuration_in_force(spark):
         assert r["sentence_index"] == len(found)
         found.append((r["sentence_text"], r["voice"]))
     assert got == {s: out for s, ms in sessions.items() if (out := plain_requests(ms))}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sentence_requests_of_changing_granularity(spark, seed):
+    """Marks, closing characters, blanks and line breaks in messages of any cut, empty ones too."""
+    rng = random.Random(seed)
+    sessions = {}
+    for s in range(150):
+        out = sessions[s] = []
+        for turn in range(rng.randrange(1, 14)):
+            if rng.random() < 0.6:
+                granularity = rng.choice(["clause", "sentence", "paragraph", None])
+                out.append({"type": "session.config", "voice": f"v{turn}", "split_granularity": granularity})
+            alphabet = rng.choice(["ab ,.!\n\"", ".,\"", "a,", "a) .:", "\n"])
+            out.append(text("".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 2, 5, 12])))))
+        if rng.random() < 0.6:
+            out.append(DONE)
+    got = {}
+    for r in ops.sentence_requests(messages(spark, sessions)).orderBy("session_id", "sentence_index").collect():
+        found = got.setdefault(r["session_id"], [])
+        assert r["sentence_index"] == len(found)
+        found.append((r["sentence_text"], r["voice"]))
+    want = {s: [{**m, "split_granularity": m["split_granularity"] or "sentence"} if "split_granularity" in m else m for m in ms] for s, ms in sessions.items()}
+    assert got == {s: out for s, ms in want.items() if (out := plain_requests(ms))}
+
+
+def test_a_long_changing_session_needs_no_python_and_no_task_of_its_own(spark):
+    rows = spark.range(60_000).select(
+        F.lit(1).alias("session_id"), F.col("id").alias("seq"),
+        F.when(F.col("id") % 3 == 0, "session.config").otherwise("input.text").alias("type"),
+        F.when(F.col("id") % 3 == 1, "a, b").when(F.col("id") % 3 == 2, "c. d").alias("text"),
+        F.when(F.col("id") % 6 == 0, "clause").alias("split_granularity"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in ops.MESSAGE_SCHEMA if f.name not in ("type", "text", "split_granularity")],
+    )
+    found = ops.sentence_requests(rows)
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    ms = [r.asDict() for r in rows.orderBy("seq").collect()]
+    for m in ms:
+        m["split_granularity"] = m["split_granularity"] or "sentence"
+        m["voice"] = "Metin"
+    assert [(r["sentence_text"], r["voice"]) for r in found.orderBy("sentence_index").collect()] == plain_requests(ms)

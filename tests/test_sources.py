@@ -69,14 +69,28 @@ def test_training_set(spark, tmp_path):
         readers.read_training_set(spark, str(tmp_path / "hollow"))
 
 
-def test_shards_hold_consecutive_rows_in_one_file(spark, tmp_path):
+@pytest.mark.parametrize("shards_per_task", [1, 3, 64])
+def test_shards_hold_consecutive_rows_in_one_file(spark, tmp_path, shards_per_task):
     path = tmp_path / "out"
-    writers.write_shards(spark.range(1000).orderBy(F.rand(1)), str(path), [F.col("id")], 300)
-    for shard in range(4):
-        files = list((path / "parquet" / f"shard={shard}").glob("*.parquet"))
-        assert len(files) == 1 and ".zstd." in files[0].name
-        ids = [r["id"] for r in spark.read.parquet(str(files[0])).collect()]
-        assert ids == list(range(300 * shard, min(300 * shard + 300, 1000)))
+    rows = spark.range(1000).orderBy(F.rand(1))
+    assert writers.write_shards(rows, str(path), [F.col("id")], 130, shards_per_task=shards_per_task) == 8
+    files = list((path / "parquet").glob("*.parquet"))
+    assert len(files) == 8 and all(".zstd." in f.name for f in files)
+    back = readers.read_shards(spark, str(path), shards_per_task).withColumn("file", F.col("_metadata.file_name"))
+    found = {}
+    for r in back.withColumn("at", F.monotonically_increasing_id()).orderBy("file", "at").collect():
+        found.setdefault((r["shard"], r["file"]), []).append(r["id"])
+    assert sorted(s for s, _ in found) == list(range(8))
+    for (shard, _), ids in found.items():
+        assert ids == list(range(130 * shard, min(130 * shard + 130, 1000)))
+
+
+def test_shards_of_no_rows_and_of_one_task_each(spark, tmp_path):
+    assert writers.write_shards(spark.range(0), str(tmp_path / "none"), ["id"], 10) == 0
+    assert readers.read_shards(spark, str(tmp_path / "none")).count() == 0
+    assert writers.write_shards(spark.range(40), str(tmp_path / "even"), ["id"], 10, shards_per_task=2) == 4
+    shards = readers.read_shards(spark, str(tmp_path / "even"), 2).groupBy("shard").count().collect()
+    assert {r["shard"]: r["count"] for r in shards} == {0: 10, 1: 10, 2: 10, 3: 10}
 
 
 def test_rows_per_file(spark, tmp_path):
