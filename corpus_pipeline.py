@@ -15,6 +15,9 @@ from phonolake.llm.registry import bound_batches, table
 from phonolake.session import materialise
 
 
+SIMILAR = 80
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language is rejected: no letters, or no learned language fits."""
     bound_batches(spark)
@@ -25,13 +28,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_template_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines whose template recurs across documents, but for the first, so that no text is lost altogether."""
-    kept = lines.drop_lines(docs, keep_first=True, full=True)
+    kept = lines.drop_lines(docs, keep_first=True)
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates."""
-    return neardup.keep_one(docs)
+    """Keep one document of each group of near duplicates: similarity of ``SIMILAR`` percent or more."""
+    return neardup.keep_one(docs, percent=SIMILAR)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
