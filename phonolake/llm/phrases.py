@@ -2,24 +2,30 @@
 
 A window is twenty consecutive words. Of the sixteen five-word phrases in a window, the one of the smallest hash is its
 anchor, so equal windows have equal anchors and about one phrase in eight is an anchor at all. The first scan counts
-anchors; the second cuts the texts around anchors that occur more than once into pieces: the words of all windows that
-share one place of an anchor. Pieces go to shards by their anchor. A shard confirms the phrases that recur in its pieces,
-compiles them into an Aho-Corasick automaton and streams all its pieces through it; where a piece's phrase is found at
-its place, the piece's windows are compared word by word with those of the same phrase in earlier documents, and each
-window that was seen before is removed. A shard's size is bounded, whatever the corpus: the number of shards follows the
-number of pieces, and anchors of more than ``HOT`` occurrences take another way. Their windows are hashed to 128 bits and
-their first places found by minima that are combined before they move, then joined back.
+anchors over the whole corpus. The second takes the texts apart around anchors that occur more than once: it hands on each
+such phrase, and the pieces that hold it, the words of all windows that share one place of an anchor.
 
-No text is shuffled but pieces and texts that lose words.
+Phrases and pieces go to shards by the anchor's hash. A shard confirms the phrases that recur, word by word, compiles them into an
+Aho-Corasick automaton and streams its pieces through it. A piece does not say where its phrase is: the automaton locates
+all occurrences of all the shard's phrases, and the windows around them are compared word by word. Each window that was seen in an
+earlier document is removed. A shard's size is bounded, whatever the corpus: the number of shards follows the number of
+pieces, and the pieces of an anchor of more than ``HOT`` occurrences are dealt over many shards by their documents, twice as
+many for each doubling. Such a shard locates windows in the same way, but cannot know the earliest one; it gives the windows with their
+128-bit digests, whose minima are combined before they move, and joined back.
+
+No text is shuffled but pieces, phrases, and texts that lose words.
 
 Earlier means a smaller document id or, in the same one, an earlier start; a null id is the smallest; rows that repeat
-an id and a start are not earlier than each other. Windows are judged on the input. Null text has no words. All other
-columns are kept; columns with names that are added are replaced.
+an id and a start are not earlier than each other. Windows are judged on the input. Null text has no words; a very long text
+is read whole, as a batch of its own; an empty table gives an empty one. All other columns are kept, whatever their names;
+columns with names that are added are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -84,137 +90,159 @@ def _normal(found: words.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
     return body, shift[found.starts], shift[found.ends - 1] + 1 if len(found) else found.ends
 
 
-PIECE = "unit long, _id long, _row long, _copy long, low int, at int, size int, body binary"
+PHRASE_ROW, PIECE_ROW = 0, 1
+PIECE = "unit long, kind int, hot boolean, times int, _id long, _row long, _copy long, low int, body binary"
 
 
 class _Runs:
     """Runs of windows of one place of an anchor in the texts of a batch, those whose anchor is wanted."""
 
-    def __init__(self, batch: pa.RecordBatch, wanted: np.ndarray, other: np.ndarray | None) -> None:
+    def __init__(self, batch: pa.RecordBatch, wanted: np.ndarray) -> None:
         self.found = words.Words(*words.raw(batch.column("_text")), words.PLAIN)
         windows, anchor, hashes = anchors(self.found)
         first, last = _runs(windows, anchor)
         key = hashes[anchor[first]]
         chosen = filters.contains(wanted, key)
-        if other is not None:
-            chosen &= ~filters.contains(other, key)
         first, last = first[chosen], last[chosen]
         self.key, self.place = key[chosen], anchor[first]
         self.low, self.stop = windows[first], windows[last] + WINDOW
         self.owner = self.found.owners()[self.low]
-        self.held = [batch.column(c).take(pa.array(self.owner)) for c in ("_id", "_row", "_copy")]
         self.number = self.low - self.found.first[self.owner]
 
 
-def _pieces(recurring, hot, units: int):
+def _pieces(recurring, hot: list, units: int, hot_units: int):
+    """Phrases and pieces of all texts with the numbers of their shards; ``hot`` has a filter for each doubling."""
+
     def run(batches):
         for batch in words.slices(batches, "_text"):
-            runs = _Runs(batch, recurring.value, hot.value)
-            body, starts, ends = _normal(runs.found)
+            runs = _Runs(batch, recurring.value)
             if not len(runs.low):
                 continue
-            begin = starts[runs.low]
-            texts = [body[a:b] for a, b in zip(begin.tolist(), ends[runs.stop - 1].tolist(), strict=True)]
+            body, starts, ends = _normal(runs.found)
+            level = sum((filters.contains(f.value, runs.key).astype(np.int64) for f in hot), np.zeros(len(runs.key), np.int64))
+            held = [batch.column(c).take(pa.array(runs.owner)) for c in ("_id", "_row", "_copy")]
+            copy = held[2].to_numpy(zero_copy_only=False).view(np.uint64)
+            salt = words.mix(copy) & ((np.uint64(1) << level.astype(np.uint64)) - np.uint64(1))
             unit = (runs.key % np.uint64(units)).astype(np.int64)
-            at, size = starts[runs.place] - begin, ends[runs.place + ANCHOR - 1] - starts[runs.place]
-            numbers = [pa.array(x.astype(np.int32)) for x in (runs.number, at, size)]
+            dealt = units + (words.mix(runs.key ^ words.mix(salt)) % np.uint64(hot_units)).astype(np.int64)
+            unit = np.where(level > 0, dealt, unit)
+            # Each phrase once for its shard, and how often.
+            order = np.lexsort((runs.key, unit))
+            new = np.ones(len(order), bool)
+            new[1:] = (unit[order][1:] != unit[order][:-1]) | (runs.key[order][1:] != runs.key[order][:-1])
+            some, times = order[new], np.diff(np.append(np.flatnonzero(new), len(order)))
+            begin, end = starts[runs.place[some]], ends[runs.place[some] + ANCHOR - 1]
+            texts = [body[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            begin, end = starts[runs.low], ends[runs.stop - 1]
+            texts += [body[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+            n, m = len(some), len(unit)
+            none = pa.nulls(n, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(unit), *runs.held, *numbers, pa.array(texts, pa.binary())],
-                ["unit", "_id", "_row", "_copy", "low", "at", "size", "body"],
+                [
+                    pa.array(np.concatenate([unit[some], unit])),
+                    pa.array(np.repeat(np.array([PHRASE_ROW, PIECE_ROW], np.int32), [n, m])),
+                    pa.array(np.concatenate([level[some], level]) > 0),
+                    pa.array(np.concatenate([times, np.zeros(m, np.int64)]).astype(np.int32)),
+                    *[pa.concat_arrays([none, column]) for column in held],
+                    pa.concat_arrays([none.cast(pa.int32()), pa.array(runs.number.astype(np.int32))]),
+                    pa.array(texts, pa.binary()),
+                ],
+                ["unit", "kind", "hot", "times", "_id", "_row", "_copy", "low", "body"],
             )
 
     return run
 
 
-def _hot_windows(hot):
-    """Windows of hot anchors, each with its 128-bit hash."""
-
-    def run(batches):
-        for batch in words.slices(batches, "_text"):
-            runs = _Runs(batch, hot.value, None)
-            counts = runs.stop - runs.low - WINDOW + 1
-            inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            starts = np.repeat(runs.low, counts) + inner
-            hashes = [words.sequence_hashes(runs.found.hashes, starts, WINDOW, seed) for seed in (1, 2)]
-            which = pa.array(np.repeat(np.arange(len(counts)), counts))
-            number = pa.array((np.repeat(runs.number, counts) + inner).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [*(h.take(which) for h in runs.held), number, *(pa.array(words.signed(h)) for h in hashes)],
-                ["_id", "_row", "_copy", "start", "w1", "w2"],
-            )
-
-    return run
-
-
-def _automaton(phrases: list[str]):
-    import ahocorasick
-
-    machine = ahocorasick.Automaton()
-    for phrase in phrases:
-        machine.add_word(f" {phrase} ", len(phrase))
-    machine.make_automaton()
-    return machine
-
-
-def _resolve(rows: list[tuple]) -> list[tuple]:
-    """Spans of words to remove from one shard's pieces (id, row, copy, low, place and size of the phrase, text).
-
-    Pieces are taken in the order of their documents, so the first to show a window has its earliest place.
-    """
-    pieces = []
-    for doc, row, copy, low, at, size, body in rows:
-        text = body.decode()
-        phrase = body[at : at + size].decode()
-        # Places are bytes, the automaton counts characters of " text ".
-        pieces.append((doc, low, row, copy, at if len(text) == len(body) else len(body[:at].decode()), phrase, text))
-    pieces.sort(key=lambda p: p[:2])
-    times = Counter(p[5] for p in pieces)
-    machine = _automaton([phrase for phrase, n in times.items() if n > 1])
-    if not len(machine):
-        return []
-    seen: dict[str, dict[str, tuple]] = {}
-    out = []
-    for doc, low, row, copy, at, phrase, text in pieces:
-        if not any(size == len(phrase) and end - size - 1 == at for end, size in machine.iter(f" {text} ")):
-            continue
-        known = seen.setdefault(phrase, {})
-        cuts = [0, *itertools.accumulate(len(w) + 1 for w in text.split(" "))]
-        gone = []
-        for k in range(len(cuts) - WINDOW):
-            first = known.setdefault(text[cuts[k] : cuts[k + WINDOW] - 1], (doc, low + k))
-            if first < (doc, low + k):
-                gone.append(low + k)
-        for k, start in enumerate(gone):
-            if k and gone[k - 1] == start - 1:
-                out[-1] = (*out[-1][:3], start + WINDOW)
-            else:
-                out.append((row, copy, start, start + WINDOW))
-    return out
+class _Shard:
+    """Recurring phrases of a shard as an automaton, and the pieces to stream through it."""
+
+    def __init__(self) -> None:
+        self.times: Counter[str] = Counter()
+        self.sure: set[str] = set()
+        self.pieces: list[tuple] = []
+
+    def phrase(self, text: str, times: int, hot: bool) -> None:
+        self.times[text] += times
+        if hot:  # counted over the whole corpus
+            self.sure.add(text)
+
+    def _compiled(self):
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for phrase, times in self.times.items():
+            if times > 1 or phrase in self.sure:
+                machine.add_word(f" {phrase} ", len(phrase))
+        if len(machine):
+            machine.make_automaton()
+        return machine
+
+    def located(self):
+        """Pieces with their windows around located phrases: id, low, row, copy, hot, and (first word, text) of each."""
+        machine = self._compiled()
+        if not len(machine):
+            return
+        for doc, low, row, copy, hot, text in sorted(self.pieces, key=lambda p: p[:2]):
+            cuts = [0, *itertools.accumulate(len(w) + 1 for w in text.split(" "))]
+            last = len(cuts) - 1 - WINDOW
+            found = set()
+            for end, size in machine.iter(f" {text} "):
+                at = bisect_left(cuts, end - size - 1)
+                found.update(range(max(0, at + ANCHOR - WINDOW), min(at, last) + 1))
+            if found:
+                yield doc, low, row, copy, hot, [(k, text[cuts[k] : cuts[k + WINDOW] - 1]) for k in sorted(found)]
+
+    def resolved(self) -> tuple[list[tuple], list[tuple]]:
+        """Spans of words to remove (row, copy, start, stop), and hot windows (row, copy, start, id, digest).
+
+        Pieces come in the order of their documents, so the first to show a window has its earliest place.
+        """
+        seen: dict[str, tuple] = {}
+        spans, windows = [], []
+        for doc, low, row, copy, hot, around in self.located():
+            if hot:
+                windows += [(row, copy, low + k, doc, hashlib.md5(w.encode()).digest()) for k, w in around]
+                continue
+            last = None
+            for k, window in around:
+                first = seen.setdefault(window, (doc, low + k))
+                if first < (doc, low + k):
+                    if last == k - 1:
+                        spans[-1] = (*spans[-1][:3], low + k + WINDOW)
+                    else:
+                        spans.append((row, copy, low + k, low + k + WINDOW))
+                    last = k
+        return spans, windows
 
 
-SPAN = "_row long, _copy long, start int, stop int"
+FOUND = "_row long, _copy long, start int, stop int, _id long, digest binary"
 
 
 def _shards(batches):
-    """Shards come sorted; one is held at a time, and it is bounded."""
+    """Shards come sorted, phrases first; one is held at a time, and it is bounded."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
-    def spans(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*_resolve(rows), strict=True)) or [[]] * 4
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    def found(shard: _Shard) -> pa.RecordBatch:
+        spans, windows = shard.resolved()
+        rows = [(*s, None, None) for s in spans] + [(row, copy, at, None, doc, w) for row, copy, at, doc, w in windows]
+        columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, ["_row", "_copy", "start", "stop"])
+        return pa.RecordBatch.from_arrays(arrays, ["_row", "_copy", "start", "stop", "_id", "digest"])
 
-    unit, rows = None, []
+    now, shard = None, _Shard()
+    names = ["unit", "kind", "hot", "times", "_id", "_row", "_copy", "low", "body"]
     for batch in batches:
-        names = ["_id", "_row", "_copy", "low", "at", "size", "body"]
-        for number, *row in zip(*(batch[c].to_pylist() for c in ["unit", *names]), strict=True):
-            if number != unit:
-                if rows:
-                    yield spans(rows)
-                unit, rows = number, []
-            rows.append(tuple(row))
-    if rows:
-        yield spans(rows)
+        for unit, kind, hot, times, doc, row, copy, low, body in zip(*(batch[c].to_pylist() for c in names), strict=True):
+            if unit != now:
+                if now is not None:
+                    yield found(shard)
+                now, shard = unit, _Shard()
+            if kind == PHRASE_ROW:
+                shard.phrase(body.decode(), times, hot)
+            else:
+                shard.pieces.append((doc, low, row, copy, hot, body.decode()))
+    if now is not None:
+        yield found(shard)
     words.release()
 
 
@@ -223,21 +251,30 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     counts = texts.select("_text").mapInArrow(_counts, "anchor long, n long")
     counts = materialise(counts.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1"))
-    total = counts.where(F.col("n") <= HOT).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    units = max(1, -(-total // PIECES))
-    recurring = spark.sparkContext.broadcast(filters.build(counts, "anchor"))
-    hot = spark.sparkContext.broadcast(filters.build(counts.where(F.col("n") > HOT), "anchor"))
-    pieces = texts.mapInArrow(_pieces(recurring, hot, units), PIECE)
-    spans = pieces.repartition("unit").sortWithinPartitions("unit").mapInArrow(_shards, SPAN)
-    if not hot.value.any():
-        return spans
-    each = texts.mapInArrow(_hot_windows(hot), "_id long, _row long, _copy long, start int, w1 long, w2 long")
-    each = materialise(each)
-    firsts = each.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min(F.struct("_id", "start")).alias("earliest"))
+    plain, hot_total, most = counts.agg(
+        F.coalesce(F.sum(F.when(F.col("n") <= HOT, F.col("n"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(F.col("n") > HOT, F.col("n"))), F.lit(0)),
+        F.coalesce(F.max("n"), F.lit(0)),
+    ).first()
+    share = spark.sparkContext.broadcast
+    recurring = share(filters.build(counts, "anchor"))
+    doublings = (most // HOT).bit_length() if most > HOT else 0
+    hot = [share(filters.build(counts.where(F.col("n") > (HOT << i)), "anchor")) for i in range(doublings)]
+    units, hot_units = (max(1, -(-n // PIECES)) for n in (plain, hot_total))
+    pieces = texts.mapInArrow(_pieces(recurring, hot, units, hot_units), PIECE)
+    found = pieces.repartition("unit").sortWithinPartitions("unit", "kind").mapInArrow(_shards, FOUND)
+    own = ["_row", "_copy", "start"]
+    if not hot:
+        return found.select(*own, "stop")
+    found = materialise(found)
+    each = found.where(F.col("digest").isNotNull())
+    place = F.struct("_id", "start")
+    firsts = each.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("earliest"))
     # Written, so that the join deals both sides itself and Spark can split a window that is very frequent.
     firsts = materialise(firsts.where("n > 1").drop("n"))
-    later = each.join(firsts, ["w1", "w2"]).where(F.struct("_id", "start") > F.col("earliest"))
-    return spans.unionByName(later.select("_row", "_copy", "start", (F.col("start") + WINDOW).alias("stop")))
+    later = each.join(firsts, "digest").where(place > F.col("earliest"))
+    spans = found.where(F.col("digest").isNull()).select(*own, "stop")
+    return spans.unionByName(later.select(*own, (F.col("start") + WINDOW).alias("stop")))
 
 
 def _cut(column: pa.Array, spans: pa.Array) -> pa.Array:

@@ -70,6 +70,18 @@ def test_small_shards_and_hot_phrases(spark, tmp_path, monkeypatch, hot):
     check(spark, tmp_path, [(i, " ".join([shared[i % 3], *passages(rng, 1), shared[(i + 1) % 3][5:]])) for i in range(25)])
 
 
+def test_places_come_from_the_automaton(spark, tmp_path):
+    """A piece does not say where its phrase is; without a compiled phrase nothing is found."""
+    docs = [(i, " ".join(f"w{k}" for k in range(40))) for i in range(4)]
+    shard = phrases._Shard()
+    shard.phrase("w3 w4 w5 w6 w7", 2, False)
+    shard.pieces = [(i, 0, i, i, False, docs[i][1]) for i in (1, 0)]
+    assert shard.resolved() == ([(1, 1, 0, 23)], [])  # the windows around the phrase, in the later document
+    shard.times.clear()
+    assert shard.resolved() == ([], [])
+    check(spark, tmp_path, docs)
+
+
 def test_small_alphabet(spark, tmp_path):
     rng = np.random.default_rng(2)
     check(spark, tmp_path, [(i, " ".join(rng.choice(["a", "b"], p=[0.9, 0.1], size=120))) for i in range(25)])
