@@ -45,11 +45,21 @@ def test_lines(stages):
 
 def test_one_document_of_each_group_stays(stages):
     before, after = texts(stages[2]), texts(stages[3])
-    found = groups.brute(before)
+    found = groups.brute(before, corpus_pipeline.SIMILAR)
     assert sorted(d for d, _ in after) == sorted(d for d, _, component in found if d == component)
     assert set(after) <= set(before)
 
 
+def test_a_pair_of_four_fifths_is_one_group(spark):
+    """90 shingles of 110 are shared, a similarity of 0.818; the third text shares 88 of 112, 0.786."""
+    words = [f"w{i}" for i in range(104)]
+    docs = [(1, words), (2, words[:94] + [f"x{i}" for i in range(10)]), (3, words[:92] + [f"y{i}" for i in range(12)])]
+    rows = [(d, " ".join(w), "en", "s", 1) for d, w in docs]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    kept = corpus_pipeline.one_of_each_group(spark, spark.createDataFrame(rows, schema), SF).collect()
+    assert sorted(r["doc_id"] for r in kept) == [1, 3]
+
+
 def test_decontamination(spark, stages):
     before, after = texts(stages[3]), texts(stages[4])
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
