@@ -8,13 +8,14 @@ hits in n + 1 trials of chance t, and a pair is dropped as soon as it is below `
 holds a shingle that only one of the sets has, so the differing bins bound the similarity from above; for short texts
 this bound is nearly exact. What survives is verified on the full shingle sets, and links are joined to components.
 
-A pair is compared in the first band it shares only. The members of a bucket are compared in blocks: members go to
-blocks by hash, and every pair of blocks is a unit of work, so a bucket of any size is spread over tasks and none of
-its pairs is left out, while only survivors become rows. They do so in two rounds. The first takes of each unit a
-forest of its most similar survivors, as many as members; their verified links join most of a group. The second takes
-all survivors between different components, so every pair that could join two of them is verified, and a large
-group of mutually similar texts costs rows by its size, not by its square. Exact verification works in blocks as well:
-a set is sent once per pair of blocks, not once per pair, and a unit returns a spanning forest of its links.
+A pair is compared in the first band it shares only. The members of a bucket are compared in blocks, a pair of blocks
+at a time, so a bucket of any size is spread over tasks, and only survivors become rows. They do so in two rounds. In the
+first, every block meets one block of its bucket, and a unit of work gives a forest of its most similar survivors: work
+and rows follow the members. Their verified links join most of a group. The second round is complete: it takes all
+survivors between different components, so every pair that could join two of them is verified. Members of a bucket's
+largest component do not meet each other there, so a large group of mutually similar texts costs work by its size, not
+by its square. Exact verification works in blocks as well, bounded by classes and by shingles: a set is sent once
+per pair of blocks, not once per pair, and a unit returns a spanning forest of its links.
 
 Texts are read four times: for the sets' hashes, for bands and sketches of one text per class, and in each round for the
 sets of survivors; all but the first are told by a filter of fixed size. Nothing about single documents reaches the driver.
@@ -45,6 +46,7 @@ BINS, BATCH = 1024, 128
 MISS = 1e-5
 BLOCK = 512
 SET_BLOCK = 256
+SET_SHINGLES = 1 << 20
 PAIRS = 1 << 14
 NO_ID = -(2**63)
 
@@ -348,11 +350,9 @@ def _candidates(signatures: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, groups
 
 
-def _spread(members: DataFrame, *more: str) -> DataFrame:
-    """Each member in every unit of work its bucket's blocks give it."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rows = members.withColumn("blocks", blocks).withColumn("own", F.expr("pmod(xxhash64(cls, 3), blocks)").cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+def _units(rows: DataFrame, own, others, *more: str) -> DataFrame:
+    """Each member in a unit of work for its block ``own`` and each of ``others``."""
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(others))
     return rows.select(
         "cls", *more, "band", "bucket",
         F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
@@ -360,29 +360,61 @@ def _spread(members: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def _few(members: DataFrame) -> DataFrame:
+    """Units of the first round: every block of a bucket meets the first block only, so work follows the members."""
+    rows = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    own = F.expr("pmod(xxhash64(cls, 3), blocks)").cast("int")
+    return _units(rows, own, F.expr("if(own = 0, sequence(0, blocks - 1), array(0))"))
+
+
+def _between(members: DataFrame) -> DataFrame:
+    """Units of the second round, members with their ``component``: all pairs between different components.
+
+    Members of a bucket's largest component have blocks of their own, which meet the blocks of the others but not each
+    other. Buckets within one component have no units.
+    """
+    same = ["band", "bucket"]
+    sizes = members.groupBy(*same, "component").agg(F.count("*").alias("n"))
+    found = sizes.groupBy(*same).agg(
+        F.max_by("component", F.struct("n", "component")).alias("major"), F.max("n").alias("most"),
+        F.sum("n").alias("all"), F.count("*").alias("different"),
+    )
+    # Written, so that the join deals both sides itself and Spark can split a large bucket.
+    found = materialise(found.where("different > 1").drop("different"))
+    rows = members.join(found, same)
+    rows = rows.withColumn("apart", (F.col("component") == F.col("major")) & (F.col("all") > BLOCK))
+    others = F.when(F.col("all") > BLOCK, F.col("all") - F.col("most")).otherwise(F.col("all"))
+    rows = rows.withColumns({
+        "rest": F.ceil(others / BLOCK).cast("int"),
+        "own_blocks": F.when(F.col("all") > BLOCK, F.ceil(F.col("most") / BLOCK)).otherwise(0).cast("int"),
+    })
+    own = F.expr("cast(if(apart, rest + pmod(xxhash64(cls, 3), own_blocks), pmod(xxhash64(cls, 3), rest)) as int)")
+    return _units(rows, own, F.expr("sequence(0, rest - 1 + if(apart, 0, own_blocks))"), "component")
+
+
 def similar_pairs(members: DataFrame, signatures: DataFrame, percent: int, joined: DataFrame | None) -> DataFrame:
     """Pairs of classes that the sketches do not rule out (a, b), between the components ``joined`` (node, component).
 
-    Without components each class is its own, and a unit's pairs are thinned to a forest.
+    Without components each class is its own, a bucket's members meet a block of them only, and a unit's pairs are
+    thinned to a forest.
     """
     wide = signatures.select("cls", "size", "bands", "sketch")
-    work = members
     if joined is None:
-        wide = wide.withColumn("component", F.col("cls"))
+        work, wide = _few(members), wide.withColumn("component", F.col("cls"))
     else:
         parts = joined.select(F.col("node").alias("cls"), "component")
-        work = work.join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        mixed = work.groupBy("band", "bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-        work = work.join(mixed.where("least < most").select("band", "bucket"), ["band", "bucket"])
+        work = members.join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        work = _between(work)
     unit = ["band", "bucket", "low", "high"]
-    work = _spread(work, *(["component"] if joined is not None else [])).join(wide, "cls")
-    work = work.repartition(*unit).sortWithinPartitions(*unit)
+    work = work.join(wide, "cls").repartition(*unit).sortWithinPartitions(*unit)
     return materialise(work.mapInArrow(_compare(percent, joined is None), "a long, b long").distinct())
 
 
-def _blocks(groups: DataFrame) -> DataFrame:
-    """Per class its block for verification."""
-    sizes = groups.groupBy("hub").agg(F.ceil(F.count("*") / SET_BLOCK).alias("blocks"))
+def _blocks(groups: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Per class its block for verification: so many classes, and so many shingles or one class."""
+    sized = groups.join(signatures.select("cls", "size"), "cls")
+    most = F.greatest(F.count("*") / SET_BLOCK, F.sum("size") / SET_SHINGLES)
+    sizes = materialise(sized.groupBy("hub").agg(F.ceil(most).alias("blocks")))
     block = F.xxhash64("hub", F.expr("pmod(xxhash64(cls, 5), blocks)"))
     return groups.join(sizes, "hub").select("cls", block.alias("block"))
 
@@ -456,7 +488,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         signatures = signatures.dropDuplicates(["cls", "key"])
     signatures = materialise(signatures)
     members, groups = _candidates(signatures)
-    blocks = materialise(_blocks(groups))
+    blocks = materialise(_blocks(groups, signatures))
     pairs = similar_pairs(members, signatures, percent, None)
     edges = materialise(links(texts, pairs, blocks, keys, percent))
     rest = similar_pairs(members, signatures, percent, components(edges, 3)).join(pairs, ["a", "b"], "left_anti")

@@ -16,7 +16,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def brute(docs):
+def brute(docs, percent=85):
     """Component by id; rows that share an id are one node, a null id is the smallest."""
     key = lambda d: -1 if d is None else d
     sets = [(key(d), shingles(t)) for d, t in docs]
@@ -33,7 +33,7 @@ def brute(docs):
 
     for i, (d, s) in enumerate(sets):
         for j, n in Counter(j for x in s for j in holders[x] if j < i).items():
-            if 100 * n >= 85 * (len(s) + len(sets[j][1]) - n):
+            if 100 * n >= percent * (len(s) + len(sets[j][1]) - n):
                 a, b = root(d), root(sets[j][0])
                 up[max(a, b)] = min(a, b)
     return Counter((d, len(shingles(t)), None if root(key(d)) < 0 else root(key(d))) for d, t in docs)
