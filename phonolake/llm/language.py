@@ -2,17 +2,20 @@
 
 A text is lower-cased; its subwords are the runs of three and four bytes of words, with one separator allowed at either
 end. Each is hashed to one of ``BUCKETS`` embeddings; their mean goes through a linear softmax. Both are trained
-together by stochastic gradient descent in numpy on a bounded sample: about ``PER_LANGUAGE`` different labelled texts, or
-all there are, of each of the ``LANGUAGES`` languages with the most different texts, drawn by a hash. A fifth of the sample is kept out of the training to fit a temperature,
-so that scores are probabilities, and a threshold below which a prediction is rejected: the score that all but
+together by stochastic gradient descent in numpy on a bounded sample of labelled texts, drawn by a hash: about
+``PER_LANGUAGE`` different ones of each language, or all there are, and ``SAMPLE`` in all, which many languages share
+evenly. Every labelled language is a class. Of a long text, ``TEXT_BUCKETS`` of its buckets are taken, drawn by a hash too, so
+the sample has at most ``SAMPLE * TEXT_BUCKETS`` numbers. A fifth of it is kept out of the training to fit a
+temperature, so that scores are probabilities, and a threshold below which a prediction is rejected: the score that all but
 ``LOST`` of its correctly named texts reach.
 
 For prediction, embeddings and softmax are multiplied out, so a subword costs one table row. Every whole text is
-read; the score of a text depends on its text alone.
+read, very long ones as batches of their own; the score of a text depends on its text alone.
 
 Defined results: a null text or one without letters is ``und`` with score 0 and rejected, as is every text where no
 labelled text exists to learn from; a text whose letters give no subword gets the classes' prior; a null id counts as
-empty text in the split. Other columns are kept, columns of the names that are added are replaced.
+empty text in the split; equal rows get equal results; an empty table gives an empty one. Other columns are kept, whatever
+their names; columns of the names that are added are replaced.
 """
 
 from __future__ import annotations
@@ -30,8 +33,9 @@ from phonolake.llm.registry import query, table
 
 BUCKETS = 1 << 15
 DIMENSION = 16
-LANGUAGES = 200
 PER_LANGUAGE = 600
+SAMPLE = 20_000
+TEXT_BUCKETS = 4096
 EPOCHS = 5
 RATE = 0.1
 BATCH = 32
@@ -170,7 +174,7 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-SAMPLE = "lang string, keep boolean, grams binary, weights binary"
+SAMPLE_ROW = "lang string, keep boolean, grams binary, weights binary"
 
 
 def _features(batches):
@@ -178,6 +182,9 @@ def _features(batches):
         grams, first = subwords(batch.column("text"))
         for i, (lang, keep) in enumerate(zip(batch["lang"].to_pylist(), batch["keep"].to_pylist(), strict=True)):
             rows, counts = np.unique(grams[first[i] : first[i + 1]], return_counts=True)
+            if len(rows) > TEXT_BUCKETS:
+                drawn = np.sort(np.argsort(rows.astype(np.uint32) * np.uint32(0x9E3779B1), kind="stable")[:TEXT_BUCKETS])
+                rows, counts = rows[drawn], counts[drawn]
             if len(rows):
                 weights = (counts / counts.sum()).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
@@ -191,17 +198,22 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model
     """Model of the rows with text and language. What reaches the driver is the bounded sample's bucket counts."""
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    different = rows.select("lang", F.xxhash64("text").alias("copy")).distinct()
-    counts = different.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    different = rows.select("lang", F.xxhash64("text").alias("copy"), draw.alias("draw")).distinct()
+    counts = different.groupBy("lang").agg(F.count("*").alias("n"), F.min("draw").alias("least")).collect()
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANGUAGE / r["count"]))])
-    sample = rows.where(draw < F.coalesce(F.element_at(shares, F.col("lang")), F.lit(0.0)))
-    keep = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 0
+    most = min(PER_LANGUAGE, max(1, SAMPLE // len(counts)))
+    # One text of each language at least: the one drawn first.
+    shares = {r["lang"]: max(min(1.0, most / r["n"]), r["least"]) for r in counts}
+    shares = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+    sample = rows.where(draw <= F.coalesce(F.element_at(shares, F.col("lang")), F.lit(-1.0)))
+    # Languages of few texts learn from all of them.
+    many = F.col("lang").isin([r["lang"] for r in counts if r["n"] >= 5])
+    keep = many & (F.pmod(F.xxhash64("text", F.lit(1)), F.lit(5)) == 0)
     # Equal texts are drawn together, so one of each is taken; copies are combined before they move.
     sample = sample.dropDuplicates(["lang", "text"])
-    found = sample.select("text", "lang", keep.alias("keep")).mapInArrow(_features, SAMPLE).collect()
+    found = sample.select("text", "lang", keep.alias("keep")).mapInArrow(_features, SAMPLE_ROW).collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["grams"]), bytes(r["weights"])))
     return fit(
         [(r["lang"], np.frombuffer(r["grams"], np.int32), np.frombuffer(r["weights"], np.float32), r["keep"]) for r in found]
@@ -228,7 +240,7 @@ def _predict(model: Model | None, column: pa.Array) -> pa.Array:
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred, score and rejected. The model is at most ``BUCKETS * LANGUAGES`` numbers."""
+    """``docs`` with lang_pred, score and rejected. The model is ``BUCKETS`` numbers for each language."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(RESULT)

@@ -78,3 +78,54 @@ def test_subwords_do_not_cross_words_or_texts():
     assert of("ab", "cd") == [of("ab")[0], of("cd")[0]]
     assert of("ÉÀ")[0] == of("éà")[0]
     assert of("", None) == [[], []]
+
+
+def plain_buckets(text):
+    """Buckets of one text, byte by byte: words in lower case with one blank around them, runs of three and four."""
+    data = bytearray(text.encode())
+    for i, b in enumerate(data):
+        if 65 <= b <= 90 or (i and text and data[i - 1] == 0xC3 and 0x80 <= b <= 0x9E and b != 0x97):
+            data[i] = b + 32
+    data = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in data)
+    data = b" " + data + b" "
+    grams = []
+    for i in range(1, len(data) - 1):
+        for size, factor in ((3, 0x9E3779B1), (4, 0x85EBCA6B)):
+            inner = data[i : i + size - 2]
+            if len(data) >= i + size - 1 and len(inner) == size - 2 and 32 not in inner:
+                gram = int.from_bytes(data[i - 1 : i + size - 1], "little")
+                mixed = gram * factor & 0xFFFFFFFF
+                mixed ^= mixed >> 15
+                grams.append((mixed * 0xC2B2AE35 & 0xFFFFFFFF) >> 17)
+    return grams
+
+
+def test_scores_against_a_plain_loop(spark):
+    """Mean of table rows, softmax, and the best class, text by text."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 3000").limit(120)
+    model = language.train(docs)
+    for row in language.predict(docs, model).collect():
+        grams = plain_buckets(row["text"])
+        if not any(c.isalpha() for c in row["text"]):
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        scores = model.bias.copy()
+        if grams:
+            scores += sum(model.table[g].astype(float) for g in grams) / len(grams)
+        scores = np.exp((scores - scores.max()) / model.temperature)
+        scores /= scores.sum()
+        assert row["lang_pred"] == model.languages[scores.argmax()]
+        assert abs(row["score"] - scores.max()) < 1e-5
+        assert row["rejected"] == (row["score"] < model.threshold)
+
+
+def test_every_labelled_language_is_a_class_and_the_sample_stays_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 300)
+    monkeypatch.setattr(language, "TEXT_BUCKETS", 20)
+    rng = np.random.default_rng(0)
+    rows = [(f"l{i}", " ".join(f"{'abcdefghijklmnop'[i % 16]}{'qrstuvwxyz'[i // 16 % 10]}{w}" for w in rng.choice(["xo", "ja", "ku"], 30))) for i in range(250) for _ in range(3)]
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda texts: seen.extend(texts))
+    language.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert {t[0] for t in seen} == {f"l{i}" for i in range(250)}
+    assert len(seen) < 600 and all(len(t[1]) <= 20 for t in seen)
