@@ -12,8 +12,9 @@ whose line separator is an empty skippable frame. A task writes a bundle per 64
 Payloads are UTF-8 text. Of equal payloads of at least ``least`` bytes the one with the smallest id is a response and
 the others are revisits that refer to it; smaller payloads are responses. Equal means equal SHA-256.
 
-Defined results: a null payload is empty; rows that repeat the smallest id are all responses; a null id counts as the
-largest; an empty table gives an empty archive. Further columns are ignored.
+Defined results: a null payload is empty; a very long one is a frame of its own; rows that repeat the smallest id are all
+responses; a null id counts as the largest; an empty table gives an empty archive. Further columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phonolake.llm import filters
 from phonolake.llm.registry import query, table
-from phonolake.session import scratch_dir
+from phonolake.session import materialise, scratch_dir
 
 # Fixed values of the Zstandard and seekable formats.
 SKIPPABLE = 0x184D2A50
@@ -51,8 +53,8 @@ def record_id(page_id: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"
 
 
-def build_record(page_id, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
-    """One WARC/1.1 record; a revisit has the headers of its payload but not the payload."""
+def build_record(page_id, url: str | None, payload: bytes, size: int, digest: str, refers_to) -> bytes:
+    """One WARC/1.1 record; a revisit has the size and digest of its payload but not the payload."""
     headers = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
@@ -60,7 +62,7 @@ def build_record(page_id, url: str | None, payload: bytes, digest: str, refers_t
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {' '.join((url or '').split())}",
         f"WARC-Payload-Digest: sha256:{digest}",
-        f"X-Payload-Length: {len(payload)}",
+        f"X-Payload-Length: {size}",
         f"X-Page-ID: {json.dumps(page_id)}",
     ]
     if refers_to is not None:
@@ -139,7 +141,7 @@ def _bundles_of_task(batches: Iterator[pa.RecordBatch], frame_bytes: int) -> Ite
         for i in range(batch.num_rows):
             page = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
             payload = page["payload"].encode()
-            record = build_record(page["id"], page["url"], payload, page["digest"], page["refers_to"])
+            record = build_record(page["id"], page["url"], payload, page["size"], page["digest"], page["refers_to"])
             if (frame := writer.add(page["id"], record)) is not None:
                 yield row(frame)
             if len(writer.frames) == BUNDLE_FRAMES:
@@ -179,25 +181,36 @@ class Bundle:
 
 
 def mark_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """``pages`` (id, url, payload) with digest and refers_to.
+    """Rows of ``pages`` (id, url, payload) with size, digest and refers_to; a revisit has no payload any more.
 
-    Equal payloads are counted before any row moves, so a payload that is very common costs one row per task. Only
-    repeated digests are joined back; a payload that cannot repeat has a key of its own.
+    Payloads are counted by their digests before any row moves. The digests that repeat are written, a filter of fixed size
+    keeps all other rows where they are, and what repeats meets its first without its payload: a payload that is very
+    common is a narrow row in a join that Spark can split. Then its responses are the rows that are no revisits,
+    told by digest and id.
     """
-    pages = pages.withColumn("payload", F.coalesce("payload", F.lit("")))
-    pages = pages.withColumn("digest", F.sha2(F.col("payload").cast("binary"), 256))
-    large = F.octet_length("payload") >= least
-    firsts = pages.where(large).groupBy("digest").agg(F.min("id").alias("_first"), F.count("*").alias("_n"))
-    firsts = firsts.where("_n > 1").select(F.col("digest").alias("_key"), "_first")
-    own = F.concat(F.lit("-"), F.coalesce(F.col("id").cast("string"), F.lit("")))
-    marked = pages.withColumn("_key", F.when(large, F.col("digest")).otherwise(own)).join(firsts, "_key", "left")
-    same = F.col("id").eqNullSafe(F.col("_first"))
-    return marked.withColumn("refers_to", F.when(~same, F.col("_first"))).drop("_key", "_first")
+    pages = pages.select("id", "url", F.coalesce("payload", F.lit("")).alias("payload"))
+    pages = pages.withColumns({
+        "digest": F.sha2(F.col("payload").cast("binary"), 256), "size": F.octet_length("payload").cast("long")
+    })
+    large = F.col("size") >= least
+    counted = pages.where(large).groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    firsts = materialise(counted.where("n > 1").select("digest", "first", F.xxhash64("digest").alias("key")))
+    may = filters.may_hold(firsts, "key", F.xxhash64("digest"))
+    marked = materialise(pages.select("id", "url", "digest", "size", (large & may).alias("may")).where("may").drop("may"))
+    revisits = marked.join(firsts.select("digest", "first"), "digest").where(~F.col("id").eqNullSafe(F.col("first")))
+    revisits = materialise(revisits.select("id", "url", "digest", "size", F.col("first").alias("refers_to")))
+    keys = revisits.select(F.col("id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    some = pages.where(large & may)
+    others = some.join(keys, F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left_anti")
+    none = F.lit(None).cast(pages.schema["id"].dataType).alias("refers_to")
+    columns = ["id", "url", "payload", "digest", "size", "refers_to"]
+    out = [pages.where(~(large & may)).select("*", none), others.select("*", none), revisits.withColumn("payload", F.lit(""))]
+    return out[0].select(*columns).unionByName(out[1].select(*columns)).unionByName(out[2].select(*columns))
 
 
 def write_bundles(pages: DataFrame, path: str, least: int = LEAST, frame_bytes: int = FRAME_BYTES) -> None:
     """Write (id, url, payload) as bundles below ``path``."""
-    marked = mark_revisits(pages, least).select("id", "url", "payload", "digest", "refers_to")
+    marked = mark_revisits(pages, least)
     frames = marked.mapInArrow(lambda batches: _bundles_of_task(batches, frame_bytes), "frame binary")
     # The sink starts another file after so many rows: a bundle's frames and its footer.
     sink = frames.select(F.col("frame").cast("string")).write.option("maxRecordsPerFile", BUNDLE_FRAMES + 2)

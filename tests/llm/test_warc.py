@@ -33,6 +33,22 @@ def test_edge_rows(spark, tmp_path):
     assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
 
 
+def test_other_columns_may_have_any_name(spark):
+    rows = [(i, "u", "same" * 50, 1, "x") for i in range(4)] + [(9, "u", "other" * 50, 2, "y")]
+    pages = spark.createDataFrame(rows, "id long, url string, payload string, _first int, `first.key` string")
+    found = {r["id"]: r["refers_to"] for r in warc.mark_revisits(pages).collect()}
+    assert found == {0: None, 1: 0, 2: 0, 3: 0, 9: None}
+
+
+def test_a_payload_of_most_pages_does_not_move(spark):
+    """Rows that meet their first page are narrow, in a join whose sides are dealt by it alone."""
+    pages = spark.range(2000).select("id", F.lit("u").alias("url"), F.when(F.col("id") % 3 > 0, F.repeat(F.lit("p"), 5000)).otherwise(F.concat(F.repeat(F.lit("q"), 200), "id")).alias("payload"))
+    marked = warc.mark_revisits(pages)
+    assert marked.where("refers_to = 1").count() == marked.where("refers_to is not null").count() > 1300
+    assert marked.where("refers_to is not null and payload <> ''").count() == 0
+    assert marked.count() == 2000
+
+
 def test_empty_table(spark, tmp_path):
     assert run_on(spark, tmp_path, "op8_seekable_warc", pages=([], PAGES)) == []
 
@@ -72,6 +88,6 @@ def test_index_and_random_access(spark, archive):
 
 
 def test_damage_is_noticed():
-    record = warc.build_record(1, "u", b"abc", hashlib.sha256(b"abd").hexdigest(), None)
+    record = warc.build_record(1, "u", b"abc", 3, hashlib.sha256(b"abd").hexdigest(), None)
     with pytest.raises(ValueError, match="damaged"):
         warc._row(warc.parse_record(record))
