@@ -10,9 +10,10 @@ rows only.
 Rows of one key have the same bits. Where a bucket over the limit holds a single hash value, it gets an overflow
 directory over hash bits of a row number instead; its shards are named ``prefix + "+" + bits``.
 
-Defined results: a null key hashes like an empty one; null and empty values have size 0; a single row over the limit
-is a shard of its own; equal rows go to any of their key's shards; an empty table gives an empty table. All other
-columns are kept; columns of the names that are added are replaced.
+Defined results: a null key hashes like an empty one; null and empty values have size 0; a single row over the limit, a
+very long text, is a shard of its own; equal keys share a shard while they fit, and equal rows go to any of their key's
+shards; an empty table gives an empty table. All other columns are kept, whatever their names; columns of the names
+that are added are replaced.
 """
 
 from __future__ import annotations
@@ -20,17 +21,18 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phonolake.llm.columns import ALL, pack, unpack
 from phonolake.llm.registry import query, table
-from phonolake.session import materialise
+from phonolake.session import materialise, scratch_dir
 
 BITS = 60
 STEP = 10
 SPARE = 4
-LIMIT = 1 << 20
+LIMIT = 128 << 20
 
 
 def hash_bits(*keys: Column) -> Column:
@@ -84,10 +86,10 @@ def add_shards(df: DataFrame, keys: list[str], limit: int = LIMIT, size: Column
 
     ``size`` gives a row's bytes; by default the bytes of its string and binary columns.
     """
-    texts = [F.octet_length(f.name) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    texts = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
     if size is None:
         size = reduce(lambda a, b: a + b, [F.coalesce(t, F.lit(0)) for t in texts], F.lit(0))
-    own = {"_h": hash_bits(*[F.col(k) for k in keys]), "row_bytes": F.coalesce(size, F.lit(0)).cast("long")}
+    own = {"_h": hash_bits(*[F.col(f"`{k}`") for k in keys]), "row_bytes": F.coalesce(size, F.lit(0)).cast("long")}
     rows = pack(df, **own, _group=F.lit(""))
     total = rows.agg(F.sum("row_bytes")).first()[0] or 0
     bits = min(BITS, max(0, math.ceil(math.log2(max(1, total) / limit))) + SPARE)
@@ -126,9 +128,15 @@ def write_shards(sharded: DataFrame, path: str) -> None:
     sharded.repartition("shard").write.partitionBy("shard").parquet(path)
 
 
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of ``write_shards`` with their shards, which folder names tell; ``schema`` is that of the rows with ``shard``."""
+    rows = spark.read.schema(schema).parquet(path)
+    return rows.withColumn("shard", F.coalesce("shard", F.lit("")))
+
+
 OP1_SQL = f"""
 with d as (
-  select doc_id, coalesce(strlen(text), 0) row_bytes,
+  select doc_id, coalesce(strlen(text), 0) + coalesce(strlen(lang), 0) + coalesce(strlen(source), 0) row_bytes,
          ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint h
   from documents),
 full_buckets as (
@@ -144,6 +152,8 @@ from deep
 
 @query("op1_extendible_shards", OP1_SQL)
 def op1_extendible_shards(spark, sf_dir):
-    """Shards of at most 1 MiB of text over the whole table; small, so that every scale factor has many shards."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").alias("_size"))
-    return add_shards(docs, ["doc_id"], LIMIT, F.col("_size")).drop("_size")
+    """Whole documents written as shards of at most ``LIMIT`` bytes, and each document's shard as read back."""
+    sharded = add_shards(table(spark, sf_dir, "documents"), ["doc_id"])
+    path = scratch_dir(spark)
+    write_shards(sharded, path)
+    return read_shards(spark, path, sharded.schema).select("doc_id", "row_bytes", "shard_depth", "shard")
