@@ -95,7 +95,8 @@ def scan(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     (start, kind, stop, hash, owners, repositories, live), all that are reported, by start and kind.
     """
     found = candidates(docs)
-    owners = ownership(found)
+    # Written, so that the join deals both sides itself and Spark can split a value that is very common.
+    owners = materialise(ownership(found))
     each = found.where(F.size("found") > 0).select("_row", F.inline("found")).join(owners, "hash")
     live = F.col("owners") < example_owners
     generic = F.col("kind") == list(KINDS).index("generic")
