@@ -131,9 +131,8 @@ def recurring_lines(texts: DataFrame, least: int = MIN_DOCUMENTS, keep_first: bo
     known = spark.sparkContext.broadcast(filters.build(_common(leaves, ["leaf"], least), "leaf"))
     lines = texts.mapInArrow(_tokens(known), LINE).withColumn("_place", F.monotonically_increasing_id())
     lines = materialise(lines)  # repeated rows differ by their place
-    asked = F.size("tokens").alias("n")
-    each = lines.select("_place", "_id", "_row", "_copy", "line", asked, "leaf", F.explode("tokens").alias("token"))
-    each = each.join(materialise(_levels(lines, least)), "token")
+    levels = materialise(_levels(lines, least))
+    each = lines.select("_place", F.explode("tokens").alias("token")).join(levels, "token")
     # The set of constant tokens at each share by two sums that need no order.
     sums, sets = [], []
     for i in range(len(SHARES)):
@@ -142,8 +141,10 @@ def recurring_lines(texts: DataFrame, least: int = MIN_DOCUMENTS, keep_first: bo
         sums += [F.count(token).alias(f"c{i}"), F.bit_xor(token).alias(f"a{i}"), F.bit_xor(again).alias(f"b{i}")]
         enough = F.col(f"c{i}") >= LEAST_CONSTANT * F.col("n")
         sets.append(F.when(enough, F.struct(F.col(f"a{i}").alias("t1"), F.col(f"b{i}").alias("t2"))))
-    templates = each.groupBy("_place", "_id", "_row", "_copy", "line", "n", "leaf").agg(*sums)
-    templates = templates.withColumn("_sets", F.array_compact(F.array_distinct(F.array(*sets))))
+    # Tokens move to their line as they are: sums of single tokens would be larger.
+    found = each.repartition("_place").groupBy("_place").agg(*sums)
+    sized = lines.select("_place", "_id", "_row", "_copy", "line", F.size("tokens").alias("n"), "leaf")
+    templates = found.join(sized, "_place").withColumn("_sets", F.array_compact(F.array_distinct(F.array(*sets))))
     templates = materialise(templates.select("_id", "_row", "_copy", "line", "leaf", F.inline("_sets")))
     template = ["leaf", "t1", "t2"]
     own = [F.col("whole").alias("t1"), F.lit(0).cast("long").alias("t2")]
