@@ -5,6 +5,7 @@ from phonolake.functions import tokens as T
 from phonolake.operators import corpus as ops
 from phonolake.operators import telemetry
 from phonolake.operators import vocab as V
+from phonolake.session import materialise
 
 
 def test_clean_rows(spark):
@@ -140,6 +141,18 @@ def test_vocab_encode_and_decode(spark, small):
     assert V.vocab_decode(ids, vocab(spark), "id", "ids", most=most).first()["tokens"] == ["c", "a", "\ufffd"]
 
 
+def test_large_lookup_moves_distinct_entries(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(V, "materialise", lambda df: written.append(materialise(df)) or written[-1])
+    df = spark.range(0, 3000, 1, 2).selectExpr("id", "if(id % 7 = 0, null, array('a', 'b', 'zz', 'a', null)) AS words")
+    for chunk, parts in ((V.CHUNK, 2), (1, 4)):
+        monkeypatch.setattr(V, "CHUNK", chunk)
+        got = {r["id"]: r["ids"] for r in V.vocab_encode(df, vocab(spark), "id", "words", most=0).collect()}
+        assert got == {i: [0, 1, -1, 0, -1] if i % 7 else [] for i in range(3000)}
+        assert written[-1].agg(F.count_distinct("_chunk")).first()[0] == parts
+        assert written[-1].agg(F.sum(F.size("_new"))).first()[0] == 3 * parts
+
+
 def test_build_and_extend_vocab(spark):
     words = spark.createDataFrame([("b",), ("a",), ("b",), (None,), ("é",)], "token string")
     built = {r["token"]: r["id"] for r in V.build_vocab(words).collect()}
