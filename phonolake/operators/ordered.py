@@ -136,6 +136,6 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     Rows without order value come last; of rows with equal ones the smallest by the other columns is taken.
     """
     rest = [c for c in df.columns if c != key]
-    place = F.struct(F.col(order).isNull(), F.col(order), *[F.col(c) for c in rest])
-    best = df.groupBy(key).agg(F.min_by(F.struct(*rest), place).alias("_first"))
-    return best.select(key, "_first.*").select(*df.columns)
+    place = F.struct(F.col(order).isNull().alias("_lacks"), F.col(order).alias("_order"), *[F.col(c) for c in rest if c != order])
+    best = df.groupBy(key).agg(F.min(place).alias("_first"))
+    return best.select(key, "_first.*").withColumnRenamed("_order", order).select(*df.columns)

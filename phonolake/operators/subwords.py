@@ -22,6 +22,7 @@ from pyspark.sql.types import BinaryType
 
 from phonolake.functions import text as X
 from phonolake.operators.vocab import UNKNOWN_ID, vocab_decode, vocab_encode
+from phonolake.session import bound_batches
 
 MOST_RANKS = 2_000_000
 CACHED = 500_000
@@ -62,6 +63,7 @@ def merge_ids(piece: bytes, ranks: dict[bytes, int], unknown: int = UNKNOWN_ID)
 
 def _merged(ranks: DataFrame, unknown: int):
     """Ids of lists of pieces, as a function on Arrow arrays."""
+    bound_batches(ranks.sparkSession)
     ranks = ranks.where(F.col("token").isNotNull()).groupBy("token").agg(F.min("id").cast("int").alias("id"))
     count = ranks.count()
     if count > MOST_RANKS:

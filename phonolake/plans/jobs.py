@@ -14,11 +14,16 @@ from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators import corpus
+from phonolake.operators.joins import fits_broadcast
+from phonolake.operators.ordered import index_rows
 from phonolake.operators.subwords import encode_prompts
 from phonolake.operators.vocab import vocab_encode
 from phonolake.session import materialise, materialise_observed
 from phonolake.sources import writers
 
+#: Ids of rows that are sent to every executor, 8 bytes each, so that only their layers move.
+MOST_IDS = 4_000_000
+
 
 def with_prompt_ids(rows: DataFrame, prompt, vocab: DataFrame, keep: list[str]) -> DataFrame:
     """Rows with the ids of their prompts by a vocabulary or a rank table; only ``keep`` columns go along."""
@@ -78,10 +83,17 @@ def _write_format_a(rows, layers, vocab, out_dir: str, order: list[str], max_len
     tagged = corpus.tag_length(rows.withColumn("seq_len", length), length, max_len)
     tagged, stats = materialise_observed(tagged, *corpus.corpus_totals())
 
-    accepted = corpus.kept(tagged).drop("seq_len").join(layers.hint("merge"), "utt_id")
-    sequences = corpus.assemble_a(accepted, 0).withColumnRenamed("filepath", "filename")
-    sequences = sequences if "n_samples" in order else sequences.drop("n_samples")
-    shards = writers.write_shards(sequences, out_dir, order, rows_per_shard, mode, key=["utt_id"])
+    # Places are found on narrow columns: layers move once to meet their row and once to its shard, where sequences are built.
+    accepted = corpus.kept(tagged).drop("seq_len")
+    there = accepted.select("utt_id", *[c for c in order if c != "utt_id"]).join(layers.select("utt_id"), "utt_id", "left_semi")
+    places, total = index_rows(there, order, "_row")
+    wide = with_layers(accepted.join(places.select("utt_id", "_row"), "utt_id"), layers, places.select("utt_id"))
+
+    def sequences(rows: DataFrame) -> DataFrame:
+        rows = corpus.assemble_a(rows, 0).withColumnRenamed("filepath", "filename")
+        return rows if "n_samples" in order else rows.drop("n_samples")
+
+    shards = writers.write_indexed(wide, total, out_dir, rows_per_shard, mode, finish=sequences)
     writers.write_stats(stats, f"{out_dir}/stats")
     writers.write_pointer(rows.sparkSession, out_dir, shards)
     return stats
@@ -127,7 +139,7 @@ def prepare_format_b(
     tagged = materialise(corpus.tag_length_b(counted, max_len))
 
     texts = source.select("utt_id", X.strip(F.col("text")).alias("text"))
-    accepted = corpus.kept(tagged).join(texts, "utt_id").join(layers.hint("merge"), "utt_id")
+    accepted = with_layers(corpus.kept(tagged).join(texts, "utt_id"), layers, corpus.kept(tagged).select("utt_id"))
     sequences = corpus.assemble_b(accepted).withColumnRenamed("speaker", "speaker_id")
     writers.write_typed(sequences, f"{out_dir}/parquet", "overwrite" if mode == "ignore" else mode)
     stats = materialise(corpus.speaker_stats(tagged, "sequence_length"))
@@ -135,6 +147,13 @@ def prepare_format_b(
     return stats
 
 
+def with_layers(rows: DataFrame, layers: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows with their layers. Layers without one of the ids stay where they are if these are few enough to send out."""
+    if fits_broadcast(ids, MOST_IDS):
+        layers = layers.join(F.broadcast(ids), "utt_id", "left_semi")
+    return rows.join(layers.hint("merge"), "utt_id")
+
+
 def _has_rows(df: DataFrame, path: str) -> bool:
     try:
         return not df.sparkSession.read.parquet(path).isEmpty()

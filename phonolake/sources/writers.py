@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +42,26 @@ def write_shards(
     columns that identify a row, see ``index_rows``.
     """
     indexed, total = index_rows(df, order, "_row", key)
+    return write_indexed(indexed, total, path, rows_per_shard, mode, shards_per_task)
+
+
+def write_indexed(
+    indexed: DataFrame,
+    total: int,
+    path: str,
+    rows_per_shard: int = T.ROWS_PER_SHARD,
+    mode: str = "errorifexists",
+    shards_per_task: int = T.SHARDS_PER_TASK,
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> int:
+    """``write_shards`` of ``total`` rows whose index ``_row`` is known.
+
+    ``finish`` works row by row on rows that are in place, so what it derives is not moved.
+    """
     shards = -(-total // rows_per_shard)
     tasks = max(1, -(-shards // shards_per_task))
     task = F.expr(f"cast(_row div {rows_per_shard * shards_per_task} as int)")
-    placed = indexed.repartitionById(tasks, task).sortWithinPartitions("_row").drop("_row")
+    placed = finish(indexed.repartitionById(tasks, task).sortWithinPartitions("_row").drop("_row"))
     writer = placed.write.mode(mode).option("compression", "zstd").option("maxRecordsPerFile", rows_per_shard)
     writer.parquet(f"{path}/parquet")
     return shards

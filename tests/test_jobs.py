@@ -88,3 +88,24 @@ def test_format_b_with_phonemes(spark, tmp_path):
     assert len(rows) == 2
     for r in rows:
         assert r["input_ids"][1:3] == [ids["<|ph_ch|>"], ids["<|ph_a|>"]]
+
+
+def test_layers_move_once_to_their_shard(spark, tmp_path, monkeypatch):
+    """Layers of rejected rows do not count, neither do rows without layers: places have no gap."""
+    audio = spark.range(8).selectExpr("id AS utt_id", "concat('f', id) AS filepath", "'s' AS speaker", "if(id = 3, 20480000, 2048) AS n_samples")
+    meta = spark.range(8).selectExpr("concat('f', id) AS filename", "'a' AS text", "0 AS ord")
+    layers = spark.range(12).where("id <> 5").selectExpr(
+        "id AS utt_id", "array(1) AS l0", "array(1, 2) AS l1", "array(1, 2, 3, cast(id AS int)) AS l2")
+    words = spark.createDataFrame([("s", 0), (":", 1), ("a", 2)], "token string, id int")
+    moved = []
+    build = jobs.corpus.assemble_a
+    monkeypatch.setattr(jobs.corpus, "assemble_a", lambda df, n: moved.append(df._jdf.queryExecution().optimizedPlan().toString()) or build(df, n))
+    for most in (jobs.MOST_IDS, 0):
+        monkeypatch.setattr(jobs, "MOST_IDS", most)
+        path = f"{tmp_path}/{most}"
+        jobs.prepare_format_a(audio, meta, layers, words, path, rows_per_shard=2)
+        rows = readers.read_shards(spark, path, 2).orderBy("shard", "filename").collect()
+        assert [(r["filename"], r["shard"]) for r in rows] == [("f0", 0), ("f1", 0), ("f2", 1), ("f4", 1), ("f6", 2), ("f7", 2)]
+        assert all(r["seq_len"] == len(r["input_ids"]) == len(r["attention_mask"]) == 16 for r in rows)
+        assert [r["input_ids"][-2] for r in rows] == [152842 + i for i in (0, 1, 2, 4, 6, 7)]
+    assert all("RepartitionByExpression" in plan for plan in moved)
