@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from phonolake.functions import tokens as T
 from phonolake.functions.codes import idiv
+from phonolake.operators.joins import fits_broadcast
 from phonolake.operators.ordered import index_rows, join_on, number_rows, running_sum, with_row_index
 from phonolake.session import materialise
 
+#: Places of sequences that are sent to every executor, so that token arrays need not move to them.
+MOST_PLACES = 4_000_000
+
 
 def assign_groups(df: DataFrame, size: int, out: str, index: str = "row_idx") -> DataFrame:
     """Number of the group of ``size`` consecutive rows."""
@@ -172,12 +176,13 @@ def padding_report(df: DataFrame, length: str, tie_break: str, batch_size: int)
 def pack_sequences(df: DataFrame, order: list, block_len: int = T.MAX_LEN_A, ids: str = "input_ids") -> DataFrame:
     """Chain all sequences end to end and cut blocks of ``block_len``; only the last block may be short.
 
-    ``order`` names columns that identify a row. Places are found on a table of lengths; the token arrays move once
-    to meet their place and once to their blocks.
+    ``order`` names columns that identify a row. Places are found on a table of lengths; if these are few enough to send
+    out, the token arrays move once, to their blocks, otherwise once more to meet their place.
     """
     used = df.where(F.size(ids) > 0).select(*dict.fromkeys([*order, ids]))
     narrow = with_row_index(materialise(used.select(*order, F.size(ids).cast("long").alias("_n"))), order)
     placed = running_sum(narrow, [], "row_idx", F.col("_n"), "start").select(*order, "start")
+    placed = F.broadcast(placed) if fits_broadcast(narrow, MOST_PLACES) else placed
     placed = join_on(used, placed, order)
     last = idiv(F.col("start") + F.size(ids) - 1, block_len)
     rows = placed.select("start", ids, F.explode(F.sequence(idiv(F.col("start"), block_len), last)).alias("block_id"))

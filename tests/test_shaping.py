@@ -92,6 +92,16 @@ def test_pack_sequences(spark, block):
     assert [r["input_ids"] for r in got] == [chain[i : i + block] for i in range(0, len(chain), block)]
 
 
+def test_places_of_sequences_are_sent_out(spark, monkeypatch):
+    df = spark.range(50).selectExpr("id", "array(cast(id AS int), 1, 2) AS input_ids").repartition(4)
+    for most, sent in ((ops.MOST_PLACES, True), (0, False)):
+        monkeypatch.setattr(ops, "MOST_PLACES", most)
+        packed = ops.pack_sequences(df, ["id"], 7)
+        plan = packed._jdf.queryExecution().optimizedPlan().toString()
+        assert ("strategy=broadcast" in plan) == sent
+        assert [t for r in packed.orderBy("block_id").collect() for t in r["input_ids"]] == [t for i in range(50) for t in (i, 1, 2)]
+
+
 def test_padding_report(spark):
     sizes = [1, 10, 1, 10, 1, 10]
     df = spark.createDataFrame(list(enumerate(sizes)), "id long, n long")
