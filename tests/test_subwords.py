@@ -1,7 +1,9 @@
 """Subwords by rank tables against plain merging and against the library the rank files are made for."""
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,6 +37,38 @@ def test_merging_against_all_pairs(seed):
         assert ops.merge_ids(piece, ranks) == plain(piece, ranks)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_merging_in_step_against_all_pairs(seed, monkeypatch):
+    """Bytes that are no token, tokens of equal ids, pieces of all lengths, and more pieces than are merged in step."""
+    monkeypatch.setattr(ops, "STEP", 7)
+    rng = random.Random(seed)
+    ranks = {bytes([c]): i for i, c in enumerate(b"abcd")}
+    for _ in range(rng.randrange(40)):
+        ranks.setdefault(bytes(rng.choice(b"abcde") for _ in range(rng.randrange(2, 6))), rng.randrange(4, 30))
+    pairs = ops.Pairs(pa.array(list(ranks), pa.binary()), pa.array(list(ranks.values()), pa.int32()), -1)
+    pieces = list({bytes(rng.choice(b"abcde") for _ in range(rng.randrange(90))) for _ in range(100)})
+    lists, place = pairs.encode(pa.array([b"x", *pieces], pa.binary()).slice(1))
+    assert lists.take(pa.array(place)).to_pylist() == [plain(p, ranks) for p in pieces]
+    assert pairs.encode(pa.array([], pa.binary()))[0].to_pylist() == []
+
+
+def test_a_worker_keeps_nothing_of_the_pieces_it_has_met():
+    """600,000 different pieces in thirty batches: what is held after the last is what was held after the first."""
+    ranks = {bytes([c]): i for i, c in enumerate(b"abcdefghij")} | {b"ab": 10, b"cd": 11, b"abcd": 12}
+    pairs = ops.Pairs(pa.array(list(ranks), pa.binary()), pa.array(list(ranks.values()), pa.int32()), -1)
+    digits = bytes.maketrans(b"0123456789", b"abcdefghij")
+    held = []
+    tracemalloc.start()
+    for batch in range(30):
+        pieces = [b"%d" % n for n in range(1_000_000 + batch * 20_000, 1_020_000 + batch * 20_000)]
+        lists, _ = pairs.encode(pa.array([p.translate(digits) for p in pieces], pa.binary()))
+        assert len(lists) == 20_000
+        del pieces, lists
+        held.append(tracemalloc.get_traced_memory()[0])
+    tracemalloc.stop()
+    assert held[-1] - held[0] < 1_000_000
+
+
 def test_a_long_piece_is_merged_in_time():
     ranks = {b"a" * n: n for n in (1, 2, 4, 8)}
     assert ops.merge_ids(b"a" * 200_001, ranks) == [8] * 25_000 + [1]
