@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phonolake.functions import codes as C
+from phonolake.functions import frames as R
 from phonolake.functions import tokens as T
+from phonolake.session import bound_batches
 
 # Code ranges by mode: strict is the codebook, lenient also lets the codebook size pass, parse excludes 0.
 CODE_RANGES = {"strict": (0, T.CODEBOOK - 1), "lenient": (0, T.CODEBOOK), "parse": (1, T.CODEBOOK)}
@@ -22,20 +24,25 @@ def interleave_codes(df: DataFrame, mode: str = "trim", base: int = T.AUDIO_BASE
     ``trim`` uses the frames that all layers fill. ``strict`` wants lengths of ratio 1:2:4 and codes in 0..4096 and
     gives an error row otherwise.
     """
-    ids = C.interleave(F.col("l0"), F.col("l1"), F.col("l2"), base)
+    bound_batches(df.sparkSession)
+    layers = ("l0", "l1", "l2")
     if mode == "trim":
-        return df.withColumn("audio_ids", ids)
+        return df.withColumn("audio_ids", R.interleave(*map(F.col, layers), base))
     lengths = (F.size("l1") == F.size("l0") * 2) & (F.size("l2") == F.size("l0") * 4)
+    low, high = CODE_RANGES["lenient"]
     codes = F.lit(True)
-    for layer in ("l0", "l1", "l2"):
-        codes = codes & F.forall(layer, lambda c: in_range(c, "lenient"))
+    for layer in layers:
+        codes = codes & (F.array_min(layer) >= low) & (F.array_max(layer) <= high)
     df = df.withColumn("error", F.when(~lengths, "layer_lengths").when(~codes, "code_range"))
-    return df.withColumn("audio_ids", F.when(F.col("error").isNull(), ids))
+    valid = F.col("error").isNull()
+    return df.withColumn("audio_ids", F.when(valid, R.interleave(*[F.when(valid, F.col(x)) for x in layers], base)))
 
 
 def deinterleave_codes(df: DataFrame, ids: str = "audio_ids", base: int = T.AUDIO_BASE) -> DataFrame:
     """``ids`` to layers ``l0, l1, l2``; out-of-range codes are kept for reports."""
-    return df.withColumns({f"l{n}": C.layer_of(F.col(ids), n, base) for n in range(3)})
+    bound_batches(df.sparkSession)
+    df = df.withColumn("_layers", R.layers(F.col(ids), base))
+    return df.withColumns({f"l{n}": F.col(f"_layers.l{n}") for n in range(3)}).drop("_layers")
 
 
 def dedup_frames(df: DataFrame, ids: str = "audio_ids") -> DataFrame:

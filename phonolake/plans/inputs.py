@@ -7,16 +7,20 @@ statement needs in front of it.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phonolake.functions import codes as C
+from phonolake.functions import frames as R
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators.ordered import running_sums
 from phonolake.operators.vocab import build_vocab
-from phonolake.session import materialise
+from phonolake.session import bound_batches, materialise
 from phonolake.sources.readers import read_table
 
 SAMPLES_PER_CHAR = 240
@@ -77,14 +81,37 @@ def source_rows(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataF
     )
 
 
+#: Frames whose codes are made at once.
+FRAMES = 1 << 16
+
+
+@F.arrow_udf(R.LAYERS)
+def _layers(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for numbers, frames in batches:
+        known = numbers.is_valid().to_numpy(zero_copy_only=False)
+        u = numbers.fill_null(0).to_numpy().astype(np.int64)
+        n = np.maximum(frames.fill_null(0).to_numpy().astype(np.int64), 0)
+        at = 0
+        while at < len(n):
+            stop = max(at + 1, at + int(np.searchsorted(np.cumsum(n[at:]), FRAMES, "right")))
+            layers = []
+            for stride, by, step in ((1, 31, 17), (2, 37, 19), (4, 41, 23)):
+                sizes = n[at:stop] * stride
+                i = R.within(sizes)
+                if stride == 1:
+                    i = i // np.repeat(1 + u[at:stop] % 3, sizes)
+                codes = (np.repeat(u[at:stop] % T.CODEBOOK * by, sizes) + i * step) % T.CODEBOOK
+                layers.append(R.lists_of(sizes, codes, None if known[at:stop].all() else ~np.repeat(known[at:stop], sizes)))
+            yield pa.StructArray.from_arrays(layers, ["l0", "l1", "l2"])
+            at = stop
+
+
 def add_codes(df: DataFrame) -> DataFrame:
     """Layer codes by formula from utt_id and the number of frames; the first layer has runs of equal codes."""
-    u = F.abs("utt_id")
+    bound_batches(df.sparkSession)
     n = C.frames_of_samples(F.col("n_samples"))
-    l0 = F.transform(C.index_range(n), lambda i: ((u * 31 + C.idiv(i, 1 + u % 3) * 17) % T.CODEBOOK).cast("int"))
-    l1 = F.transform(C.index_range(n * 2), lambda i: ((u * 37 + i * 19) % T.CODEBOOK).cast("int"))
-    l2 = F.transform(C.index_range(n * 4), lambda i: ((u * 41 + i * 23) % T.CODEBOOK).cast("int"))
-    return df.withColumns({"l0": l0, "l1": l1, "l2": l2})
+    df = df.withColumn("_layers", _layers(F.abs("utt_id"), n.cast("int")))
+    return df.withColumns({f"l{k}": F.col(f"_layers.l{k}") for k in range(3)}).drop("_layers")
 
 
 def codes(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from phonolake.functions import codes as C
 from phonolake.functions import tokens as T
 from phonolake.operators import codes as ops
+from phonolake.plans import inputs as I
 
 BASE = T.AUDIO_BASE
 
@@ -52,6 +53,40 @@ def test_interleave_strict_errors(spark):
     assert got[1]["audio_ids"] is None and len(got[0]["audio_ids"]) == 7 and got[4]["audio_ids"] == []
 
 
+def test_frames_of_whole_batches_against_entries_one_by_one(spark):
+    """Null layers and entries, uneven lengths, empty rows: the same as by expressions; no lambda runs per entry."""
+    rng = random.Random(3)
+    some = lambda n: None if rng.random() < 0.2 else [None if rng.random() < 0.05 else rng.randrange(-9, 5000) for _ in range(n)]
+    sizes = [(0, 0, 0), (1, 2, 4), (3, 6, 12), (5, 4, 30), (2, 9, 8)]
+    rows = [(i, *map(some, rng.choice(sizes))) for i in range(300)] + [(300, None, None, None)]
+    df = layered(spark, rows)
+    joined = ops.interleave_codes(df)
+    slow = C.interleave(F.col("l0"), F.col("l1"), F.col("l2"))
+    for got in (joined, ops.deinterleave_codes(joined.drop("l0", "l1", "l2"))):
+        assert "lambda" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [r["id"] for r in joined.withColumn("slow", slow).where(~F.col("audio_ids").eqNullSafe(F.col("slow"))).collect()] == []
+    ids = ids_frame(spark, [(i, some(rng.randrange(40))) for i in range(300)])
+    back = ops.deinterleave_codes(ids, "ids")
+    for layer in range(3):
+        assert back.where(~F.col(f"l{layer}").eqNullSafe(C.layer_of(F.col("ids"), layer))).count() == 0
+
+
+def test_a_code_beyond_an_int_is_an_error_row(spark):
+    rows = [(0, [2**31 - 1], [0, 1], [1, 2, 3, 4]), (1, [1], [0, 1], [1, 2, 3, 4])]
+    got = {r["id"]: r for r in ops.interleave_codes(layered(spark, rows), "strict").collect()}
+    assert (got[0]["error"], got[0]["audio_ids"]) == ("code_range", None) and len(got[1]["audio_ids"]) == 7
+
+
+def test_codes_of_odd_recordings(spark):
+    """No number, no length, a negative number, and more frames than are made at once."""
+    rows = [(None, 5000), (7, None), (-7, 5000), (8, 0), (9, -5), (10, 2048 * 70_000), (11, 2048)]
+    got = {r["utt_id"]: r for r in I.add_codes(spark.createDataFrame(rows, "utt_id long, n_samples long").coalesce(1)).collect()}
+    assert (got[None]["l0"], got[None]["l2"]) == ([None] * 3, [None] * 12)
+    assert got[7]["l1"] == got[8]["l0"] == got[9]["l2"] == []
+    assert got[-7]["l0"] == [(7 * 31 + i // 2 * 17) % 4096 for i in range(3)]
+    assert got[10]["l2"] == [(410 + i * 23) % 4096 for i in range(280_000)] and got[11]["l1"] == [407, 426]
+
+
 def test_validate_modes(spark):
     rows = [(i, [v], [1, 1], [1, 1, 1, 1]) for i, v in enumerate([-1, 0, 1, 4095, 4096, 4097])]
     for mode, valid in {
