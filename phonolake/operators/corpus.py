@@ -13,7 +13,7 @@ from phonolake.functions import codes as C
 from phonolake.functions import text as X
 from phonolake.functions import tokens as T
 from phonolake.operators.joins import lookup_join
-from phonolake.operators.ordered import first_per_key
+from phonolake.operators.ordered import first_wide_per_key
 
 
 def require_columns(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -115,12 +115,12 @@ def normalise_requests(df: DataFrame, default_voice: str = T.DEFAULT_VOICE) -> D
 
 def attach_text(audio: DataFrame, meta: DataFrame, order: str = "ord") -> DataFrame:
     """Audio rows with the first metadata text of their file; rows without one are left out."""
-    first = first_per_key(meta, "filename", order).select(F.col("filename").alias("filepath"), "text")
+    first = first_wide_per_key(meta, "filename", order).select(F.col("filename").alias("filepath"), "text")
     return lookup_join(audio, first.where(F.col("text").isNotNull()), "filepath")
 
 
 def unmatched_audio(audio: DataFrame, meta: DataFrame, order: str = "ord") -> DataFrame:
-    first = first_per_key(meta, "filename", order).where(F.col("text").isNotNull())
+    first = first_wide_per_key(meta, "filename", order).where(F.col("text").isNotNull())
     return lookup_join(audio, first.select(F.col("filename").alias("filepath")), "filepath", "left_anti")
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phonolake.functions.codes import idiv
+from phonolake.operators.joins import lookup_join
 from phonolake.session import materialise
 
 BLOCK = 65_536
@@ -139,3 +140,18 @@ def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     place = F.struct(F.col(order).isNull().alias("_lacks"), F.col(order).alias("_order"), *[F.col(c) for c in rest if c != order])
     best = df.groupBy(key).agg(F.min(place).alias("_first"))
     return best.select(key, "_first.*").withColumnRenamed("_order", order).select(*df.columns)
+
+
+def first_wide_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
+    """``first_per_key`` for wide rows; rows without key are left out.
+
+    A minimum of texts is found by sorting whole rows, in the tasks that read them and again behind the shuffle. Here the
+    order alone is reduced first, and rows are sorted once, behind the shuffle, in partitions that Spark sizes. Of a hot
+    key the rows that are not first go before the shuffle.
+    """
+    df = df.where(F.col(key).isNotNull())
+    best = df.groupBy(key).agg(F.min(order).alias("_best")).hint("merge")
+    # Not as an equality, by which Spark would deal out rows too: the partitions by key serve the join and what follows.
+    first = F.coalesce(F.col(order) <= F.col("_best"), F.col("_best").isNull())
+    rows = lookup_join(df, best, key).where(first)
+    return first_per_key(rows.drop("_best"), key, order).select(*df.columns)

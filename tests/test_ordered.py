@@ -85,6 +85,22 @@ def test_first_per_key(spark):
     assert got == {"a": (1, None), "b": (5, "y")}
 
 
+def test_first_wide_per_key(spark, monkeypatch):
+    """The same rows as by one aggregate, with and without hot keys, but whole rows are not sorted before the shuffle."""
+    rng = random.Random(5)
+    some = lambda *values: rng.choice([None, *values])
+    rows = [(some(0, 1, 2), some("x", "y", "z"), rng.choice(["hot", "hot", *"abcdefgh"])) for _ in range(400)]
+    df = spark.createDataFrame([*rows, (1, "t", None)], "ord int, t string, k string")
+    want = ordered.first_per_key(df.where("k is not null"), "k", "ord").collect()
+    got = ordered.first_wide_per_key(df, "k", "ord")
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    assert got.columns == df.columns and sorted(got.collect(), key=repr) == sorted(want, key=repr)
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "SortAggregate" not in plan[plan.index("SortMergeJoin") :]
+    monkeypatch.setattr(joins, "hot_keys", lambda *_: ["hot"])
+    assert sorted(ordered.first_wide_per_key(df, "k", "ord").collect(), key=repr) == sorted(want, key=repr)
+
+
 def test_hot_keys_and_lookup_join(spark):
     big = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     big = big.unionByName(spark.createDataFrame([(-1, None)], "id long, k string"))
